@@ -6,6 +6,9 @@ would otherwise copy it into every filter it pushes down and parse the text agai
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,17 +123,22 @@ def classify_lenient(payloads: DataFrame, payload: str = "payload_json", keep: t
     event_time = fractional_epoch_ms_expr(_lenient_leaf("$.feature.properties.time", "double"))
     updated = fractional_epoch_ms_expr(_lenient_leaf("$.feature.properties.updated", "double"))
     event_id = _text_or_null("$.event_id")
-    reason = first_failing(
-        [
-            ("not_json", F.col("envelope").isNotNull()),
-            ("no_feature", _is_object("$.feature")),
-            ("no_properties", _is_object("$.feature.properties")),
-            ("no_geometry", _is_object("$.feature.geometry")),
-            ("not_earthquake", _text_or_null("$.feature.properties.type") == EARTHQUAKE),
-            ("not_point", _text_or_null("$.feature.geometry.type") == POINT),
-            ("no_event_id", event_id != ""),
-            ("no_event_time", event_time.isNotNull()),
-        ]
+    leaf_checks = [
+        ("not_earthquake", _text_or_null("$.feature.properties.type") == EARTHQUAKE),
+        ("not_point", _text_or_null("$.feature.geometry.type") == POINT),
+        ("no_event_id", event_id != ""),
+        ("no_event_time", event_time.isNotNull()),
+    ]
+    shape_checks = [
+        ("not_json", F.col("envelope").isNotNull()),
+        ("no_feature", _is_object("$.feature")),
+        ("no_properties", _is_object("$.feature.properties")),
+        ("no_geometry", _is_object("$.feature.geometry")),
+    ]
+    # A leaf can only be read through objects, so good rows skip the checks of the shape.
+    good = reduce(and_, [passed for _, passed in leaf_checks])
+    reason = F.when(good, F.lit(None).cast("string")).otherwise(
+        first_failing(shape_checks + leaf_checks)
     )
     flat = parsed.select(
         *keep,

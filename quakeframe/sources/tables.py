@@ -31,9 +31,17 @@ def table_scan(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+def has_rows_written(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder holds more than markers of an empty write."""
+    hidden = ("_", ".")
+    return any(
+        name == "_delta_log" or not name.startswith(hidden) for name in child_names(spark, path)
+    )
+
+
 def table_scan_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
     """The table, or None so that a job can be skipped."""
-    return table_scan(spark, path, fmt) if table_exists(spark, path) else None
+    return table_scan(spark, path, fmt) if has_rows_written(spark, path) else None
 
 
 def key_scan(
