@@ -36,6 +36,7 @@ NEVER = np.iinfo(np.int64).min
 SEGMENT_DDL = "_key string, _group bigint, starts array<bigint>, exits array<bigint>"
 ENTRY_DDL = "_key string, _group bigint, _after bigint"
 TIME_DDL = "_key string, _us bigint"
+MEMORY_DDL = "_key string, _last bigint"
 
 
 def key_text(key: Sequence[str]) -> Column:
@@ -66,6 +67,40 @@ def suppress_recent(
     return one_per_time.join(kept, ["_key", "_us"], "left_semi").select("_row.*")
 
 
+def suppress_after(
+    df: DataFrame,
+    memory: DataFrame,
+    key: Sequence[str] = ("event_id",),
+    time: str = "observed_at",
+    ttl_seconds: float = SUPPRESS_TTL_SECONDS,
+    order: Sequence[str] = (),
+) -> DataFrame:
+    """``suppress_recent`` for rows that come after those ``memory`` was made from.
+
+    A row still inside the time to live of the remembered one goes; the rest starts a chain.
+    """
+    ttl = round(ttl_seconds * 1_000_000)
+    keyed = df.withColumn("_key", key_text(key)).join(memory, "_key", "left")
+    open_rows = keyed.filter(F.col("_last").isNull() | (F.unix_micros(time) > F.col("_last") + ttl))
+    return suppress_recent(open_rows.select(*df.columns), key, time, ttl_seconds, order)
+
+
+def remember(
+    memory: DataFrame,
+    published: DataFrame,
+    key: Sequence[str] = ("event_id",),
+    time: str = "observed_at",
+    ttl_seconds: float = SUPPRESS_TTL_SECONDS,
+) -> DataFrame:
+    """Last published time per key; keys whose time to live is over by the newest time go."""
+    fresh = published.select(key_text(key).alias("_key"), F.unix_micros(time).alias("_last"))
+    newest = memory.unionByName(fresh).groupBy("_key").agg(F.max("_last").alias("_last"))
+    now = newest.agg(F.max("_last")).first()[0]
+    if now is None:
+        return newest
+    return newest.filter(F.col("_last") >= now - round(ttl_seconds * 1_000_000))
+
+
 def kept_times(times: DataFrame, ttl: int, max_array_rows: int = MAX_ARRAY_ROWS) -> DataFrame:
     """Key and time of every kept row, from all keys and times in microseconds."""
     distinct = times.distinct()

@@ -31,6 +31,12 @@ def table_scan(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder if it is there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def has_rows_written(spark: SparkSession, path: str) -> bool:
     """Whether a table folder holds more than markers of an empty write."""
     hidden = ("_", ".")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from quakeframe.defaults import SUPPRESS_TTL_SECONDS
-from quakeframe.operators.suppress import NEVER, key_text
+from quakeframe.operators.suppress import MEMORY_DDL, NEVER, key_text, remember, suppress_after
+from quakeframe.sources.tables import drop_path
 
 STATE_STORE_SETTING = "spark.sql.streaming.stateStore.providerClass"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -34,9 +35,9 @@ class LastPublished(StatefulProcessor):
         after = self._last.get()[0] + self._ttl if self._last.exists() else NEVER
         # Rows still inside the time to live are dropped chunk by chunk. What is left of
         # this key is at most what one micro-batch brought.
-        open_rows = [chunk[chunk["_us"] > after] for chunk in rows]
-        pdf = pd.concat(open_rows).sort_values(["_us", "_order"], kind="stable")
-        times = pdf["_us"].to_numpy()
+        open_rows = [chunk[chunk["seen_us"] > after] for chunk in rows]
+        pdf = pd.concat(open_rows).sort_values(["seen_us", "seen_order"], kind="stable")
+        times = pdf["seen_us"].to_numpy()
         kept = []
         at = 0
         while at < len(times):
@@ -67,6 +68,7 @@ def suppress_recent_stream(
 
     Limit the size of a micro-batch at the source. ``state_ttl_seconds`` forgets idle keys
     by the clock; set it above the time to live, and only where ``time`` is the clock time.
+    Column names must not begin with an underscore, which row tuples do not allow.
     """
     use_state_store(stream.sparkSession)
     processor = LastPublished(
@@ -76,13 +78,51 @@ def suppress_recent_stream(
     )
     keyed = stream.select(
         "*",
-        key_text(key).alias("_key"),
-        F.unix_micros(time).alias("_us"),
-        F.xxhash64(*stream.columns).alias("_order"),
+        key_text(key).alias("seen_key"),
+        F.unix_micros(time).alias("seen_us"),
+        F.xxhash64(*stream.columns).alias("seen_order"),
     )
-    return keyed.groupBy("_key").transformWithStateInPandas(
+    return keyed.groupBy("seen_key").transformWithStateInPandas(
         processor,
         outputStructType=stream.schema,
         outputMode="Append",
         timeMode="None" if state_ttl_seconds is None else "ProcessingTime",
     )
+
+
+def suppressing_writer(
+    publish: Callable[[DataFrame, int], None],
+    memory_path: str,
+    key: Sequence[str] = ("event_id",),
+    time: str = "observed_at",
+    ttl_seconds: float = SUPPRESS_TTL_SECONDS,
+    order: Sequence[str] = (),
+) -> Callable[[DataFrame, int], None]:
+    """The same rule as a ``foreachBatch`` function, for streams with very frequent keys.
+
+    The batch form does the work, so rows stay in the JVM and one key is spread over many
+    tasks. What was published last is a small table, rewritten per batch: a repeated batch
+    starts from the table of the batch before it. ``publish`` gets the rows and the batch id
+    and must replace its own output when a batch is repeated.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        memory = read_memory(batch.sparkSession, memory_path, batch_id - 1)
+        passed = suppress_after(batch, memory, key, time, ttl_seconds, order).persist()
+        try:
+            publish(passed, batch_id)
+            remember(memory, passed, key, time, ttl_seconds).write.mode("overwrite").parquet(
+                f"{memory_path}/batch_id={batch_id}"
+            )
+        finally:
+            passed.unpersist()
+        drop_path(batch.sparkSession, f"{memory_path}/batch_id={batch_id - 2}")
+
+    return write
+
+
+def read_memory(spark: SparkSession, memory_path: str, batch_id: int) -> DataFrame:
+    """Last published times after a batch; empty before the first."""
+    if batch_id < 0:
+        return spark.createDataFrame([], MEMORY_DDL)
+    return spark.read.schema(MEMORY_DDL).parquet(f"{memory_path}/batch_id={batch_id}")

@@ -224,11 +224,11 @@ CHUNK_COUNTS = """select chunk_start, least(chunk_start + 6, date '2024-01-31')
 
 # Daily fetches of users; a user stays silent for two days after being published.
 LIVE = {
-    "fetch": f"""select cast({OBSERVED} as date) as day, user_id, count(*) as copies,
+    "fetched": f"""select cast({OBSERVED} as date) as day, user_id, count(*) as copies,
         min(observed_ms) as ms from raw group by all""",
-    "chain": """select user_id, min(ms) as ms from fetch group by user_id union all
-        select * from (select chain.user_id, (select min(ms) from fetch where fetch.user_id = chain.user_id
-          and fetch.ms > chain.ms + 2 * 86400000) as ms from chain) where ms is not null""",
+    "chain": """select user_id, min(ms) as ms from fetched group by user_id union all
+        select * from (select chain.user_id, (select min(ms) from fetched where fetched.user_id = chain.user_id
+          and fetched.ms > chain.ms + 2 * 86400000) as ms from chain) where ms is not null""",
 }
 RUN_COUNTS = """
     select 'backfill' as mode, count(*) as chunk_count,
@@ -237,7 +237,7 @@ RUN_COUNTS = """
            cast(sum(duplicate_count) as bigint) as duplicate_count from counts
     union all
     select 'realtime', count(distinct day), cast(sum(copies) as bigint), count(*),
-           (select count(*) from chain), cast(sum(copies) as bigint) - (select count(*) from chain) from fetch"""
+           (select count(*) from chain), cast(sum(copies) as bigint) - (select count(*) from chain) from fetched"""
 
 
 # Documents. Spark writes doubles below one thousandth with an exponent.
@@ -505,8 +505,24 @@ ORACLE: dict[str, str] = {
         f"select {FLAT} from latest", raw=RAW_SQL, flat=LENIENT, latest=latest_of("flat")
     ),
     "t5_stateful_suppress": suppressed("user_id", USER_TTL_SECONDS),
+    "t5_suppress_by_batch": suppressed("event_type", 3_600),
     "t6_periodic_refresh": with_tables(
         f"select {HOURLY} from hourly",
         raw=RAW_SQL, flat=LENIENT, latest=latest_of("flat"), hourly=hourly_of("latest"),
     ),
+    "route_backfill_to_hourly": with_tables(
+        f"select {HOURLY} from hourly",
+        raw=RAW_SQL,
+        chunked=CHUNKED,
+        first_copy="select * from chunked qualify row_number() over"
+        " (partition by event_id order by chunk_start, event_ms, n) = 1",
+        flat=flat_of("first_copy", {**STRICT_COLUMNS, "event_id": "event_id"})
+        + " where not (time_as_text or is_blast or is_polygon or no_geometry)",
+        hourly=hourly_of("flat"),
+    ),
+    "route_realtime_messages": on_raw(
+        "select event_id as key, concat('u', cast(cast(floor(n / 500) as bigint) as varchar)) as source_feed,"
+        f" {ISO.format(t='make_timestamp(cast(floor(n / 500) as bigint) * 3600000000)')} as ingest_time_utc, nst"
+        " from raw qualify row_number() over (partition by event_id order by n desc) = 1"
+    ),
 }

@@ -31,7 +31,7 @@ from quakeframe.sinks.tables import append_run, write_partitioned
 from quakeframe.sources import landed, messages, windows
 from quakeframe.sources.tables import key_scan, table_scan, table_scan_if_exists
 from quakeframe.streaming.consumer import batch_writer, consume
-from quakeframe.streaming.suppress import suppress_recent_stream
+from quakeframe.streaming.suppress import suppress_recent_stream, suppressing_writer
 from registry import adapter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -750,6 +750,24 @@ def t5_stateful_suppress(spark, sf_dir):
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@query
+def t5_suppress_by_batch(spark, sf_dir):
+    """The rule inside foreachBatch, over files that follow each other in time."""
+    rows = _seen(spark, sf_dir)
+    folder, path = scratch_path(spark, "seen"), scratch_path(spark, "published")
+    rows.write.parquet(folder)
+
+    def publish(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = suppressing_writer(
+        publish, scratch_path(spark, "memory"), ("event_type",), order=("n",)
+    )
+    stream = spark.readStream.schema(rows.schema).parquet(folder)
+    consume(stream, writer, scratch_path(spark, "offsets"), drain=True).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
+
 @query
 def t6_periodic_refresh(spark, sf_dir):
     _, _, snapshot_path, _ = _consumed(spark, sf_dir)
