@@ -92,50 +92,52 @@ def classify_strict(payloads: DataFrame, payload: str = "payload_json", keep: tu
     return _finish(flat, keep)
 
 
-def _lenient_leaf(path: str, kind: str) -> Column:
-    if kind == "string":
-        return F.try_variant_get("envelope", path, "string")
-    leaf = F.try_variant_get("envelope", path, "variant")
-    return to_int_expr(leaf) if kind == "int" else to_float_expr(leaf)
-
-
-def _is_object(path: str) -> Column:
-    kind = F.schema_of_variant(F.try_variant_get("envelope", path, "variant"))
-    return F.startswith(kind, F.lit("OBJECT"))
+def lenient_envelope_ddl() -> str:
+    """The fields the flat columns need: text as it is, everything else as variant leaves."""
+    fields = [
+        f"{field} {'string' if kind == 'string' else 'variant'}" for _, field, kind in PROPERTY_COLUMNS
+    ]
+    properties = ", ".join([*fields, "time variant", "updated variant", "type string"])
+    return (
+        f"event_id variant, feature struct<properties struct<{properties}>,"
+        " geometry struct<type string, coordinates array<variant>>>"
+    )
 
 
-def _text_or_null(path: str) -> Column:
-    """A JSON string as it is; any other JSON type is null."""
-    kind = F.schema_of_variant(F.try_variant_get("envelope", path, "variant"))
-    return F.when(kind == "STRING", F.try_variant_get("envelope", path, "string"))
+def _lenient_property(field: str, kind: str) -> Column:
+    leaf = F.col(f"feature.properties.{field}")
+    if kind == "string":
+        return leaf
+    return to_int_expr(leaf) if kind == "int" else to_float_expr(leaf)
 
 
 def classify_lenient(payloads: DataFrame, payload: str = "payload_json", keep: tuple[str, ...] = ()) -> DataFrame:
     """As ``classify_strict``, but numbers may be text and whole numbers may be fractions.
 
     Text that is no number is null. A fraction loses its decimals where an int is due,
-    but a fraction given as text is null there.
+    but a fraction given as text is null there. An event id must be text, and not empty.
     """
-    parsed = payloads.select(
-        *keep,
-        F.inline(F.array(F.struct(F.try_parse_json(F.col(payload)).alias("envelope")))),
+    envelope = F.from_json(F.col(payload), lenient_envelope_ddl())
+    parsed = payloads.select(*keep, F.col(payload).alias("_payload"), F.inline(F.array(envelope)))
+    event_time = fractional_epoch_ms_expr(_lenient_property("time", "double"))
+    updated = fractional_epoch_ms_expr(_lenient_property("updated", "double"))
+    event_id = F.when(
+        F.schema_of_variant("event_id") == "STRING", F.try_variant_get("event_id", "$", "string")
     )
-    event_time = fractional_epoch_ms_expr(_lenient_leaf("$.feature.properties.time", "double"))
-    updated = fractional_epoch_ms_expr(_lenient_leaf("$.feature.properties.updated", "double"))
-    event_id = _text_or_null("$.event_id")
     leaf_checks = [
-        ("not_earthquake", _text_or_null("$.feature.properties.type") == EARTHQUAKE),
-        ("not_point", _text_or_null("$.feature.geometry.type") == POINT),
+        ("not_earthquake", F.col("feature.properties.type") == EARTHQUAKE),
+        ("not_point", F.col("feature.geometry.type") == POINT),
         ("no_event_id", event_id != ""),
         ("no_event_time", event_time.isNotNull()),
     ]
     shape_checks = [
-        ("not_json", F.col("envelope").isNotNull()),
-        ("no_feature", _is_object("$.feature")),
-        ("no_properties", _is_object("$.feature.properties")),
-        ("no_geometry", _is_object("$.feature.geometry")),
+        ("not_json", F.try_parse_json("_payload").isNotNull()),
+        ("no_feature", F.col("feature").isNotNull()),
+        ("no_properties", F.col("feature.properties").isNotNull()),
+        ("no_geometry", F.col("feature.geometry").isNotNull()),
     ]
-    # A leaf can only be read through objects, so good rows skip the checks of the shape.
+    # Leaves exist only inside objects, so good rows skip the checks of the shape and with
+    # them the second parse that tells bad JSON from JSON of another shape.
     good = reduce(and_, [passed for _, passed in leaf_checks])
     reason = F.when(good, F.lit(None).cast("string")).otherwise(
         first_failing(shape_checks + leaf_checks)
@@ -145,12 +147,9 @@ def classify_lenient(payloads: DataFrame, payload: str = "payload_json", keep: t
         event_id.alias("event_id"),
         event_time.alias("event_time_utc"),
         updated.alias("updated_time_utc"),
+        *[_lenient_property(field, kind).alias(name) for name, field, kind in PROPERTY_COLUMNS],
         *[
-            _lenient_leaf(f"$.feature.properties.{field}", kind).alias(name)
-            for name, field, kind in PROPERTY_COLUMNS
-        ],
-        *[
-            _lenient_leaf(f"$.feature.geometry.coordinates[{index}]", "double").alias(name)
+            to_float_expr(coordinate_expr("feature.geometry.coordinates", index)).alias(name)
             for name, index in COORDINATE_COLUMNS
         ],
         reason.alias("reject_reason"),

@@ -2,7 +2,7 @@
 
 ``changes/batch_id=n`` holds the newest rows of batch n, and ``base/version=n`` the whole
 snapshot after batch n. Writing a batch costs only the batch. Readers merge the newest
-base with the later batches in one shuffle; ``compact`` writes the next base.
+base with the later batches; ``compact`` writes the next base.
 Every folder is written as a whole, so a repeated batch replaces its own folder.
 """
 
@@ -15,48 +15,78 @@ from quakeframe.operators.latest import dedupe_latest_rows
 from quakeframe.operators.merge import merge_counts, merge_in_order
 from quakeframe.schemas import FLAT_EVENT_COLUMNS, FLAT_EVENT_DDL
 from quakeframe.sinks.tables import write_partitioned
-from quakeframe.sources.tables import child_names, table_exists
+from quakeframe.sources.tables import child_names, drop_path, table_exists
 
 BEFORE_ALL = -1
 
 
+def _numbered(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of ``name=number`` folders, highest first."""
+    return sorted((int(n.split("=")[1]) for n in child_names(spark, path) if "=" in n), reverse=True)
+
+
+def _complete(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Of the ``name=number`` folders those whose write was committed, highest first."""
+    return [n for n in _numbered(spark, path) if table_exists(spark, f"{path}/{name}={n}/_SUCCESS")]
+
+
 def base_version(spark: SparkSession, path: str) -> int:
     """Batch of the newest complete base; -1 without one."""
-    versions = sorted(
-        (int(name.split("=")[1]) for name in child_names(spark, f"{path}/base") if "=" in name),
-        reverse=True,
+    return next(iter(_complete(spark, f"{path}/base", "version")), BEFORE_ALL)
+
+
+def _base(spark: SparkSession, path: str, version: int) -> DataFrame | None:
+    if version == BEFORE_ALL:
+        return None
+    base = spark.read.schema(FLAT_EVENT_DDL).parquet(f"{path}/base/version={version}")
+    return base.withColumn("batch_id", F.lit(version).cast("bigint"))
+
+
+def _changes(spark: SparkSession, path: str, after: int, before: int | None) -> DataFrame | None:
+    folder = f"{path}/changes"
+    batches = [
+        n for n in _complete(spark, folder, "batch_id") if n > after and (before is None or n < before)
+    ]
+    if not batches:
+        return None
+    return (
+        spark.read.schema(f"{FLAT_EVENT_DDL}, batch_id bigint")
+        .option("basePath", folder)
+        .parquet(*[f"{folder}/batch_id={n}" for n in batches])
     )
-    complete = (v for v in versions if table_exists(spark, f"{path}/base/version={v}/_SUCCESS"))
-    return next(complete, BEFORE_ALL)
 
 
-def snapshot_batches(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """Base rows and later batches with their batch id, or None where nothing is stored."""
+def snapshot_rows(
+    spark: SparkSession, path: str, before: int | None = None, only: DataFrame | None = None
+) -> DataFrame | None:
+    """The merged snapshot, or None where nothing is stored.
+
+    ``before`` leaves out that batch and later ones; ``only`` holds the ids wanted.
+    Only base rows whose id also occurs in the changes take part in the merge. The
+    others pass without a shuffle when the ids of the changes are few enough for the
+    adaptive planner to broadcast them.
+    """
     version = base_version(spark, path)
-    parts = []
-    if version > BEFORE_ALL:
-        base = spark.read.schema(FLAT_EVENT_DDL).parquet(f"{path}/base/version={version}")
-        parts.append(base.withColumn("batch_id", F.lit(version).cast("bigint")))
-    if table_exists(spark, f"{path}/changes"):
-        changes = spark.read.schema(f"{FLAT_EVENT_DDL}, batch_id bigint").parquet(f"{path}/changes")
-        newer = F.col("batch_id") > version
-        if before is not None:
-            newer = newer & (F.col("batch_id") < before)
-        parts.append(changes.filter(newer))
-    if not parts:
-        return None
-    first, *rest = parts
-    for part in rest:
-        first = first.unionByName(part)
-    return first
+    base, changes = _base(spark, path, version), _changes(spark, path, version, before)
+    if only is not None:
+        ids = only.select("event_id")
+        base = None if base is None else base.join(ids, "event_id", "left_semi")
+        changes = None if changes is None else changes.join(ids, "event_id", "left_semi")
+    if changes is None:
+        return None if base is None else base.select(*FLAT_EVENT_COLUMNS)
+    if base is None:
+        return merge_in_order(changes, "batch_id").select(*FLAT_EVENT_COLUMNS)
+    changed = changes.select("event_id")
+    touched = base.join(changed, "event_id", "left_semi")
+    untouched = base.join(changed, "event_id", "left_anti")
+    merged = untouched.unionByName(merge_in_order(changes.unionByName(touched), "batch_id"))
+    return merged.select(*FLAT_EVENT_COLUMNS)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The merged snapshot."""
-    batches = snapshot_batches(spark, path)
-    if batches is None:
-        return spark.createDataFrame([], FLAT_EVENT_DDL)
-    return merge_in_order(batches, "batch_id").select(*FLAT_EVENT_COLUMNS)
+    """The merged snapshot; empty where nothing is stored."""
+    stored = snapshot_rows(spark, path)
+    return spark.createDataFrame([], FLAT_EVENT_DDL) if stored is None else stored
 
 
 def upsert_latest(
@@ -79,24 +109,30 @@ def upsert_latest(
     if batch_id > version:
         newest = dedupe_latest_rows(flat_rows, arrival).select(*FLAT_EVENT_COLUMNS)
         newest.write.mode("overwrite").parquet(folder)
-    if not count_changes:
+    if not count_changes or batch_id == version:
         return None
-    return _count_changes(spark, path, folder, batch_id)
-
-
-def _count_changes(spark: SparkSession, path: str, folder: str, batch_id: int) -> int:
     source = spark.read.schema(FLAT_EVENT_DDL).parquet(folder)
-    stored = snapshot_batches(spark, path, before=batch_id)
+    stored = snapshot_rows(spark, path, before=batch_id, only=source)
     if stored is None:
         return source.count()
-    touched = stored.join(source.select("event_id"), "event_id", "left_semi")
-    return merge_counts(merge_in_order(touched, "batch_id"), source).first()["affected_count"]
+    return merge_counts(stored, source).first()["affected_count"]
 
 
-def compact(spark: SparkSession, path: str, batch_id: int) -> int:
-    """Write the snapshot up to ``batch_id`` as the new base; returns its rows."""
-    if batch_id <= base_version(spark, path):
-        return read_snapshot(spark, path).count()
-    batches = snapshot_batches(spark, path, before=batch_id + 1)
-    merged = merge_in_order(batches, "batch_id").select(*FLAT_EVENT_COLUMNS)
-    return write_partitioned(merged, f"{path}/base/version={batch_id}")
+def compact(spark: SparkSession, path: str, batch_id: int, keep_versions: int = 2) -> None:
+    """Write the snapshot up to ``batch_id`` as the new base.
+
+    Of the older bases ``keep_versions`` minus one stay for readers that still use them,
+    and the changes that every kept base already holds are deleted.
+    """
+    if batch_id > base_version(spark, path):
+        merged = snapshot_rows(spark, path, before=batch_id + 1)
+        if merged is not None:
+            write_partitioned(merged, f"{path}/base/version={batch_id}")
+    versions = _complete(spark, f"{path}/base", "version")
+    for version in versions[keep_versions:]:
+        drop_path(spark, f"{path}/base/version={version}")
+    if len(versions) >= keep_versions:
+        oldest = versions[keep_versions - 1]
+        for batch in _numbered(spark, f"{path}/changes"):
+            if batch <= oldest:
+                drop_path(spark, f"{path}/changes/batch_id={batch}")

@@ -18,6 +18,8 @@ from quakeframe.sources.tables import table_scan
 # (column, expression): the same text in both dialects but for {MS}, epoch milliseconds.
 RAW_COLUMNS = (
     ("n", "event_id"),
+    ("revision", "cast(event_id % 4 as int)"),
+    ("is_redelivered", "event_id % 6 = 0"),
     ("event_id", "concat('e', cast(cast(floor(event_id / 4) as bigint) as string))"),
     ("event_ms", "{MS} - (event_id % 4) * 60000"),
     ("updated_ms", "case when event_id % 10 = 0 then null else {MS} end"),

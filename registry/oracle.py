@@ -188,11 +188,15 @@ def merged(target: str, source: str) -> str:
 
 
 MERGE_SIDES = {
-    "target": latest_of("(select * from flat where n % 4 < 2)"),
-    "source": latest_of("(select * from flat where n % 4 >= 2 or n % 6 = 0)"),
+    "target": latest_of("(select flat.* from flat join raw using (n) where revision < 2)"),
+    "source": latest_of("(select flat.* from flat join raw using (n) where revision >= 2 or is_redelivered)"),
 }
 REVISIONS = {
-    **{f"b{i}": f"select {FLAT} from flat where n % 4 = {i}" for i in range(4)},
+    **{
+        f"b{i}": f"select {', '.join('flat.' + c for c in FLAT_EVENT_COLUMNS)} from flat join raw using (n)"
+        f" where revision = {i}"
+        for i in range(4)
+    },
     "m1": merged("b0", "b1"),
     "m2": merged("m1", "b2"),
     "m3": merged("m2", "b3"),

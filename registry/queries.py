@@ -73,9 +73,14 @@ def plain_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapter.raw_rows(spark, sf_dir).select(F.col("event_id").alias("key"), body.alias("value"))
 
 
-def message_folder(spark: SparkSession, rows: DataFrame, files: int = 8) -> str:
+def file_count(spark: SparkSession) -> int:
+    """Message files to write: enough for every core, and for several micro-batches."""
+    return max(6, spark.sparkContext.defaultParallelism)
+
+
+def message_folder(spark: SparkSession, rows: DataFrame) -> str:
     path = scratch_path(spark, "messages")
-    message_sinks.publish_files(rows.repartition(files), path)
+    message_sinks.publish_files(rows.repartition(file_count(spark)), path)
     return path
 
 
@@ -201,10 +206,10 @@ def k3_create_or_append(spark, sf_dir):
 @query
 def k4_merge_upsert(spark, sf_dir):
     path = scratch_path(spark, "snapshot")
-    flat = adapter.flat_rows(spark, sf_dir, keep=("n",))
+    flat = adapter.flat_rows(spark, sf_dir, keep=("revision",))
     for batch_id in range(4):
-        revision = flat.filter(F.col("n") % 4 == batch_id).drop("n")
-        snapshot.upsert_latest(spark, path, revision, batch_id)
+        batch = flat.filter(F.col("revision") == batch_id).drop("revision")
+        snapshot.upsert_latest(spark, path, batch, batch_id)
         if batch_id == 1:
             snapshot.compact(spark, path, batch_id)
     return snapshot.read_snapshot(spark, path)
@@ -387,13 +392,14 @@ def f9_key_in(spark, sf_dir):
 
 
 def _merge_sides(spark, sf_dir):
-    """Two halves of the revisions, each with one row per id."""
-    flat = adapter.flat_rows(spark, sf_dir, keep=("n",))
-    old = flat.filter(F.col("n") % 4 < 2)
-    new = flat.filter((F.col("n") % 4 >= 2) | (F.col("n") % 6 == 0))
+    """Earlier and later revisions, each with one row per id; some come in both."""
+    extra = ("n", "revision", "is_redelivered")
+    flat = adapter.flat_rows(spark, sf_dir, keep=extra)
+    earlier = flat.filter("revision < 2")
+    later = flat.filter("revision >= 2 or is_redelivered")
     return (
-        latest.dedupe_latest_rows(old, "n").drop("n"),
-        latest.dedupe_latest_rows(new, "n").drop("n"),
+        latest.dedupe_latest_rows(earlier, "n").drop(*extra),
+        latest.dedupe_latest_rows(later, "n").drop(*extra),
     )
 
 
@@ -693,23 +699,23 @@ def x13_json_parse(spark, sf_dir):
 
 @query
 def t1_micro_batch(spark, sf_dir):
-    """Two files per batch; every batch appends its rows."""
-    folder = message_folder(spark, plain_messages(spark, sf_dir), files=6)
+    """A third of the files per batch; every batch adds its rows."""
+    folder = message_folder(spark, plain_messages(spark, sf_dir))
     path = scratch_path(spark, "batches")
 
     def write(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    stream = messages.file_message_stream(spark, folder, max_files=2)
+    stream = messages.file_message_stream(spark, folder, max_files=-(-file_count(spark) // 3))
     consume(stream, write, scratch_path(spark, "offsets"), drain=True).awaitTermination()
     return spark.read.schema(messages.MESSAGE_DDL).parquet(path).select("key", "value")
 
 
-def _consumed(spark, sf_dir, max_files=4):
+def _consumed(spark, sf_dir, batches=2):
     folder = payload_folder(spark, sf_dir)
     facts, snapshot_path = scratch_path(spark, "facts"), scratch_path(spark, "snapshot")
     writer = batch_writer(facts, snapshot_path, compact_every=2)
-    stream = messages.file_message_stream(spark, folder, max_files=max_files)
+    stream = messages.file_message_stream(spark, folder, max_files=-(-file_count(spark) // batches))
     consume(stream, writer, scratch_path(spark, "offsets"), drain=True).awaitTermination()
     return folder, facts, snapshot_path, writer
 
@@ -723,7 +729,7 @@ def t2_batch_write(spark, sf_dir):
 @query
 def t3_commit_after_write(spark, sf_dir):
     """A whole batch is written again, as after a crash before its commit."""
-    folder, facts, _, writer = _consumed(spark, sf_dir, max_files=100)
+    folder, facts, _, writer = _consumed(spark, sf_dir, batches=1)
     writer(spark.read.schema(messages.MESSAGE_DDL).json(folder), 0)
     return spark.read.schema(FLAT_EVENT_DDL).parquet(facts).select(*FLAT_EVENT_COLUMNS)
 
