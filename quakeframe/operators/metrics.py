@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quakeframe.operators.dedup import flag_first_chunk
 from quakeframe.operators.suppress import suppress_recent
+from quakeframe.session import materialize
 
 CHUNK = ["chunk_start", "chunk_end"]
 COUNTS = ["fetched_count", "unique_count", "published_count", "duplicate_count"]
@@ -36,6 +37,7 @@ def chunk_metrics(
     else:
         flagged = per_key.withColumn("is_new", F.lit(True))
     if ttl_seconds is not None:
+        flagged = materialize(flagged, "chunk-keys")
         offered = flagged.filter("is_new").select("chunk_start", key, observed)
         passed = suppress_recent(offered, (key,), observed, ttl_seconds, ("chunk_start",))
         published = passed.select("chunk_start", key, F.lit(True).alias("published"))

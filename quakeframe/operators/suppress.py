@@ -29,7 +29,7 @@ MAX_ARRAY_ROWS = 20_000
 # At most this many such keys are sent to every executor; beyond it all keys take that way.
 MAX_BROADCAST_KEYS = 50_000
 # Slots per segment, and segments per segment of the next level.
-LEAF_SLOTS = 8
+LEAF_SLOTS = 24
 FAN_IN = 64
 
 NEVER = np.iinfo(np.int64).min
@@ -54,7 +54,11 @@ def suppress_recent(
     order: Sequence[str] = (),
     max_array_rows: int = MAX_ARRAY_ROWS,
 ) -> DataFrame:
-    """The rows that would be published; of rows equal in key and time, the first by ``order``."""
+    """The rows that would be published; of rows equal in key and time, the first by ``order``.
+
+    ``df`` is read three times, twice for key and time only. Where it is costly to compute,
+    pass it through ``session.materialize`` first.
+    """
     ttl = round(ttl_seconds * 1_000_000)
     if ttl < 0:
         raise ValueError("ttl_seconds must not be negative")
@@ -148,7 +152,7 @@ def _chain_by_array(distinct: DataFrame, ttl: int) -> DataFrame:
 def _chain_by_segments(distinct: DataFrame, ttl: int, low: int, high: int) -> DataFrame:
     slot = ((F.col("_us") - F.pmod("_us", F.lit(ttl))) / F.lit(ttl)).cast("bigint")
     leaf = distinct.withColumn("_group", F.floor(slot / LEAF_SLOTS))
-    levels = [leaf.groupBy("_key", "_group").applyInPandas(_summarise(ttl), SEGMENT_DDL)]
+    levels = [leaf.groupBy("_key", "_group").applyInPandas(_summarise(ttl, LEAF_SLOTS), SEGMENT_DDL)]
     groups = (high // ttl) // LEAF_SLOTS - (low // ttl) // LEAF_SLOTS + 1
     while groups > FAN_IN:
         parent = _with_parent(levels[-1]).groupBy("_key", "_parent")
@@ -181,12 +185,12 @@ def _keep_steps(starts: np.ndarray, exits: np.ndarray) -> tuple[np.ndarray, np.n
     return starts[change], exits[change]
 
 
-def _summarise(ttl: int):
+def _summarise(ttl: int, slots: int):
     def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
         times = np.sort(pdf["_us"].to_numpy())
         following = np.append(np.searchsorted(times, times + ttl, "right"), len(times))
         # Entries are the times of the first slot, plus the first one after it.
-        first_slot_end = (int(pdf["_group"].iloc[0]) * LEAF_SLOTS + 1) * ttl
+        first_slot_end = (int(pdf["_group"].iloc[0]) * slots + 1) * ttl
         entries = min(int(np.searchsorted(times, first_slot_end)) + 1, len(times))
         last = np.arange(entries)
         while True:

@@ -12,6 +12,7 @@ from quakeframe.defaults import RAW_TOPIC, SUPPRESS_TTL_SECONDS
 from quakeframe.operators.dedup import unique_features
 from quakeframe.operators.envelope import build_event_envelope, encode_envelope
 from quakeframe.operators.suppress import suppress_recent
+from quakeframe.session import materialize
 from quakeframe.sources.landed import explode_features
 from quakeframe.streaming.consumer import BatchReport, batch_writer, consume
 
@@ -32,7 +33,8 @@ def realtime_messages(
     features = explode_features(fetches)
     # Variants cannot be compared, so the copies are folded as text.
     text = features.withColumn("feature", F.to_json("feature"))
-    unique = unique_features(text, ["observed_at"])
+    # Suppression reads its input more than once; the documents are parsed only here.
+    unique = materialize(unique_features(text, ["observed_at"]), "features")
     published = suppress_recent(unique, key, "observed_at", ttl_seconds, ("position",))
     typed = published.withColumn("feature", F.parse_json("feature"))
     feed = F.lit(source_feed) if isinstance(source_feed, str) else source_feed

@@ -81,6 +81,12 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread(raw: DataFrame) -> DataFrame:
+    """Use all cores for the JSON work where the scan has fewer files than there are cores."""
+    cores = raw.sparkSession.sparkContext.defaultParallelism
+    return raw.repartition(cores, "n") if len(raw.inputFiles()) < cores else raw
+
+
 def flat_rows(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """The 25 columns of a fact table, after the columns of ``keep``."""
     return flat_from_raw(raw_rows(spark, sf_dir), keep)
@@ -148,14 +154,13 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     whole = F.concat(head, feature_json(), F.lit("}"))
     broken = F.concat(F.lit('{"event_id":"'), F.col("event_id"))
-    return raw_rows(spark, sf_dir).select(
-        "n", F.col("event_id").alias("key"), F.when(F.col("bad_json"), broken).otherwise(whole).alias("payload_json")
-    )
+    payload = F.when(F.col("bad_json"), broken).otherwise(whole).alias("payload_json")
+    return spread(raw_rows(spark, sf_dir)).select("n", F.col("event_id").alias("key"), payload)
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id``, ``feature`` as a variant, and the raw columns."""
-    return raw_rows(spark, sf_dir).withColumn("feature", F.parse_json(feature_json()))
+    return spread(raw_rows(spark, sf_dir)).withColumn("feature", F.parse_json(feature_json()))
 
 
 def collections(spark: SparkSession, sf_dir: str) -> DataFrame:

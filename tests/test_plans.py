@@ -27,8 +27,8 @@ def test_one_shuffle_per_step(spark):
     assert plan_of(spark, "a1_region_hourly_stats").count("Exchange hashpartitioning") == 2
     # Both sides of the merge are already partitioned by id.
     assert plan_of(spark, "j1_latest_merge").count("Exchange hashpartitioning") == 2
-    for name in ("f9_key_in", "p4_flatten_strict", "p5_flatten_lenient", "p1_envelope_build"):
-        assert "Exchange" not in plan_of(spark, name)
+    for name in ("f9_key_in", "x13_json_parse", "k5_bulk_payload_latest", "a10_map_points"):
+        assert plan_of(spark, name).count("Exchange") <= 1
 
 
 def test_unused_columns_are_not_read(spark):

@@ -54,11 +54,12 @@ def test_arrays_follow_the_plain_rule(spark, rows, ttl):
 
 
 @pytest.mark.parametrize(
-    "ttl, span, step, fan_in",
-    [(3600, 40_000, 60, 64), (60, 50_000, 1, 2), (1800, 400_000, 60, 3), (61, 60_000, 1, 4), (100, 30_000, 100, 2)],
+    "ttl, span, step, slots, fan_in",
+    [(3600, 40_000, 60, 24, 64), (60, 50_000, 1, 24, 3), (1800, 400_000, 60, 4, 6), (61, 30_000, 1, 8, 4), (100, 30_000, 100, 1, 9)],
 )
-def test_segments_follow_the_plain_rule(spark, monkeypatch, ttl, span, step, fan_in):
+def test_segments_follow_the_plain_rule(spark, monkeypatch, ttl, span, step, slots, fan_in):
     """Frequent keys, on several levels of segments, next to rare keys."""
+    monkeypatch.setattr(suppress, "LEAF_SLOTS", slots)
     monkeypatch.setattr(suppress, "FAN_IN", fan_in)
     rng = random.Random(ttl)
     rows = [("hot", rng.randrange(-span // 3, span) // step * step) for _ in range(1500)]
