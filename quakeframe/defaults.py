@@ -11,7 +11,6 @@ STREAM_BATCH_WAIT_SECONDS = 60
 
 RAW_TOPIC = "earthquake.raw.v1"
 BACKFILL_TOPIC = "earthquake.backfill.v1"
-DIRECT_BACKFILL_TOPIC = "direct.api.backfill"
 
 LATEST_INDEX = "earthquake-latest-event-v1"
 HOURLY_INDEX = "earthquake-region-hourly-v1"

@@ -77,7 +77,11 @@ def classify_strict(payloads: DataFrame, payload: str = "payload_json", keep: tu
     JSON object reads as all nulls.
     """
     envelope = F.from_json(F.col(payload), ENVELOPE_DDL)
-    parsed = payloads.select(*keep, F.inline(F.array(envelope)))
+    return classify_typed(payloads.select(*keep, F.inline(F.array(envelope))), keep)
+
+
+def classify_typed(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``classify_strict`` for rows that already hold ``event_id`` and a typed ``feature``."""
     reason = first_failing(
         [
             ("no_event_id", F.col("event_id").isNotNull()),

@@ -1,55 +1,85 @@
-"""Landed catalog documents to the fact table."""
+"""Landed catalog documents to the fact table, or to messages."""
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.defaults import BACKFILL_WINDOW_DAYS, DIRECT_BACKFILL_TOPIC
+from quakeframe.defaults import BACKFILL_TOPIC, BACKFILL_WINDOW_DAYS
 from quakeframe.functions.times import epoch_ms_expr
-from quakeframe.operators.dedup import first_across_chunks
+from quakeframe.operators.dedup import first_across_chunks, unique_features
 from quakeframe.operators.envelope import build_event_envelope, encode_envelope
-from quakeframe.operators.flatten import flatten_strict
-from quakeframe.schemas import FLAT_EVENT_COLUMNS
+from quakeframe.operators.flatten import accepted, classify_typed
+from quakeframe.schemas import FLAT_EVENT_COLUMNS, TYPED_COLLECTION_DDL
 from quakeframe.sinks.tables import append_run, write_partitioned
 from quakeframe.sources.landed import explode_features, read_feature_collections
 from quakeframe.sources.windows import check_window, in_date_range, with_chunk
 
 
-def backfill_features(
+def in_windows(
+    features: DataFrame, time_ms: Column, start: date, end: date, window_days: int
+) -> DataFrame:
+    """Features of a date range with the window each falls into."""
+    check_window(start, end, window_days)
+    timed = features.withColumn("event_time_utc", epoch_ms_expr(time_ms))
+    in_range = timed.filter(in_date_range("event_time_utc", start, end))
+    return with_chunk(
+        in_range, F.to_date("event_time_utc"), F.lit(start), F.lit(end), window_days
+    )
+
+
+def backfill_flat_rows(
     collections: DataFrame, start: date, end: date, window_days: int = BACKFILL_WINDOW_DAYS
 ) -> DataFrame:
-    """Features of a date range with their window; the first copy of an id stays.
+    """Flat rows of typed documents; of each id the first copy of the earliest window.
 
-    Inside a window features are taken in ascending time, as a catalog returns them.
+    Inside a window features count in ascending time, as a catalog returns them.
     """
-    check_window(start, end, window_days)
-    features = explode_features(collections)
-    time_ms = F.try_variant_get("feature", "$.properties.time", "bigint")
-    in_range = features.withColumn("event_time_utc", epoch_ms_expr(time_ms)).filter(
-        in_date_range("event_time_utc", start, end)
+    features = collections.select(F.posexplode("features").alias("position", "feature"))
+    time = F.col("feature.properties.time")
+    chunked = in_windows(
+        features.withColumn("event_id", F.col("feature.id")),
+        F.try_variant_get(time, "$", "bigint"), start, end, window_days,
     )
-    chunked = with_chunk(
-        in_range, F.to_date("event_time_utc"), F.lit(start), F.lit(end), window_days
+    # The strict reader takes whole numbers only.
+    whole = F.when(F.schema_of_variant(time) == "BIGINT", F.try_variant_get(time, "$", "bigint"))
+    typed = chunked.withColumn("feature", F.col("feature").withField("properties.time", whole))
+    ordered = typed.withColumn(
+        "position", F.struct("event_time_utc", "position", F.xxhash64("feature"))
     )
-    ranked = chunked.withColumn("_order", F.struct("event_time_utc", "position", F.xxhash64(F.to_json("feature"))))
-    return first_across_chunks(ranked, position="_order").drop("_order")
+    return accepted(classify_typed(first_across_chunks(ordered).drop("event_time_utc")))
+
 
+def backfill_messages(
+    collections: DataFrame,
+    start: date,
+    end: date,
+    source_feed: str,
+    window_days: int = BACKFILL_WINDOW_DAYS,
+    topic: str = BACKFILL_TOPIC,
+    ingest_time: str | Column | None = None,
+) -> DataFrame:
+    """Messages of documents with variant features.
 
-def backfill_payloads(features: DataFrame, source_feed: str, ingest_time: str | None = None) -> DataFrame:
-    """Envelopes of the features, as text in ``payload_json``."""
+    Inside a window the last copy of an id counts, and an id goes with the earliest window.
+    """
+    features = explode_features(collections)
+    time_ms = F.try_variant_get("feature", "$.properties.time", "bigint")
+    chunked = in_windows(features, time_ms, start, end, window_days)
+    # Variants cannot be compared, so the copies are folded as text.
+    text = chunked.withColumn("feature", F.to_json("feature"))
+    ordered = text.withColumn(
+        "position", F.struct("event_time_utc", "position", F.xxhash64("feature"))
+    )
+    unique = first_across_chunks(unique_features(ordered, ["chunk_start"]))
     envelopes = build_event_envelope(
-        features,
+        unique.withColumn("feature", F.parse_json("feature")),
         F.coalesce("source_url", F.lit(source_feed)),
-        "backfill",
-        DIRECT_BACKFILL_TOPIC,
-        ingest_time,
-        "chunk_start",
-        "chunk_end",
+        "backfill", topic, ingest_time, "chunk_start", "chunk_end",
     )
-    return encode_envelope(envelopes).select(F.col("value").alias("payload_json"))
+    return encode_envelope(envelopes)
 
 
 def run_backfill(
@@ -58,7 +88,6 @@ def run_backfill(
     facts_path: str,
     start: date,
     end: date,
-    source_feed: str,
     window_days: int = BACKFILL_WINDOW_DAYS,
     mode: str = "append",
     run_id: str | None = None,
@@ -71,9 +100,10 @@ def run_backfill(
     """
     if mode not in ("append", "overwrite"):
         raise ValueError("mode must be 'append' or 'overwrite'")
-    collections = read_feature_collections(spark, collections_path, one_per_line)
-    features = backfill_features(collections, start, end, window_days)
-    flat = flatten_strict(backfill_payloads(features, source_feed))
+    collections = read_feature_collections(
+        spark, collections_path, one_per_line, TYPED_COLLECTION_DDL
+    )
+    flat = backfill_flat_rows(collections, start, end, window_days)
     run = run_id or f"backfill-{start.isoformat()}-{end.isoformat()}"
     if mode == "append":
         return append_run(flat, facts_path, run)

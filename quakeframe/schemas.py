@@ -25,6 +25,10 @@ METADATA_DDL = "generated bigint, title string, status int, url string, count in
 # Features stay variants, so fields this schema does not know survive re-encoding.
 COLLECTION_DDL = f"type string, metadata struct<{METADATA_DDL}>, features array<variant>"
 
+# For documents that only become flat rows: typed features, parsed once. The time stays a
+# variant, since the date range also accepts it as text.
+TYPED_COLLECTION_DDL = f"features array<struct<{FEATURE_DDL}>>".replace("time bigint", "time variant")
+
 FLAT_EVENT_DDL = """
     event_id string, event_time_utc timestamp, updated_time_utc timestamp, place string,
     mag double, mag_type string, longitude double, latitude double, depth_km double,

@@ -13,12 +13,14 @@ def payload_rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("payload_json"))
 
 
-def read_feature_collections(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+def read_feature_collections(
+    spark: SparkSession, path: str, one_per_line: bool = False, schema: str = COLLECTION_DDL
+) -> DataFrame:
     """One row per document; each document is one fetch and so of limited size.
 
     A document is a file of its own, unless the files hold ``one_per_line``.
     """
-    return spark.read.schema(COLLECTION_DDL).option("multiLine", not one_per_line).json(path)
+    return spark.read.schema(schema).option("multiLine", not one_per_line).json(path)
 
 
 def parse_feature_collection(df: DataFrame, column: str = "value") -> DataFrame:

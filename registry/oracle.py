@@ -524,6 +524,14 @@ ORACLE: dict[str, str] = {
         + " where not (time_as_text or is_blast or is_polygon or no_geometry)",
         hourly=hourly_of("flat"),
     ),
+    "route_backfill_messages": on_chunks(
+        "select event_id as key, concat('u', cast(cast(floor(n / 500) as bigint) as varchar)) as source_feed,"
+        " cast(chunk_start as varchar) as request_window_start,"
+        " cast(least(chunk_start + 6, date '2024-01-31') as varchar) as request_window_end, nst from last_copy"
+        " qualify row_number() over (partition by event_id order by chunk_start) = 1",
+        last_copy="select * from chunked qualify row_number() over"
+        " (partition by chunk_start, event_id order by event_ms desc, n desc) = 1",
+    ),
     "route_realtime_messages": on_raw(
         "select event_id as key, concat('u', cast(cast(floor(n / 500) as bigint) as varchar)) as source_feed,"
         f" {ISO.format(t='make_timestamp(cast(floor(n / 500) as bigint) * 3600000000)')} as ingest_time_utc, nst"

@@ -792,13 +792,27 @@ def route_backfill_to_hourly(spark, sf_dir):
     latest_path, hourly_path = scratch_path(spark, "latest"), scratch_path(spark, "hourly")
     adapter.collections(spark, sf_dir).select("value").write.text(folder)
     backfill.run_backfill(
-        spark, folder, facts, RUN_START, RUN_END, adapter.SOURCE_FEED, WINDOW_DAYS, one_per_line=True
+        spark, folder, facts, RUN_START, RUN_END, WINDOW_DAYS, one_per_line=True
     )
     rebuild.rebuild_latest(spark, facts, latest_path)
     rebuild.rebuild_hourly(spark.read.schema(FLAT_EVENT_DDL).parquet(latest_path), hourly_path)
     return spark.read.schema(HOURLY_DDL).parquet(hourly_path)
 
 
+@query
+def route_backfill_messages(spark, sf_dir):
+    """Landed documents to the messages of a backfill."""
+    parsed = landed.parse_feature_collection(adapter.collections(spark, sf_dir)).drop("document")
+    sent = backfill.backfill_messages(parsed, RUN_START, RUN_END, adapter.SOURCE_FEED, WINDOW_DAYS)
+    return sent.select(
+        "key",
+        F.get_json_object("value", "$.source_feed").alias("source_feed"),
+        F.get_json_object("value", "$.request_window_start").alias("request_window_start"),
+        F.get_json_object("value", "$.request_window_end").alias("request_window_end"),
+        F.get_json_object("value", "$.feature.properties.nst").cast("int").alias("nst"),
+    )
+
+
 @query
 def route_realtime_messages(spark, sf_dir):
     """One fetch per document, an hour apart; which ids are published, and with what."""

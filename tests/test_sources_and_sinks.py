@@ -135,7 +135,7 @@ def test_backfill_to_served_documents(spark, tmp_path):
     (landed / "2.json").write_text(json.dumps(collection(
         feature("a", start + 20 * day, 9.0), feature("q", start, type="quarry blast"), feature("c", start + day, "4.5"),
     )))
-    run = dict(start=date(2024, 1, 1), end=date(2024, 1, 31), source_feed="feed", window_days=10)
+    run = dict(start=date(2024, 1, 1), end=date(2024, 1, 31), window_days=10)
     assert run_backfill(spark, str(landed), facts, **run) == 3
     assert run_backfill(spark, str(landed), facts, **run) == 3
     assert keys(spark.read.parquet(facts), "event_id", "mag") == [("a", 1.0), ("b", 1.0), ("c", None)]
