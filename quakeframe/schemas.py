@@ -1,4 +1,7 @@
-"""Schemas of the JSON documents and of the three tables, as DDL text."""
+"""Schemas of the JSON documents and of the three tables, as DDL text.
+
+Fixed values: the names, types and order of the fields are those of the data itself.
+"""
 
 PROPERTIES_DDL = """
     mag double, place string, time bigint, updated bigint, tz int, sig int, felt int,

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.storagelevel import StorageLevel
 
 from quakeframe.defaults import SUPPRESS_TTL_SECONDS
 from quakeframe.operators.suppress import MEMORY_DDL, NEVER, key_text, remember, suppress_after
@@ -108,7 +109,10 @@ def suppressing_writer(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         memory = read_memory(batch.sparkSession, memory_path, batch_id - 1)
-        passed = suppress_after(batch, memory, key, time, ttl_seconds, order).persist()
+        # One micro-batch, kept on memory and disk since the rule reads it more than once.
+        seen = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        passed = suppress_after(seen, memory, key, time, ttl_seconds, order)
+        passed = passed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             publish(passed, batch_id)
             remember(memory, passed, key, time, ttl_seconds).write.mode("overwrite").parquet(
@@ -116,6 +120,7 @@ def suppressing_writer(
             )
         finally:
             passed.unpersist()
+            seen.unpersist()
         drop_path(batch.sparkSession, f"{memory_path}/batch_id={batch_id - 2}")
 
     return write

@@ -790,7 +790,7 @@ def route_backfill_to_hourly(spark, sf_dir):
     """Landed documents, through facts and snapshot, to the hourly table."""
     folder, facts = scratch_path(spark, "documents"), scratch_path(spark, "facts")
     latest_path, hourly_path = scratch_path(spark, "latest"), scratch_path(spark, "hourly")
-    adapter.collections(spark, sf_dir).select("value").write.text(folder)
+    adapter.collections(spark, sf_dir).select("value").repartition(file_count(spark)).write.text(folder)
     backfill.run_backfill(
         spark, folder, facts, RUN_START, RUN_END, WINDOW_DAYS, one_per_line=True
     )

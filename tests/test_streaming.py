@@ -59,6 +59,20 @@ def test_new_checkpoint_continues_with_the_next_generation(spark, tmp_path):
     assert spark.read.parquet(facts).count() == 2
 
 
+def test_batches_without_good_rows(spark, tmp_path):
+    facts, latest, reports = str(tmp_path / "facts"), str(tmp_path / "latest"), []
+    writer = batch_writer(facts, latest, compact_every=1, on_batch=reports.append)
+    bad = spark.createDataFrame([("x", "{bad")], "key string, value string")
+    writer(bad, 0)
+    writer(bad, 1)
+    writer(spark.createDataFrame([message("a", 1.0)], "key string, value string"), 2)
+    writer(bad, 3)
+    assert [(r.consumed_count, r.written_count, r.affected_count) for r in reports] == [
+        (1, 0, 0), (1, 0, 0), (1, 1, 1), (1, 0, 0),
+    ]
+    assert keys(read_snapshot(spark, latest), "event_id", "mag") == [("a", 1.0)]
+
+
 def seen_batches(seed):
     """Three batches in time order, with a frequent key."""
     rng = random.Random(seed)
