@@ -161,10 +161,12 @@ def outcomes(reason: str) -> str:
 
 _FIRST = "date '2024-01-01'"
 _LAST = "date '2024-01-31'"
+# Windows are counted from the first day, backwards as well.
 CHUNKED = (
-    f"select *, n as position, {_FIRST} + cast(date_diff('day', {_FIRST}, cast({EVENT_TIME} as date))"
-    f" - date_diff('day', {_FIRST}, cast({EVENT_TIME} as date)) % {WINDOW_DAYS} as integer) as chunk_start from raw"
+    f"select *, n as position, {_FIRST} + cast(floor(date_diff('day', {_FIRST}, cast({EVENT_TIME} as date))"
+    f" / {WINDOW_DAYS}) * {WINDOW_DAYS} as integer) as chunk_start from raw"
 )
+IN_RUN = f"select * from chunked where cast({EVENT_TIME} as date) between {_FIRST} and {_LAST}"
 
 
 def on_chunks(select: str, **more: str) -> str:
@@ -518,7 +520,8 @@ ORACLE: dict[str, str] = {
         f"select {HOURLY} from hourly",
         raw=RAW_SQL,
         chunked=CHUNKED,
-        first_copy="select * from chunked qualify row_number() over"
+        in_run=IN_RUN,
+        first_copy="select * from in_run qualify row_number() over"
         " (partition by event_id order by chunk_start, event_ms, n) = 1",
         flat=flat_of("first_copy", {**STRICT_COLUMNS, "event_id": "event_id"})
         + " where not (time_as_text or is_blast or is_polygon or no_geometry)",
@@ -529,7 +532,8 @@ ORACLE: dict[str, str] = {
         " cast(chunk_start as varchar) as request_window_start,"
         " cast(least(chunk_start + 6, date '2024-01-31') as varchar) as request_window_end, nst from last_copy"
         " qualify row_number() over (partition by event_id order by chunk_start) = 1",
-        last_copy="select * from chunked qualify row_number() over"
+        in_run=IN_RUN,
+        last_copy="select * from in_run qualify row_number() over"
         " (partition by chunk_start, event_id order by event_ms desc, n desc) = 1",
     ),
     "route_realtime_messages": on_raw(
