@@ -740,28 +740,36 @@ def t4_drain_on_stop(spark, sf_dir):
     return snapshot.read_snapshot(spark, snapshot_path)
 
 
+def _seen_by_week(spark, sf_dir):
+    """What was seen, as files that follow each other in time; a week makes one micro-batch."""
+    folder, files = scratch_path(spark, "seen"), file_count(spark)
+    rows = _seen(spark, sf_dir)
+    week = F.floor(F.date_diff(F.to_date("observed_at"), F.lit(RUN_START)) / WINDOW_DAYS)
+    first, last = rows.agg(F.min(week), F.max(week)).first()
+    for number in range(first, last + 1):
+        rows.filter(week == number).repartition(files).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
+    return stream, rows.schema
+
+
 @query
 def t5_stateful_suppress(spark, sf_dir):
-    folder = scratch_path(spark, "seen")
-    rows = _seen(spark, sf_dir)
-    rows.write.parquet(folder)
+    stream, schema = _seen_by_week(spark, sf_dir)
     path = scratch_path(spark, "published")
-    stream = spark.readStream.schema(rows.schema).parquet(folder)
     published = suppress_recent_stream(stream, ("user_id",), ttl_seconds=USER_TTL_SECONDS)
     (
         published.writeStream.trigger(availableNow=True).outputMode("append")
         .option("checkpointLocation", scratch_path(spark, "offsets"))
         .format("parquet").start(path).awaitTermination()
     )
-    return spark.read.schema(rows.schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 @query
 def t5_suppress_by_batch(spark, sf_dir):
-    """The rule inside foreachBatch, over files that follow each other in time."""
-    rows = _seen(spark, sf_dir)
-    folder, path = scratch_path(spark, "seen"), scratch_path(spark, "published")
-    rows.write.parquet(folder)
+    """The rule inside foreachBatch, with keys that hold a fifth of the rows each."""
+    stream, schema = _seen_by_week(spark, sf_dir)
+    path = scratch_path(spark, "published")
 
     def publish(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -769,9 +777,8 @@ def t5_suppress_by_batch(spark, sf_dir):
     writer = suppressing_writer(
         publish, scratch_path(spark, "memory"), ("event_type",), order=("n",)
     )
-    stream = spark.readStream.schema(rows.schema).parquet(folder)
     consume(stream, writer, scratch_path(spark, "offsets"), drain=True).awaitTermination()
-    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 @query
