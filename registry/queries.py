@@ -40,6 +40,7 @@ QUERIES: dict[str, Query] = {}
 RANGE_START, RANGE_END = date(2024, 1, 5), date(2024, 1, 20)
 RUN_START, RUN_END = date(2024, 1, 1), date(2024, 1, 31)
 WINDOW_DAYS = 7
+STREAM_DAYS = 15
 LISTED_IDS = [f"e{number}" for number in range(0, 400, 3)]
 USER_TTL_SECONDS = 6 * 3_600
 
@@ -740,21 +741,21 @@ def t4_drain_on_stop(spark, sf_dir):
     return snapshot.read_snapshot(spark, snapshot_path)
 
 
-def _seen_by_week(spark, sf_dir):
-    """What was seen, as files that follow each other in time; a week makes one micro-batch."""
+def _seen_in_turn(spark, sf_dir):
+    """What was seen, as files that follow each other in time; half a month makes a micro-batch."""
     folder, files = scratch_path(spark, "seen"), file_count(spark)
     rows = _seen(spark, sf_dir)
-    week = F.floor(F.date_diff(F.to_date("observed_at"), F.lit(RUN_START)) / WINDOW_DAYS)
-    first, last = rows.agg(F.min(week), F.max(week)).first()
+    part = F.floor(F.date_diff(F.to_date("observed_at"), F.lit(RUN_START)) / STREAM_DAYS)
+    first, last = rows.agg(F.min(part), F.max(part)).first()
     for number in range(first, last + 1):
-        rows.filter(week == number).repartition(files).write.mode("append").parquet(folder)
+        rows.filter(part == number).repartition(files).write.mode("append").parquet(folder)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
     return stream, rows.schema
 
 
 @query
 def t5_stateful_suppress(spark, sf_dir):
-    stream, schema = _seen_by_week(spark, sf_dir)
+    stream, schema = _seen_in_turn(spark, sf_dir)
     path = scratch_path(spark, "published")
     published = suppress_recent_stream(stream, ("user_id",), ttl_seconds=USER_TTL_SECONDS)
     (
@@ -768,7 +769,7 @@ def t5_stateful_suppress(spark, sf_dir):
 @query
 def t5_suppress_by_batch(spark, sf_dir):
     """The rule inside foreachBatch, with keys that hold a fifth of the rows each."""
-    stream, schema = _seen_by_week(spark, sf_dir)
+    stream, schema = _seen_in_turn(spark, sf_dir)
     path = scratch_path(spark, "published")
 
     def publish(batch, batch_id):
