@@ -15,10 +15,12 @@ the cluster and still give the exact chain.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -264,3 +266,7 @@ def _segment_row(pdf: pd.DataFrame, group: int, starts: np.ndarray, exits: np.nd
 def _in_order(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     ordered = pdf.sort_values("_group")
     yield from zip(ordered["_group"].astype(int), ordered["starts"], ordered["exits"])
+
+
+# Send what runs in Python workers by value, so that they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -131,3 +133,7 @@ def read_memory(spark: SparkSession, memory_path: str, batch_id: int) -> DataFra
     if batch_id < 0:
         return spark.createDataFrame([], MEMORY_DDL)
     return spark.read.schema(MEMORY_DDL).parquet(f"{memory_path}/batch_id={batch_id}")
+
+
+# Send what runs in Python workers by value, so that they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -83,3 +83,19 @@ def test_several_key_columns_and_null_keys(spark):
     kept = suppress_recent(df, ("event_id", "version"), ttl_seconds=60).collect()
     assert len(kept) == 3
     assert len(suppress_recent(df, ("event_id",), ttl_seconds=60).collect()) == 2
+
+
+def test_worker_code_does_not_need_the_package():
+    """Functions and the processor are pickled by value, not as an import of this package."""
+    import pickletools
+
+    from pyspark import cloudpickle
+
+    from quakeframe.streaming.suppress import LastPublished
+
+    for shipped in (suppress._summarise(1, 1), suppress._combine(1), suppress._walk(1), suppress._mark(1), LastPublished(1, [], None)):
+        ops = list(pickletools.genops(cloudpickle.dumps(shipped)))
+        for at, (op, _, _) in enumerate(ops):
+            if op.name == "STACK_GLOBAL":
+                names = [arg for _, arg, _ in ops[max(0, at - 6) : at] if isinstance(arg, str)]
+                assert not any(name.startswith("quakeframe") for name in names), names
