@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import substring_dedup, suffix_array_dedup
+from llm import fingerprints, quality, substring_dedup, suffix_array_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,12 +19,21 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeated_words(documents(spark, sf_dir)).drop("kept")
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(documents(spark, sf_dir))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.score_quality(docs, labels).drop("text")
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_dedup.remove_repeated_bytes(documents(spark, sf_dir)).drop("kept")
 
 
 QUERIES: dict[str, Query] = {
-    "op2_substring_dedup": op2_substring_dedup,
-    "op9_suffix_array_dedup": op9_suffix_array_dedup,
+    name: value for name, value in list(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
 ORACLE: dict[str, str] = {}
