@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import fingerprints, quality, substring_dedup, suffix_array_dedup
+from llm import fingerprints, packing, quality, substring_dedup, suffix_array_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,10 +15,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Where a vocabulary file of the installed public tokenizers is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeated_words(documents(spark, sf_dir)).drop("kept")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(documents(spark, sf_dir))
 
