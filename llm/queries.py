@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import fingerprints, packing, quality, substring_dedup, suffix_array_dedup
+from llm import fingerprints, packing, pii, quality, substring_dedup, suffix_array_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Not a secret here: a real key comes from the caller's key store.
+PSEUDONYM_KEY = "op7-demonstration-key"
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -30,6 +34,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
 
 
+def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymize(documents(spark, sf_dir).select("doc_id", "text"), PSEUDONYM_KEY)
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(documents(spark, sf_dir))
 
