@@ -102,6 +102,8 @@ def repeated_keys(
             owner = np.repeat(rows["blk"].to_numpy(), [len(p) for p in parts])
             keep = each >= least
             keys, each, owner = keys[keep], each[keep], owner[keep]
+            if not len(keys):
+                continue
             order = np.lexsort((keys, owner))
             keys, each, owner = keys[order], each[order], owner[order]
             found, at = np.unique(owner, return_index=True)
