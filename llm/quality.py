@@ -22,11 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.hashing import U64, text_bytes, word_hashes, words_of
+from llm.hashing import U64, pieces, word_hashes, words_of
 
 SAMPLE = 6_000
 THRESHOLD = 0.3
-CHUNK_BYTES = 1 << 20
 FOLDS = 5
 
 # Byte classes: one for each ASCII mark, and one each for letters, digits and so on.
@@ -86,14 +85,8 @@ def features(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def chunked(column: pa.Array, work: Callable[[np.ndarray, np.ndarray], np.ndarray], width: int) -> np.ndarray:
-    """Apply ``work`` to about a megabyte of text at a time."""
-    raw, bounds = text_bytes(column)
-    parts, start = [np.zeros((0, width))], 0
-    while start < len(column):
-        stop = max(start + 1, int(np.searchsorted(bounds, bounds[start] + CHUNK_BYTES, "right")) - 1)
-        parts.append(work(raw[bounds[start] : bounds[stop]], bounds[start : stop + 1] - bounds[start]))
-        start = stop
-    return np.concatenate(parts)
+    """Apply ``work`` to a column of texts, piece by piece."""
+    return np.concatenate([np.zeros((0, width)), *(work(raw, bounds) for _, _, raw, bounds in pieces(column))])
 
 
 class Model:

@@ -25,10 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from llm.blocks import block_documents, reply_table, repeated_keys, unpack, with_replies
-from llm.hashing import U64, gram_hashes, in_sorted, mix, ranges, text_bytes
+from llm.hashing import U64, gram_hashes, in_sorted, mix, pieces, ranges
 
 GROUP_LIMIT = 1_500
-CHUNK_BYTES = 1 << 20
 POSITION_BITS = 32
 PLACE = np.dtype([("doc", "<i8"), ("start", "<i4"), ("windows", "<i4")])
 SPAN = np.dtype([("doc", "<i8"), ("start", "<i4"), ("length", "<i4")])
@@ -96,16 +95,6 @@ def anchors_of(symbols: Symbols, window: int, gram: int) -> Anchors:
     return Anchors(text[first], at[first], windows, anchor[first], grams[anchor[first]])
 
 
-def chunks(table: pa.Table) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
-    """Rows of a block in pieces of about a megabyte of text, which stay in the processor's cache."""
-    raw, bounds = text_bytes(table["text"])
-    start = 0
-    while start < len(table):
-        stop = max(start + 1, int(np.searchsorted(bounds, bounds[start] + CHUNK_BYTES, "right")) - 1)
-        yield table.slice(start, stop - start), raw[bounds[start] : bounds[stop]], bounds[start : stop + 1] - bounds[start]
-        start = stop
-
-
 def repeated_places(
     docs: DataFrame, read: Reader, solve: Solver, window: int, gram: int, group_limit: int = GROUP_LIMIT
 ) -> tuple[DataFrame, DataFrame]:
@@ -113,7 +102,7 @@ def repeated_places(
     blocks, count = block_documents(docs)
 
     def keys_of(table: pa.Table) -> np.ndarray:
-        parts = [anchors_of(read(raw, bounds), window, gram).key for _, raw, bounds in chunks(table)]
+        parts = [anchors_of(read(raw, bounds), window, gram).key for _, _, raw, bounds in pieces(table["text"])]
         return np.concatenate([np.zeros(0, U64), *parts])
 
     def regions(table: pa.Table, replies: pa.Table) -> pa.Table:
@@ -121,12 +110,13 @@ def repeated_places(
         cold: dict[str, list] = {"key": [], "blk": [], "places": [], "offset": [], "region": []}
         hot_keys, hot_places = [], []
         blk = table["blk"][0].as_py() if len(table) else 0
-        for part, raw, bounds in chunks(table):
+        docs_of = table["doc"].to_numpy()
+        for begin, _, raw, bounds in pieces(table["text"]):
             symbols = read(raw, bounds)
             anchors = anchors_of(symbols, window, gram)
             known, at = in_sorted(anchors.key, keys)
             total = counts[at] if len(keys) else np.zeros(len(at), np.int64)
-            doc = part["doc"].to_numpy()[anchors.text]
+            doc = docs_of[begin + anchors.text]
             place = np.empty(len(doc), PLACE)
             place["doc"], place["windows"] = doc, anchors.windows
             place["start"] = anchors.first - symbols.bounds[anchors.text]
