@@ -38,30 +38,40 @@ def block_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[Da
     return blocks.repartition(count, "blk"), count
 
 
-def pack(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values).tobytes()
+def pack(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, laid out byte by byte: the high bytes are mostly equal."""
+    step = np.diff(keys, prepend=U64(0))
+    return np.ascontiguousarray(step.view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def unpack(data: bytes | None, kind=U64) -> np.ndarray:
-    return np.frombuffer(data or b"", dtype=kind)
+def unpack(data: bytes) -> np.ndarray:
+    step = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(U64).ravel()
+    return np.cumsum(step, dtype=U64)
 
 
-def unpack_all(column, kind=U64) -> np.ndarray:
-    """All packed values of a binary column in a row."""
-    return np.concatenate([np.zeros(0, kind), *(unpack(x, kind) for x in column.to_pylist())])
+def pack_counts(counts: np.ndarray) -> bytes:
+    """A byte for each count; those of 255 or more follow in full."""
+    large = counts[counts >= 255].astype("<u8")
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + large.tobytes()
+
+
+def unpack_counts(data: bytes, length: int) -> np.ndarray:
+    out = np.frombuffer(data, np.uint8, length).astype(np.int64)
+    out[out == 255] = np.frombuffer(data, "<u8", offset=length)
+    return out
 
 
 def repeated_keys(
     blocks: DataFrame,
     count: int,
-    keys_of: Callable[[pa.Table], np.ndarray],
+    keys_of: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]],
     blocks_per_bucket: int = 4,
     least: int = 2,
 ) -> DataFrame:
     """Rows (blk, keys, counts) of packed, sorted 64-bit keys that occur ``least`` times in all blocks.
 
-    ``keys_of`` gives the keys of a batch, one per occurrence. Each block gets those of its own
-    keys that occur often enough, with their counts over the whole input.
+    ``keys_of`` gives the distinct keys of a batch, sorted, and their counts in it. Each block gets
+    those of its own keys that occur often enough, with their counts over the whole input.
     """
     buckets = max(1, -(-count // blocks_per_bucket))
 
@@ -71,7 +81,7 @@ def repeated_keys(
             owner = table["blk"].to_numpy()
             for blk in np.unique(owner):
                 part = table if len(table) == (owner == blk).sum() else table.filter(pa.array(owner == blk))
-                keys, counts = np.unique(keys_of(part), return_counts=True)
+                keys, counts = keys_of(part)
                 # Hash ranges: the product's high half, so that sorted keys stay in order.
                 bucket = ((keys >> U64(32)) * U64(buckets)) >> U64(32)
                 cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=U64))
@@ -122,16 +132,6 @@ def repeated_keys(
     return dealt.mapInArrow(merge, REPLY_SCHEMA)
 
 
-def pack_counts(counts: np.ndarray) -> bytes:
-    """Counts in one byte each, four if one is larger."""
-    kind = np.uint8 if not len(counts) or counts.max() < 256 else np.uint32
-    return pack(np.minimum(counts, 2**32 - 1).astype(kind))
-
-
-def unpack_counts(data: bytes, length: int) -> np.ndarray:
-    return unpack(data, np.uint8 if len(data) == length else np.uint32).astype(np.int64)
-
-
 def reply_table(replies: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """A block's replies as sorted keys and their counts."""
     parts = [unpack(x) for x in replies["keys"].to_pylist()]

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from llm.blocks import block_documents, reply_table, repeated_keys, unpack, with_replies
+from llm.blocks import block_documents, repeated_keys, reply_table, with_replies
 from llm.hashing import U64, gram_hashes, in_sorted, mix, pieces, ranges
 
 GROUP_LIMIT = 1_500
@@ -101,9 +101,9 @@ def repeated_places(
     """Blocks of documents, and rows (blk, places, repeat, length) of repeats with their places."""
     blocks, count = block_documents(docs)
 
-    def keys_of(table: pa.Table) -> np.ndarray:
+    def keys_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         parts = [anchors_of(read(raw, bounds), window, gram).key for _, _, raw, bounds in pieces(table["text"])]
-        return np.concatenate([np.zeros(0, U64), *parts])
+        return np.unique(np.concatenate([np.zeros(0, U64), *parts]), return_counts=True)
 
     def regions(table: pa.Table, replies: pa.Table) -> pa.Table:
         keys, counts = reply_table(replies)
@@ -180,7 +180,7 @@ def repeated_places(
             if len(rows) > 1:
                 repeat = stable_hash(region)
                 for _, blk, places, _, _ in rows:
-                    length = int(unpack(places, PLACE)["windows"][0]) + window - 1
+                    length = int(np.frombuffer(places, PLACE)["windows"][0]) + window - 1
                     yield blk, spans(places, 0, length), repeat, length
         if len(classes) > 1:
             members = list(classes)
@@ -204,7 +204,7 @@ def stable_hash(data: bytes) -> int:
 
 def spans(places: bytes, start: int, length: int) -> bytes:
     """Packed spans of a repeat that begins ``start`` symbols after each place."""
-    given = unpack(places, PLACE)
+    given = np.frombuffer(places, PLACE)
     out = np.empty(len(given), SPAN)
     out["doc"], out["start"], out["length"] = given["doc"], given["start"] + start, length
     return out.tobytes()
@@ -229,7 +229,7 @@ def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list[tuple]]]:
 def covered(table: pa.Table, found: pa.Table, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which symbols of a block's texts lie in a span, in a row, and the texts' offsets in them."""
     bounds = np.concatenate(([0], np.cumsum(sizes)))
-    parts = [unpack(x, SPAN) for x in found["places"].to_pylist()]
+    parts = [np.frombuffer(x, SPAN) for x in found["places"].to_pylist()]
     span = np.concatenate(parts) if parts else np.zeros(0, SPAN)
     docs = table["doc"].to_numpy()
     order = np.argsort(docs, kind="stable")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.blocks import unpack, with_replies
+from llm.blocks import with_replies
 from llm.hashing import byte_symbols, text_bytes
 from llm.repeats import SPAN, Region, Symbols, covered, repeated_places, stable_hash
 
@@ -108,7 +108,7 @@ def repeat_groups(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         ids = dict(zip(table["doc"].to_pylist(), table["doc_id"].to_pylist(), strict=True))
         rows = set()
         for packed, repeat in zip(found["places"].to_pylist(), found["repeat"].to_pylist(), strict=True):
-            for doc, start, length in unpack(packed, SPAN).tolist():
+            for doc, start, length in np.frombuffer(packed, SPAN).tolist():
                 rows.add((repeat, length, ids[doc], start))
         columns = list(zip(*sorted(rows, key=str), strict=True)) or [[]] * 4
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32()]
