@@ -31,8 +31,8 @@ def mix(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def pieces(column: pa.Array | pa.ChunkedArray, size: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first, end, bytes, offsets) of texts of about ``size`` bytes, which stay in the processor's cache."""
+def pieces(column: pa.Array | pa.ChunkedArray, size: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first, end, bytes, offsets) of texts of about ``size`` bytes, whose arrays stay in the processor's cache."""
     raw, bounds = text_bytes(column)
     start = 0
     while start < len(bounds) - 1:
