@@ -193,5 +193,14 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The documents that the model accepts."""
-    return score_quality(docs, labels, sample).filter("predicted = 1").select(*docs.columns)
+    """The documents that the model accepts, with all their columns."""
+    model = train(docs, labels, sample)
+    if model is None:
+        return docs
+
+    def accept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score = chunked(batch.column("text"), lambda r, b: model.score(features(r, b))[:, None], 1)[:, 0]
+            yield batch.filter(pa.array(score >= THRESHOLD))
+
+    return docs.mapInArrow(accept, docs.schema)

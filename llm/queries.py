@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontamination, fingerprints, line_dedup, packing, pii, quality, substring_dedup, suffix_array_dedup
+from llm import decontamination, fingerprints, line_dedup, lm_scoring, ngram_join, packing, pii, quality, substring_dedup, suffix_array_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,10 +35,18 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeated_words(documents(spark, sf_dir)).drop("kept")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(documents(spark, sf_dir))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_similar(documents(spark, sf_dir)).drop("doc")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.find_leaks(documents(spark, sf_dir), benchmark)
