@@ -18,7 +18,6 @@ are packed each; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
 
@@ -27,67 +26,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.hashing import ranges
 from llm.storage import written
+from llm.token_ids import known_words
 
 LENGTH = 4096
 END_ID = 2
 WINDOW_SEQUENCES = 64
 SHARD_TOKENS = 8 << 20
-KNOWN_WORDS = 300_000
-SLICE_ROWS = 512
+SLICE_ROWS = 2_000
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, source string"
 )
 
 
-class WordIds:
-    """Token ids of words, remembered.
-
-    The tokenizer splits at white space and drops it, so the ids of a text are those of its words
-    in a row; each distinct word is encoded once.
-    """
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.number: dict[bytes, int] = {b"": 0}
-        self.parts = [np.array([END_ID], dtype=np.uint32)]
-        self.sizes = [np.array([1], dtype=np.int64)]
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, each with the end token, and the number of each."""
-        if len(self.number) > KNOWN_WORDS:
-            self.forget()
-        words: list[bytes] = []
-        counts = []
-        for text in texts:
-            found = text.encode().split()
-            counts.append(len(found) + 1)
-            words += found
-            words.append(b"")
-        new = list(set(words).difference(self.number))
-        if new:
-            encoded = self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False)
-            ids = [x.ids for x in encoded]
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
-            self.sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-            self.parts.append(np.fromiter((i for x in ids for i in x), np.uint32))
-        flat, sizes = np.concatenate(self.parts), np.concatenate(self.sizes)
-        self.parts, self.sizes = [flat], [sizes]
-        first = np.cumsum(sizes) - sizes
-        used = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        ends = np.cumsum(sizes[used])
-        text_ends = ends[np.cumsum(counts) - 1]
-        return flat[ranges(first[used], sizes[used])], np.diff(np.concatenate(([0], text_ends)))
-
-
 def tokenize(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Rows (uid, doc_id, queue, doc, tokens, ids), written; ids are packed 32-bit numbers."""
     rows = docs.select(
@@ -99,11 +51,11 @@ def tokenize(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordIds(tokenizer_path)
+        known = known_words(tokenizer_path, END_ID)
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE_ROWS):
                 batch = whole.slice(at, SLICE_ROWS)
-                ids, counts = known.encode(batch.column("text").to_pylist())
+                ids, counts = known.encode(batch.column("text"))
                 cuts = np.concatenate(([0], np.cumsum(counts))) * 4
                 data = ids.astype("<u4").tobytes()
                 packed = pa.array([data[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
