@@ -13,21 +13,32 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.hashing import U64
 
 BLOCK_BYTES = 8 << 20
+HELD_KEYS = 4 << 20
+# Bytes and rows that go to a Python worker at once; several workers share an executor's memory.
+BATCH_BYTES = 4 << 20
+BATCH_ROWS = 2_000
 REPLY_SCHEMA = "blk int, keys binary, counts binary"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python workers in small batches, also those far longer than usual."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def block_documents(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
     """Rows (blk, doc, doc_id, text) dealt by block, and the number of blocks.
 
     ``doc`` is a hash of id and text; rows with the same id and different texts stay apart, and
     equal rows share it, which is harmless: they get equal results. Null text counts as empty.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     )
@@ -65,7 +76,7 @@ def repeated_keys(
     blocks: DataFrame,
     count: int,
     keys_of: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]],
-    blocks_per_bucket: int = 4,
+    blocks_per_bucket: int = 2,
     least: int = 2,
 ) -> DataFrame:
     """Rows (blk, keys, counts) of packed, sorted 64-bit keys that occur ``least`` times in all blocks.
@@ -76,25 +87,34 @@ def repeated_keys(
     buckets = max(1, -(-count // blocks_per_bucket))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        size = 0
         for batch in batches:
             table = pa.Table.from_batches([batch])
             owner = table["blk"].to_numpy()
-            for blk in np.unique(owner):
-                part = table if len(table) == (owner == blk).sum() else table.filter(pa.array(owner == blk))
-                keys, counts = keys_of(part)
-                # Hash ranges: the product's high half, so that sorted keys stay in order.
-                bucket = ((keys >> U64(32)) * U64(buckets)) >> U64(32)
-                cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=U64))
-                full = np.flatnonzero(np.diff(cuts))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(full.astype(np.int32)),
-                        pa.array(np.full(len(full), blk, np.int32)),
-                        pa.array([pack(keys[cuts[i] : cuts[i + 1]]) for i in full], pa.binary()),
-                        pa.array([pack_counts(counts[cuts[i] : cuts[i + 1]]) for i in full], pa.binary()),
-                    ],
-                    ["bucket", "blk", "keys", "counts"],
-                )
+            for blk in np.unique(owner).tolist():
+                part = table if (owner == blk).all() else table.filter(pa.array(owner == blk))
+                held.setdefault(blk, []).append(keys_of(part))
+                size += len(held[blk][-1][0])
+            if size > HELD_KEYS:
+                yield from (packed(blk, *summed(parts)) for blk, parts in held.items())
+                held, size = {}, 0
+        yield from (packed(blk, *summed(parts)) for blk, parts in held.items())
+
+    def packed(blk: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        # Hash ranges: the product's high half, so that sorted keys stay in order.
+        bucket = ((keys >> U64(32)) * U64(buckets)) >> U64(32)
+        cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=U64))
+        full = np.flatnonzero(np.diff(cuts))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(full.astype(np.int32)),
+                pa.array(np.full(len(full), blk, np.int32)),
+                pa.array([pack(keys[cuts[i] : cuts[i + 1]]) for i in full], pa.binary()),
+                pa.array([pack_counts(counts[cuts[i] : cuts[i + 1]]) for i in full], pa.binary()),
+            ],
+            ["bucket", "blk", "keys", "counts"],
+        )
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in runs(batches, "bucket"):
@@ -132,6 +152,17 @@ def repeated_keys(
     return dealt.mapInArrow(merge, REPLY_SCHEMA)
 
 
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys of several sets of keys, with the sums of their counts."""
+    if len(parts) == 1:
+        return parts[0]
+    keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
 def reply_table(replies: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """A block's replies as sorted keys and their counts."""
     parts = [unpack(x) for x in replies["keys"].to_pylist()]
