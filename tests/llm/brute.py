@@ -36,3 +36,81 @@ def suffix_array_dedup(rows, window=200):
         spans = sum(m and (i == 0 or not mask[i - 1]) for i, m in enumerate(mask))
         out.append((doc_id, len(t), sum(mask), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
+
+
+def jaccard_join(rows, words=4, percent=85):
+    """(doc_id, n_shingles, component_id) of every row."""
+    sets = []
+    for _, text in rows:
+        found = WORD.findall((text or "").translate(LOWER))
+        grams = {tuple(found[i : i + words]) for i in range(len(found) - words + 1)}
+        sets.append(grams or ({tuple(found)} if found else set()))
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common = len(a & sets[j])
+            if common and 100 * common >= percent * (len(a) + len(sets[j]) - common):
+                parent[root(i)] = root(j)
+    groups = {}
+    for i, (doc_id, _) in enumerate(rows):
+        groups.setdefault(root(i), []).append(doc_id)
+    least = {k: min((x for x in v if x is not None), default=None) for k, v in groups.items()}
+    return [(doc_id, len(sets[i]), least[root(i)]) for i, (doc_id, _) in enumerate(rows)]
+
+
+def backoff_scores(rows, order=2, backoff=0.4):
+    """(doc_id, n_words, log_score) of every row."""
+    import math
+
+    texts = [WORD.findall((text or "").translate(LOWER)) for _, text in rows]
+    count = Counter(tuple(w[i : i + n]) for w in texts for n in range(1, order + 1) for i in range(len(w) - n + 1))
+    total = sum(map(len, texts))
+    out = []
+    for (doc_id, _), w in zip(rows, texts, strict=True):
+        score = 0.0
+        for i in range(len(w)):
+            longest = min(order, i + 1)
+            for n in range(longest, 0, -1):
+                gram = tuple(w[i - n + 1 : i + 1])
+                if n == 1 or count[gram] > 1:
+                    score += math.log(count[gram] / (count[gram[:-1]] if n > 1 else total))
+                    score += (longest - n) * math.log(backoff)
+                    break
+        out.append((doc_id, len(w), score))
+    return out
+
+
+def edit_distance_within(item, text):
+    """Fewest edits, in words, from the item to any part of the text."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        new = [i]
+        for j, b in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (a != b)))
+        row = new
+    return min(row)
+
+
+def normal_words(text):
+    return re.findall(r"[a-z0-9\u0080-\U0010ffff]+", (text or "").translate(LOWER))
+
+
+def edited_hash(rows):
+    """(doc_id, n_chars, edited_sha256) for rows with distinct ids and texts."""
+    order = sorted(rows, key=lambda r: -r[0])
+    out = []
+    for (doc_id, text), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        text, after = text or "", after or ""
+        part = len(text) // 3
+        changed = text[: len(text) - part] + after[:part]
+        out.append((doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest()))
+    return out
