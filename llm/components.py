@@ -53,7 +53,9 @@ def components(edges: DataFrame) -> DataFrame:
     """
     first, second = edges.columns
     oriented = edges.select(F.greatest(first, second).alias("high"), F.least(first, second).alias("low"))
-    now = written(oriented.filter("high <> low").mapInArrow(contracted, EDGE).distinct(), "edges")
+    # All edges of a node meet before they are contracted, so each node leaves a partition once.
+    dealt = oriented.filter("high <> low").repartition("high")
+    now = written(dealt.mapInArrow(contracted, EDGE).distinct(), "edges")
     state = None
     while True:
         mark = F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))
