@@ -1,10 +1,8 @@
 """Fixed values of the data model: limits, topic names and index names."""
 
-CATALOG_LIMIT = 20_000
 BACKFILL_WINDOW_DAYS = 30
 MAX_WINDOW_DAYS = 366
 SUPPRESS_TTL_SECONDS = 3_600
-BULK_BATCH_ROWS = 500
 
 STREAM_BATCH_MESSAGES = 100
 STREAM_BATCH_WAIT_SECONDS = 60

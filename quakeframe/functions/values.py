@@ -11,6 +11,7 @@ from quakeframe.functions.places import as_column
 
 # Fixed value: what stands for a null part inside a hashed key.
 NULL_KEY_PART = "__null__"
+SUFFIXED = r"^\s*[-+0-9.eE]*[0-9.][dDfFlL]\s*$"
 
 
 def to_decimal_expr(value: str | Column, precision: int, scale: int) -> Column:
@@ -18,14 +19,22 @@ def to_decimal_expr(value: str | Column, precision: int, scale: int) -> Column:
     return as_column(value).try_cast(f"decimal({precision},{scale})")
 
 
+def _plain_number(value: Column) -> Column:
+    """A variant leaf, null where it is text with a suffix such as "3.2d" or "5f".
+
+    The cast reads these letters as kinds of numbers; as data they are not numeric.
+    """
+    return F.when(~F.coalesce(F.try_variant_get(value, "$", "string").rlike(SUFFIXED), F.lit(False)), value)
+
+
 def to_float_expr(value: Column) -> Column:
     """A variant leaf to double: numbers, booleans and numeric text; else null."""
-    return F.try_variant_get(value, "$", "double")
+    return F.try_variant_get(_plain_number(value), "$", "double")
 
 
 def to_int_expr(value: Column) -> Column:
     """A variant leaf to int: numbers lose their fraction, text must be a whole number."""
-    return F.try_variant_get(value, "$", "int")
+    return F.try_variant_get(_plain_number(value), "$", "int")
 
 
 def coordinate_expr(coordinates: str | Column, index: int) -> Column:

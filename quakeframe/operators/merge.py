@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quakeframe.operators.latest import dedupe_latest_rows, newest_per_key
@@ -86,14 +86,20 @@ def merge_in_order(batches: DataFrame, batch: str) -> DataFrame:
     """What merging batch after batch would leave, in one pass and one shuffle.
 
     ``batches`` holds at most one row per id and batch. Merging one after another means:
-    among rows with an update time the newest wins, and of equal rows the earliest batch;
-    an id that never had an update time keeps the row of its last batch.
+    among rows with an update time the newest wins. Of rows equal in it the first to come gives
+    way only to later event times, in the end to the latest, and of equal ones the earliest
+    batch; if it has no event time it stays, since comparisons with it are null. An id that
+    never had an update time keeps the row of its last batch.
     """
     dated = F.col("updated_time_utc").isNotNull()
+    same_update = Window.partitionBy(KEY, "updated_time_utc")
+    first = F.col(batch) == F.min(batch).over(same_update)
+    marked = batches.withColumn("_stays", dated & first & F.col("event_time_utc").isNull())
     order = [
         F.col("updated_time_utc").desc_nulls_last(),
+        F.col("_stays").desc(),
         F.when(dated, F.col("event_time_utc")).desc_nulls_last(),
         F.when(dated, F.col(batch)).asc_nulls_first(),
         F.col(batch).desc(),
     ]
-    return newest_per_key(batches, [KEY], order)
+    return newest_per_key(marked, [KEY], order).drop("_stays")

@@ -4,13 +4,13 @@ A row is kept when its key has no kept row within the time to live before it; a
 to the time to live is still too soon, and dropped rows do not extend it. So each kept
 row decides the next one: a chain per key.
 
-Keys with few distinct times are chained in the JVM over one sorted array. A key with
-many is never gathered. Its times are cut into slots of one time to live, of which each
-can hold at most one kept row, and neighbouring slots form segments. A segment is
-summarised as a step function from "the chain continues after time x" to "the chain
-leaves at time e". Segments are combined level by level like partial aggregates, and the
-entry time of every segment is then handed down again, so the segments are spread over
-the cluster and still give the exact chain.
+All distinct keys and times are sorted over the cluster, in ranges of about equal numbers of
+rows. A key that lies inside one range is chained there, reading its times once. A key that
+reaches over a border may be any frequent key: its times become pieces of at most
+``LEAF_ROWS`` rows. A piece is summarised as a step function from "the chain continues after
+time x" to "the chain leaves at time e"; the summaries of a key are walked in order, one at a
+time, which gives every piece its entry, and the pieces then mark their kept rows. No task
+holds more than a piece, and there is one way for all keys.
 """
 
 from __future__ import annotations
@@ -20,23 +20,21 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quakeframe.defaults import SUPPRESS_TTL_SECONDS
+from quakeframe.session import materialize
 
-# A key with more rows than this takes the segment way.
-MAX_ARRAY_ROWS = 20_000
-# At most this many such keys are sent to every executor; beyond it all keys take that way.
-MAX_BROADCAST_KEYS = 50_000
-# Slots per segment, and segments per segment of the next level.
-LEAF_SLOTS = 24
-FAN_IN = 64
+# Most rows of a piece.
+LEAF_ROWS = 50_000
 
 NEVER = np.iinfo(np.int64).min
-SEGMENT_DDL = "_key string, _group bigint, starts array<bigint>, exits array<bigint>"
-ENTRY_DDL = "_key string, _group bigint, _after bigint"
+CHAIN_DDL = "_key string, _us bigint, _piece bigint"
+PIECE_DDL = "_key string, _piece bigint, starts array<bigint>, exits array<bigint>"
+ENTRY_DDL = "_key string, _piece bigint, _after bigint"
 TIME_DDL = "_key string, _us bigint"
 MEMORY_DDL = "_key string, _last bigint"
 
@@ -48,28 +46,38 @@ def key_text(key: Sequence[str]) -> Column:
     )
 
 
+def time_us(time: str, now: Column | None = None) -> Column:
+    """Microseconds of a time; a missing one is the time of reading."""
+    return F.unix_micros(F.coalesce(F.col(time), F.current_timestamp() if now is None else now))
+
+
 def suppress_recent(
     df: DataFrame,
     key: Sequence[str] = ("event_id",),
     time: str = "observed_at",
     ttl_seconds: float = SUPPRESS_TTL_SECONDS,
     order: Sequence[str] = (),
-    max_array_rows: int = MAX_ARRAY_ROWS,
+    now: Column | None = None,
 ) -> DataFrame:
     """The rows that would be published; of rows equal in key and time, the first by ``order``.
 
-    ``df`` is read three times, twice for key and time only. Where it is costly to compute,
-    pass it through ``session.materialize`` first.
+    A row without a time counts as seen ``now``, by default when the query runs.
+
+    ``df`` is read twice, once for key and time only, and the chains are written to the shared
+    folder while this is called. Where ``df`` is costly to compute, pass it through
+    ``session.materialize`` first.
     """
     ttl = round(ttl_seconds * 1_000_000)
     if ttl < 0:
         raise ValueError("ttl_seconds must not be negative")
-    keyed = df.select("*", key_text(key).alias("_key"), F.unix_micros(time).alias("_us"))
+    if now is None:
+        now = F.lit(df.sparkSession.range(1).select(F.current_timestamp()).first()[0])
+    keyed = df.select("*", key_text(key).alias("_key"), time_us(time, now).alias("_us"))
     first = F.struct(*order, F.xxhash64(*df.columns))
     one_per_time = keyed.groupBy("_key", "_us").agg(
         F.min_by(F.struct(*df.columns), first).alias("_row")
     )
-    kept = kept_times(keyed.select("_key", "_us"), ttl, max_array_rows)
+    kept = kept_times(keyed.select("_key", "_us"), ttl)
     return one_per_time.join(kept, ["_key", "_us"], "left_semi").select("_row.*")
 
 
@@ -80,6 +88,7 @@ def suppress_after(
     time: str = "observed_at",
     ttl_seconds: float = SUPPRESS_TTL_SECONDS,
     order: Sequence[str] = (),
+    now: Column | None = None,
 ) -> DataFrame:
     """``suppress_recent`` for rows that come after those ``memory`` was made from.
 
@@ -87,8 +96,8 @@ def suppress_after(
     """
     ttl = round(ttl_seconds * 1_000_000)
     keyed = df.withColumn("_key", key_text(key)).join(memory, "_key", "left")
-    open_rows = keyed.filter(F.col("_last").isNull() | (F.unix_micros(time) > F.col("_last") + ttl))
-    return suppress_recent(open_rows.select(*df.columns), key, time, ttl_seconds, order)
+    open_rows = keyed.filter(F.col("_last").isNull() | (time_us(time, now) > F.col("_last") + ttl))
+    return suppress_recent(open_rows.select(*df.columns), key, time, ttl_seconds, order, now)
 
 
 def remember(
@@ -99,7 +108,7 @@ def remember(
     ttl_seconds: float = SUPPRESS_TTL_SECONDS,
 ) -> DataFrame:
     """Last published time per key; keys whose time to live is over by the newest time go."""
-    fresh = published.select(key_text(key).alias("_key"), F.unix_micros(time).alias("_last"))
+    fresh = published.select(key_text(key).alias("_key"), time_us(time).alias("_last"))
     newest = memory.unionByName(fresh).groupBy("_key").agg(F.max("_last").alias("_last"))
     now = newest.agg(F.max("_last")).first()[0]
     if now is None:
@@ -107,78 +116,82 @@ def remember(
     return newest.filter(F.col("_last") >= now - round(ttl_seconds * 1_000_000))
 
 
-def kept_times(times: DataFrame, ttl: int, max_array_rows: int = MAX_ARRAY_ROWS) -> DataFrame:
+def kept_times(times: DataFrame, ttl: int) -> DataFrame:
     """Key and time of every kept row, from all keys and times in microseconds."""
     distinct = times.distinct()
     if ttl == 0:
         return distinct
-    sizes = times.groupBy("_key").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("_us").alias("low"), F.max("_us").alias("high")
-    )
-    # A bounded read that decides the shape of the plan: the keys too large for one array.
-    large = (
-        sizes.filter(F.col("rows") > max_array_rows)
-        .select("_key", "low", "high")
-        .limit(MAX_BROADCAST_KEYS + 1)
-        .collect()
-    )
-    if not large:
-        return _chain_by_array(distinct, ttl)
-    if len(large) > MAX_BROADCAST_KEYS:
-        low, high = sizes.agg(F.min("low"), F.max("high")).first()
-        return _chain_by_segments(distinct, ttl, low, high)
-    low, high = min(row.low for row in large), max(row.high for row in large)
-    keys = times.sparkSession.createDataFrame([(row._key,) for row in large], "_key string")
-    listed = F.broadcast(keys)
-    by_array = _chain_by_array(distinct.join(listed, "_key", "left_anti"), ttl)
-    by_segment = _chain_by_segments(distinct.join(listed, "_key", "left_semi"), ttl, low, high)
-    return by_array.unionByName(by_segment)
-
-
-def _chain_by_array(distinct: DataFrame, ttl: int) -> DataFrame:
-    state = F.struct(
-        F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("kept")
-    )
-
-    def step(acc: Column, us: Column) -> Column:
-        passes = acc["last"].isNull() | (us - acc["last"] > ttl)
-        return F.when(
-            passes, F.struct(us.alias("last"), F.array_append(acc["kept"], us).alias("kept"))
-        ).otherwise(acc)
-
-    ordered = distinct.groupBy("_key").agg(F.sort_array(F.collect_list("_us")).alias("_times"))
-    chain = F.aggregate("_times", state, step, lambda acc: acc["kept"])
-    return ordered.select("_key", F.explode(chain).alias("_us"))
-
-
-def _chain_by_segments(distinct: DataFrame, ttl: int, low: int, high: int) -> DataFrame:
-    slot = ((F.col("_us") - F.pmod("_us", F.lit(ttl))) / F.lit(ttl)).cast("bigint")
-    leaf = distinct.withColumn("_group", F.floor(slot / LEAF_SLOTS))
-    levels = [leaf.groupBy("_key", "_group").applyInPandas(_summarise(ttl, LEAF_SLOTS), SEGMENT_DDL)]
-    groups = (high // ttl) // LEAF_SLOTS - (low // ttl) // LEAF_SLOTS + 1
-    while groups > FAN_IN:
-        parent = _with_parent(levels[-1]).groupBy("_key", "_parent")
-        levels.append(parent.applyInPandas(_combine(ttl), SEGMENT_DDL))
-        groups = groups // FAN_IN + 1
-    # The top level has few segments per key; walk them from the start of time.
-    entries = levels[-1].groupBy("_key").applyInPandas(_walk(ttl), ENTRY_DDL)
-    for level in reversed(levels[:-1]):
-        above = entries.withColumnRenamed("_group", "_parent")
-        entries = (
-            _with_parent(level)
-            .join(above, ["_key", "_parent"])
-            .groupBy("_key", "_parent")
-            .applyInPandas(_walk(ttl), ENTRY_DDL)
-        )
-    return (
-        leaf.groupBy("_key", "_group")
-        .cogroup(entries.groupBy("_key", "_group"))
+    ranged = distinct.repartitionByRange("_key", "_us").sortWithinPartitions("_key", "_us")
+    # Written, so that the pieces are the same for all that reads them.
+    chains = materialize(ranged.mapInArrow(_chain(ttl, LEAF_ROWS), CHAIN_DDL), "chains")
+    pieces = chains.filter("_piece is not null")
+    summaries = pieces.groupBy("_key", "_piece").applyInPandas(_summarise(ttl), PIECE_DDL)
+    in_order = summaries.repartition("_key").sortWithinPartitions("_key", "_piece")
+    entries = in_order.mapInArrow(_walk(ttl), ENTRY_DDL)
+    marked = (
+        pieces.groupBy("_key", "_piece")
+        .cogroup(entries.groupBy("_key", "_piece"))
         .applyInPandas(_mark(ttl), TIME_DDL)
     )
-
-
-def _with_parent(level: DataFrame) -> DataFrame:
-    return level.withColumn("_parent", F.floor(F.col("_group") / FAN_IN))
+    return chains.filter("_piece is null").select("_key", "_us").unionByName(marked)
+
+
+def _chain_from(times: np.ndarray, after: int, ttl: int) -> list[int]:
+    """Kept ones of sorted times, for a chain that continues after ``after``."""
+    kept = []
+    at = int(np.searchsorted(times, after, "right"))
+    while at < len(times):
+        kept.append(int(times[at]))
+        at = int(np.searchsorted(times, kept[-1] + ttl, "right"))
+    return kept
+
+
+def _chain(ttl: int, leaf_rows: int):
+    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        current, at_start = None, True
+        done_keys: list[str] = []
+        done_times: list[np.ndarray] = []
+
+        def pieces() -> Iterator[pa.RecordBatch]:
+            times = np.concatenate(held)
+            for at in range(0, len(times), leaf_rows):
+                part = times[at : at + leaf_rows]
+                yield _batch([current] * len(part), part, np.full(len(part), part[0]))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            times = batch.column(1).to_numpy()
+            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                if held and keys[start] != current:
+                    if at_start:
+                        yield from pieces()
+                    else:
+                        kept = _chain_from(np.concatenate(held), NEVER, ttl)
+                        done_keys += [current] * len(kept)
+                        done_times.append(np.array(kept, dtype="int64"))
+                    held, at_start = [], False
+                current = keys[start]
+                held.append(times[start:end])
+            if len(done_keys) > leaf_rows:
+                yield _batch(done_keys, np.concatenate(done_times), None)
+                done_keys, done_times = [], []
+        if done_keys:
+            yield _batch(done_keys, np.concatenate(done_times), None)
+        if held:
+            yield from pieces()
+
+    return chain
+
+
+def _batch(keys: list[str], times: np.ndarray, piece: np.ndarray | None) -> pa.RecordBatch:
+    pieces = pa.nulls(len(keys), pa.int64()) if piece is None else pa.array(piece)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys, pa.string()), pa.array(times), pieces], ["_key", "_us", "_piece"]
+    )
 
 
 def _keep_steps(starts: np.ndarray, exits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -187,13 +200,12 @@ def _keep_steps(starts: np.ndarray, exits: np.ndarray) -> tuple[np.ndarray, np.n
     return starts[change], exits[change]
 
 
-def _summarise(ttl: int, slots: int):
+def _summarise(ttl: int):
     def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
         times = np.sort(pdf["_us"].to_numpy())
         following = np.append(np.searchsorted(times, times + ttl, "right"), len(times))
-        # Entries are the times of the first slot, plus the first one after it.
-        first_slot_end = (int(pdf["_group"].iloc[0]) * slots + 1) * ttl
-        entries = min(int(np.searchsorted(times, first_slot_end)) + 1, len(times))
+        # A chain from before enters within one time to live, or at the first time after it.
+        entries = min(int(np.searchsorted(times, times[0] + ttl)) + 1, len(times))
         last = np.arange(entries)
         while True:
             step = following[last]
@@ -201,72 +213,43 @@ def _summarise(ttl: int, slots: int):
             if not moves.any():
                 break
             last = np.where(moves, step, last)
-        return _segment_row(pdf, int(pdf["_group"].iloc[0]), times[:entries], times[last])
+        starts, exits = _keep_steps(times[:entries], times[last])
+        frame = pd.DataFrame({"_piece": [int(pdf["_piece"].iloc[0])], "starts": [starts], "exits": [exits]})
+        frame.insert(0, "_key", pd.Series([pdf["_key"].iloc[0]], dtype="object"))
+        return frame
 
     return summarise
 
 
-def _combine(ttl: int):
-    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
-        children = list(_in_order(pdf))
-        _, starts, exits = children[0]
-        for index, (_, child_starts, child_exits) in enumerate(children[1:]):
-            at = np.searchsorted(child_starts, exits + ttl, "right")
-            found = at < len(child_starts)
-            exits = np.where(found, child_exits[np.minimum(at, len(child_starts) - 1)], exits)
-            if index == 0:
-                # The chain may also pass by the whole first child.
-                starts = np.append(starts, child_starts[0])
-                exits = np.append(exits, child_exits[0])
-        return _segment_row(pdf, int(pdf["_parent"].iloc[0]), starts, exits)
-
-    return combine
-
-
 def _walk(ttl: int):
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        after = int(pdf["_after"].iloc[0]) if "_after" in pdf else NEVER
-        groups, entries = [], []
-        for group, starts, exits in _in_order(pdf):
-            groups.append(group)
-            entries.append(after)
-            at = int(np.searchsorted(starts, after, "right"))
-            if at < len(starts):
-                after = int(exits[at]) + ttl
-        return _for_key(pdf, _group=groups, _after=entries)
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, after = None, NEVER
+        for batch in batches:
+            keys, pieces, entries = batch.column(0), batch.column(1), []
+            for row, key in enumerate(keys.to_pylist()):
+                if key != current:
+                    current, after = key, NEVER
+                entries.append(after)
+                starts = batch.column(2)[row].values.to_numpy()
+                at = int(np.searchsorted(starts, after, "right"))
+                if at < len(starts):
+                    after = batch.column(3)[row].values[at].as_py() + ttl
+            yield pa.RecordBatch.from_arrays(
+                [keys, pieces, pa.array(entries, pa.int64())], ["_key", "_piece", "_after"]
+            )
 
     return walk
 
 
 def _mark(ttl: int):
     def mark(times: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        ordered = np.sort(times["_us"].to_numpy())
-        kept = []
-        at = int(np.searchsorted(ordered, int(entry["_after"].iloc[0]), "right"))
-        while at < len(ordered):
-            kept.append(int(ordered[at]))
-            at = int(np.searchsorted(ordered, kept[-1] + ttl, "right"))
-        return _for_key(times, _us=np.array(kept, dtype="int64"))
+        kept = _chain_from(np.sort(times["_us"].to_numpy()), int(entry["_after"].iloc[0]), ttl)
+        frame = pd.DataFrame({"_us": np.array(kept, dtype="int64")})
+        frame.insert(0, "_key", pd.Series([times["_key"].iloc[0]] * len(frame), dtype="object"))
+        return frame
 
     return mark
 
 
-def _for_key(pdf: pd.DataFrame, **columns) -> pd.DataFrame:
-    """A frame of the given columns for the one key of ``pdf``."""
-    frame = pd.DataFrame(columns)
-    frame.insert(0, "_key", pd.Series([pdf["_key"].iloc[0]] * len(frame), dtype="object"))
-    return frame
-
-
-def _segment_row(pdf: pd.DataFrame, group: int, starts: np.ndarray, exits: np.ndarray) -> pd.DataFrame:
-    starts, exits = _keep_steps(starts, exits)
-    return _for_key(pdf, _group=[group], starts=[starts], exits=[exits])
-
-
-def _in_order(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    ordered = pdf.sort_values("_group")
-    yield from zip(ordered["_group"].astype(int), ordered["starts"], ordered["exits"])
-
-
 # Send what runs in Python workers by value, so that they need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,13 +7,13 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.defaults import BACKFILL_TOPIC, BACKFILL_WINDOW_DAYS
+from quakeframe.defaults import BACKFILL_TOPIC, BACKFILL_WINDOW_DAYS, CALENDAR_PARTITIONS
 from quakeframe.functions.times import epoch_ms_expr
 from quakeframe.operators.dedup import first_across_chunks, unique_features
 from quakeframe.operators.envelope import build_event_envelope, encode_envelope
 from quakeframe.operators.flatten import accepted, classify_typed
 from quakeframe.schemas import FLAT_EVENT_COLUMNS, TYPED_COLLECTION_DDL
-from quakeframe.sinks.tables import append_run, write_partitioned
+from quakeframe.sinks.tables import RUN_COLUMN, append_run, write_partitioned
 from quakeframe.sources.landed import explode_features, read_feature_collections
 from quakeframe.sources.windows import check_window, in_date_range, with_chunk
 
@@ -95,7 +95,8 @@ def run_backfill(
 ) -> int:
     """Write all windows at once; returns the rows written.
 
-    ``append`` adds the rows as one run, so running it again replaces that run.
+    ``append`` adds the rows as a run of its own; with a ``run_id`` it replaces what an earlier
+    run of that id has written.
     ``overwrite`` replaces the whole table, after all windows were read.
     """
     if mode not in ("append", "overwrite"):
@@ -104,8 +105,8 @@ def run_backfill(
         spark, collections_path, one_per_line, TYPED_COLLECTION_DDL
     )
     flat = backfill_flat_rows(collections, start, end, window_days)
-    run = run_id or f"backfill-{start.isoformat()}-{end.isoformat()}"
     if mode == "append":
-        return append_run(flat, facts_path, run)
-    tagged = flat.select(*FLAT_EVENT_COLUMNS, F.lit(run).alias("run_id"))
-    return write_partitioned(tagged, facts_path, partitions=("year", "month", "day", "run_id"))
+        return append_run(flat, facts_path, run_id)
+    run = run_id or f"backfill-{start.isoformat()}-{end.isoformat()}"
+    tagged = flat.select(*FLAT_EVENT_COLUMNS, F.lit(run).alias(RUN_COLUMN))
+    return write_partitioned(tagged, facts_path, partitions=(RUN_COLUMN, *CALENDAR_PARTITIONS))

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quakeframe.defaults import BULK_BATCH_ROWS
 from quakeframe.operators.documents import hourly_documents, latest_documents
 from quakeframe.operators.hourly import build_region_hourly_stats_df
 from quakeframe.operators.latest import build_latest_event_df
@@ -49,7 +48,7 @@ def refresh_hourly(spark: SparkSession, latest_path: str, hourly_path: str, payl
         return None
     written = rebuild_hourly(latest, hourly_path)
     hourly = spark.read.schema(HOURLY_DDL).parquet(hourly_path)
-    write_bulk_payload(hourly_documents(hourly), payload_path, BULK_BATCH_ROWS)
+    write_bulk_payload(hourly_documents(hourly), payload_path)
     return written
 
 
@@ -64,5 +63,5 @@ def sync_latest(
     if latest is None:
         return False
     documents = latest_documents(key_scan(latest, event_ids))
-    write_bulk_payload(documents, payload_path, BULK_BATCH_ROWS)
+    write_bulk_payload(documents, payload_path)
     return True

@@ -55,7 +55,7 @@ def key_scan(
     keys: Sequence[str] | DataFrame | None,
     key: str = "event_id",
 ) -> DataFrame:
-    """Rows whose key is listed; no list, or an empty one, means every row.
+    """Rows whose key is listed. None means every row, an empty list or table none.
 
     A short list becomes a pushed-down IN. Anything longer is a semi join, which the
     adaptive planner turns into a broadcast only after it has seen the size.
@@ -65,8 +65,6 @@ def key_scan(
     if isinstance(keys, DataFrame):
         return df.join(keys.select(key), key, "left_semi")
     wanted = list(dict.fromkeys(keys))
-    if not wanted:
-        return df
     if len(wanted) <= MAX_IN_LIST:
         return df.filter(F.col(key).isin(wanted))
     listed = df.sparkSession.createDataFrame([(value,) for value in wanted], f"{key} string")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.defaults import CATALOG_LIMIT, MAX_WINDOW_DAYS
+from quakeframe.defaults import MAX_WINDOW_DAYS
 
 
 def check_window(start: date, end: date, window_days: int) -> None:
@@ -41,13 +41,18 @@ def chunk_date_range(spark: SparkSession, start: date, end: date, window_days: i
 def with_chunk(
     df: DataFrame, day: str | Column, start: str | Column, end: str | Column, window_days: int
 ) -> DataFrame:
-    """Add the window a day falls into, by arithmetic instead of a range join."""
+    """Add the window a day falls into, by arithmetic instead of a range join.
+
+    Days outside of the range have no window: both columns are null.
+    """
     if window_days < 1:
         raise ValueError("window_days must be at least 1")
     offset = F.date_diff(day, start)
-    chunk_start = F.date_add(start, (offset - F.pmod(offset, F.lit(window_days))).cast("int"))
+    inside = (offset >= 0) & (F.date_diff(end, day) >= 0)
+    first = F.date_add(start, (offset - F.pmod(offset, F.lit(window_days))).cast("int"))
+    chunk_start = F.when(inside, first)
     return df.withColumn("chunk_start", chunk_start).withColumn(
-        "chunk_end", F.least(F.date_add("chunk_start", window_days - 1), end)
+        "chunk_end", F.when(inside, F.least(F.date_add("chunk_start", window_days - 1), end))
     )
 
 
@@ -64,19 +69,18 @@ def catalog_range(
     end: date,
     time: str = "event_time_utc",
     tie_break: tuple[str, ...] = ("event_id",),
-    limit: int = CATALOG_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
-    """The earliest ``limit`` rows of a date range, ascending by time.
+    """All rows of a date range, ascending by time, or the earliest ``limit`` of them.
 
-    ``range_truncated`` tells whether the range held more rows than the limit, so a
+    ``range_truncated`` tells whether the range held more rows than a given limit, so a
     caller can read a shorter range instead of losing the rest unnoticed.
     """
     ordered = [F.col(time).asc(), *(F.col(name).asc() for name in tie_break)]
-    # A top-n of one row more than the limit, so the two windows see a bounded set.
-    head = df.filter(in_date_range(time, start, end)).orderBy(*ordered).limit(limit + 1)
-    numbered = head.withColumn("_row", F.row_number().over(Window.orderBy(*ordered)))
-    return (
-        numbered.withColumn("range_truncated", F.max("_row").over(Window.partitionBy()) > limit)
-        .filter(F.col("_row") <= limit)
-        .drop("_row")
-    )
+    inside = df.filter(in_date_range(time, start, end))
+    if limit is None:
+        return inside.withColumn("range_truncated", F.lit(False)).orderBy(*ordered)
+    # A scalar, worked out once: whether there is a row after the limit.
+    more = inside.orderBy(*ordered).offset(limit).limit(1).agg(F.count(F.lit(1)) > 0)
+    head = inside.orderBy(*ordered).limit(limit)
+    return head.withColumn("range_truncated", more.scalar()).orderBy(*ordered)

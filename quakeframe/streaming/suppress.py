@@ -16,10 +16,12 @@ from pyspark.storagelevel import StorageLevel
 
 from quakeframe.defaults import SUPPRESS_TTL_SECONDS
 from quakeframe.operators.suppress import MEMORY_DDL, NEVER, key_text, remember, suppress_after
-from quakeframe.sources.tables import drop_path
+from quakeframe.sources.tables import child_names, drop_path, table_exists
 
 STATE_STORE_SETTING = "spark.sql.streaming.stateStore.providerClass"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Batches of one generation; those of the next have higher numbers.
+GENERATION = 10**9
 LAST_PUBLISHED = T.StructType([T.StructField("us", T.LongType())])
 
 
@@ -100,39 +102,52 @@ def suppressing_writer(
     time: str = "observed_at",
     ttl_seconds: float = SUPPRESS_TTL_SECONDS,
     order: Sequence[str] = (),
+    generation: int = 0,
 ) -> Callable[[DataFrame, int], None]:
     """The same rule as a ``foreachBatch`` function, for streams with very frequent keys.
 
     The batch form does the work, so rows stay in the JVM and one key is spread over many
     tasks. What was published last is a small table, rewritten per batch: a repeated batch
     starts from the table of the batch before it. ``publish`` gets the rows and the batch id
-    and must replace its own output when a batch is repeated.
+    and must replace its own output when a batch is repeated. Raise ``generation`` when the
+    stream starts over with a new checkpoint; its first batch then goes on from what the last
+    generation remembered.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        memory = read_memory(batch.sparkSession, memory_path, batch_id - 1)
+    def write(batch: DataFrame, number: int) -> None:
+        batch_id = generation * GENERATION + number
+        memory = read_memory(batch.sparkSession, memory_path, batch_id)
         # One micro-batch, kept on memory and disk since the rule reads it more than once.
         seen = batch.persist(StorageLevel.MEMORY_AND_DISK)
         passed = suppress_after(seen, memory, key, time, ttl_seconds, order)
         passed = passed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            publish(passed, batch_id)
+            publish(passed, number)
             remember(memory, passed, key, time, ttl_seconds).write.mode("overwrite").parquet(
                 f"{memory_path}/batch_id={batch_id}"
             )
         finally:
             passed.unpersist()
             seen.unpersist()
-        drop_path(batch.sparkSession, f"{memory_path}/batch_id={batch_id - 2}")
+        for older in stored_batches(batch.sparkSession, memory_path, batch_id)[1:]:
+            drop_path(batch.sparkSession, f"{memory_path}/batch_id={older}")
 
     return write
 
 
-def read_memory(spark: SparkSession, memory_path: str, batch_id: int) -> DataFrame:
-    """Last published times after a batch; empty before the first."""
-    if batch_id < 0:
+def stored_batches(spark: SparkSession, memory_path: str, before: int) -> list[int]:
+    """Complete tables of batches before one, newest first; two at most in the normal course."""
+    numbers = [int(x.split("=")[1]) for x in child_names(spark, memory_path) if x.startswith("batch_id=")]
+    complete = [n for n in numbers if n < before and table_exists(spark, f"{memory_path}/batch_id={n}/_SUCCESS")]
+    return sorted(complete, reverse=True)
+
+
+def read_memory(spark: SparkSession, memory_path: str, before: int) -> DataFrame:
+    """Last published times after the newest batch before one; empty before the first."""
+    stored = stored_batches(spark, memory_path, before)
+    if not stored:
         return spark.createDataFrame([], MEMORY_DDL)
-    return spark.read.schema(MEMORY_DDL).parquet(f"{memory_path}/batch_id={batch_id}")
+    return spark.read.schema(MEMORY_DDL).parquet(f"{memory_path}/batch_id={stored[0]}")
 
 
 # Send what runs in Python workers by value, so that they need not have this package installed.

@@ -82,9 +82,8 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spread(raw: DataFrame) -> DataFrame:
-    """Use all cores for the JSON work where the scan has fewer files than there are cores."""
-    cores = raw.sparkSession.sparkContext.defaultParallelism
-    return raw.repartition(cores, "n") if len(raw.inputFiles()) < cores else raw
+    """Deal the rows out for the JSON work, which is heavier than the scan."""
+    return raw.repartition(raw.sparkSession.sparkContext.defaultParallelism, "n")
 
 
 def flat_rows(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:

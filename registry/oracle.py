@@ -161,10 +161,11 @@ def outcomes(reason: str) -> str:
 
 _FIRST = "date '2024-01-01'"
 _LAST = "date '2024-01-31'"
-# Windows are counted from the first day, backwards as well.
+# Days outside of the run are in none of its windows.
 CHUNKED = (
     f"select *, n as position, {_FIRST} + cast(floor(date_diff('day', {_FIRST}, cast({EVENT_TIME} as date))"
     f" / {WINDOW_DAYS}) * {WINDOW_DAYS} as integer) as chunk_start from raw"
+    f" where cast({EVENT_TIME} as date) between {_FIRST} and {_LAST}"
 )
 IN_RUN = f"select * from chunked where cast({EVENT_TIME} as date) between {_FIRST} and {_LAST}"
 
@@ -205,14 +206,17 @@ REVISIONS = {
 }
 
 
-def suppressed(key: str, ttl_seconds: int) -> str:
+def suppressed(key: str, ttl_seconds: int, missing: str = "false") -> str:
+    """Rows where ``missing`` holds have no time and count as seen on 1 March."""
     ttl_ms = ttl_seconds * 1_000
+    now = "epoch_ms(timestamp '2024-03-01')"
     return with_tables(
-        f"""select n, user_id, event_type, {OBSERVED} as observed_at from (
+        f"""select n, user_id, event_type, case when not ({missing}) then {OBSERVED} end as observed_at from (
               select raw.* from raw join chain on raw.{key} = chain.k and raw.observed_ms = chain.ms
               qualify row_number() over (partition by raw.{key}, raw.observed_ms order by n) = 1)""",
         recursive=True,
-        raw=RAW_SQL,
+        given=RAW_SQL,
+        raw=f"select * replace (case when {missing} then {now} else observed_ms end as observed_ms) from given",
         seen=f"select distinct {key} as k, observed_ms as ms from raw",
         chain=f"""select k, min(ms) as ms from seen group by k union all
             select * from (select chain.k,
@@ -307,7 +311,7 @@ HOURLY_DOCUMENT = _document({c: _kind(c) for c in HOURLY_COLUMNS}, "avg_latitude
 
 RANGE = "event_time_utc >= timestamp '2024-01-05' and event_time_utc < timestamp '2024-01-21'"
 WHOLE_RUN = "event_time_utc >= timestamp '2024-01-01' and event_time_utc < timestamp '2024-02-01'"
-CATALOG_ORDER = "order by event_time_utc, event_id limit 20000"
+CATALOG_ORDER = "order by event_time_utc, event_id"
 
 POINT_LATITUDE = "case when not short_point then latitude end"
 AS_FLOAT = (
@@ -338,7 +342,7 @@ ORACLE: dict[str, str] = {
         select cast(unnest(generate_series(first, last, interval {WINDOW_DAYS} day)) as date) as chunk_start, last
         from (select min(cast(ts as date)) as first, max(cast(ts as date)) as last from events))""",
     "s9_catalog_range": on_flat(
-        f"select event_id, event_time_utc, (select count(*) from flat where {RANGE}) > 20000 as range_truncated"
+        "select event_id, event_time_utc, false as range_truncated"
         f" from flat where {RANGE} {CATALOG_ORDER}"
     ),
     "k1_partitioned_write": on_latest(f"select {FLAT} from latest"),
@@ -348,6 +352,10 @@ ORACLE: dict[str, str] = {
         " case when event_type in ('view', 'click') then 'seen' else 'rest' end as run_id"
         " from flat join raw using (n)"
     ),
+    "k3_rerun_moved_days": on_flat(
+        f"select {', '.join('1 as day' if c == 'day' else c for c in FLAT_EVENT_COLUMNS)} from flat where n % 3 = 0"
+        f" union all select {FLAT} from flat where n % 5 = 1"
+    ),
     "k4_merge_upsert": on_flat(f"select {FLAT} from m3", **REVISIONS),
     "k5_bulk_payload_latest": on_latest(
         f"select event_id as document_id, {_action('earthquake-latest-event-v1', 'event_id')} as action_line,"
@@ -424,6 +432,7 @@ ORACLE: dict[str, str] = {
     ),
     "d5_suppress_recent": suppressed("user_id", USER_TTL_SECONDS),
     "d5_suppress_recent_hot_keys": suppressed("event_type", 3_600),
+    "d5_suppress_missing_times": suppressed("user_id", USER_TTL_SECONDS, missing="n % 7 = 0"),
     "a1_region_hourly_stats": on_hourly(f"select {HOURLY} from hourly"),
     **{
         name: on_hourly(f"select bucket_start_utc, region_text, {', '.join(columns)} from hourly")

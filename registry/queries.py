@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +43,7 @@ WINDOW_DAYS = 7
 STREAM_DAYS = 15
 LISTED_IDS = [f"e{number}" for number in range(0, 400, 3)]
 USER_TTL_SECONDS = 6 * 3_600
+RUN_READ_AT = datetime(2024, 3, 1, tzinfo=UTC)
 
 
 def query(function: Query) -> Query:
@@ -95,9 +96,8 @@ def chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = adapter.raw_rows(spark, sf_dir).withColumns(
         {"day": F.to_date(times.epoch_ms_expr("event_ms")), "observed_at": times.epoch_ms_expr("observed_ms")}
     )
-    return windows.with_chunk(raw, "day", F.lit(RUN_START), F.lit(RUN_END), WINDOW_DAYS).withColumnRenamed(
-        "n", "position"
-    )
+    in_windows = windows.with_chunk(raw, "day", F.lit(RUN_START), F.lit(RUN_END), WINDOW_DAYS)
+    return in_windows.filter("chunk_start is not null").withColumnRenamed("n", "position")
 
 
 # Sources
@@ -204,6 +204,18 @@ def k3_create_or_append(spark, sf_dir):
     return spark.read.schema(f"{FLAT_EVENT_DDL}, run_id string").parquet(path)
 
 
+@query
+def k3_rerun_moved_days(spark, sf_dir):
+    """A run repeated with its days moved and rows gone replaces all it had written."""
+    path = scratch_path(spark, "facts")
+    flat = adapter.flat_rows(spark, sf_dir, keep=("n",))
+    append_run(flat.drop("n"), path, "repeated")
+    append_run(flat.filter("n % 5 = 1").drop("n"), path)
+    moved = flat.filter("n % 3 = 0").withColumn("day", F.lit(1)).drop("n")
+    append_run(moved, path, "repeated")
+    return spark.read.schema(f"{FLAT_EVENT_DDL}, run_id string").parquet(path).drop("run_id")
+
+
 @query
 def k4_merge_upsert(spark, sf_dir):
     path = scratch_path(spark, "snapshot")
@@ -457,7 +469,16 @@ def d5_suppress_recent(spark, sf_dir):
 @query
 def d5_suppress_recent_hot_keys(spark, sf_dir):
     return suppress.suppress_recent(
-        _seen(spark, sf_dir), ("event_type",), order=("n",), max_array_rows=100
+        _seen(spark, sf_dir), ("event_type",), order=("n",)
+    )
+
+
+@query
+def d5_suppress_missing_times(spark, sf_dir):
+    """Every seventh row has no time; it counts as seen when the run reads it."""
+    seen = _seen(spark, sf_dir).withColumn("observed_at", F.when(F.col("n") % 7 != 0, F.col("observed_at")))
+    return suppress.suppress_recent(
+        seen, ("user_id",), ttl_seconds=USER_TTL_SECONDS, order=("n",), now=F.lit(RUN_READ_AT)
     )
 
 

@@ -20,6 +20,8 @@ from quakeframe.functions.values import (
     geo_point_expr,
     hash_key_expr,
     to_decimal_expr,
+    to_float_expr,
+    to_int_expr,
 )
 
 # place, region, city, state, city and state with blanks as null
@@ -115,3 +117,14 @@ def test_hash_key_and_point(spark):
     assert rows[0].k == hashlib.sha256(b"a|__null__").hexdigest()
     assert rows[1].k == hashlib.sha256(b"a|b").hexdigest()
     assert (rows[0].p.lat, rows[0].p.lon) == (1.0, 1.0) and rows[1].p is None
+
+
+def test_text_with_a_suffix_is_no_number(spark):
+    texts = ['"3.2d"', '"5f"', '"7F "', '"1e3D"', '"3.2"', '" 4 "', "5.5", "true", '"nan"', '"inf"', "null"]
+    leaf = F.parse_json("value")
+    rows = spark.createDataFrame([(t,) for t in texts], "value string").select(
+        to_float_expr(leaf).alias("d"), to_int_expr(leaf).alias("i")
+    ).collect()
+    assert [r.d for r in rows[:8]] == [None, None, None, None, 3.2, 4.0, 5.5, 1.0]
+    assert math.isnan(rows[8].d) and math.isinf(rows[9].d) and rows[10].d is None
+    assert [r.i for r in rows[:7]] == [None, None, None, None, None, 4, 5]

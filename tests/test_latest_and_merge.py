@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quakeframe.operators.latest import build_latest_event_df, dedupe_latest_rows
 from quakeframe.operators.merge import merge_counts, merge_in_order, merge_latest
 from quakeframe.sinks.snapshot import compact, read_snapshot, upsert_latest
-from tests.helpers import flat_frame, keys
+from tests.helpers import at, flat_frame, keys
 
 QUICK = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -143,3 +143,18 @@ def test_stored_snapshot_equals_merging_in_turn(spark, tmp_path):
 
 def test_missing_snapshot_is_empty(spark, tmp_path):
     assert read_snapshot(spark, str(tmp_path / "none")).count() == 0
+
+
+@QUICK
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.sampled_from([None, 1, 2]), st.sampled_from([None, 5, 6]), st.integers(0, 4)), min_size=1, max_size=14))
+def test_one_pass_merge_equals_repeated_merges(spark, rows):
+    one_each = {(row[0], row[3]): row for row in rows}.values()
+    ddl = "event_id string, updated_time_utc timestamp, event_time_utc timestamp, batch int"
+    frame = spark.createDataFrame([(k, at(u), at(t), b) for k, u, t, b in one_each], ddl)
+    merged = frame.limit(0)
+    for number in sorted({row[3] for row in one_each}):
+        merged = merge_latest(merged, frame.filter(F.col("batch") == number))
+    columns = ("event_id", "updated_time_utc", "event_time_utc", "batch")
+    assert sorted(map(tuple, merge_in_order(frame, "batch").select(*columns).collect()), key=str) == sorted(
+        map(tuple, merged.select(*columns).collect()), key=str
+    )

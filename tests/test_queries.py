@@ -9,7 +9,7 @@ import __spark_entry__ as entry_point
 from tools.check_oracle import comparable
 
 SMALL = "/root/testdata/sf0.001"
-NAMES = sorted(entry_point.queries())
+NAMES = sorted(entry_point.oracle_sql())
 
 
 @pytest.fixture(scope="module")

@@ -11,9 +11,9 @@ from quakeframe.plans.backfill import run_backfill
 from quakeframe.plans.rebuild import rebuild_latest, refresh_hourly, sync_latest
 from quakeframe.schemas import FLAT_EVENT_DDL
 from quakeframe.session import scratch_path, shared_dir
-from quakeframe.sinks.tables import append_run, write_partitioned
+from quakeframe.sinks.tables import append_run, run_folder, write_partitioned
 from quakeframe.sources.landed import explode_features, parse_feature_collection, payload_rows
-from quakeframe.sources.tables import MAX_IN_LIST, key_scan, table_scan_if_exists
+from quakeframe.sources.tables import MAX_IN_LIST, drop_path, key_scan, table_scan_if_exists
 from quakeframe.sources.windows import catalog_range, chunk_date_range, with_chunk
 from tests.helpers import flat_frame, keys
 
@@ -48,6 +48,15 @@ def test_windows_cover_the_range_once(spark, start, length, days):
     assert set(keys(tagged, "chunk_start", "chunk_end")) == set(windows)
 
 
+def test_days_outside_of_a_run_have_no_window(spark):
+    days = [date(2023, 12, 30), date(2024, 1, 1), date(2024, 1, 31), date(2024, 2, 20), None]
+    df = spark.createDataFrame([(d,) for d in days], "day date")
+    rows = with_chunk(df, "day", F.lit(date(2024, 1, 1)), F.lit(date(2024, 1, 31)), 7).collect()
+    assert [(r.chunk_start, r.chunk_end) for r in rows] == [
+        (None, None), (date(2024, 1, 1), date(2024, 1, 7)), (date(2024, 1, 29), date(2024, 1, 31)), (None, None), (None, None),
+    ]
+
+
 def test_catalog_range_tells_when_it_was_cut(spark):
     flat = flat_frame(spark, [(f"e{i}", 1, 86_400 + i, float(i)) for i in range(10)] + [("out", 1, 5, 0.0)])
     whole = catalog_range(flat, date(2024, 1, 2), date(2024, 1, 2)).collect()
@@ -58,7 +67,8 @@ def test_catalog_range_tells_when_it_was_cut(spark):
 
 def test_key_scan(spark):
     df = spark.createDataFrame([(f"e{i}", i) for i in range(2 * MAX_IN_LIST)], "event_id string, n int")
-    assert key_scan(df, None).count() == key_scan(df, []).count() == 2 * MAX_IN_LIST
+    assert key_scan(df, None).count() == 2 * MAX_IN_LIST
+    assert key_scan(df, []).count() == key_scan(df, df.limit(0)).count() == 0
     assert keys(key_scan(df, ["e3", "e3", "none"]), "n") == [(3,)]
     many = [f"e{i}" for i in range(MAX_IN_LIST + 5)]
     assert key_scan(df, many).count() == len(many)
@@ -105,6 +115,25 @@ def test_runs_replace_themselves(spark, tmp_path):
     ]
 
 
+def test_a_repeated_run_may_move_its_rows_to_other_days(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    append_run(flat_frame(spark, [("a", 5, 1, 1.0), ("b", 5, 2, 1.0), ("c", 6, 3, 1.0)]), path, "r/1")
+    append_run(flat_frame(spark, [("a", 6, 400_000, 2.0), ("b", 6, 3, 1.0)]), path, "r/1")
+    append_run(flat_frame(spark, [("z", 1, 4, 1.0)]), path)
+    assert keys(spark.read.parquet(path), "event_id", "mag") == [("a", 2.0), ("b", 1.0), ("z", 1.0)]
+
+
+def test_a_crash_after_the_removal_is_repaired_by_the_repeat(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    rows = flat_frame(spark, [("a", 5, 1, 1.0), ("b", 5, 90_000, 2.0)])
+    append_run(rows, path, "kept")
+    append_run(rows, path, "again")
+    drop_path(spark, run_folder(path, "again"))  # what is left by a crash between removal and write
+    assert spark.read.parquet(path).count() == 2
+    append_run(rows, path, "again")
+    assert spark.read.parquet(path).count() == 4
+
+
 def test_partition_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "facts")
     write_partitioned(flat_frame(spark, [("a", 1, 1, 1.0), ("b", 1, 90_000, 2.0)]), path)
@@ -136,9 +165,11 @@ def test_backfill_to_served_documents(spark, tmp_path):
         feature("a", start + 20 * day, 9.0), feature("q", start, type="quarry blast"), feature("c", start + day, "4.5"),
     )))
     run = dict(start=date(2024, 1, 1), end=date(2024, 1, 31), window_days=10)
-    assert run_backfill(spark, str(landed), facts, **run) == 3
-    assert run_backfill(spark, str(landed), facts, **run) == 3
+    assert run_backfill(spark, str(landed), facts, run_id="january", **run) == 3
+    assert run_backfill(spark, str(landed), facts, run_id="january", **run) == 3
     assert keys(spark.read.parquet(facts), "event_id", "mag") == [("a", 1.0), ("b", 1.0), ("c", None)]
+    assert run_backfill(spark, str(landed), facts, **run) == 3
+    assert spark.read.parquet(facts).count() == 6
     assert run_backfill(spark, str(landed), facts, mode="overwrite", **run) == 3
     latest, stats, bulk = (str(tmp_path / name) for name in ("latest", "hourly", "bulk"))
     assert rebuild_latest(spark, facts, latest) == 3

@@ -8,6 +8,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from quakeframe.operators import suppress
 from quakeframe.operators.suppress import suppress_recent
@@ -54,30 +55,42 @@ def test_zero_ttl_only_drops_equal_times(spark):
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(-500, 500)), min_size=1, max_size=80), st.integers(1, 90))
-def test_arrays_follow_the_plain_rule(spark, rows, ttl):
+def test_ranges_follow_the_plain_rule(spark, rows, ttl):
     assert run(spark, rows, ttl)[0] == plain_rule(rows, ttl)
 
 
 @pytest.mark.parametrize(
-    "ttl, span, step, slots, fan_in",
-    [(3600, 40_000, 60, 24, 64), (60, 50_000, 1, 24, 3), (1800, 400_000, 60, 4, 6), (61, 30_000, 1, 8, 4), (100, 30_000, 100, 1, 9)],
+    "ttl, span, step, leaf",
+    [(3600, 40_000, 60, 50), (60, 50_000, 1, 7), (1800, 400_000, 60, 1000), (61, 30_000, 1, 3), (30_000, 30_000, 1, 20)],
 )
-def test_segments_follow_the_plain_rule(spark, monkeypatch, ttl, span, step, slots, fan_in):
-    """Frequent keys, on several levels of segments, next to rare keys."""
-    monkeypatch.setattr(suppress, "LEAF_SLOTS", slots)
-    monkeypatch.setattr(suppress, "FAN_IN", fan_in)
+def test_pieces_follow_the_plain_rule(spark, monkeypatch, ttl, span, step, leaf):
+    """Frequent keys over many ranges and pieces, next to rare keys."""
+    monkeypatch.setattr(suppress, "LEAF_ROWS", leaf)
     rng = random.Random(ttl)
     rows = [("hot", rng.randrange(-span // 3, span) // step * step) for _ in range(1500)]
     rows += [("warm", rng.randrange(span)) for _ in range(150)]
     rows += [(f"rare{i}", rng.randrange(span)) for i in range(20) for _ in range(3)]
-    assert run(spark, rows, ttl, max_array_rows=100)[0] == plain_rule(rows, ttl)
+    assert run(spark, rows, ttl)[0] == plain_rule(rows, ttl)
+
+
+def test_a_busy_day_of_one_key_is_spread(spark):
+    """No piece holds more than its share of a million times of one key on one day."""
+    times = spark.range(1_000_000).selectExpr("'k' as _key", "id * 86400 as _us")
+    ranged = times.repartitionByRange(16, "_key", "_us").sortWithinPartitions("_key", "_us")
+    pieces = ranged.mapInArrow(suppress._chain(3_600_000_000, suppress.LEAF_ROWS), suppress.CHAIN_DDL)
+    sizes = [row["count"] for row in pieces.groupBy("_piece").count().collect()]
+    assert sum(sizes) == 1_000_000 and len(sizes) >= 20 and max(sizes) <= suppress.LEAF_ROWS
+    assert suppress.kept_times(times, 3_600_000_000).count() == 24
 
 
-def test_more_frequent_keys_than_may_be_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(suppress, "MAX_BROADCAST_KEYS", 2)
-    rng = random.Random(1)
-    rows = [(f"k{i % 5}", rng.randrange(5_000)) for i in range(400)]
-    assert run(spark, rows, 120, max_array_rows=10)[0] == plain_rule(rows, 120)
+def test_rows_without_a_time_count_as_seen_now(spark):
+    df = spark.createDataFrame(
+        [("a", None, 1), ("a", None, 2), ("b", at(0), 3), ("b", at(5), 4), ("b", None, 5)],
+        "event_id string, observed_at timestamp, n int",
+    )
+    kept = suppress_recent(df, ttl_seconds=60, order=("n",), now=F.lit(at(3600))).collect()
+    assert sorted(row.n for row in kept) == [1, 3, 5]
+    assert len(suppress_recent(df, ttl_seconds=60, order=("n",)).collect()) == 3
 
 
 def test_several_key_columns_and_null_keys(spark):
@@ -92,7 +105,7 @@ def test_several_key_columns_and_null_keys(spark):
 
 def test_worker_code_does_not_need_the_package():
     """A process that cannot import this package can load what is sent to the workers."""
-    shipped = [suppress._summarise(1, 1), suppress._combine(1), suppress._walk(1), suppress._mark(1)]
+    shipped = [suppress._chain(1, 1), suppress._summarise(1), suppress._walk(1), suppress._mark(1)]
     loaded = subprocess.run(
         [sys.executable, "-c", "import pickle, sys; pickle.load(sys.stdin.buffer)"],
         input=cloudpickle.dumps([*shipped, LastPublished(1, [], None)]),
