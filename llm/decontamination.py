@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from llm.blocks import small_batches
 from llm.hashing import GOLDEN, SECOND, U64, gram_hashes, in_sorted, mix, pieces, ranges, text_bytes, word_hashes, words_of
 
 SEED_WORDS = 3
@@ -237,6 +238,7 @@ def benchmark_blocks(benchmark: DataFrame) -> Iterator[Items]:
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows ``MATCHES``: every document and item that match, with the fewest edits found."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = docs.sparkSession.createDataFrame([], MATCHES)
     for items in benchmark_blocks(benchmark):
@@ -260,6 +262,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no item is found, with all their columns."""
+    small_batches(docs.sparkSession)
     for items in benchmark_blocks(benchmark):
 
         def clean(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:

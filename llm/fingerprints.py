@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from llm.blocks import small_batches
 from llm.hashing import GOLDEN, U64, mix, text_bytes
 
 LEVELS = 3
@@ -205,6 +206,7 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     Rows are sorted over all partitions once; neighbours across the borders of partitions are
     found among the first and last rows of the partitions.
     """
+    small_batches(docs.sparkSession)
     order = [F.col("doc_id").desc_nulls_last(), F.col("doc")]
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from llm.blocks import small_batches
 from llm.storage import written
 
 RARE = 16
@@ -146,6 +147,7 @@ def removed_lines(lines: DataFrame, rare: int = RARE, seeds: int = SEEDS) -> Dat
 
 def remove_common_lines(docs: DataFrame, rare: int = RARE, seeds: int = SEEDS) -> DataFrame:
     """All columns of the documents with what is left of ``text``, and ``n_lines`` and ``n_removed``."""
+    small_batches(docs.sparkSession)
     ordered, lines = line_tables(docs)
     joined = ordered.join(removed_lines(lines, rare, seeds), "_order", "left")
     kept = [x for x in docs.columns if x.lower() not in ("n_lines", "n_removed", "_order", "_removed")]

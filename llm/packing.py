@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from llm.blocks import small_batches
 from llm.storage import written
 from llm.token_ids import known_words
 
@@ -42,6 +43,7 @@ PIECES = (
 
 def tokenize(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Rows (uid, doc_id, queue, doc, tokens, ids), written; ids are packed 32-bit numbers."""
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.monotonically_increasing_id().alias("uid"),
         F.col("doc_id").cast("long").alias("doc_id"),

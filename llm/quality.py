@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from llm.blocks import small_batches
 from llm.hashing import U64, pieces, word_hashes, words_of
 
 SAMPLE = 6_000
@@ -174,6 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
 
 def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """All columns of the documents, and held_out, score and predicted for each."""
+    small_batches(docs.sparkSession)
     model = train(docs, labels, sample)
     added = "held_out boolean, score double, predicted int"
     taken = [x for x in docs.columns if x.lower() not in ("held_out", "score", "predicted")]
@@ -194,6 +196,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The documents that the model accepts, with all their columns."""
+    small_batches(docs.sparkSession)
     model = train(docs, labels, sample)
     if model is None:
         return docs

@@ -19,8 +19,8 @@ import pyarrow as pa
 
 from llm.hashing import U64, in_sorted, pieces, ranges, word_hashes, words_of
 
-KNOWN_WORDS = 2_000_000
-KNOWN_PIECES = 200_000
+KNOWN_WORDS = 600_000
+KNOWN_PIECES = 100_000
 BATCH_BYTES = 4 << 20
 # Up to here letters change case one by one and are composed already; the one exception is U+0130.
 SIMPLE = 0x250
