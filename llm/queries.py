@@ -5,12 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from llm import decontamination, fingerprints, line_dedup, lm_scoring, ngram_join, packing, pii, quality, substring_dedup, suffix_array_dedup
+from pyspark.sql import functions as F
+
+from llm import (
+    decontamination,
+    fingerprints,
+    line_dedup,
+    lm_scoring,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    substring_dedup,
+    suffix_array_dedup,
+)
+from llm.oracle import ORACLE as ORACLE  # registered with the queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-
 # Not a secret here: a real key comes from the caller's key store.
 PSEUDONYM_KEY = "op7-demonstration-key"
 
@@ -36,7 +48,9 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.score_documents(documents(spark, sf_dir))
+    scores = lm_scoring.score_documents(documents(spark, sf_dir))
+    rounded = {"log_score": F.round("log_score", 4), "mean_log_score": F.round("mean_log_score", 6)}
+    return scores.withColumns(rounded)
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,4 +87,3 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     name: value for name, value in list(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
-ORACLE: dict[str, str] = {}
