@@ -26,22 +26,37 @@ LAST_PUBLISHED = T.StructType([T.StructField("us", T.LongType())])
 
 
 class LastPublished(StatefulProcessor):
-    """Remembers, per key, the time of the last published row."""
+    """Remembers, per key, the time of the last published row until its time to live is over.
 
-    def __init__(self, ttl: int, columns: list[str], state_ttl_ms: int | None) -> None:
+    A timer on the rows' own time ends the state: once the watermark has passed the last time plus
+    the time to live, no row that may still come is suppressed by it.
+    """
+
+    def __init__(self, ttl: int, columns: list[str]) -> None:
         self._ttl = ttl
         self._columns = columns
-        self._state_ttl_ms = state_ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last_published", LAST_PUBLISHED, self._state_ttl_ms)
+        self._handle = handle
+        self._last = handle.getValueState("last_published", LAST_PUBLISHED)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self._last.exists() and self._end() <= expiredTimerInfo.getExpiryTimeInMs():
+            self._last.clear()
+        yield pd.DataFrame()
+
+    def _end(self) -> int:
+        """First millisecond after the time to live of the last published row."""
+        return (self._last.get()[0] + self._ttl) // 1_000 + 1
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         after = self._last.get()[0] + self._ttl if self._last.exists() else NEVER
         # Rows still inside the time to live are dropped chunk by chunk. What is left of
         # this key is at most what one micro-batch brought.
         open_rows = [chunk[chunk["seen_us"] > after] for chunk in rows]
-        pdf = pd.concat(open_rows).sort_values(["seen_us", "seen_order"], kind="stable")
+        pdf = pd.concat(open_rows)
+        ordered = [name for name in pdf.columns if name.startswith("seen_order_")]
+        pdf = pdf.sort_values(["seen_us", *ordered, "seen_order"], kind="stable")
         times = pdf["seen_us"].to_numpy()
         kept = []
         at = 0
@@ -50,6 +65,7 @@ class LastPublished(StatefulProcessor):
             at = int(np.searchsorted(times, times[at] + self._ttl, "right"))
         if kept:
             self._last.update((int(times[kept[-1]]),))
+            self._handle.registerTimer(self._end())
             yield pdf.iloc[kept][self._columns]
 
     def close(self) -> None:
@@ -67,31 +83,33 @@ def suppress_recent_stream(
     key: Sequence[str] = ("event_id",),
     time: str = "observed_at",
     ttl_seconds: float = SUPPRESS_TTL_SECONDS,
-    state_ttl_seconds: int | None = None,
+    order: Sequence[str] = (),
+    late_seconds: float = 0,
 ) -> DataFrame:
     """Rows to publish, equal to the batch form when batches arrive in time order.
 
-    Limit the size of a micro-batch at the source. ``state_ttl_seconds`` forgets idle keys
-    by the clock; set it above the time to live, and only where ``time`` is the clock time.
-    Column names must not begin with an underscore, which row tuples do not allow.
+    Of rows equal in key and time the first by ``order`` counts. The state of a key ends with its
+    time to live, by the watermark on ``time``, so it does not grow with the number of keys ever
+    seen. ``late_seconds`` is how far rows may be behind the newest one; those later still
+    are dropped, and so are rows without a time, which have no place in the order.
+    Limit the size of a micro-batch at the source. Column names must not begin with an
+    underscore, which row tuples do not allow.
     """
     use_state_store(stream.sparkSession)
-    processor = LastPublished(
-        round(ttl_seconds * 1_000_000),
-        stream.columns,
-        None if state_ttl_seconds is None else state_ttl_seconds * 1_000,
-    )
-    keyed = stream.select(
+    processor = LastPublished(round(ttl_seconds * 1_000_000), stream.columns)
+    timed = stream.filter(F.col(time).isNotNull()).withWatermark(time, f"{round(late_seconds * 1_000)} milliseconds")
+    keyed = timed.select(
         "*",
         key_text(key).alias("seen_key"),
         F.unix_micros(time).alias("seen_us"),
+        *[F.col(name).alias(f"seen_order_{at}") for at, name in enumerate(order)],
         F.xxhash64(*stream.columns).alias("seen_order"),
     )
     return keyed.groupBy("seen_key").transformWithStateInPandas(
         processor,
         outputStructType=stream.schema,
         outputMode="Append",
-        timeMode="None" if state_ttl_seconds is None else "ProcessingTime",
+        timeMode="EventTime",
     )
 
 

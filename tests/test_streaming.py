@@ -123,6 +123,33 @@ def test_batch_form_equals_the_rule_with_repeats(spark, tmp_path):
     assert pairs(spark.read.parquet(out)) == sorted(plain_rule(rows, 600))
 
 
+def test_state_ends_with_the_time_to_live(spark, tmp_path):
+    inbox, out, offsets = (str(tmp_path / n) for n in ("inbox", "out", "offsets"))
+    batches = [[(f"k{i}", i) for i in range(20)], [("late", 5_000)], [("later", 9_000)], [("k3", 9_001)]]
+    for number, batch in enumerate(batches):
+        write_batch(spark, inbox, batch, number)
+        stream = spark.readStream.schema(SEEN).parquet(inbox)
+        query = (
+            suppress_recent_stream(stream, ttl_seconds=600, order=("n",))
+            .writeStream.trigger(availableNow=True).option("checkpointLocation", offsets)
+            .format("parquet").start(out)
+        )
+        query.awaitTermination()
+    kept = spark.read.format("statestore").option("stateVarName", "last_published").load(offsets).count()
+    assert kept <= 3
+    assert len(pairs(spark.read.schema(SEEN).parquet(out))) == 23
+
+
+def test_a_new_checkpoint_goes_on_from_the_memory(spark, tmp_path):
+    memory, sizes = str(tmp_path / "memory"), []
+    for generation, second in ((0, 0), (1, 30)):
+        writer = suppressing_writer(
+            lambda df, batch_id: sizes.append(df.count()), memory, ttl_seconds=60, generation=generation
+        )
+        writer(spark.createDataFrame([("a", at(second), 0)], SEEN), 0)
+    assert sizes == [1, 0]
+
+
 def test_idle_keys_are_forgotten(spark, tmp_path):
     memory = str(tmp_path / "memory")
     writer = suppressing_writer(lambda df, batch_id: df.count(), memory, ttl_seconds=60)
