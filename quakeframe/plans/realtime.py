@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from quakeframe.operators.suppress import suppress_recent
 from quakeframe.session import materialize
 from quakeframe.sources.landed import explode_features
 from quakeframe.streaming.consumer import BatchReport, batch_writer, consume
+from quakeframe.streaming.suppress import suppressing_writer
 
 
 def realtime_messages(
@@ -30,12 +32,18 @@ def realtime_messages(
     ``ttl_seconds`` after it was published, also when its content changed; a longer
     ``key`` publishes changed content at once.
     """
-    features = explode_features(fetches)
+    published = suppress_recent(folded_fetches(fetches), key, "observed_at", ttl_seconds, ("position",))
+    return encoded(published, source_feed, topic)
+
+
+def folded_fetches(fetches: DataFrame) -> DataFrame:
+    """One row per id and fetch, with the feature as text; written, since it is read more than once."""
     # Variants cannot be compared, so the copies are folded as text.
-    text = features.withColumn("feature", F.to_json("feature"))
-    # Suppression reads its input more than once; the documents are parsed only here.
-    unique = materialize(unique_features(text, ["observed_at"]), "features")
-    published = suppress_recent(unique, key, "observed_at", ttl_seconds, ("position",))
+    text = explode_features(fetches).withColumn("feature", F.to_json("feature"))
+    return materialize(unique_features(text, ["observed_at"]), "features")
+
+
+def encoded(published: DataFrame, source_feed: str | Column, topic: str) -> DataFrame:
     typed = published.withColumn("feature", F.parse_json("feature"))
     feed = F.lit(source_feed) if isinstance(source_feed, str) else source_feed
     envelopes = build_event_envelope(
@@ -44,6 +52,54 @@ def realtime_messages(
     return encode_envelope(envelopes)
 
 
+@dataclass(frozen=True)
+class FetchReport:
+    batch_id: int
+    source_feed: str
+    title: str | None
+    fetched_count: int
+    unique_count: int
+    published_count: int
+    duplicate_count: int
+
+
+def realtime_writer(
+    publish: Callable[[DataFrame, int], None],
+    memory_path: str,
+    source_feed: str,
+    topic: str = RAW_TOPIC,
+    ttl_seconds: float = SUPPRESS_TTL_SECONDS,
+    key: tuple[str, ...] = ("event_id",),
+    generation: int = 0,
+    on_batch: Callable[[FetchReport], None] | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """``realtime_messages`` as a ``foreachBatch`` function over a stream of fetched collections.
+
+    What was published is remembered from batch to batch, so an id stays silent for its time to
+    live also across batches. ``publish`` gets the messages and the batch id, and must replace
+    its own output when a batch is repeated.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fetched, title = batch.agg(
+            F.coalesce(F.sum(F.size("features")), F.lit(0)), F.max("metadata.title")
+        ).first()
+        unique = folded_fetches(batch)
+        sent = []
+
+        def send(passed: DataFrame, number: int) -> None:
+            sent.append(passed.count())
+            publish(encoded(passed, source_feed, topic), number)
+
+        suppressing_writer(send, memory_path, key, "observed_at", ttl_seconds, ("position",), generation)(
+            unique, batch_id
+        )
+        if on_batch is not None:
+            on_batch(FetchReport(batch_id, source_feed, title, fetched, unique.count(), sent[0], fetched - sent[0]))
+
+    return write
+
+
 def run_consumer(
     messages: DataFrame,
     facts_path: str,

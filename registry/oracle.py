@@ -550,4 +550,17 @@ ORACLE: dict[str, str] = {
         f" {ISO.format(t='make_timestamp(cast(floor(n / 500) as bigint) * 3600000000)')} as ingest_time_utc, nst"
         " from raw qualify row_number() over (partition by event_id order by n desc) = 1"
     ),
+    "route_realtime_stream": on_raw(
+        "select event_id as key, concat('u', cast(cast(floor(n / 500) as bigint) as varchar)) as source_feed,"
+        " hour as ingest_time_utc, nst from (select * from raw"
+        " qualify row_number() over (partition by event_id order by n desc) = 1)"
+        " cross join (values ('1970-01-01T00:00:00Z'), ('1970-01-01T02:00:00Z')) hours(hour)"
+    ),
+    "a3_realtime_fetch_metrics": on_raw(
+        f"select batch_id, '{SOURCE_FEED}' as source_feed, 't' as title, count(*) as fetched_count,"
+        " count(distinct event_id) as unique_count,"
+        " count(distinct case when batch_id <> 1 then event_id end) as published_count,"
+        " count(*) - count(distinct case when batch_id <> 1 then event_id end) as duplicate_count"
+        " from raw cross join (values (0), (1), (2)) batches(batch_id) group by batch_id"
+    ),
 }

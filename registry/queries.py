@@ -41,6 +41,7 @@ RANGE_START, RANGE_END = date(2024, 1, 5), date(2024, 1, 20)
 RUN_START, RUN_END = date(2024, 1, 1), date(2024, 1, 31)
 WINDOW_DAYS = 7
 STREAM_DAYS = 15
+FETCH_SECONDS = (0, 1_800, 7_200)
 LISTED_IDS = [f"e{number}" for number in range(0, 400, 3)]
 USER_TTL_SECONDS = 6 * 3_600
 RUN_READ_AT = datetime(2024, 3, 1, tzinfo=UTC)
@@ -854,3 +855,50 @@ def route_realtime_messages(spark, sf_dir):
         F.get_json_object("value", "$.ingest_time_utc").alias("ingest_time_utc"),
         F.get_json_object("value", "$.feature.properties.nst").cast("int").alias("nst"),
     )
+
+
+def _realtime_stream(spark, sf_dir):
+    """All documents fetched at the hours 0, 0.5 and 2, one fetch in each micro-batch."""
+    inbox, path = scratch_path(spark, "fetched"), scratch_path(spark, "published")
+    documents = adapter.collections(spark, sf_dir).select("value")
+    for seconds in FETCH_SECONDS:
+        seen = documents.withColumn("observed_at", F.timestamp_seconds(F.lit(seconds)))
+        seen.coalesce(1).write.mode("append").parquet(inbox)
+    reports: list[realtime.FetchReport] = []
+
+    def publish(messages, batch_id):
+        messages.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = realtime.realtime_writer(
+        publish, scratch_path(spark, "memory"), adapter.SOURCE_FEED, on_batch=reports.append
+    )
+
+    def write(batch, batch_id):
+        writer(landed.parse_feature_collection(batch), batch_id)
+
+    stream = spark.readStream.schema("value string, observed_at timestamp").option("maxFilesPerTrigger", 1)
+    consume(stream.parquet(inbox), write, scratch_path(spark, "offsets"), drain=True).awaitTermination()
+    return path, reports
+
+
+@query
+def route_realtime_stream(spark, sf_dir):
+    """Landed documents as a stream; an id is silent for an hour after it was published."""
+    path, _ = _realtime_stream(spark, sf_dir)
+    return spark.read.parquet(path).select(
+        "key",
+        F.get_json_object("value", "$.source_feed").alias("source_feed"),
+        F.get_json_object("value", "$.ingest_time_utc").alias("ingest_time_utc"),
+        F.get_json_object("value", "$.feature.properties.nst").cast("int").alias("nst"),
+    )
+
+
+@query
+def a3_realtime_fetch_metrics(spark, sf_dir):
+    """What each fetch of the stream brought, with its feed and title."""
+    _, reports = _realtime_stream(spark, sf_dir)
+    return spark.createDataFrame(
+        [(r.batch_id, r.source_feed, r.title, r.fetched_count, r.unique_count, r.published_count, r.duplicate_count) for r in reports],
+        "batch_id int, source_feed string, title string, fetched_count long, unique_count long,"
+        " published_count long, duplicate_count long",
+    )
