@@ -34,6 +34,8 @@ LENGTH = 4096
 END_ID = 2
 WINDOW_SEQUENCES = 64
 SHARD_TOKENS = 8 << 20
+# Chunks of the corpus for prefix sums, for each shard's worth of tokens.
+CHUNKS = 16
 SLICE_ROWS = 2_000
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -97,7 +99,7 @@ def schedule(totals: dict[str, int], targets: dict[str, float]) -> dict[str, lis
 def due_times(light: DataFrame, targets: dict[str, float] | None) -> tuple[DataFrame, int]:
     """Rows with ``due`` (tokens of all sources before the document) and ``share``; and all tokens."""
     total = light.agg(F.sum("tokens")).first()[0] or 0
-    count = max(1, -(-total // SHARD_TOKENS)) * 2
+    count = max(1, -(-total * CHUNKS // SHARD_TOKENS))
     rows = light.withColumn("chunk", F.pmod("doc", F.lit(count)).cast("int"))
     in_chunk = Window.partitionBy("queue", "chunk").orderBy("doc", "uid").rowsBetween(Window.unboundedPreceding, -1)
     before_chunk = Window.partitionBy("queue").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
