@@ -1,4 +1,4 @@
-"""Connected components of links by alternating large and small stars."""
+"""Connected components of links by jumping to smaller nodes and contracting."""
 
 from __future__ import annotations
 
@@ -47,29 +47,28 @@ def contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): for every node with an edge the smallest node of its component.
 
-    Every round first links the larger neighbours of each node to the smallest, then the smaller
-    ones; when nothing changes, all that is left are stars. Each round is written, so that a later
-    one does not depend on executors that held an earlier one.
+    In every round an edge to a node goes on to the smallest neighbour of that node instead, and
+    what then meets at a node is contracted. When nothing changes, all that is left are stars.
+    Each round is written, so that a later one does not depend on executors that held an earlier one.
     """
     first, second = edges.columns
     oriented = edges.select(F.greatest(first, second).alias("high"), F.least(first, second).alias("low"))
-    # All edges of a node meet before they are contracted, so each node leaves a partition once.
-    dealt = oriented.filter("high <> low").repartition("high")
-    now = written(dealt.mapInArrow(contracted, EDGE).distinct(), "edges")
+    now = written(met(oriented.filter("high <> low")), "edges")
     state = None
     while True:
         mark = F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))
         found = tuple(now.agg(F.count("*"), mark).first())
         if found == state or not found[0]:
+            # A node is high once at most now; only roots are low.
             return now.select(F.col("high").alias("node"), F.col("low").alias("root")).unionByName(
                 now.select(F.col("low").alias("node"), F.col("low").alias("root")).distinct()
             )
         state = found
-        both = now.unionByName(now.select(F.col("low").alias("high"), F.col("high").alias("low")))
-        least = both.groupBy("high").agg(F.min("low").alias("m")).select("high", F.least("m", "high").alias("m"))
-        large = both.join(least, "high").filter("low > high").select(F.col("low").alias("high"), F.col("m").alias("low"))
-        large = large.distinct()
-        least = large.groupBy("high").agg(F.min("low").alias("m"))
-        small = large.join(least, "high").filter("low <> m").select(F.col("low").alias("high"), F.col("m").alias("low"))
-        both = small.unionByName(least.select("high", F.col("m").alias("low")))
-        now = written(both.filter("high <> low").distinct(), "edges")
+        least = now.groupBy("high").agg(F.min("low").alias("least")).withColumnRenamed("high", "low")
+        onward = now.join(least, "low", "left").select("high", F.coalesce("least", "low").alias("low"))
+        now = written(met(onward), "edges")
+
+
+def met(edges: DataFrame) -> DataFrame:
+    """All edges of a node meet and are contracted, so each node leaves a partition once."""
+    return edges.repartition("high").mapInArrow(contracted, EDGE)
