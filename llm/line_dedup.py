@@ -1,9 +1,8 @@
 """Line dedup by pairwise alignment.
 
 Every line that several documents share belongs to the earliest of them. A later document is
-paired with the owners of its rare shared lines: those in at most ``RARE`` documents, and its
-``SEEDS`` rarest whatever their number, so that a group of thousands of copies is found too. There
-is one pair for each owner, not one for each two documents. Each pair is aligned by patience diff on
+paired with the owners of all its shared lines. There is one pair for each owner, not one for each
+two documents; an owner of very many is repeated in parts. Each pair is aligned by patience diff on
 line hashes: lines that occur once on both sides are anchors, the longest chain of them in order
 is kept, and equal lines next to anchors join them. Runs of aligned lines with at least
 ``BLOCK_CHARS`` characters are deleted from the later document.
@@ -28,8 +27,7 @@ from pyspark.sql import functions as F
 from llm.blocks import small_batches
 from llm.storage import written
 
-RARE = 16
-SEEDS = 4
+OWNER_PAIRS = 1_000
 LINE_CHARS = 20
 BLOCK_CHARS = 24
 LAST_ID = 2**63 - 1
@@ -116,23 +114,30 @@ def line_tables(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ordered, written(hashes, "lines")
 
 
-def pairs_of(lines: DataFrame, rare: int = RARE, seeds: int = SEEDS) -> DataFrame:
-    """(owner, later): each document with the earliest holders of its rare shared lines."""
+def pairs_of(lines: DataFrame) -> DataFrame:
+    """(owner, later): each document with the earliest holders of its shared lines."""
     long = F.filter(F.arrays_zip("hashes", "chars"), lambda x: (x["chars"] >= LINE_CHARS) & (x["hashes"] != 0))
     held = lines.select("_order", F.explode(F.array_distinct(F.transform(long, lambda x: x["hashes"]))).alias("line"))
     owners = held.groupBy("line").agg(F.count("*").alias("holders"), F.min("_order").alias("owner")).filter("holders > 1")
     shared = held.join(owners, "line").filter("owner < _order")
-    rank = F.row_number().over(Window.partitionBy("_order").orderBy("holders", "line"))
-    chosen = shared.withColumn("rank", rank).filter((F.col("holders") <= rare) | (F.col("rank") <= seeds))
-    return chosen.select("owner", F.col("_order").alias("later")).distinct()
+    return shared.select("owner", F.col("_order").alias("later")).distinct()
 
 
-def removed_lines(lines: DataFrame, rare: int = RARE, seeds: int = SEEDS) -> DataFrame:
+def removed_lines(lines: DataFrame) -> DataFrame:
     """(_order, _removed): numbers of lines that go from each later document."""
     one = lines.dropDuplicates(["_order"])
     later = one.select(F.col("_order").alias("later"), F.col("hashes").alias("second"), "chars")
-    owner = one.select(F.col("_order").alias("owner"), F.col("hashes").alias("first"))
-    both = pairs_of(lines, rare, seeds).join(later, "later").join(owner, "owner").select("later", "first", "second", "chars")
+    pairs = written(pairs_of(lines), "pairs")
+    # Owners of many pairs are dealt out in parts; there are at most pairs / OWNER_PAIRS of them.
+    parts = F.ceil(F.col("n") / OWNER_PAIRS).cast("int").alias("parts")
+    many = F.broadcast(pairs.groupBy("owner").agg(F.count("*").alias("n")).filter(F.col("n") > OWNER_PAIRS).select("owner", parts))
+    salted = pairs.join(many, "owner", "left").select(
+        "owner", "later", F.pmod(F.xxhash64("later"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")
+    )
+    number = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+    owner = one.select(F.col("_order").alias("owner"), F.col("hashes").alias("first")).join(many, "owner", "left")
+    owner = owner.select("owner", "first", number)
+    both = salted.join(later, "later").join(owner, ["owner", "part"]).select("later", "first", "second", "chars")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,11 +150,11 @@ def removed_lines(lines: DataFrame, rare: int = RARE, seeds: int = SEEDS) -> Dat
     return aligned.groupBy("_order").agg(F.collect_set("gone").alias("_removed"))
 
 
-def remove_common_lines(docs: DataFrame, rare: int = RARE, seeds: int = SEEDS) -> DataFrame:
+def remove_common_lines(docs: DataFrame) -> DataFrame:
     """All columns of the documents with what is left of ``text``, and ``n_lines`` and ``n_removed``."""
     small_batches(docs.sparkSession)
     ordered, lines = line_tables(docs)
-    joined = ordered.join(removed_lines(lines, rare, seeds), "_order", "left")
+    joined = ordered.join(removed_lines(lines), "_order", "left")
     kept = [x for x in docs.columns if x.lower() not in ("n_lines", "n_removed", "_order", "_removed")]
     fields = {x.name: x.dataType.simpleString() for x in docs.schema.fields}
 

@@ -135,6 +135,18 @@ def test_large_groups_of_copies_are_found(spark):
     assert sorted(r.doc_id for r in got if r.text) == [0]
 
 
+def test_popular_passages_beside_a_near_copy_go(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "OWNER_PAIRS", 4, raising=False)
+    popular = [f"a popular line that many documents hold {i}" for i in range(3)]
+    base = [f"a rare line of the only other document {i}" for i in range(6)]
+    rows = [(i, "\n".join([f"an own first line of document {i}", *popular]), "en", "s", 1) for i in range(40)]
+    rows.append((50, "\n".join(base), "en", "s", 1))
+    rows.append((51, "\n".join([*base, "the only own line of the last one", *popular]), "en", "s", 1))
+    got = {r.doc_id: r for r in line_dedup.remove_common_lines(frame(spark, rows)).collect()}
+    assert got[51].text == "the only own line of the last one" and got[51].n_removed == 9
+    assert all(got[i].text == f"an own first line of document {i}" for i in range(1, 40))
+
+
 @pytest.mark.parametrize(
     "work",
     [
