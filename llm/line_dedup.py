@@ -1,8 +1,10 @@
 """Line dedup by pairwise alignment.
 
-Every line that several documents share belongs to the earliest of them. A later document is
-paired with the owners of all its shared lines. There is one pair for each owner, not one for each
-two documents; an owner of very many is repeated in parts. Each pair is aligned by patience diff on
+The shortest runs of lines with ``BLOCK_CHARS`` characters are taken forward from every line and
+backward from every line, so every block that can go is made of them, however short its lines are. A
+run that several documents share belongs to the earliest of them. A later document is paired with the
+owners of all its shared runs. There is one pair for each owner, not one for each two documents; an
+owner of very many is repeated in parts. Each pair is aligned by patience diff on
 line hashes: lines that occur once on both sides are anchors, the longest chain of them in order
 is kept, and equal lines next to anchors join them. Runs of aligned lines with at least
 ``BLOCK_CHARS`` characters are deleted from the later document.
@@ -21,14 +23,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm.blocks import small_batches
+from llm.hashing import GOLDEN, U64, mix
 from llm.storage import written
 
 OWNER_PAIRS = 1_000
-LINE_CHARS = 20
 BLOCK_CHARS = 24
 LAST_ID = 2**63 - 1
 ORDER = "decimal(38,0)"
@@ -114,12 +117,41 @@ def line_tables(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ordered, written(hashes, "lines")
 
 
+def run_keys(hashes: np.ndarray, chars: np.ndarray, offsets: np.ndarray, least: int = BLOCK_CHARS) -> tuple[np.ndarray, np.ndarray]:
+    """(text, key) of the shortest runs of at least ``least`` characters from and to every line that is not blank."""
+    ends = np.cumsum(chars.astype(np.int64))
+    starts = ends - chars
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    every = np.arange(len(hashes))
+    first = np.concatenate((every, np.searchsorted(starts, ends - least, "right") - 1))
+    last = np.concatenate((np.searchsorted(ends, starts + least, "left"), every))
+    whole = np.tile(hashes != 0, 2)
+    both = np.tile(text, 2)
+    whole &= (first >= offsets[both]) & (last < offsets[both + 1])
+    first, last, both = first[whole], last[whole], both[whole]
+    # Sums of lines times powers of an odd number; its inverse brings a run to the place 0.
+    power = np.cumprod(np.full(len(hashes), GOLDEN, U64))
+    inverse = np.cumprod(np.full(len(hashes), U64(pow(int(GOLDEN), -1, 2**64)), U64))
+    sums = np.concatenate((np.zeros(1, U64), np.cumsum(mix(hashes.view(U64)) * power)))
+    keys = mix((sums[last + 1] - sums[first]) * inverse[first] + (last - first).astype(U64)).view(np.int64)
+    found = np.unique(np.stack((both, keys), axis=1), axis=0)
+    return found[:, 0], found[:, 1]
+
+
 def pairs_of(lines: DataFrame) -> DataFrame:
-    """(owner, later): each document with the earliest holders of its shared lines."""
-    long = F.filter(F.arrays_zip("hashes", "chars"), lambda x: (x["chars"] >= LINE_CHARS) & (x["hashes"] != 0))
-    held = lines.select("_order", F.explode(F.array_distinct(F.transform(long, lambda x: x["hashes"]))).alias("line"))
-    owners = held.groupBy("line").agg(F.count("*").alias("holders"), F.min("_order").alias("owner")).filter("holders > 1")
-    shared = held.join(owners, "line").filter("owner < _order")
+    """(owner, later): each document with the earliest holders of its shared runs of lines."""
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("hashes")
+            offsets = np.concatenate(([0], np.cumsum(pa.compute.list_value_length(column).to_numpy())))
+            values = (batch.column(x).flatten().to_numpy() for x in ("hashes", "chars"))
+            text, keys = run_keys(*values, offsets)
+            yield pa.RecordBatch.from_arrays([batch.column("_order").take(pa.array(text)), pa.array(keys)], ["_order", "run"])
+
+    held = lines.mapInArrow(runs, f"_order {ORDER}, run long")
+    owners = held.groupBy("run").agg(F.count("*").alias("holders"), F.min("_order").alias("owner")).filter("holders > 1")
+    shared = held.join(owners, "run").filter("owner < _order")
     return shared.select("owner", F.col("_order").alias("later")).distinct()
 
 

@@ -147,6 +147,41 @@ def test_popular_passages_beside_a_near_copy_go(spark, monkeypatch):
     assert all(got[i].text == f"an own first line of document {i}" for i in range(1, 40))
 
 
+def test_blocks_of_short_lines_go(spark):
+    verse = [f"verse line {i:04}" for i in range(200)]
+    rows = [
+        (1, "\n".join(verse), "en", "s", 1),
+        (2, "\n".join(verse), "en", "s", 1),
+        (3, "\n".join(["an own line before", *verse[20:22], "and one after"]), "en", "s", 1),
+        (4, "\n".join(["one line is too short", verse[20], "for a block"]), "en", "s", 1),
+        (5, "\n".join(["\u00e9", "a line with more characters than a block", "tail"]), "en", "s", 1),
+        (6, "\n".join(["a line with more characters than a block", "tail", "x"]), "en", "s", 1),
+    ]
+    got = {r.doc_id: r for r in line_dedup.remove_common_lines(frame(spark, rows)).collect()}
+    assert got[1].n_removed == 0 and got[2].text == "" and got[2].n_removed == 200
+    assert got[3].text == "an own line before\nand one after"
+    assert got[4].n_removed == 0
+    assert got[6].text == "x"
+
+
+def test_runs_cover_every_block():
+    import numpy as np
+
+    rnd = random.Random(8)
+    for _ in range(300):
+        chars = [rnd.choice([0, 1, 5, 11, 15, 30]) for _ in range(rnd.randint(1, 12))]
+        names = [rnd.randint(1, 4) if c else 0 for c in chars]
+        hashes, sizes = np.array(names * 2, np.int64), np.array(chars * 2, np.int32)
+        text, keys = line_dedup.run_keys(hashes, sizes, np.array([0, len(names), 2 * len(names)]))
+        want = set()
+        for i in range(len(names)):
+            for j in range(i, len(names)):
+                total = sum(chars[i : j + 1])
+                if total >= 24 and ((total - chars[j] < 24 and names[i]) or (total - chars[i] < 24 and names[j])):
+                    want.add(tuple(names[i : j + 1]))
+        assert set(keys[text == 0]) == set(keys[text == 1]) and len(set(keys[text == 0])) == len(want)
+
+
 @pytest.mark.parametrize(
     "work",
     [
