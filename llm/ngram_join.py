@@ -4,7 +4,8 @@ A document is the set of its distinct shingles, as hashes. The global order of s
 their hashes, and it is cut into fragments.
 
 1. Documents that cannot have a partner leave early: of the first shingles in the global order, a
-   document must share nearly all with a partner, so enough of them must occur elsewhere.
+   document must share nearly all with a partner, so enough of them must occur elsewhere. Each
+   document shows more of its first shingles than it looks up, as a partner's may stand later in it.
 2. Candidates: documents of similar size are cut into more fragments than two linked sets can
    differ in, so linked sets agree on at least one whole fragment. Equal fragments link
    each document to one other, never all to all; components of these links are clusters that hold
@@ -71,6 +72,15 @@ def head(size: int, percent: int) -> int:
     return min(size, 2 * unshared(size, percent) + 2)
 
 
+def shown(size: int, percent: int) -> int:
+    """First shingles among which are all that a linked document of any size shares of its own head.
+
+    A shingle of the partner's head has in front of it others of that head and at most those
+    that the partner has not.
+    """
+    return min(size, head(100 * size // percent, percent) + unshared(size, percent))
+
+
 def class_of(shingles: np.ndarray) -> int:
     """A number for each set: two sums over its hashes, mixed; never 0."""
     if not len(shingles):
@@ -114,7 +124,7 @@ def documents_as_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     blocks, count = block_documents(docs)
 
     def keys_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        parts = [x[: head(len(x), percent)] for x in shingle_sets(table["text"], words)]
+        parts = [x[: shown(len(x), percent)] for x in shingle_sets(table["text"], words)]
         return np.unique(np.concatenate([np.zeros(0, U64), *parts]), return_counts=True)
 
     def describe(table: pa.Table, replies: pa.Table) -> pa.Table:

@@ -85,6 +85,19 @@ def test_join_matches_plain_version(spark, monkeypatch, words, percent, cell):
     assert got == sorted(brute.jaccard_join(pairs(rows), words, percent), key=key)
 
 
+@pytest.mark.parametrize(("words", "percent"), [(4, 85), (5, 80)])
+def test_small_sets_of_all_sizes_are_linked(spark, words, percent):
+    rows = []
+    for size in range(1, 26):
+        for more in range(size * 100 // percent - size + 2):
+            for copy in range(3):
+                own = [f"s{size}m{more}c{copy}w{i}" for i in range(size + more + words - 1)]
+                rows += [(len(rows), " ".join(own[: size + words - 1]), None, None, None)]
+                rows += [(len(rows), " ".join(own), None, None, None)]
+    got = plain(ngram_join.join_similar(frame(spark, rows), words, percent), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(brute.jaccard_join(pairs(rows), words, percent), key=key)
+
+
 def test_one_of_each_stays(spark):
     rows = corpus(4)[:-1]  # without the id that two texts have
     kept = ngram_join.keep_one_of_each(frame(spark, rows), 5, 80).collect()
