@@ -1,7 +1,10 @@
 """PII pseudonyms that keep the format, by keyed Feistel permutations in column expressions.
 
 Values are found by pattern and validated: card numbers by their check digit, phone numbers and
-addresses by their form, dates by the calendar. A value is turned into a number below the size of its
+addresses by their form, dates by the calendar. Cards in their usual groupings and phone numbers go
+before digits in other groupings, so they are found beside other numbers too; of digits in other
+groupings only the longest stretch is tried. Where digits can be read as parts of two values, as in
+``567890 4111 1111 1111 1111``, the one that begins first is taken. A value is turned into a number below the size of its
 format, permuted by a Feistel network over two halves whose rounds are keyed hashes, and written
 back in the same format, separators included. Equal values get equal pseudonyms in every document,
 different values different ones, and the key's holder can invert them.
@@ -29,9 +32,15 @@ EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 ADDRESS = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"
 DATE = r"(?<!\w)\d{4}-\d{2}-\d{2}(?!\w)"
 SOCIAL = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-CARD = r"(?<![\w+])\d(?:[ -]?\d){12,18}(?!\w)"
 PHONE = r"(?<!\w)(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\w)"
-VALUES = "|".join((EMAIL, ADDRESS, DATE, SOCIAL, CARD, PHONE))
+OTHER = "|".join((ADDRESS, DATE, SOCIAL, PHONE))
+# Groupings of cards: fours in a row, of which any may begin a card, 4-6-5 and 4-6-4, and unbroken.
+FOURS = rf"(?<![\w+])\d{{4}}(?:[ -](?!{OTHER})\d{{4}}(?!\w)){{3,}}+(?:[ -](?!{OTHER})\d{{1,3}}(?!\w))?+"
+GROUPED = rf"(?<![\w+])\d{{4}}[ -]\d{{6}}[ -](?!{FOURS}|{OTHER})\d{{4,5}}(?!\w)|(?<![\w+])\d{{13,19}}(?!\w)"
+# Any other grouping, as far as no value of another form begins in it.
+LOOSE = rf"(?<![\w+])\d(?:[ -]?(?!{FOURS}|{GROUPED}|{OTHER})\d){{12,18}}(?!\w)"
+CARD = r"\d(?:[ -]?\d){12,18}"
+VALUES = "|".join((EMAIL, ADDRESS, DATE, SOCIAL, FOURS, GROUPED, PHONE, LOOSE))
 
 
 def keyed(key: str, label: str, value: Column, size: Column) -> Column:
@@ -87,6 +96,31 @@ def poured(form: Column, digits: Column) -> Column:
     return F.array_join(both, "")
 
 
+def is_card(value: Column) -> Column:
+    digits = F.regexp_replace(value, r"\D", "")
+    body = F.substring(digits, F.lit(1), F.length(digits) - 1)
+    return (F.length(digits) > 12) & (check_digit(body) == F.substring(digits, -1, 1))
+
+
+def values_in(value: Column) -> Column:
+    """The cards in a row of groups of four, and what is between them; any other value is whole."""
+    # What begins at each group; letters can mark the groups, as there are none in such a row.
+    ahead = F.regexp_extract_all(value, F.lit(r"(?<!\d)(?=(\d+(?:[ -]\d+){0,4}))"), F.lit(1))
+    groups = F.regexp_extract_all(value, F.lit(r"[ -]?\d+"), F.lit(0))
+
+    def marked(group: Column, rest: Column) -> Column:
+        four = F.regexp_extract(rest, r"^\d{4}(?:[ -]\d{4}){3}(?!\d)", 0)
+        longer = F.regexp_extract(rest, r"^\d{4}(?:[ -]\d{4}){3}[ -]\d{1,3}(?!\d)", 0)
+        mark = F.when(is_card(four), "C").when(is_card(longer), "D").otherwise("A")
+        return F.regexp_replace(group, r"(?=\d+$)(?<!\d)", mark)
+
+    row = F.array_join(F.zip_with(groups, ahead, marked), "")
+    token = r"D\d+(?:[ -]\w\d+){4}|C\d+(?:[ -]\w\d+){3}|A\d+|[ -]"
+    tokens = F.regexp_extract_all(row, F.lit(token), F.lit(0))
+    parts = F.transform(tokens, lambda t: F.regexp_replace(t, "[ACD]", ""))
+    return F.when(value.rlike(f"^(?:{FOURS})$"), parts).otherwise(F.array(value))
+
+
 def pseudonym(key: str, value: Column) -> Column:
     """A value's pseudonym in its format; null if it is no valid value of any format."""
     digits = F.regexp_replace(value, r"\D", "")
@@ -129,7 +163,7 @@ def pseudonym(key: str, value: Column) -> Column:
         .when(whole(ADDRESS), F.when(F.forall(parts, lambda p: p.cast("int") < 256), address))
         .when(whole(DATE), F.when(in_calendar, date))
         .when(whole(SOCIAL), social)
-        .when(whole(CARD) & (check_digit(body) == F.substring(digits, -1, 1)), card)
+        .when(whole(CARD) & is_card(value), card)
         .when(whole(PHONE), phone)
     )
 
@@ -141,16 +175,19 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     """
     found = F.regexp_extract_all(F.col("text"), F.lit(VALUES), F.lit(0))
     between = F.split(F.col("text"), VALUES, -1)
-    swapped = F.transform(F.col("_found"), lambda v: F.coalesce(pseudonym(key, v), v))
+    parts = F.transform(F.col("_found"), values_in)
+    swapped = F.transform("_parts", lambda p: F.transform(p, lambda v: F.coalesce(pseudonym(key, v), v)))
+    whole = F.transform("_swapped", lambda p: F.array_join(p, ""))
     joined = F.array_join(
-        F.zip_with("_between", "_swapped", lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""
+        F.zip_with("_between", whole, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""
     )
-    hit = F.size(F.filter(F.zip_with("_found", "_swapped", lambda a, b: a != b), lambda x: x))
+    hit = F.size(F.filter(F.zip_with(F.flatten("_parts"), F.flatten("_swapped"), lambda a, b: a != b), lambda x: x))
     some = F.size("_found") > 0
-    kept = [x for x in docs.columns if x.lower() not in ("n_pseudonyms", "_found", "_between", "_swapped")]
+    kept = [x for x in docs.columns if x.lower() not in ("n_pseudonyms", "_found", "_between", "_parts", "_swapped")]
     return (
         docs.select(*kept, found.alias("_found"))
         .withColumn("_between", F.when(some, between))
+        .withColumn("_parts", F.when(some, parts))
         .withColumn("_swapped", F.when(some, swapped))
         .withColumn("text", F.when(some, joined).otherwise(F.col("text")))
         .withColumn("n_pseudonyms", F.when(some, hit).otherwise(F.lit(0)))

@@ -181,6 +181,28 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert other.text != got[2].text
 
 
+def test_values_beside_other_numbers_are_found(spark):
+    card, phone = "4111111111111111", "555-123-4567"
+    fours, amex = "4111 1111 1111 1111", "3782 822463 10005"
+    texts = [
+        f"ref 12 {card}", f"{card} 123", f"24 7 {phone}", f"2024 {phone}", f"{phone} 555-987-6543", f"{card} {card}",
+        f"2024 {fours}", f"1234 5678 {fours} 9012", f"{fours} 123", f"{fours} {fours}", f"{fours} {phone}",
+        f"12 {amex}", f"{fours} 2024-01-15", "1 2 3 4 5 6 7 8 9 10 11", f"{phone} 4111-1111-1111-1111",
+    ]
+    counts = [1, 1, 1, 1, 2, 2, 1, 1, 1, 2, 2, 1, 2, 0, 2]
+    rows = [(i, x, "en", "s", 0) for i, x in enumerate([card, phone, fours, amex, *texts])]
+    got = {r.doc_id: r for r in pii.pseudonymize(frame(spark, rows), "k").collect()}
+    new = {x: got[i].text for i, x in enumerate((card, phone, fours, amex))}
+    for i, (text, count) in enumerate(zip(texts, counts, strict=True), 4):
+        want = text
+        for old in (card, fours, amex, phone):
+            want = want.replace(old, new[old])
+        assert got[i].n_pseudonyms == count, (text, got[i])
+        if not any(x in text for x in ("987", "01-15", "4111-")):
+            assert got[i].text == want, (text, got[i])
+        assert len(got[i].text) == len(text)
+
+
 def test_permutations_are_permutations(spark):
     from pyspark.sql import functions as F
 
