@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import (
+    alignment,
     decontamination,
     fingerprints,
     line_dedup,
@@ -16,6 +17,8 @@ from llm import (
     packing,
     pii,
     quality,
+    sharding,
+    spelling,
     substring_dedup,
     suffix_array_dedup,
 )
@@ -84,6 +87,19 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_dedup.remove_repeated_bytes(documents(spark, sf_dir)).drop("kept")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    byte_level, pieces = tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")
+    return alignment.align_documents(documents(spark, sf_dir), byte_level, pieces)
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     name: value for name, value in list(globals().items()) if name.startswith("op") and name[2].isdigit()
 }

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -114,3 +115,103 @@ def edited_hash(rows):
         changed = text[: len(text) - part] + after[:part]
         out.append((doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest()))
     return out
+
+
+def spelling_variants(rows, least_chars=5, least=3, every=97):
+    """(word, form, root, n, n_near, form_n) of every word, by comparing all words with all."""
+    count = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            known = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if every and known % every == 0:
+                at = known % len(run)
+                run = run[:at] + run[at + 1 :]
+            count[run] += 1
+    words = sorted(w for w, n in count.items() if len(w) >= least_chars and n >= least)
+    near = {w: [v for v in words if one_apart(w, v)] for w in words}
+    form = {}
+    for w in words:
+        best = max(near[w], key=lambda v: (count[v], [-ord(c) for c in v] + [1]), default=None)
+        form[w] = best if best is not None and count[best] >= 2 * count[w] else None
+    out = []
+    for w in words:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, count[w], len(near[w]), count[form[w]] if form[w] else None))
+    return out
+
+
+def one_apart(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def byte_tokens(tokenizer, text):
+    """(id, bytes) of every token of a byte-level tokenizer."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    byte = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    found = tokenizer.encode(text, add_special_tokens=False)
+    return [(i, bytes(byte[c] for c in x)) for i, x in zip(found.ids, found.tokens, strict=True)]
+
+
+def piece_tokens(model, text):
+    """(id, bytes) of every piece of a sentencepiece model."""
+    out = []
+    for i in model.encode(text):
+        piece = model.id_to_piece(i)
+        byte = re.fullmatch("<0x(..)>", piece) if model.is_byte(i) else None
+        out.append((i, bytes.fromhex(byte[1]) if byte else piece.replace("▁", " ").encode()))
+    return out
+
+
+def alignment(rows, path_a, path_b):
+    """The rows of the query over whole texts, with a group at each byte where both tokenizers end."""
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    first = Tokenizer.from_file(path_a)
+    first.encode_special_tokens = True
+    second = SentencePieceProcessor(model_file=path_b)
+    found = []
+    for _, text in rows:
+        groups = []
+        if text:
+            a, b, whole = byte_tokens(first, " " + text), piece_tokens(second, text), (" " + text).encode()
+            if b"".join(x for _, x in a) == whole == b"".join(x for _, x in b):
+                groups = common_groups(a, b)
+        found.append(groups)
+    count = Counter(p for groups in found for p in {(x, y) for a, b in groups for x in a for y in b})
+    best = {}
+    for (x, _), n in count.items():
+        best[x] = max(n, best.get(x, 0))
+    out = []
+    for (doc_id, _), groups in zip(rows, found, strict=True):
+        links = [(x, y) for a, b in groups for x in a for y in b]
+        text = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+        out.append(
+            (
+                doc_id, sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups), len(links),
+                sum(count[p] == best[p[0]] for p in links), sum(count[p] for p in links),
+                hashlib.sha256(text.encode()).hexdigest() if groups else "",
+            )
+        )
+    return out
+
+
+def common_groups(a, b):
+    groups, one, two, ends = [], [], [], [0, 0]
+    a, b = list(a), list(b)
+    while a or b:
+        side = 0 if ends[0] <= ends[1] else 1
+        i, data = (a, b)[side].pop(0)
+        (one, two)[side].append(i)
+        ends[side] += len(data)
+        if ends[0] == ends[1]:
+            groups.append((one, two))
+            one, two = [], []
+    return groups
