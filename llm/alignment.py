@@ -7,10 +7,12 @@ no other is a cut; between cuts the ends are refined by the lengths of the token
 all decoded bytes are compared with the text. Where tokens of both end, a group ends; every token of one
 in a group is linked with every token of the other.
 
-Work is done once for each distinct chunk of a text. A chunk begins at a space that follows no white
-space. The first tokenizer always splits there, and the second as none of its pieces holds a space
-after something else, which is looked up in its vocabulary; if either is not so, a chunk is a whole
-text. Chunks are told apart by 64-bit hashes; a worker remembers up to ``KNOWN_CHUNKS`` of them.
+Work is done once for each distinct chunk of a text. Chunks begin at a space or a line feed that follows
+no white space, at a letter after a single line feed, and at punctuation after a letter A-Z or a-z. The
+first tokenizer always splits there, and the second where none of its pieces holds both sides, which is
+looked up in its vocabulary; if either is of another kind, a chunk is a whole text. New chunks are encoded
+many at a time, behind a few characters that give each the start it has in texts. Chunks are told apart
+by 64-bit hashes; a worker process remembers up to ``KNOWN_CHUNKS`` of them.
 
 Texts are read twice. The first time tasks count, for each id pair, the documents that hold it
 linked; the counts are summed in a table. The second time chunks are scored by the most frequent
@@ -28,6 +30,7 @@ import hashlib
 import json
 import os
 import sys
+import uuid
 from collections.abc import Callable, Iterator
 from types import SimpleNamespace
 
@@ -41,33 +44,48 @@ from llm.hashing import U64, in_sorted, pieces, ranges, word_hashes
 from llm.storage import written
 from llm.token_ids import byte_letters
 
-KNOWN_CHUNKS = 400_000
+KNOWN_CHUNKS = 700_000
 KNOWN_BYTES = 48 << 20
 SHARED_PAIRS = 1 << 20
 # Chunks that are encoded together, in bytes.
 LEARNED_BYTES = 1 << 15
 # Groups with more links are summed up by distinct ids first.
 WIDE_GROUP = 1 << 16
-SPACE = 0x20
+SPACE, LINE_FEED = 0x20, 0x0A
+LETTER = np.zeros(256, dtype=bool)
+LETTER[65:91] = LETTER[97:123] = True
+# What stands before chunks that begin with a letter, or with anything else but a space.
+BEFORE_LETTER, BEFORE_OTHER = b" a\n", b" a"
 MARK = "▁"
+PUNCTUATION = """!"#$%&'()*+,-./:;<=>?@[]^_`{|}~"""
 CACHE = "_known_alignments"
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 SCORED = f"{ALIGNED}, n_best long, count_sum long, pairs array<long>, times array<long>"
 
 
-def chunk_starts(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Where chunks begin: at each text, and at spaces after a character that is surely no white space."""
-    starts = np.zeros(len(raw), dtype=bool)
-    if not len(raw):
-        return np.zeros(0, dtype=np.int64)
+def solid_ends(raw: np.ndarray) -> np.ndarray:
+    """Bytes that end a character which is surely no white space."""
     solid = (raw > SPACE) & (raw != 0x7F)
     # The last byte of a character of two bytes after 0xC2, or of three that begin like white space does.
-    odd = np.zeros(len(raw), dtype=bool)
-    odd[1:] |= raw[:-1] == 0xC2
+    solid[1:] &= raw[:-1] != 0xC2
     for first, second in ((0xE1, 0x9A), (0xE2, 0x80), (0xE2, 0x81), (0xE3, 0x80)):
-        odd[2:] |= (raw[:-2] == first) & (raw[1:-1] == second)
-    starts[1:] = (raw[1:] == SPACE) & (solid & ~odd)[:-1]
-    starts[bounds[:-1][np.diff(bounds) > 0]] = True
+        solid[2:] &= (raw[:-2] != first) | (raw[1:-1] != second)
+    return solid
+
+
+def chunk_starts(raw: np.ndarray, bounds: np.ndarray, solid: np.ndarray, closing: np.ndarray) -> np.ndarray:
+    """Where chunks begin in texts that begin with a space each; ``closing`` are bytes that end a word."""
+    starts = np.zeros(len(raw), dtype=bool)
+    if not len(raw):
+        return np.zeros(0, dtype=np.int64)
+    letter = LETTER[raw]
+    starts[1:] = ((raw[1:] == SPACE) | (raw[1:] == LINE_FEED)) & solid[:-1]
+    starts[1:] |= closing[raw[1:]] & letter[:-1]
+    starts[2:] |= letter[2:] & (raw[1:-1] == LINE_FEED) & solid[:-2]
+    starts[bounds[:-1]] = True
+    # A solid end of the text before says nothing.
+    second = bounds[:-1] + 1
+    starts[second[second < bounds[1:]]] = False
     return np.flatnonzero(starts)
 
 
@@ -125,7 +143,12 @@ class Tokenizers:
             and split.get("use_regex", True)
             and not split.get("add_prefix_space")
             and not any(x[i] == MARK != x[i - 1] for x in own for i in range(1, len(x)))
+            and not any("\n" in x for x in own)
         )
+        # Punctuation that no piece holds after a letter.
+        joined = {x[i] for x in own for i in range(1, len(x)) if LETTER[ord(x[i - 1]) & 255] and x[i - 1].isascii()}
+        self.closing = np.zeros(256, dtype=bool)
+        self.closing[[ord(x) for x in PUNCTUATION if x not in joined]] = True
 
     def tokens_a(self, text: str, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids and byte ends of A's tokens; ``raw`` is the text in bytes."""
@@ -172,20 +195,32 @@ class Chunks:
         self.tokenizers = tokenizers
         # Sorted pairs with their counts, and whether a pair's count is the highest of its A id.
         self.frequent = frequent
-        self.pairs = np.zeros(0, np.int64)
-        self.documents = np.zeros(0, np.int64)
+        # Counts of pairs that are no longer remembered.
+        self.done: list[tuple[np.ndarray, np.ndarray]] = []
+        self.pairs, self.documents = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.forget()
 
     def forget(self) -> None:
+        self.count_anew()
         self.hashes, self.place = np.zeros(0, U64), np.zeros(0, np.int64)
         # Each chunk's tokens of A and of B, groups, links, sum of counts, best links; whether it fails.
         self.sums = np.zeros((7, 0), np.int64)
         self.groups: list[str] = []
         self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.linked, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # Pairs by number, and sorted with their numbers.
+        self.pairs, self.documents = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.sorted_pairs, self.numbers_of = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.bytes = 0
 
-    def look_up(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def count_anew(self) -> None:
+        """Lay the counts of documents aside and start with 0."""
+        found = self.documents > 0
+        if found.any():
+            self.done.append((self.pairs[found], self.documents[found]))
+        self.documents = np.zeros(len(self.pairs), np.int64)
+
+    def look_up(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, solid: np.ndarray) -> np.ndarray:
         """Places of chunks among the known ones."""
         distinct, at, which = np.unique(word_hashes(raw, starts, ends), return_index=True, return_inverse=True)
         known, _ = in_sorted(distinct, self.hashes)
@@ -194,46 +229,61 @@ class Chunks:
         if not room and len(self.hashes):
             self.forget()
             known[:], new = False, at
-        self.learn(distinct[~known], [raw[i:j].tobytes() for i, j in zip(starts[new], ends[new], strict=True)])
+        chunks = [raw[i:j].tobytes() for i, j in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
+        self.learn(distinct[~known], chunks, solid[ends[new] - 1])
         return self.place[np.searchsorted(self.hashes, distinct)][which]
 
-    def learn(self, hashes: np.ndarray, chunks: list[bytes]) -> None:
+    def learn(self, hashes: np.ndarray, chunks: list[bytes], solid: np.ndarray) -> None:
         if not chunks:
             return
-        mark = MARK.encode()
+        mark, by_chunks = MARK.encode(), self.tokenizers.by_chunks
         # A chunk that ends in white space, or in what may be some, is encoded alone, as at a text's end.
-        together = [
-            i for i, x in enumerate(chunks) if self.tokenizers.by_chunks and x[-1] in range(0x21, 0x7F) and mark not in x
-        ]
-        alone = set(range(len(chunks))).difference(together)
-        order, found, part, size = [], [], [], 0
-        for i in together:
+        order, alone, part, size = [], [], [], 0
+        for i, (chunk, ends_solid) in enumerate(zip(chunks, solid.tolist(), strict=True)):
+            if not by_chunks or not (ends_solid or chunk == b"\n") or mark in chunk:
+                alone.append([i])
+                continue
             part.append(i)
-            size += len(chunks[i])
+            size += len(chunk)
             if size >= LEARNED_BYTES:
                 order, part, size = [*order, part], [], 0
         order += [part] if part else []
-        order += [[i] for i in sorted(alone)]
-        for part in order:
-            found.append(self.aligned([chunks[i] for i in part]))
-        sums, groups, sizes, linked_, times = zip(*found, strict=True)
-        at = np.array([i for part in order for i in part], dtype=np.int64)
+        order += alone
+        found = [self.in_place([chunks[i] for i in part]) for part in order]
+        sums, groups, sizes, pairs, times = zip(*found, strict=True)
         begin = len(self.size)
         size = np.concatenate(sizes)
         self.first = np.concatenate((self.first, len(self.linked) + np.cumsum(size) - size))
         self.size = np.concatenate((self.size, size))
-        self.linked = np.concatenate((self.linked, *linked_))
+        self.linked = np.concatenate((self.linked, self.numbers(np.concatenate(pairs))))
         self.times = np.concatenate((self.times, *times))
         self.sums = np.concatenate((self.sums, *sums), axis=1)
         for some in groups:
             self.groups += some
         self.bytes += sum(map(len, chunks))
-        places = np.empty(len(at), np.int64)
-        places[at] = begin + np.arange(len(at))
+        places = np.empty(len(chunks), np.int64)
+        places[np.array([i for part in order for i in part], dtype=np.int64)] = begin + np.arange(len(chunks))
         spot = np.searchsorted(self.hashes, hashes)
         self.hashes = np.insert(self.hashes, spot, hashes)
         self.place = np.insert(self.place, spot, places)
 
+    def in_place(self, chunks: list[bytes]) -> tuple:
+        """``aligned`` for chunks that need not begin with a space: each follows what it may follow in a text."""
+        parts, own = [], []
+        for chunk in chunks:
+            if chunk[0] != SPACE:
+                parts.append(BEFORE_LETTER if LETTER[chunk[0]] else BEFORE_OTHER)
+            own.append(len(parts))
+            parts.append(chunk)
+        sums, groups, sizes, pairs, times = self.aligned(parts)
+        if len(own) < len(parts):
+            keep = np.zeros(len(parts), dtype=bool)
+            keep[own] = True
+            of_own = np.repeat(keep, sizes)
+            sums, sizes, pairs, times = sums[:, keep], sizes[keep], pairs[of_own], times[of_own]
+            groups = [groups[i] for i in own]
+        return sums, groups, sizes, pairs, times
+
     def aligned(self, chunks: list[bytes]) -> tuple:
         """Sums, group texts, and linked pairs of chunks that follow each other."""
         data = b"".join(chunks)
@@ -242,18 +292,19 @@ class Chunks:
         ids_a, ends_a = t.tokens_a(text, raw)
         ids_b, ends_b = t.tokens_b(text)
         faithful = np.array_equal(t.vocabulary_a.decoded(ids_a), raw) and np.array_equal(t.vocabulary_b.decoded(ids_b), raw)
+        chunk_ends = np.cumsum([len(x) for x in chunks])
         if not faithful:
-            if len(chunks) > 1:
-                return self.apart(chunks)
-            fails = np.array([[0], [0], [0], [0], [0], [0], [1]], np.int64)
-            return fails, [""], np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            if len(chunks) > 2:
+                raise ValueError("chunks are not encoded as by themselves")
+            none, fails = np.zeros(0, np.int64), np.zeros((7, len(chunks)), np.int64)
+            fails[6] = 1
+            return fails, [""] * len(chunks), np.zeros(len(chunks), np.int64), none, none
         both = np.zeros(len(raw) + 1, np.uint8)
         both[ends_a] += 1
         both[ends_b] += 1
         cuts = np.flatnonzero(both == 2)
-        chunk_ends = np.cumsum([len(x) for x in chunks])
         if not (both[chunk_ends] == 2).all():
-            return self.apart(chunks)
+            raise ValueError("a token reaches over the end of a chunk")
         group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
         chunk = np.searchsorted(chunk_ends, cuts)
         count_a, count_b = np.bincount(group_a, minlength=len(cuts)), np.bincount(group_b, minlength=len(cuts))
@@ -276,34 +327,28 @@ class Chunks:
             i, j = k, m
         stops = np.searchsorted(chunk, np.arange(1, len(chunks) + 1)).tolist()
         groups = [";".join(texts[i:j]) for i, j in zip([0, *stops[:-1]], stops, strict=True)]
-        return sums, groups, np.bincount(where, minlength=len(chunks)), self.numbers(pair), times
-
-    def apart(self, chunks: list[bytes]) -> tuple:
-        sums, groups, sizes, linked_, times = zip(*(self.aligned([x]) for x in chunks), strict=True)
-        return (
-            np.concatenate(sums, axis=1), [x for some in groups for x in some], np.concatenate(sizes),
-            np.concatenate(linked_), np.concatenate(times),
-        )
+        return sums, groups, np.bincount(where, minlength=len(chunks)), pair, times
 
     def numbers(self, pair: np.ndarray) -> np.ndarray:
         """Places of pairs in ``pairs``, which grows by the new ones."""
         distinct, which = np.unique(pair, return_inverse=True)
-        order = np.argsort(self.pairs)
-        known, at = in_sorted(distinct, self.pairs[order])
-        out = np.empty(len(distinct), np.int64)
-        out[known] = order[at[known]]
-        out[~known] = len(self.pairs) + np.arange(int((~known).sum()))
-        self.pairs = np.concatenate((self.pairs, distinct[~known]))
-        self.documents = np.concatenate((self.documents, np.zeros(int((~known).sum()), np.int64)))
-        return out[which]
+        known, _ = in_sorted(distinct, self.sorted_pairs)
+        new = distinct[~known]
+        spot = np.searchsorted(self.sorted_pairs, new)
+        self.sorted_pairs = np.insert(self.sorted_pairs, spot, new)
+        self.numbers_of = np.insert(self.numbers_of, spot, len(self.pairs) + np.arange(len(new)))
+        self.pairs = np.concatenate((self.pairs, new))
+        self.documents = np.concatenate((self.documents, np.zeros(len(new), np.int64)))
+        return self.numbers_of[np.searchsorted(self.sorted_pairs, distinct)][which]
 
     def read(self, texts: pa.Array, work: Callable[[np.ndarray, np.ndarray, np.ndarray], None]) -> None:
         """``work`` on the first text, chunk places, and each text's offsets in them, part by part."""
         for first, _, raw, bounds in pieces(texts, 1 << 21):
             raw, bounds = np.insert(raw, bounds[:-1], SPACE), bounds + np.arange(len(bounds))
-            starts = chunk_starts(raw, bounds) if self.tokenizers.by_chunks else bounds[:-1]
+            solid, t = solid_ends(raw), self.tokenizers
+            starts = chunk_starts(raw, bounds, solid, t.closing) if t.by_chunks else bounds[:-1]
             ends = np.append(starts[1:], len(raw))
-            work(first, self.look_up(raw, starts, ends), np.searchsorted(starts, bounds))
+            work(first, self.look_up(raw, starts, ends, solid), np.searchsorted(starts, bounds))
 
     def pairs_of(self, place: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, number, times) of the distinct pairs of each text."""
@@ -336,12 +381,18 @@ def per_text(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate(([0], np.cumsum(values)))[offsets])
 
 
-def known_tokenizers(path_a: str, path_b: str) -> Tokenizers:
-    """This process's tokenizers of two files."""
-    kept = sys.modules.setdefault(CACHE, SimpleNamespace(tokenizers={})).tokenizers
-    if (path_a, path_b) not in kept:
-        kept[path_a, path_b] = Tokenizers(path_a, path_b)
-    return kept[path_a, path_b]
+def known_chunks(path_a: str, path_b: str, frequent=None, name: str = "") -> Chunks:
+    """What this process knows of two tokenizers' chunks; ``name`` stands for the frequent pairs' table."""
+    kept = sys.modules.setdefault(CACHE, SimpleNamespace(chunks={}, name=None))
+    if kept.name != (path_a, path_b, name):
+        tokenizers = next(iter(kept.chunks.values())).tokenizers if kept.name and kept.name[:2] == (path_a, path_b) else None
+        kept.chunks = {name: Chunks(tokenizers or Tokenizers(path_a, path_b), frequent)}
+        kept.name = (path_a, path_b, name)
+    chunks = kept.chunks[name]
+    # Of a task that failed half-way counts may be left.
+    chunks.count_anew()
+    chunks.done.clear()
+    return chunks
 
 
 def empty_texts(texts: pa.Array) -> np.ndarray:
@@ -354,7 +405,7 @@ def count_pairs(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """(pair, documents): an A id times 2**32 and a B id, and how many documents hold them linked."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = Chunks(known_tokenizers(path_a, path_b))
+        chunks = known_chunks(path_a, path_b)
         for batch in batches:
             empty = empty_texts(batch["text"])
 
@@ -365,13 +416,17 @@ def count_pairs(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 chunks.documents += np.bincount(number, minlength=len(chunks.pairs))
 
             chunks.read(batch["text"], add)
-        found = chunks.documents > 0
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(chunks.pairs[found]), pa.array(chunks.documents[found])], ["pair", "documents"]
-        )
+            yield from counted(chunks)
+        chunks.count_anew()
+        yield from counted(chunks)
 
-    counted = docs.select("text").mapInArrow(count, "pair long, documents long")
-    return counted.groupBy("pair").agg(F.sum("documents").alias("documents"))
+    def counted(chunks: Chunks) -> Iterator[pa.RecordBatch]:
+        while chunks.done:
+            pairs, documents = chunks.done.pop()
+            yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(documents)], ["pair", "documents"])
+
+    rows = docs.select("text").mapInArrow(count, "pair long, documents long")
+    return rows.groupBy("pair").agg(F.sum("documents").alias("documents"))
 
 
 def most_frequent(counts: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
@@ -407,8 +462,10 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, shared_pairs: int
         (table["pair"].to_numpy(), table["documents"].to_numpy(), table["best"].to_numpy().astype(np.int64))
     )
 
+    name = uuid.uuid4().hex
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = Chunks(known_tokenizers(path_a, path_b), shared.value)
+        chunks = known_chunks(path_a, path_b, shared.value, name)
         for batch in batches:
             empty = empty_texts(batch["text"])
             out: list[pa.RecordBatch] = []
