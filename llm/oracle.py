@@ -23,7 +23,7 @@ with docs as (select row_number() over () as d, doc_id, {LOWER_WORDS} as words f
 tokens as (select d, i, words[i] as w, case when i > 1 then words[i - 1] end as before
   from (select d, words, unnest(range(1, len(words) + 1)) as i from docs)),
 ones as (select w, count(*) as n from tokens group by w),
-twos as (select before, w, count(*) as n from tokens where before is not null group by all having count(*) > 1),
+twos as (select before, w, count(*) as n from tokens where before is not null group by all),
 scored as (select d, case when twos.n is not null then ln(twos.n / earlier.n)
     else ln(ones.n / (select count(*) from tokens)) + case when i > 1 then ln(0.4) else 0 end end as s,
     twos.n is null and i > 1 as backed

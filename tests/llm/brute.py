@@ -68,7 +68,7 @@ def jaccard_join(rows, words=4, percent=85):
     return [(doc_id, len(sets[i]), least[root(i)]) for i, (doc_id, _) in enumerate(rows)]
 
 
-def backoff_scores(rows, order=2, backoff=0.4):
+def backoff_scores(rows, order=2, backoff=0.4, least=1):
     """(doc_id, n_words, log_score) of every row."""
     import math
 
@@ -82,7 +82,7 @@ def backoff_scores(rows, order=2, backoff=0.4):
             longest = min(order, i + 1)
             for n in range(longest, 0, -1):
                 gram = tuple(w[i - n + 1 : i + 1])
-                if n == 1 or count[gram] > 1:
+                if n == 1 or count[gram] >= least:
                     score += math.log(count[gram] / (count[gram[:-1]] if n > 1 else total))
                     score += (longest - n) * math.log(backoff)
                     break

@@ -11,12 +11,14 @@ from tests.llm import brute
 from tests.llm.helpers import SCHEMA, awkward, corpus, frame
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
-def test_backoff_matches_plain_version(spark, monkeypatch, order):
+@pytest.mark.parametrize(("order", "least"), [(1, 1), (2, 1), (3, 1), (2, 2), (3, 4)])
+def test_backoff_matches_plain_version(spark, monkeypatch, order, least):
     monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 10_000)
     rows = corpus(7)
-    got = sorted(((r.doc_id, r.n_words, r.log_score) for r in lm_scoring.score_documents(frame(spark, rows), order).collect()), key=str)
-    want = sorted(brute.backoff_scores([(r[0], r[1]) for r in rows], order), key=str)
+    scores = lm_scoring.score_documents(frame(spark, rows), order, least=least).collect()
+    got = sorted(((r.doc_id, r.n_words, r.log_score) for r in scores), key=str)
+    assert least > 1 or not any(r.n_backed_off for r in scores)
+    want = sorted(brute.backoff_scores([(r[0], r[1]) for r in rows], order, least=least), key=str)
     assert [x[:2] for x in got] == [x[:2] for x in want]
     assert np.allclose([x[2] for x in got], [x[2] for x in want])
 
