@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -23,13 +24,19 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 # Batches of one generation; those of the next have higher numbers.
 GENERATION = 10**9
 LAST_PUBLISHED = T.StructType([T.StructField("us", T.LongType())])
+HELD_ROWS = T.StructType([T.StructField("rows", T.BinaryType())])
+UNTIMED_US = NEVER
+# Why a row was let out without the rule.
+MARK = "mark"
+LATE, UNTIMED = "late", "untimed"
 
 
-class LastPublished(StatefulProcessor):
-    """Remembers, per key, the time of the last published row until its time to live is over.
+class OrderedSuppression(StatefulProcessor):
+    """Holds the rows of a key until the watermark has passed them, and then decides in time order.
 
-    A timer on the rows' own time ends the state: once the watermark has passed the last time plus
-    the time to live, no row that may still come is suppressed by it.
+    No row that may still come in time is before the watermark, so what is released is final. A timer
+    on the earliest held row releases it; one on the end of the last published row's time to live
+    ends the state. Rows behind the watermark, and rows without a time, go out at once with a mark.
     """
 
     def __init__(self, ttl: int, columns: list[str]) -> None:
@@ -39,34 +46,57 @@ class LastPublished(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         self._last = handle.getValueState("last_published", LAST_PUBLISHED)
+        self._held = handle.getListState("held", HELD_ROWS)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1_000
+        for chunk in rows:
+            times = chunk["seen_us"].to_numpy()
+            untimed = times == UNTIMED_US
+            late = ~untimed & (times <= passed) if passed > 0 else np.zeros(len(times), dtype=bool)
+            for which, mark in ((untimed, UNTIMED), (late, LATE)):
+                if which.any():
+                    yield self._out(chunk[which], mark)
+            waiting = chunk[~(untimed | late)]
+            if len(waiting):
+                self._held.appendValue((pickle.dumps(waiting),))
+                self._handle.registerTimer(int(waiting["seen_us"].min()) // 1_000 + 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self._last.exists() and self._end() <= expiredTimerInfo.getExpiryTimeInMs():
+        passed = timerValues.getCurrentWatermarkInMs() * 1_000
+        held = [pickle.loads(x[0]) for x in self._held.get()] if self._held.exists() else []
+        if held:
+            yield from self._release(pd.concat(held), passed)
+        if self._last.exists() and not self._held.exists() and self._last.get()[0] + self._ttl < passed:
             self._last.clear()
-        yield pd.DataFrame()
 
-    def _end(self) -> int:
-        """First millisecond after the time to live of the last published row."""
-        return (self._last.get()[0] + self._ttl) // 1_000 + 1
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def _release(self, rows: pd.DataFrame, passed: int) -> Iterator[pd.DataFrame]:
+        """Decide on the rows up to the watermark; the others stay held."""
+        due = rows["seen_us"] <= passed
+        later = rows[~due]
+        self._held.clear()
+        if len(later):
+            self._held.appendValue((pickle.dumps(later),))
+            self._handle.registerTimer(int(later["seen_us"].min()) // 1_000 + 1)
         after = self._last.get()[0] + self._ttl if self._last.exists() else NEVER
-        # Rows still inside the time to live are dropped chunk by chunk. What is left of
-        # this key is at most what one micro-batch brought.
-        open_rows = [chunk[chunk["seen_us"] > after] for chunk in rows]
-        pdf = pd.concat(open_rows)
-        ordered = [name for name in pdf.columns if name.startswith("seen_order_")]
-        pdf = pdf.sort_values(["seen_us", *ordered, "seen_order"], kind="stable")
-        times = pdf["seen_us"].to_numpy()
-        kept = []
-        at = 0
+        open_rows = rows[due & (rows["seen_us"] > after)]
+        ordered = [name for name in rows.columns if name.startswith("seen_order_")]
+        open_rows = open_rows.sort_values(["seen_us", *ordered, "seen_order"], kind="stable")
+        times = open_rows["seen_us"].to_numpy()
+        kept, at = [], 0
         while at < len(times):
             kept.append(at)
             at = int(np.searchsorted(times, times[at] + self._ttl, "right"))
         if kept:
-            self._last.update((int(times[kept[-1]]),))
-            self._handle.registerTimer(self._end())
-            yield pdf.iloc[kept][self._columns]
+            last = int(times[kept[-1]])
+            self._last.update((last,))
+            self._handle.registerTimer((last + self._ttl) // 1_000 + 2)
+            yield self._out(open_rows.iloc[kept], None)
+
+    def _out(self, rows: pd.DataFrame, mark: str | None) -> pd.DataFrame:
+        out = rows[self._columns].copy()
+        out[MARK] = pd.Series([mark] * len(out), index=out.index, dtype="object")
+        return out
 
     def close(self) -> None:
         pass
@@ -85,29 +115,45 @@ def suppress_recent_stream(
     ttl_seconds: float = SUPPRESS_TTL_SECONDS,
     order: Sequence[str] = (),
     late_seconds: float = 0,
+    beat: str | None = None,
+    now: Column | None = None,
 ) -> DataFrame:
-    """Rows to publish, equal to the batch form when batches arrive in time order.
-
-    Of rows equal in key and time the first by ``order`` counts. The state of a key ends with its
-    time to live, by the watermark on ``time``, so it does not grow with the number of keys ever
-    seen. ``late_seconds`` is how far rows may be behind the newest one; those later still
-    are dropped, and so are rows without a time, which have no place in the order.
-    Limit the size of a micro-batch at the source. Column names must not begin with an
-    underscore, which row tuples do not allow.
+    """Rows to publish, equal to the batch form for rows in any order, and all that it could not judge.
+
+    Rows wait until the watermark, ``late_seconds`` behind the newest row, has passed them; then they
+    are judged in time order, and of rows equal in key and time the first by ``order`` counts. Every
+    other row comes out with a reason in the column ``mark``: ``late`` where it came behind the
+    watermark (by ``late_seconds`` or more), ``untimed`` where it has no time and ``now``, which stands for one,
+    is not given. Published rows have no mark, so whoever publishes filters on that.
+
+    Rows with true in the column ``beat`` move the watermark and are nothing else: a source that
+    falls silent sends them to let out what still waits.
+
+    A key's state is the rows that wait, as many as come within ``late_seconds``, and one time, which ends
+    with its time to live. Limit the size of a micro-batch at the source. Column names must not begin
+    with an underscore, which row tuples do not allow.
     """
     use_state_store(stream.sparkSession)
-    processor = LastPublished(round(ttl_seconds * 1_000_000), stream.columns)
-    timed = stream.filter(F.col(time).isNotNull()).withWatermark(time, f"{round(late_seconds * 1_000)} milliseconds")
+    if MARK in stream.columns:
+        raise ValueError(f"the stream must not have a column {MARK}")
+    processor = OrderedSuppression(round(ttl_seconds * 1_000_000), stream.columns)
+    # The column that the watermark is on ends before the stateful operator, for which Spark would
+    # drop late rows if it saw it.
+    timed = stream.withColumn("seen_at", F.coalesce(time, now) if now is not None else F.col(time))
+    timed = timed.withWatermark("seen_at", f"{round(late_seconds * 1_000)} milliseconds")
+    if beat is not None:
+        # On the time as well, so that the filter is not pushed below the watermark.
+        timed = timed.filter(~F.coalesce(F.col(beat), F.lit(False)) | (F.col("seen_at") < F.lit("0001-01-01")))
     keyed = timed.select(
-        "*",
+        *stream.columns,
         key_text(key).alias("seen_key"),
-        F.unix_micros(time).alias("seen_us"),
+        F.coalesce(F.unix_micros("seen_at"), F.lit(UNTIMED_US)).alias("seen_us"),
         *[F.col(name).alias(f"seen_order_{at}") for at, name in enumerate(order)],
         F.xxhash64(*stream.columns).alias("seen_order"),
     )
     return keyed.groupBy("seen_key").transformWithStateInPandas(
         processor,
-        outputStructType=stream.schema,
+        outputStructType=T.StructType([*stream.schema.fields, T.StructField(MARK, T.StringType())]),
         outputMode="Append",
         timeMode="EventTime",
     )

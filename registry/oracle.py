@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from quakeframe.schemas import FLAT_EVENT_COLUMNS, HOURLY_COLUMNS
 from registry.adapter import RAW_SQL, SOURCE_FEED
-from registry.queries import HOURLY_MEASURES, LISTED_IDS, USER_TTL_SECONDS, WINDOW_DAYS
+from registry.queries import HOURLY_MEASURES, LATE_DAYS, LISTED_IDS, USER_TTL_SECONDS, WINDOW_DAYS
 
 FLAT = ", ".join(FLAT_EVENT_COLUMNS)
 HOURLY = ", ".join(HOURLY_COLUMNS)
@@ -225,6 +225,31 @@ def suppressed(key: str, ttl_seconds: int, missing: str = "false") -> str:
     )
 
 
+def judged_late(key: str, ttl_seconds: int, late_days: int) -> str:
+    """Published rows, and those that come more than ``late_days`` behind an earlier half month's rows."""
+    ttl_ms, late_ms = ttl_seconds * 1_000, late_days * 86_400_000
+    return with_tables(
+        f"""select n, user_id, event_type, {OBSERVED} as observed_at, cast(null as varchar) as mark from (
+              select raw.* from raw join chain on raw.{key} = chain.k and raw.observed_ms = chain.ms
+              qualify row_number() over (partition by raw.{key}, raw.observed_ms order by n) = 1)
+            union all select n, user_id, event_type, {OBSERVED} as observed_at, 'late' as mark
+              from arrived where observed_ms <= newest - {late_ms}""",
+        recursive=True,
+        given=RAW_SQL,
+        sent=f"""select *, floor((date_diff('day', date '2024-01-01', cast({OBSERVED} as date)) + n % 3 * 5) / 15) as part
+            from given""",
+        parts="select part, max(observed_ms) as ms from sent group by part",
+        before="select part, max(ms) over (order by part rows between unbounded preceding and 1 preceding) as newest from parts",
+        arrived="select sent.*, newest from sent join before using (part)",
+        raw=f"select * from arrived where newest is null or observed_ms > newest - {late_ms}",
+        seen=f"select distinct {key} as k, observed_ms as ms from raw",
+        chain=f"""select k, min(ms) as ms from seen group by k union all
+            select * from (select chain.k,
+              (select min(ms) from seen where seen.k = chain.k and seen.ms > chain.ms + {ttl_ms}) as ms
+              from chain) where ms is not null""",
+    )
+
+
 CHUNK_COUNTS = """select chunk_start, least(chunk_start + 6, date '2024-01-31') as chunk_end,
     cast(sum(copies) as bigint) as fetched_count, count(*) as unique_count,
     count(*) filter (chunk_start = first_chunk) as published_count,
@@ -520,6 +545,7 @@ ORACLE: dict[str, str] = {
         f"select {FLAT} from latest", raw=RAW_SQL, flat=LENIENT, latest=latest_of("flat")
     ),
     "t5_stateful_suppress": suppressed("user_id", USER_TTL_SECONDS),
+    "t5_late_rows": judged_late("user_id", USER_TTL_SECONDS, LATE_DAYS),
     "t5_suppress_by_batch": suppressed("event_type", 3_600),
     "t6_periodic_refresh": with_tables(
         f"select {HOURLY} from hourly",

@@ -41,6 +41,8 @@ RANGE_START, RANGE_END = date(2024, 1, 5), date(2024, 1, 20)
 RUN_START, RUN_END = date(2024, 1, 1), date(2024, 1, 31)
 WINDOW_DAYS = 7
 STREAM_DAYS = 15
+LATE_STEP_DAYS = 5
+LATE_DAYS = 3
 FETCH_SECONDS = (0, 1_800, 7_200)
 LISTED_IDS = [f"e{number}" for number in range(0, 400, 3)]
 USER_TTL_SECONDS = 6 * 3_600
@@ -775,17 +777,53 @@ def _seen_in_turn(spark, sf_dir):
     return stream, rows.schema
 
 
-@query
-def t5_stateful_suppress(spark, sf_dir):
-    stream, schema = _seen_in_turn(spark, sf_dir)
+def _seen_out_of_order(spark, sf_dir):
+    """What was seen, a third of it five and a third ten days late; half a month makes a micro-batch.
+
+    A last file holds a tick, long after all rows.
+    """
+    folder, files = scratch_path(spark, "seen"), file_count(spark)
+    rows = _seen(spark, sf_dir).withColumn("tick", F.lit(False))
+    day = F.date_diff(F.to_date("observed_at"), F.lit(RUN_START)) + F.col("n") % 3 * LATE_STEP_DAYS
+    part = F.floor(day / STREAM_DAYS)
+    first, last, newest = rows.agg(F.min(part), F.max(part), F.max("observed_at")).first()
+    for number in range(first, last + 1):
+        rows.filter(part == number).repartition(files).write.mode("append").parquet(folder)
+    after = F.lit(newest) + F.expr("interval 1 year")
+    tick = spark.range(1).select(
+        *[after.alias(x) if x == "observed_at" else F.lit(None).cast(rows.schema[x].dataType).alias(x) for x in rows.columns[:-1]],
+        F.lit(True).alias("tick"),
+    )
+    tick.write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
+    return stream, rows.schema
+
+
+def _judged(spark, sf_dir, late_days):
+    stream, schema = _seen_out_of_order(spark, sf_dir)
     path = scratch_path(spark, "published")
-    published = suppress_recent_stream(stream, ("user_id",), ttl_seconds=USER_TTL_SECONDS)
+    published = suppress_recent_stream(
+        stream, ("user_id",), ttl_seconds=USER_TTL_SECONDS, order=("n",), late_seconds=late_days * 86_400, beat="tick"
+    )
     (
         published.writeStream.trigger(availableNow=True).outputMode("append")
         .option("checkpointLocation", scratch_path(spark, "offsets"))
         .format("parquet").start(path).awaitTermination()
     )
-    return spark.read.schema(schema).parquet(path)
+    judged = T.StructType([*schema.fields, T.StructField("mark", T.StringType())])
+    return spark.read.schema(judged).parquet(path).drop("tick")
+
+
+@query
+def t5_stateful_suppress(spark, sf_dir):
+    """Rows come up to ten days out of order, and wait as long."""
+    return _judged(spark, sf_dir, late_days=12).filter("mark is null").drop("mark")
+
+
+@query
+def t5_late_rows(spark, sf_dir):
+    """The same rows wait for three days only; those that come later are marked."""
+    return _judged(spark, sf_dir, late_days=LATE_DAYS)
 
 
 @query

@@ -2,6 +2,7 @@ import json
 import random
 from datetime import timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from quakeframe.sinks.messages import publish_files
@@ -83,28 +84,73 @@ def seen_batches(seed):
 SEEN = "event_id string, observed_at timestamp, n int"
 
 
-def write_batch(spark, folder, rows, number):
-    data = [(key, at(second), number * 1000 + i) for i, (key, second) in enumerate(rows)]
-    random.Random(number).shuffle(data)
-    spark.createDataFrame(data, SEEN).coalesce(1).write.mode("append").parquet(folder)
-
-
 def pairs(df):
     return sorted((row.event_id, (row.observed_at - T0) / timedelta(seconds=1)) for row in df.collect())
 
 
-def test_stateful_stream_equals_the_rule_across_restarts(spark, tmp_path):
+TICKED = f"{SEEN}, tick boolean"
+
+
+def send(spark, folder, rows, tick=None):
+    """Rows (key, second or None, n), and a tick at a second, as one file."""
+    data = [(key, None if second is None else at(second), n, False) for key, second, n in rows]
+    data += [(None, at(tick), -1, True)] if tick is not None else []
+    spark.createDataFrame(data, TICKED).coalesce(1).write.mode("append").parquet(folder)
+
+
+def drain(spark, inbox, out, offsets, **options):
+    stream = spark.readStream.schema(TICKED).option("maxFilesPerTrigger", 1).parquet(inbox)
+    (
+        suppress_recent_stream(stream, beat="tick", **options)
+        .writeStream.trigger(availableNow=True).option("checkpointLocation", offsets)
+        .format("parquet").start(out).awaitTermination()
+    )
+    return spark.read.schema(f"{TICKED}, mark string").parquet(out)
+
+
+def marked(df, mark):
+    return sorted(r.n for r in df.collect() if r.mark == mark)
+
+
+@pytest.mark.parametrize(("seed", "late"), [(7, 0), (8, 900), (9, 900)])
+def test_any_order_gives_the_rule_across_restarts(spark, tmp_path, seed, late):
     inbox, out, offsets = (str(tmp_path / n) for n in ("inbox", "out", "offsets"))
-    rows, batches = seen_batches(7)
-    for number, batch in enumerate(batches):
-        write_batch(spark, inbox, batch, number)
-        stream = spark.readStream.schema(SEEN).parquet(inbox)
-        (
-            suppress_recent_stream(stream, ttl_seconds=600)
-            .writeStream.trigger(availableNow=True).option("checkpointLocation", offsets)
-            .format("parquet").start(out).awaitTermination()
-        )
-    assert pairs(spark.read.schema(SEEN).parquet(out)) == sorted(plain_rule(rows, 600))
+    rng = random.Random(seed)
+    rows, _ = seen_batches(seed)
+    numbered = [(k, s, i) for i, (k, s) in enumerate(rows)]
+    # What arrives when: up to the allowed delay after its own time.
+    arrival = sorted(numbered, key=lambda r: r[1] + (rng.random() * (late - 1) if late else 0))
+    cuts = [0, 40, 45, 100, len(arrival)]
+    for i, j in zip(cuts, cuts[1:]):
+        part = arrival[i:j]
+        rng.shuffle(part)
+        # A row as old as the newest one of an earlier file counts as late if nothing may be late.
+        send(spark, inbox, part if late else [r for r in part if i == 0 or r[1] > arrival[i - 1][1]])
+        drain(spark, inbox, out, offsets, ttl_seconds=600, order=("n",), late_seconds=late)
+    send(spark, inbox, [], tick=50_000)
+    got = drain(spark, inbox, out, offsets, ttl_seconds=600, order=("n",), late_seconds=late)
+    sent = [(r.event_id, (r.observed_at - T0) / timedelta(seconds=1)) for r in spark.read.parquet(inbox).collect() if not r.tick]
+    assert pairs(got.filter("mark is null")) == sorted(plain_rule(sent, 600))
+    assert got.filter("mark is not null").isEmpty()
+
+
+def test_late_and_untimed_rows_come_out_with_a_mark(spark, tmp_path):
+    inbox, out, offsets = (str(tmp_path / n) for n in ("inbox", "out", "offsets"))
+    send(spark, inbox, [("a", 1_000, 0), ("b", 5_000, 1), ("c", None, 2)])
+    drain(spark, inbox, out, offsets, ttl_seconds=600, late_seconds=1_000)
+    # Behind the watermark of 4,000; one row in time, and one more that the held row suppresses.
+    send(spark, inbox, [("a", 3_999, 3), ("a", 4_000, 4), ("a", 4_001, 5), ("b", 5_300, 6), ("c", None, 7)])
+    drain(spark, inbox, out, offsets, ttl_seconds=600, late_seconds=1_000)
+    send(spark, inbox, [], tick=90_000)
+    got = drain(spark, inbox, out, offsets, ttl_seconds=600, late_seconds=1_000)
+    assert marked(got, None) == [0, 1, 5] and marked(got, "late") == [3, 4] and marked(got, "untimed") == [2, 7]
+
+
+def test_a_missing_time_may_be_the_time_of_reading(spark, tmp_path):
+    inbox, out, offsets = (str(tmp_path / n) for n in ("inbox", "out", "offsets"))
+    send(spark, inbox, [("a", 100, 0), ("a", None, 1), ("b", None, 2)], tick=90_000)
+    got = drain(spark, inbox, out, offsets, ttl_seconds=600, now=F.lit(at(300)))
+    assert marked(got, None) == [0, 2] and len(got.collect()) == 2
 
 
 def test_batch_form_equals_the_rule_with_repeats(spark, tmp_path):
@@ -125,19 +171,15 @@ def test_batch_form_equals_the_rule_with_repeats(spark, tmp_path):
 
 def test_state_ends_with_the_time_to_live(spark, tmp_path):
     inbox, out, offsets = (str(tmp_path / n) for n in ("inbox", "out", "offsets"))
-    batches = [[(f"k{i}", i) for i in range(20)], [("late", 5_000)], [("later", 9_000)], [("k3", 9_001)]]
-    for number, batch in enumerate(batches):
-        write_batch(spark, inbox, batch, number)
-        stream = spark.readStream.schema(SEEN).parquet(inbox)
-        query = (
-            suppress_recent_stream(stream, ttl_seconds=600, order=("n",))
-            .writeStream.trigger(availableNow=True).option("checkpointLocation", offsets)
-            .format("parquet").start(out)
-        )
-        query.awaitTermination()
+    batches = [[(f"k{i}", i + 1, i) for i in range(20)], [("late", 5_000, 20)], [("later", 9_000, 21)], [("k3", 9_001, 22)]]
+    for batch in batches:
+        send(spark, inbox, batch)
+        drain(spark, inbox, out, offsets, ttl_seconds=600, order=("n",))
+    send(spark, inbox, [], tick=9_100)
+    got = drain(spark, inbox, out, offsets, ttl_seconds=600, order=("n",))
     kept = spark.read.format("statestore").option("stateVarName", "last_published").load(offsets).count()
     assert kept <= 3
-    assert len(pairs(spark.read.schema(SEEN).parquet(out))) == 23
+    assert marked(got, None) == list(range(23))
 
 
 def test_a_new_checkpoint_goes_on_from_the_memory(spark, tmp_path):

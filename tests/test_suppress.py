@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quakeframe.operators import suppress
 from quakeframe.operators.suppress import suppress_recent
-from quakeframe.streaming.suppress import LastPublished
+from quakeframe.streaming.suppress import OrderedSuppression
 from tests.helpers import T0, at
 
 
@@ -108,7 +108,7 @@ def test_worker_code_does_not_need_the_package():
     shipped = [suppress._chain(1, 1), suppress._summarise(1), suppress._walk(1), suppress._mark(1)]
     loaded = subprocess.run(
         [sys.executable, "-c", "import pickle, sys; pickle.load(sys.stdin.buffer)"],
-        input=cloudpickle.dumps([*shipped, LastPublished(1, [])]),
+        input=cloudpickle.dumps([*shipped, OrderedSuppression(1, [])]),
         cwd="/",
         env={name: value for name, value in os.environ.items() if name != "PYTHONPATH"},
         capture_output=True,
