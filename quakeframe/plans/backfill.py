@@ -7,13 +7,13 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quakeframe.defaults import BACKFILL_TOPIC, BACKFILL_WINDOW_DAYS, CALENDAR_PARTITIONS
+from quakeframe.defaults import BACKFILL_TOPIC, BACKFILL_WINDOW_DAYS
 from quakeframe.functions.times import epoch_ms_expr
 from quakeframe.operators.dedup import first_across_chunks, unique_features
 from quakeframe.operators.envelope import build_event_envelope, encode_envelope
 from quakeframe.operators.flatten import accepted, classify_typed
 from quakeframe.schemas import FLAT_EVENT_COLUMNS, TYPED_COLLECTION_DDL
-from quakeframe.sinks.tables import RUN_COLUMN, append_run, write_partitioned
+from quakeframe.sinks.runs import append_run, replace_runs
 from quakeframe.sources.landed import explode_features, read_feature_collections
 from quakeframe.sources.windows import check_window, in_date_range, with_chunk
 
@@ -108,5 +108,4 @@ def run_backfill(
     if mode == "append":
         return append_run(flat, facts_path, run_id)
     run = run_id or f"backfill-{start.isoformat()}-{end.isoformat()}"
-    tagged = flat.select(*FLAT_EVENT_COLUMNS, F.lit(run).alias(RUN_COLUMN))
-    return write_partitioned(tagged, facts_path, partitions=(RUN_COLUMN, *CALENDAR_PARTITIONS))
+    return replace_runs(flat.select(*FLAT_EVENT_COLUMNS), facts_path, run)

@@ -11,16 +11,24 @@ from quakeframe.operators.hourly import build_region_hourly_stats_df
 from quakeframe.operators.latest import build_latest_event_df
 from quakeframe.schemas import FLAT_EVENT_COLUMNS, FLAT_EVENT_DDL, HOURLY_DDL
 from quakeframe.sinks.messages import write_bulk_payload
+from quakeframe.sinks.runs import has_runs, is_run_table, read_runs
 from quakeframe.sinks.snapshot import read_snapshot
 from quakeframe.sinks.tables import write_partitioned
 from quakeframe.sources.tables import key_scan, table_exists, table_scan_if_exists
 
 
+def open_facts(spark: SparkSession, facts_path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The fact table, be it a plain one or one of runs; None where there are no rows."""
+    if is_run_table(spark, facts_path):
+        return read_runs(spark, facts_path) if has_runs(spark, facts_path) else None
+    return table_scan_if_exists(spark, facts_path, fmt)
+
+
 def rebuild_latest(
     spark: SparkSession, facts_path: str, latest_path: str, mode: str = "overwrite", fmt: str = "parquet"
 ) -> int | None:
     """Snapshot table from the fact table; None, and nothing written, without facts."""
-    facts = table_scan_if_exists(spark, facts_path, fmt)
+    facts = open_facts(spark, facts_path, fmt)
     if facts is None:
         return None
     latest = build_latest_event_df(facts.select(*FLAT_EVENT_COLUMNS))

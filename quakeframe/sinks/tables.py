@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
-from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quakeframe.defaults import CALENDAR_PARTITIONS
-from quakeframe.sources.tables import drop_path
-
-RUN_COLUMN = "run_id"
-
 
 def write_partitioned(
     df: DataFrame,
@@ -40,27 +34,3 @@ def write_partitioned(
         .save(path)
     )
     return observed.get["row_count"]
-
-
-def run_folder(path: str, run_id: str) -> str:
-    return f"{path}/{RUN_COLUMN}={quote(run_id, safe='')}"
-
-
-def append_run(df: DataFrame, path: str, run_id: str | None = None, fmt: str = "parquet") -> int:
-    """Append rows as one run, by default a new one.
-
-    A run has a folder of its own below the table, so repeating a run id replaces all rows of
-    that run and no others, whatever days the new rows are on. Between the removal of the old
-    rows and the commit of the new ones readers see neither; a crash there leaves the run
-    empty, and repeating it completes it. No rows means no files. ``df`` must not read the run
-    that it replaces.
-    """
-    run = run_id or uuid.uuid4().hex
-    drop_path(df.sparkSession, run_folder(path, run))
-    return write_partitioned(
-        df.withColumn(RUN_COLUMN, F.lit(run)),
-        path,
-        mode="append",
-        fmt=fmt,
-        partitions=(RUN_COLUMN, *CALENDAR_PARTITIONS),
-    )

@@ -37,6 +37,13 @@ def drop_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def rename_path(spark: SparkSession, path: str, target: str) -> None:
+    """Move a folder in one step; the target must not be there yet."""
+    source, goal = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (path, target))
+    if not source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, goal):
+        raise OSError(f"{path} was not moved to {target}")
+
+
 def has_rows_written(spark: SparkSession, path: str) -> bool:
     """Whether a table folder holds more than markers of an empty write."""
     hidden = ("_", ".")

@@ -12,7 +12,7 @@ from pyspark.storagelevel import StorageLevel
 
 from quakeframe.operators.flatten import flatten_lenient
 from quakeframe.sinks.snapshot import compact, upsert_latest
-from quakeframe.sinks.tables import append_run
+from quakeframe.sinks.runs import append_run, compact_runs
 from quakeframe.sources.messages import decode_value
 
 
@@ -36,7 +36,8 @@ def batch_writer(
     """A ``foreachBatch`` function: flatten, append the facts, merge the snapshot.
 
     Both writes are keyed by the batch id. A batch that failed half-way is repeated from
-    the same offsets and replaces what it had written. Raise ``generation`` when the
+    the same offsets and replaces what it had written. Every ``compact_every`` batches the
+    runs of facts are folded and the snapshot is compacted. Raise ``generation`` when the
     stream starts over with a new checkpoint, so that its batches follow the stored ones.
     """
 
@@ -57,6 +58,7 @@ def batch_writer(
             flat.unpersist()
         if compact_every and (batch_id + 1) % compact_every == 0:
             compact(spark, latest_path, number)
+            compact_runs(spark, facts_path)
         if on_batch is not None:
             on_batch(BatchReport(batch_id, consumed.get["rows"], written, affected))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from quakeframe.schemas import FLAT_EVENT_COLUMNS, HOURLY_COLUMNS
 from registry.adapter import RAW_SQL, SOURCE_FEED
-from registry.queries import HOURLY_MEASURES, LATE_DAYS, LISTED_IDS, USER_TTL_SECONDS, WINDOW_DAYS
+from registry.queries import HOURLY_MEASURES, LATE_DAYS, LISTED_IDS, RUN_IDS, USER_TTL_SECONDS, WINDOW_DAYS
 
 FLAT = ", ".join(FLAT_EVENT_COLUMNS)
 HOURLY = ", ".join(HOURLY_COLUMNS)
@@ -381,6 +381,10 @@ ORACLE: dict[str, str] = {
         f"select {', '.join('1 as day' if c == 'day' else c for c in FLAT_EVENT_COLUMNS)} from flat where n % 3 = 0"
         f" union all select {FLAT} from flat where n % 5 = 1"
     ),
+    "k3_any_run_id": on_flat(
+        f"select {', '.join('flat.' + c for c in FLAT_EVENT_COLUMNS)},"
+        f" case n % 5 {' '.join(f'when {i} then {chr(39)}{x}{chr(39)}' for i, x in enumerate(RUN_IDS))} end as run_id from flat"
+    ),
     "k4_merge_upsert": on_flat(f"select {FLAT} from m3", **REVISIONS),
     "k5_bulk_payload_latest": on_latest(
         f"select event_id as document_id, {_action('earthquake-latest-event-v1', 'event_id')} as action_line,"

@@ -27,7 +27,8 @@ from quakeframe.schemas import FLAT_EVENT_COLUMNS, FLAT_EVENT_DDL, HOURLY_COLUMN
 from quakeframe.session import prepare_session, scratch_path
 from quakeframe.sinks import messages as message_sinks
 from quakeframe.sinks import snapshot
-from quakeframe.sinks.tables import append_run, write_partitioned
+from quakeframe.sinks.runs import append_run, compact_runs, read_runs
+from quakeframe.sinks.tables import write_partitioned
 from quakeframe.sources import landed, messages, windows
 from quakeframe.sources.tables import key_scan, table_scan, table_scan_if_exists
 from quakeframe.streaming.consumer import batch_writer, consume
@@ -43,6 +44,7 @@ WINDOW_DAYS = 7
 STREAM_DAYS = 15
 LATE_STEP_DAYS = 5
 LATE_DAYS = 3
+RUN_IDS = ("Jan run", "a+b", "é", "x&y=1/2", "")
 FETCH_SECONDS = (0, 1_800, 7_200)
 LISTED_IDS = [f"e{number}" for number in range(0, 400, 3)]
 USER_TTL_SECONDS = 6 * 3_600
@@ -204,7 +206,7 @@ def k3_create_or_append(spark, sf_dir):
     seen = F.col("event_type").isin("view", "click")
     for run_id, rows in (("seen", flat.filter(seen)), ("rest", flat.filter(~seen)), ("seen", flat.filter(seen))):
         append_run(rows.drop("event_type"), path, run_id)
-    return spark.read.schema(f"{FLAT_EVENT_DDL}, run_id string").parquet(path)
+    return read_runs(spark, path)
 
 
 @query
@@ -216,7 +218,21 @@ def k3_rerun_moved_days(spark, sf_dir):
     append_run(flat.filter("n % 5 = 1").drop("n"), path)
     moved = flat.filter("n % 3 = 0").withColumn("day", F.lit(1)).drop("n")
     append_run(moved, path, "repeated")
-    return spark.read.schema(f"{FLAT_EVENT_DDL}, run_id string").parquet(path).drop("run_id")
+    return read_runs(spark, path).drop("run_id")
+
+
+@query
+def k3_any_run_id(spark, sf_dir):
+    """Run ids of any text, each repeated, and once more after all were folded."""
+    path = scratch_path(spark, "facts")
+    flat = adapter.flat_rows(spark, sf_dir, keep=("n",))
+    for turn in range(3):
+        for number, run_id in enumerate(RUN_IDS):
+            own = flat.filter(F.col("n") % len(RUN_IDS) == number).drop("n")
+            append_run(own if turn else own.limit(10), path, run_id)
+        if turn == 1:
+            compact_runs(spark, path)
+    return read_runs(spark, path)
 
 
 @query
@@ -748,7 +764,7 @@ def _consumed(spark, sf_dir, batches=2):
 @query
 def t2_batch_write(spark, sf_dir):
     _, facts, _, _ = _consumed(spark, sf_dir)
-    return spark.read.schema(FLAT_EVENT_DDL).parquet(facts).select(*FLAT_EVENT_COLUMNS)
+    return read_runs(spark, facts).select(*FLAT_EVENT_COLUMNS)
 
 
 @query
@@ -756,7 +772,7 @@ def t3_commit_after_write(spark, sf_dir):
     """A whole batch is written again, as after a crash before its commit."""
     folder, facts, _, writer = _consumed(spark, sf_dir, batches=1)
     writer(spark.read.schema(messages.MESSAGE_DDL).json(folder), 0)
-    return spark.read.schema(FLAT_EVENT_DDL).parquet(facts).select(*FLAT_EVENT_COLUMNS)
+    return read_runs(spark, facts).select(*FLAT_EVENT_COLUMNS)
 
 
 @query

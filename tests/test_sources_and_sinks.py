@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from quakeframe.operators.envelope import build_event_envelope, decode_envelope, encode_envelope
 from quakeframe.plans.backfill import run_backfill
-from quakeframe.plans.rebuild import rebuild_latest, refresh_hourly, sync_latest
+from quakeframe.plans.rebuild import open_facts, rebuild_latest, refresh_hourly, sync_latest
 from quakeframe.schemas import FLAT_EVENT_DDL
 from quakeframe.session import scratch_path, shared_dir
-from quakeframe.sinks.tables import append_run, run_folder, write_partitioned
+from quakeframe.sinks import runs
+from quakeframe.sinks.runs import append_run, compact_runs, read_runs, run_folder
+from quakeframe.sinks.tables import write_partitioned
 from quakeframe.sources.landed import explode_features, parse_feature_collection, payload_rows
-from quakeframe.sources.tables import MAX_IN_LIST, drop_path, key_scan, table_scan_if_exists
+from quakeframe.sources.tables import MAX_IN_LIST, child_names, key_scan, table_scan_if_exists
 from quakeframe.sources.windows import catalog_range, chunk_date_range, with_chunk
 from tests.helpers import flat_frame, keys
 
@@ -110,7 +112,7 @@ def test_runs_replace_themselves(spark, tmp_path):
     assert append_run(two, path, "r2") == 1
     assert append_run(one, path, "r1") == 2
     assert append_run(one.limit(0), path, "r3") == 0
-    assert keys(spark.read.parquet(path), "event_id", "mag", "run_id") == [
+    assert keys(read_runs(spark, path), "event_id", "mag", "run_id") == [
         ("a", 1.0, "r1"), ("a", 3.0, "r2"), ("b", 2.0, "r1"),
     ]
 
@@ -120,18 +122,108 @@ def test_a_repeated_run_may_move_its_rows_to_other_days(spark, tmp_path):
     append_run(flat_frame(spark, [("a", 5, 1, 1.0), ("b", 5, 2, 1.0), ("c", 6, 3, 1.0)]), path, "r/1")
     append_run(flat_frame(spark, [("a", 6, 400_000, 2.0), ("b", 6, 3, 1.0)]), path, "r/1")
     append_run(flat_frame(spark, [("z", 1, 4, 1.0)]), path)
-    assert keys(spark.read.parquet(path), "event_id", "mag") == [("a", 2.0), ("b", 1.0), ("z", 1.0)]
+    assert keys(read_runs(spark, path), "event_id", "mag") == [("a", 2.0), ("b", 1.0), ("z", 1.0)]
 
 
-def test_a_crash_after_the_removal_is_repaired_by_the_repeat(spark, tmp_path):
+ANY_TEXT = ["Jan run", "a+b", "é", "x&y", "", "a/b", "..", "%2F", "a=b", "'", "\\", "\n", "_x", "x" * 3_000]
+
+
+def test_a_run_id_may_be_any_text(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    every = "".join(chr(i) for i in range(32, 127))
+    rows = flat_frame(spark, [("a", 5, 1, 1.0)])
+    for _ in range(2):
+        for run_id in [*ANY_TEXT, every]:
+            append_run(rows, path, run_id)
+    assert sorted(r.run_id for r in read_runs(spark, path).collect()) == sorted([*ANY_TEXT, every])
+
+
+class Crash(Exception):
+    pass
+
+
+def crash(*_):
+    raise Crash
+
+
+@pytest.mark.parametrize(("step", "seen"), [("write_partitioned", "old"), ("rename_path", "old"), ("drop_path", "new")])
+def test_readers_see_a_run_before_or_after(spark, tmp_path, monkeypatch, step, seen):
+    path = str(tmp_path / "facts")
+    old, new = flat_frame(spark, [("a", 5, 1, 1.0), ("b", 5, 90_000, 2.0)]), flat_frame(spark, [("c", 5, 1, 3.0)])
+    append_run(old, path, "kept")
+    append_run(old, path, "again")
+    with monkeypatch.context() as broken:
+        broken.setattr(runs, step, crash)
+        with pytest.raises(Crash):
+            append_run(new, path, "again")
+    assert read_runs(spark, path).count() == (4 if seen == "old" else 3)
+    append_run(new, path, "again")
+    assert keys(read_runs(spark, path), "event_id", "run_id") == [("a", "kept"), ("b", "kept"), ("c", "again")]
+    assert len(child_names(spark, run_folder(path, "again"))) == 1
+
+
+def test_a_run_may_read_what_it_replaces(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    append_run(flat_frame(spark, [("a", 5, 1, 1.0), ("b", 5, 2, 1.0)]), path, "r")
+    append_run(read_runs(spark, path).filter("event_id = 'a'").drop("run_id"), path, "r")
+    assert keys(read_runs(spark, path), "event_id") == [("a",)]
+    append_run(flat_frame(spark, [("a", 5, 1, 1.0)]).limit(0), path, "r")
+    assert read_runs(spark, path).count() == 0
+
+
+def files_below(folder):
+    return [f for f in folder.rglob("*.parquet") if "_runs" not in f.parts]
+
+
+def test_compactions_bound_folders_and_replays_add_nothing(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    batches = [flat_frame(spark, [(f"e{i}", 5, 1, 1.0), (f"f{i}", 5, 90_000 * (i % 3), 2.0)]).coalesce(1) for i in range(24)]
+    for i, batch in enumerate(batches):
+        append_run(batch, path, f"stream-{i}")
+        if i % 2 == 1:
+            compact_runs(spark, path)
+    want = sorted((e, f"stream-{i}") for i in range(24) for e in (f"e{i}", f"f{i}"))
+    assert keys(read_runs(spark, path), "event_id", "run_id") == want
+    # Twelve compactions are two folds, of eight and four; three days in each.
+    assert sorted(x.name for x in (tmp_path / "facts").iterdir()) == ["fold=0-7", "fold=8-11"]
+    assert len(files_below(tmp_path / "facts")) <= 6
+    for i in (0, 13, 23):
+        append_run(batches[i], path, f"stream-{i}")
+        assert keys(read_runs(spark, path), "event_id", "run_id") == want
+    append_run(batches[1].filter("event_id = 'e1'"), path, "stream-1")
+    want.remove(("f1", "stream-1"))
+    assert keys(read_runs(spark, path), "event_id", "run_id") == want
+    compact_runs(spark, path)
+    assert keys(read_runs(spark, path), "event_id", "run_id") == want
+    for _ in range(3):
+        append_run(flat_frame(spark, [("z", 5, 1, 1.0)]), path, "last")
+        compact_runs(spark, path)
+    assert keys(read_runs(spark, path), "event_id", "run_id") == sorted([*want, ("z", "last")])
+    assert compact_runs(spark, path) == 0
+
+
+@pytest.mark.parametrize("step", ["write_partitioned", "rename_path", "clean_runs", "drop_path"])
+def test_compaction_and_replacement_survive_a_crash(spark, tmp_path, monkeypatch, step):
     path = str(tmp_path / "facts")
     rows = flat_frame(spark, [("a", 5, 1, 1.0), ("b", 5, 90_000, 2.0)])
-    append_run(rows, path, "kept")
-    append_run(rows, path, "again")
-    drop_path(spark, run_folder(path, "again"))  # what is left by a crash between removal and write
-    assert spark.read.parquet(path).count() == 2
-    append_run(rows, path, "again")
-    assert spark.read.parquet(path).count() == 4
+    append_run(rows, path, "one")
+    compact_runs(spark, path)
+    append_run(rows, path, "two")
+    want = [(e, r) for e in "ab" for r in ("one", "two")]
+    with monkeypatch.context() as broken:
+        broken.setattr(runs, step, crash)
+        with pytest.raises(Crash):
+            compact_runs(spark, path)
+    assert keys(read_runs(spark, path), "event_id", "run_id") == want
+    # A replay after the crash, before anything is cleaned.
+    append_run(rows, path, "two")
+    assert keys(read_runs(spark, path), "event_id", "run_id") == want
+    compact_runs(spark, path)
+    assert keys(read_runs(spark, path), "event_id", "run_id") == want
+    append_run(rows, path, "three")
+    runs.replace_runs(rows.filter("event_id = 'a'"), path, "whole")
+    assert keys(read_runs(spark, path), "event_id", "run_id") == [("a", "whole")]
+    assert [x.name.split("=")[0] for x in (tmp_path / "facts").iterdir()] == ["fold"]
 
 
 def test_partition_filters_reach_the_scan(spark, tmp_path):
@@ -147,7 +239,7 @@ def test_empty_writes_count_as_missing(spark, tmp_path):
     path = str(tmp_path / "facts")
     assert table_scan_if_exists(spark, path) is None
     append_run(flat_frame(spark, [("a", 1, 1, 1.0)]).limit(0), path, "r")
-    assert table_scan_if_exists(spark, path) is None
+    assert open_facts(spark, path) is None
     assert rebuild_latest(spark, path, str(tmp_path / "latest")) is None
     assert refresh_hourly(spark, str(tmp_path / "no"), str(tmp_path / "h"), str(tmp_path / "b")) is None
     assert sync_latest(spark, str(tmp_path / "no"), str(tmp_path / "b")) is False
@@ -167,9 +259,9 @@ def test_backfill_to_served_documents(spark, tmp_path):
     run = dict(start=date(2024, 1, 1), end=date(2024, 1, 31), window_days=10)
     assert run_backfill(spark, str(landed), facts, run_id="january", **run) == 3
     assert run_backfill(spark, str(landed), facts, run_id="january", **run) == 3
-    assert keys(spark.read.parquet(facts), "event_id", "mag") == [("a", 1.0), ("b", 1.0), ("c", None)]
+    assert keys(read_runs(spark, facts), "event_id", "mag") == [("a", 1.0), ("b", 1.0), ("c", None)]
     assert run_backfill(spark, str(landed), facts, **run) == 3
-    assert spark.read.parquet(facts).count() == 6
+    assert read_runs(spark, facts).count() == 6
     assert run_backfill(spark, str(landed), facts, mode="overwrite", **run) == 3
     latest, stats, bulk = (str(tmp_path / name) for name in ("latest", "hourly", "bulk"))
     assert rebuild_latest(spark, facts, latest) == 3
