@@ -1,56 +1,103 @@
 """A snapshot of latest events on plain files, for formats without row-level merges.
 
-``changes/batch_id=n`` holds the newest rows of batch n, and ``base/version=n`` the whole
-snapshot after batch n. Writing a batch costs only the batch. Readers merge the newest
-base with the later batches; ``compact`` writes the next base.
-Every folder is written as a whole, so a repeated batch replaces its own folder.
+``changes/batch_id=n`` holds the rows of batch n that replaced or added a row of the snapshot, each with
+what it replaced: a hash of that row, its time and its place. ``base/version=n`` is the whole snapshot after
+batch n in buckets by a hash of the id; a version writes only the buckets with changes since the
+version before and names, in ``_buckets``, the version that holds each of the others. Writing a batch
+costs only the batch and the stored rows of its ids. Readers merge the newest base with the later
+batches; ``compact`` writes the next base.
+
+A batch's folder is written as a whole, so a repeated batch replaces its own. A base is written
+under a hidden name and switched on by one rename.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quakeframe.operators.latest import dedupe_latest_rows
-from quakeframe.operators.merge import merge_counts, merge_in_order
+from quakeframe.operators.merge import KEEP, KEY, merge_actions, merge_in_order
 from quakeframe.schemas import FLAT_EVENT_COLUMNS, FLAT_EVENT_DDL
-from quakeframe.sinks.tables import write_partitioned
-from quakeframe.sources.tables import child_names, drop_path, table_exists
+from quakeframe.sources.tables import child_names, drop_path, rename_path, table_exists
 
 BEFORE_ALL = -1
+BUCKETS = 64
+BEFORE_DDL = "before_hash bigint, before_time_utc timestamp, before_place string"
+CHANGES_DDL = f"{FLAT_EVENT_DDL}, {BEFORE_DDL}"
+BUCKETS_DDL = "bucket int, version bigint"
+HORIZON = "_horizon="
 
 
 def _numbered(spark: SparkSession, path: str) -> list[int]:
     """Numbers of ``name=number`` folders, highest first."""
-    return sorted((int(n.split("=")[1]) for n in child_names(spark, path) if "=" in n), reverse=True)
+    named = [n for n in child_names(spark, path) if "=" in n and not n.startswith("_")]
+    return sorted((int(n.split("=")[1]) for n in named), reverse=True)
 
 
-def _complete(spark: SparkSession, path: str, name: str) -> list[int]:
-    """Of the ``name=number`` folders those whose write was committed, highest first."""
-    return [n for n in _numbered(spark, path) if table_exists(spark, f"{path}/{name}={n}/_SUCCESS")]
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions of the base that can be read, newest first; others only hold buckets of later ones."""
+    base = f"{path}/base"
+    return [n for n in _numbered(spark, base) if table_exists(spark, f"{base}/version={n}/_buckets")]
 
 
 def base_version(spark: SparkSession, path: str) -> int:
-    """Batch of the newest complete base; -1 without one."""
-    return next(iter(_complete(spark, f"{path}/base", "version")), BEFORE_ALL)
+    """Batch of the newest base; -1 without one."""
+    return next(iter(_versions(spark, path)), BEFORE_ALL)
+
+
+def bucket_expr(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int")
+
+
+def row_hash(alias: str = "") -> Column:
+    return F.xxhash64(*[F.col(f"{alias}{name}") for name in FLAT_EVENT_COLUMNS])
+
+
+def _holders(spark: SparkSession, path: str, version: int) -> dict[int, int]:
+    """For each bucket the version that holds it, or -1 where it is empty; one entry for each bucket."""
+    rows = spark.read.schema(BUCKETS_DDL).parquet(f"{path}/base/version={version}/_buckets").collect()
+    return {r.bucket: r.version for r in rows}
+
+
+def _bucket_folder(path: str, bucket: int, version: int) -> str:
+    return f"{path}/base/version={version}/bucket={bucket}"
+
+
+def _read_buckets(spark: SparkSession, path: str, holders: dict[int, int]) -> DataFrame | None:
+    folders = [_bucket_folder(path, b, v) for b, v in holders.items() if v != BEFORE_ALL]
+    if not folders:
+        return None
+    rows = spark.read.schema(FLAT_EVENT_DDL).option("basePath", f"{path}/base").parquet(*folders)
+    return rows.select(*FLAT_EVENT_COLUMNS)
 
 
-def _base(spark: SparkSession, path: str, version: int) -> DataFrame | None:
+def _base(spark: SparkSession, path: str, version: int, buckets: list[int] | None = None) -> DataFrame | None:
     if version == BEFORE_ALL:
         return None
-    base = spark.read.schema(FLAT_EVENT_DDL).parquet(f"{path}/base/version={version}")
-    return base.withColumn("batch_id", F.lit(version).cast("bigint"))
+    holders = _holders(spark, path, version)
+    rows = _read_buckets(spark, path, holders if buckets is None else {b: holders[b] for b in buckets})
+    return None if rows is None else rows.withColumn("batch_id", F.lit(version).cast("bigint"))
 
 
-def _changes(spark: SparkSession, path: str, after: int, before: int | None) -> DataFrame | None:
+def _batches(spark: SparkSession, path: str, after: int, before: int | None) -> list[int]:
     folder = f"{path}/changes"
-    batches = [
-        n for n in _complete(spark, folder, "batch_id") if n > after and (before is None or n < before)
+    return [
+        n
+        for n in _numbered(spark, folder)
+        if n > after and (before is None or n < before) and table_exists(spark, f"{folder}/batch_id={n}/_SUCCESS")
     ]
+
+
+def read_changes(spark: SparkSession, path: str, after: int, before: int | None = None) -> DataFrame | None:
+    """Effective rows of batches with what they replaced and their ``batch_id``; None without batches."""
+    folder, batches = f"{path}/changes", _batches(spark, path, after, before)
     if not batches:
         return None
     return (
-        spark.read.schema(f"{FLAT_EVENT_DDL}, batch_id bigint")
+        spark.read.schema(f"{CHANGES_DDL}, batch_id bigint")
         .option("basePath", folder)
         .parquet(*[f"{folder}/batch_id={n}" for n in batches])
     )
@@ -67,72 +114,136 @@ def snapshot_rows(
     adaptive planner to broadcast them.
     """
     version = base_version(spark, path)
-    base, changes = _base(spark, path, version), _changes(spark, path, version, before)
+    base, changes = _base(spark, path, version), read_changes(spark, path, version, before)
     if only is not None:
-        ids = only.select("event_id")
-        base = None if base is None else base.join(ids, "event_id", "left_semi")
-        changes = None if changes is None else changes.join(ids, "event_id", "left_semi")
+        ids = only.select(KEY)
+        base = None if base is None else base.join(ids, KEY, "left_semi")
+        changes = None if changes is None else changes.join(ids, KEY, "left_semi")
     if changes is None:
         return None if base is None else base.select(*FLAT_EVENT_COLUMNS)
+    rows = changes.select(*FLAT_EVENT_COLUMNS, "batch_id")
     if base is None:
-        return merge_in_order(changes, "batch_id").select(*FLAT_EVENT_COLUMNS)
-    changed = changes.select("event_id")
-    touched = base.join(changed, "event_id", "left_semi")
-    untouched = base.join(changed, "event_id", "left_anti")
-    merged = untouched.unionByName(merge_in_order(changes.unionByName(touched), "batch_id"))
+        return merge_in_order(rows, "batch_id").select(*FLAT_EVENT_COLUMNS)
+    changed = changes.select(KEY)
+    touched = base.join(changed, KEY, "left_semi")
+    untouched = base.join(changed, KEY, "left_anti")
+    merged = untouched.unionByName(merge_in_order(rows.unionByName(touched), "batch_id"))
     return merged.select(*FLAT_EVENT_COLUMNS)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The merged snapshot; empty where nothing is stored."""
-    stored = snapshot_rows(spark, path)
-    return spark.createDataFrame([], FLAT_EVENT_DDL) if stored is None else stored
+    rows = snapshot_rows(spark, path)
+    return spark.createDataFrame([], FLAT_EVENT_DDL) if rows is None else rows
 
 
 def upsert_latest(
-    spark: SparkSession,
-    path: str,
-    flat_rows: DataFrame,
-    batch_id: int,
-    arrival: str | None = None,
-    count_changes: bool = True,
+    spark: SparkSession, path: str, flat_rows: DataFrame, batch_id: int, arrival: str | None = None
 ) -> int | None:
     """Merge one batch, and return how many rows it inserted or updated.
 
-    Batches must come in ascending order; a repeat of a batch is harmless. Counting reads
-    the ids and times of the stored rows whose id is in the batch; without it, None.
+    Batches must come in ascending order; a repeat of a batch is harmless, and gives None where the
+    base holds it already. ``flat_rows`` is read twice, once for the ids only.
     """
     version = base_version(spark, path)
     if batch_id < version:
         raise ValueError(f"batch {batch_id} is older than the stored snapshot {version}")
-    folder = f"{path}/changes/batch_id={batch_id}"
-    if batch_id > version:
-        newest = dedupe_latest_rows(flat_rows, arrival).select(*FLAT_EVENT_COLUMNS)
-        newest.write.mode("overwrite").parquet(folder)
-    if not count_changes or batch_id == version:
+    if batch_id == version:
         return None
-    source = spark.read.schema(FLAT_EVENT_DDL).parquet(folder)
-    stored = snapshot_rows(spark, path, before=batch_id, only=source)
-    if stored is None:
-        return source.count()
-    return merge_counts(stored, source).first()["affected_count"]
+    newest = dedupe_latest_rows(flat_rows, arrival).select(*FLAT_EVENT_COLUMNS)
+    target = snapshot_rows(spark, path, before=batch_id, only=newest)
+    if target is None:
+        target = spark.createDataFrame([], FLAT_EVENT_DDL)
+    # Rows that replace nothing would be merged in vain, and are no changes.
+    effective = merge_actions(target, newest).filter(F.col(f"source.{KEY}").isNotNull() & (F.col("action") != KEEP))
+    replaced = F.col(f"target.{KEY}").isNotNull()
+    observed = Observation()
+    (
+        effective.select(
+            *[F.col(f"source.{name}").alias(name) for name in FLAT_EVENT_COLUMNS],
+            F.when(replaced, row_hash("target.")).alias("before_hash"),
+            F.col("target.event_time_utc").alias("before_time_utc"),
+            F.col("target.place").alias("before_place"),
+        )
+        .observe(observed, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
+        .parquet(f"{path}/changes/batch_id={batch_id}")
+    )
+    return observed.get["rows"]
 
 
-def compact(spark: SparkSession, path: str, batch_id: int, keep_versions: int = 2) -> None:
-    """Write the snapshot up to ``batch_id`` as the new base.
+def changed_ids(spark: SparkSession, path: str, since: int, upto: int | None = None) -> DataFrame:
+    """Ids whose row after batch ``upto`` (by default the last) differs from that after batch ``since``.
 
-    Of the older bases ``keep_versions`` minus one stay for readers that still use them,
-    and the changes that every kept base already holds are deleted.
+    Only the changes are read: the first one after ``since`` knows the row that was there, the last
+    one is the row that is.
     """
-    if batch_id > base_version(spark, path):
-        merged = snapshot_rows(spark, path, before=batch_id + 1)
-        if merged is not None:
-            write_partitioned(merged, f"{path}/base/version={batch_id}")
-    versions = _complete(spark, f"{path}/base", "version")
-    for version in versions[keep_versions:]:
-        drop_path(spark, f"{path}/base/version={version}")
-    if len(versions) >= keep_versions:
-        oldest = versions[keep_versions - 1]
-        for batch in _numbered(spark, f"{path}/changes"):
-            if batch <= oldest:
-                drop_path(spark, f"{path}/changes/batch_id={batch}")
+    horizon = max((int(n.removeprefix(HORIZON)) for n in child_names(spark, f"{path}/changes") if n.startswith(HORIZON)), default=BEFORE_ALL)
+    if since < horizon:
+        raise ValueError(f"changes up to batch {horizon} are no longer kept")
+    changes = read_changes(spark, path, since, None if upto is None else upto + 1)
+    if changes is None:
+        return spark.createDataFrame([], f"{KEY} string")
+    first_and_last = changes.groupBy(KEY).agg(
+        F.min_by("before_hash", "batch_id").alias("was"), F.max_by(row_hash(), "batch_id").alias("is")
+    )
+    return first_and_last.filter("was is null or was <> is").select(KEY)
+
+
+def compact(spark: SparkSession, path: str, batch_id: int, keep_versions: int = 2, buckets: int = BUCKETS) -> int:
+    """Write the snapshot up to ``batch_id`` as the new base, and return how many buckets were written.
+
+    Buckets without changes stay where they are; ``buckets`` counts for the first base only. Of the
+    older bases ``keep_versions`` minus one stay for readers that still use them; buckets that no
+    kept base names, and the changes that every kept base already holds, are deleted.
+    """
+    version = base_version(spark, path)
+    changes = read_changes(spark, path, version, batch_id + 1) if batch_id > version else None
+    written: list[int] = []
+    if changes is not None:
+        known = _holders(spark, path, version) if version != BEFORE_ALL else dict.fromkeys(range(buckets), BEFORE_ALL)
+        bucket = bucket_expr(len(known))
+        written = sorted(r[0] for r in changes.select(bucket).distinct().collect())
+        rows = changes.select(*FLAT_EVENT_COLUMNS, "batch_id")
+        base = _base(spark, path, version, written)
+        merged = merge_in_order(rows if base is None else rows.unionByName(base), "batch_id")
+        staged = f"{path}/base/_staged-{uuid.uuid4().hex}"
+        placed = merged.select(*FLAT_EVENT_COLUMNS, bucket.alias("bucket")).hint("rebalance", "bucket")
+        # Sorted by time, so that a reader of some days skips most of a file.
+        placed.sortWithinPartitions("bucket", "event_time_utc").write.partitionBy("bucket").parquet(staged)
+        now = known | dict.fromkeys(written, batch_id)
+        spark.createDataFrame(list(now.items()), BUCKETS_DDL).coalesce(1).write.parquet(f"{staged}/_buckets")
+        drop_path(spark, f"{path}/base/version={batch_id}")
+        rename_path(spark, staged, f"{path}/base/version={batch_id}")
+    _clean(spark, path, keep_versions)
+    return len(written)
+
+
+def _clean(spark: SparkSession, path: str, keep_versions: int) -> None:
+    for name in child_names(spark, f"{path}/base"):
+        if name.startswith("_staged"):
+            drop_path(spark, f"{path}/base/{name}")
+    versions = _versions(spark, path)
+    if len(versions) <= keep_versions - 1:
+        return
+    for old in versions[keep_versions:]:
+        drop_path(spark, f"{path}/base/version={old}/_buckets")
+    kept = versions[:keep_versions]
+    used = {_bucket_folder(path, b, v) for n in kept for b, v in _holders(spark, path, n).items()}
+    for old in _numbered(spark, f"{path}/base"):
+        folder = f"{path}/base/version={old}"
+        held = [f"{folder}/{n}" for n in child_names(spark, folder) if n.startswith("bucket=")]
+        for name in held:
+            if name not in used:
+                drop_path(spark, name)
+        if old not in kept and not used.intersection(held):
+            drop_path(spark, folder)
+    oldest = kept[-1]
+    # Said before it is done, so that a reader never takes a part of the changes for all.
+    spark.createDataFrame([], "n int").write.mode("overwrite").parquet(f"{path}/changes/{HORIZON}{oldest}")
+    for batch in _numbered(spark, f"{path}/changes"):
+        if batch <= oldest:
+            drop_path(spark, f"{path}/changes/batch_id={batch}")
+    for name in child_names(spark, f"{path}/changes"):
+        if name.startswith(HORIZON) and int(name.removeprefix(HORIZON)) < oldest:
+            drop_path(spark, f"{path}/changes/{name}")

@@ -30,7 +30,6 @@ def batch_writer(
     name: str = "stream",
     generation: int = 0,
     compact_every: int = 0,
-    count_changes: bool = True,
     on_batch: Callable[[BatchReport], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: flatten, append the facts, merge the snapshot.
@@ -51,9 +50,7 @@ def batch_writer(
         flat = flatten_lenient(payloads).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             written = append_run(flat, facts_path, f"{name}-{number}")
-            affected = upsert_latest(
-                spark, latest_path, flat, number, count_changes=count_changes
-            )
+            affected = upsert_latest(spark, latest_path, flat, number)
         finally:
             flat.unpersist()
         if compact_every and (batch_id + 1) % compact_every == 0:

@@ -206,6 +206,9 @@ REVISIONS = {
 }
 
 
+CHANGING = {**REVISIONS, "m0": "select * from b0"}
+
+
 def suppressed(key: str, ttl_seconds: int, missing: str = "false") -> str:
     """Rows where ``missing`` holds have no time and count as seen on 1 March."""
     ttl_ms = ttl_seconds * 1_000
@@ -386,6 +389,20 @@ ORACLE: dict[str, str] = {
         f" case n % 5 {' '.join(f'when {i} then {chr(39)}{x}{chr(39)}' for i, x in enumerate(RUN_IDS))} end as run_id from flat"
     ),
     "k4_merge_upsert": on_flat(f"select {FLAT} from m3", **REVISIONS),
+    "k4_effective_changes": on_flat(
+        " union all ".join(
+            f"select {i} as batch_id, now.event_id, now.updated_time_utc, old.event_time_utc as before_time_utc from"
+            f" (select {FLAT} from m{i} except all select {FLAT} from m{i - 1}) as now left join m{i - 1} as old using (event_id)"
+            if i
+            else "select 0 as batch_id, event_id, updated_time_utc, cast(null as timestamp) as before_time_utc from m0"
+            for i in range(4)
+        ),
+        **CHANGING,
+    ),
+    "t6_changed_ids": on_flat(
+        f"select event_id from (select {FLAT} from m3 except all select {FLAT} from m1)", **CHANGING
+    ),
+    "t6_incremental_hours": on_flat(f"select {HOURLY} from hourly", **CHANGING, hourly=hourly_of("m3")),
     "k5_bulk_payload_latest": on_latest(
         f"select event_id as document_id, {_action('earthquake-latest-event-v1', 'event_id')} as action_line,"
         f" {LATEST_DOCUMENT} as document_line from latest"

@@ -247,6 +247,46 @@ def k4_merge_upsert(spark, sf_dir):
     return snapshot.read_snapshot(spark, path)
 
 
+def _merged_batches(spark, sf_dir, path, after=None):
+    """Four batches by revision in a snapshot; ``after`` is called with the number of each."""
+    flat = adapter.flat_rows(spark, sf_dir, keep=("revision",))
+    for batch_id in range(4):
+        snapshot.upsert_latest(spark, path, flat.filter(F.col("revision") == batch_id).drop("revision"), batch_id)
+        if after is not None:
+            after(batch_id)
+
+
+@query
+def k4_effective_changes(spark, sf_dir):
+    """What each batch changed, and the time of what it replaced."""
+    path = scratch_path(spark, "snapshot")
+    _merged_batches(spark, sf_dir, path)
+    return snapshot.read_changes(spark, path, snapshot.BEFORE_ALL).select("batch_id", "event_id", "updated_time_utc", "before_time_utc")
+
+
+@query
+def t6_changed_ids(spark, sf_dir):
+    """Ids whose row changed between the second batch and the last, with a new base between."""
+    path = scratch_path(spark, "snapshot")
+    _merged_batches(spark, sf_dir, path, lambda n: n in (1, 2) and snapshot.compact(spark, path, n))
+    return snapshot.changed_ids(spark, path, since=1)
+
+
+@query
+def t6_incremental_hours(spark, sf_dir):
+    """The hourly table built once, and then brought up to date after each batch."""
+    path, hourly_path = scratch_path(spark, "snapshot"), scratch_path(spark, "hourly")
+
+    def refresh(batch_id):
+        if batch_id == 0:
+            rebuild.refresh_hourly(spark, path, hourly_path, scratch_path(spark, "bulk"))
+        else:
+            rebuild.refresh_hourly_since(spark, path, hourly_path, scratch_path(spark, "bulk"), batch_id - 1)
+
+    _merged_batches(spark, sf_dir, path, refresh)
+    return spark.read.schema(HOURLY_DDL).parquet(hourly_path)
+
+
 @query
 def k5_bulk_payload_latest(spark, sf_dir):
     return documents.latest_documents(latest_rows(spark, sf_dir))

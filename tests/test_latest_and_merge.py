@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 
 from quakeframe.operators.latest import build_latest_event_df, dedupe_latest_rows
 from quakeframe.operators.merge import merge_counts, merge_in_order, merge_latest
-from quakeframe.sinks.snapshot import compact, read_snapshot, upsert_latest
+from quakeframe.operators.hourly import build_region_hourly_stats_df
+from quakeframe.plans.rebuild import refresh_hourly, refresh_hourly_since, sync_latest
+from quakeframe.schemas import HOURLY_DDL
+from quakeframe.sinks import snapshot
+from quakeframe.sinks.snapshot import changed_ids, compact, read_snapshot, upsert_latest
 from tests.helpers import at, flat_frame, keys
 
 QUICK = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -141,6 +145,88 @@ def test_stored_snapshot_equals_merging_in_turn(spark, tmp_path):
     assert upsert_latest(spark, str(tmp_path / "other"), source, 0) == 7
 
 
+def written_buckets(folder, version):
+    return sorted(x.name for x in (folder / "base" / f"version={version}").iterdir() if x.name.startswith("bucket="))
+
+
+def test_a_base_writes_only_buckets_with_changes(spark, tmp_path):
+    path, folder = str(tmp_path / "snapshot"), tmp_path / "snapshot"
+    ids = [f"e{i}" for i in range(600)]
+    upsert_latest(spark, path, flat_frame(spark, [(x, 1, 1, 1.0) for x in ids]), 0)
+    assert compact(spark, path, 0) == 64 and len(written_buckets(folder, 0)) == 64
+    bucket = dict(spark.createDataFrame([(x,) for x in ids], "event_id string").select("event_id", snapshot.bucket_expr(64)).collect())
+    three = sorted(set(bucket.values()))[:3]
+    touched = [x for x in ids if bucket[x] in three]
+    # Rows that replace nothing touch no bucket.
+    upsert_latest(spark, path, flat_frame(spark, [(x, 2 if x in touched else 0, 5, 2.0) for x in ids]), 1)
+    assert compact(spark, path, 1) == 3
+    assert written_buckets(folder, 1) == sorted(f"bucket={b}" for b in three)
+    assert keys(read_snapshot(spark, path), "event_id", "mag") == sorted((x, 2.0 if x in touched else 1.0) for x in ids)
+    assert compact(spark, path, 1) == 0
+    for number in (2, 3, 4):
+        upsert_latest(spark, path, flat_frame(spark, [(touched[0], 3 + number, 5, 3.0 + number)]), number)
+        assert compact(spark, path, number) == 1
+    # Buckets that only older versions held are gone, others of the same version stay.
+    assert len(written_buckets(folder, 0)) == 61 and len(written_buckets(folder, 1)) == 2
+    assert sorted(x.name for x in (folder / "base").iterdir()) == [f"version={n}" for n in (0, 1, 3, 4)]
+    assert dict(keys(read_snapshot(spark, path), "event_id", "mag"))[touched[0]] == 7.0
+    assert read_snapshot(spark, path).count() == 600
+
+
+@pytest.mark.parametrize("step", ["rename_path", "_clean"])
+def test_a_base_that_crashed_is_written_again(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "snapshot")
+    upsert_latest(spark, path, flat_frame(spark, [("a", 1, 1, 1.0), ("b", 1, 1, 1.0)]), 0)
+    compact(spark, path, 0)
+    upsert_latest(spark, path, flat_frame(spark, [("a", 2, 1, 2.0)]), 1)
+
+    def crash(*_):
+        raise OSError
+
+    with monkeypatch.context() as broken:
+        broken.setattr(snapshot, step, crash)
+        with pytest.raises(OSError):
+            compact(spark, path, 1)
+    assert keys(read_snapshot(spark, path), "event_id", "mag") == [("a", 2.0), ("b", 1.0)]
+    compact(spark, path, 1)
+    assert keys(read_snapshot(spark, path), "event_id", "mag") == [("a", 2.0), ("b", 1.0)]
+    assert not [x for x in (tmp_path / "snapshot" / "base").iterdir() if x.name.startswith("_")]
+
+
+def test_changes_and_hours_follow_random_batches(spark, tmp_path):
+    rng = random.Random(5)
+    path, hourly, bulk = (str(tmp_path / n) for n in ("snapshot", "hourly", "bulk"))
+    states = []
+    for batch in range(6):
+        rows = [
+            (f"e{k}", rng.choice([None, rng.randrange(9)]), rng.choice([None, 100, 4_000, 90_000, 200_000]), float(rng.randrange(3)))
+            for k in rng.sample(range(14), rng.choice([0, 2, 6]) if batch else 10)
+        ]
+        flat = flat_frame(spark, [r for r in rows if r[2] is not None])
+        place = F.concat(F.lit("5 km of "), F.when(F.col("mag") > 0, F.concat("mag", F.lit(", X"))))
+        upsert_latest(spark, path, flat.withColumn("place", place), batch)
+        if batch == 3:
+            compact(spark, path, 2)
+        states.append({r.event_id: r for r in read_snapshot(spark, path).collect()})
+        if batch == 0:
+            refresh_hourly(spark, path, hourly, bulk)
+        else:
+            done = refresh_hourly_since(spark, path, hourly, bulk, batch - 1)
+            assert done["rows"] <= done["groups"]
+        want = build_region_hourly_stats_df(read_snapshot(spark, path))
+        assert sorted(map(str, spark.read.schema(HOURLY_DDL).parquet(hourly).collect())) == sorted(map(str, want.collect()))
+        for since in range(batch):
+            differ = sorted(k for k, r in states[batch].items() if states[since].get(k) != r)
+            assert keys(changed_ids(spark, path, since), "event_id") == [(k,) for k in differ]
+    sync_latest(spark, path, bulk, since=4)
+    lines = spark.read.text(bulk).count()
+    assert lines == 2 * changed_ids(spark, path, 4).count()
+    compact(spark, path, 4)
+    compact(spark, path, 5)
+    with pytest.raises(ValueError):
+        changed_ids(spark, path, 0)
+
+
 def test_missing_snapshot_is_empty(spark, tmp_path):
     assert read_snapshot(spark, str(tmp_path / "none")).count() == 0
 
