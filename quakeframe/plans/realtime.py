@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quakeframe.defaults import RAW_TOPIC, SUPPRESS_TTL_SECONDS
+from quakeframe.functions.times import epoch_ms_expr
 from quakeframe.operators.dedup import unique_features
 from quakeframe.operators.envelope import build_event_envelope, encode_envelope
 from quakeframe.operators.suppress import suppress_recent
 from quakeframe.session import materialize
 from quakeframe.sources.landed import explode_features
 from quakeframe.streaming.consumer import BatchReport, batch_writer, consume
-from quakeframe.streaming.suppress import suppressing_writer
+from quakeframe.streaming.suppress import GENERATION, suppressing_writer
 
 
 def realtime_messages(
@@ -52,15 +53,21 @@ def encoded(published: DataFrame, source_feed: str | Column, topic: str) -> Data
     return encode_envelope(envelopes)
 
 
-@dataclass(frozen=True)
-class FetchReport:
-    batch_id: int
-    source_feed: str
-    title: str | None
-    fetched_count: int
-    unique_count: int
-    published_count: int
-    duplicate_count: int
+def fetch_counts(batch: DataFrame, unique: DataFrame, published: DataFrame) -> DataFrame:
+    """One row for each fetch, told apart by ``observed_at``: what its documents say, and what became of them.
+
+    Whatever is not published is a duplicate, so published and duplicate add up to fetched.
+    """
+    fetched = batch.groupBy("observed_at").agg(
+        F.max("metadata.title").alias("title"),
+        epoch_ms_expr(F.max("metadata.generated")).alias("generated_at"),
+        F.max("metadata.status").alias("status"),
+        F.sum(F.coalesce(F.size("features"), F.lit(0))).alias("fetched_count"),
+    )
+    for name, rows in (("unique_count", unique), ("published_count", published)):
+        fetched = fetched.join(rows.groupBy("observed_at").agg(F.count(F.lit(1)).alias(name)), "observed_at", "left")
+        fetched = fetched.withColumn(name, F.coalesce(name, F.lit(0)))
+    return fetched.withColumn("duplicate_count", F.col("fetched_count") - F.col("published_count"))
 
 
 def realtime_writer(
@@ -71,31 +78,33 @@ def realtime_writer(
     ttl_seconds: float = SUPPRESS_TTL_SECONDS,
     key: tuple[str, ...] = ("event_id",),
     generation: int = 0,
-    on_batch: Callable[[FetchReport], None] | None = None,
+    counts_path: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """``realtime_messages`` as a ``foreachBatch`` function over a stream of fetched collections.
 
     What was published is remembered from batch to batch, so an id stays silent for its time to
     live also across batches. ``publish`` gets the messages and the batch id, and must replace
-    its own output when a batch is repeated.
+    its own output when a batch is repeated. A summary of every fetch, however many a micro-batch
+    holds, goes to ``counts_path``; a repeated batch replaces its own.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fetched, title = batch.agg(
-            F.coalesce(F.sum(F.size("features")), F.lit(0)), F.max("metadata.title")
-        ).first()
+        started = datetime.now(UTC)
         unique = folded_fetches(batch)
-        sent = []
 
         def send(passed: DataFrame, number: int) -> None:
-            sent.append(passed.count())
             publish(encoded(passed, source_feed, topic), number)
+            if counts_path is not None:
+                about = {
+                    "source_feed": F.lit(source_feed), "source_mode": F.lit("realtime"), "topic": F.lit(topic),
+                    "started_at": F.lit(started), "finished_at": F.lit(datetime.now(UTC)),
+                }
+                counts = fetch_counts(batch, unique, passed).withColumns(about)
+                counts.write.mode("overwrite").parquet(f"{counts_path}/batch_id={generation * GENERATION + number}")
 
         suppressing_writer(send, memory_path, key, "observed_at", ttl_seconds, ("position",), generation)(
             unique, batch_id
         )
-        if on_batch is not None:
-            on_batch(FetchReport(batch_id, source_feed, title, fetched, unique.count(), sent[0], fetched - sent[0]))
 
     return write
 

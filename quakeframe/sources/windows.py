@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quakeframe.defaults import MAX_WINDOW_DAYS
@@ -84,3 +84,52 @@ def catalog_range(
     more = inside.orderBy(*ordered).offset(limit).limit(1).agg(F.count(F.lit(1)) > 0)
     head = inside.orderBy(*ordered).limit(limit)
     return head.withColumn("range_truncated", more.scalar()).orderBy(*ordered)
+
+
+def bounded_windows(
+    df: DataFrame, start: date, end: date, limit: int, time: str = "event_time_utc"
+) -> DataFrame:
+    """Windows of a date range that hold at most ``limit`` rows each, and all of its rows.
+
+    (window_start, window_end, row_count, exceeds), both times inclusive. Times that begin in the same half
+    of the limit go together; a time with more rows than a half has a window of its own. ``exceeds``
+    marks a single time with more rows than the limit, which no window can cut.
+
+    The rows are counted by time, and running counts are made in each minute, over the minutes of
+    a day, and over the days, so no task sees more than a minute's times or a day's minutes.
+    """
+    if limit < 1:
+        raise ValueError("limit must be at least 1")
+    inside = df.filter(in_date_range(time, start, end))
+    times = inside.groupBy(F.col(time).alias("time")).agg(F.count(F.lit(1)).alias("n"))
+    times = times.select("*", F.date_trunc("minute", "time").alias("minute"), F.to_date("time").alias("day"))
+    earlier = Window.unboundedPreceding, -1
+    minutes = times.groupBy("day", "minute").agg(F.sum("n").alias("n"))
+    days = minutes.groupBy("day").agg(F.sum("n").alias("n"))
+    # One row for each day of the range.
+    before_day = F.coalesce(F.sum("n").over(Window.orderBy("day").rowsBetween(*earlier)), F.lit(0))
+    in_day = Window.partitionBy("day").orderBy("minute").rowsBetween(*earlier)
+    placed = minutes.withColumn("in_day", F.coalesce(F.sum("n").over(in_day), F.lit(0))).join(
+        days.select("day", before_day.alias("before_day")), "day"
+    )
+    offsets = placed.select("minute", (F.col("in_day") + F.col("before_day")).alias("before"))
+    in_minute = Window.partitionBy("minute").orderBy("time").rowsBetween(*earlier)
+    counted = times.withColumn("in_minute", F.coalesce(F.sum("n").over(in_minute), F.lit(0))).join(offsets, "minute")
+    half = max(1, limit // 2)
+    large = F.col("n") > half
+    first = F.col("before") + F.col("in_minute")
+    window = F.struct(
+        F.floor(first / half).alias("part"),
+        # After a large time another window begins in the same half; before it, the one that was.
+        F.when(large, F.col("time")).alias("alone"),
+    )
+    return (
+        counted.groupBy(window.alias("window"))
+        .agg(F.min("time").alias("window_start"), F.max("time").alias("window_end"), F.sum("n").alias("row_count"))
+        .select("window_start", "window_end", "row_count", (F.col("row_count") > limit).alias("exceeds"))
+    )
+
+
+def read_window(df: DataFrame, window_start: datetime, window_end: datetime, time: str = "event_time_utc") -> DataFrame:
+    """The rows of one window, by a range that reaches the scan."""
+    return df.filter((F.col(time) >= F.lit(window_start)) & (F.col(time) <= F.lit(window_end)))

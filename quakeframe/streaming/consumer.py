@@ -13,7 +13,7 @@ from pyspark.storagelevel import StorageLevel
 from quakeframe.operators.flatten import flatten_lenient
 from quakeframe.sinks.snapshot import compact, upsert_latest
 from quakeframe.sinks.runs import append_run, compact_runs
-from quakeframe.sources.messages import decode_value
+from quakeframe.sources.messages import ARRIVAL, decode_value, in_arrival_order
 
 
 @dataclass(frozen=True)
@@ -34,7 +34,8 @@ def batch_writer(
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: flatten, append the facts, merge the snapshot.
 
-    Both writes are keyed by the batch id. A batch that failed half-way is repeated from
+    Of rows of an event that tie in all times the first to arrive stays, if the messages tell when they
+    did. Both writes are keyed by the batch id. A batch that failed half-way is repeated from
     the same offsets and replaces what it had written. Every ``compact_every`` batches the
     runs of facts are folded and the snapshot is compacted. Raise ``generation`` when the
     stream starts over with a new checkpoint, so that its batches follow the stored ones.
@@ -44,13 +45,14 @@ def batch_writer(
         spark = batch.sparkSession
         number = generation * 10**9 + batch_id
         consumed = Observation()
-        payloads = batch.select(decode_value("value").alias("payload_json")).observe(
+        arrival = [ARRIVAL] if ARRIVAL in batch.columns else []
+        payloads = in_arrival_order(batch).select(decode_value("value").alias("payload_json"), *arrival).observe(
             consumed, F.count(F.lit(1)).alias("rows")
         )
-        flat = flatten_lenient(payloads).persist(StorageLevel.MEMORY_AND_DISK)
+        flat = flatten_lenient(payloads, keep=tuple(arrival)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            written = append_run(flat, facts_path, f"{name}-{number}")
-            affected = upsert_latest(spark, latest_path, flat, number)
+            written = append_run(flat.drop(*arrival), facts_path, f"{name}-{number}")
+            affected = upsert_latest(spark, latest_path, flat, number, *arrival)
         finally:
             flat.unpersist()
         if compact_every and (batch_id + 1) % compact_every == 0:

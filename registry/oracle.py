@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from quakeframe.defaults import RAW_TOPIC
 from quakeframe.schemas import FLAT_EVENT_COLUMNS, HOURLY_COLUMNS
 from registry.adapter import RAW_SQL, SOURCE_FEED
-from registry.queries import HOURLY_MEASURES, LATE_DAYS, LISTED_IDS, RUN_IDS, USER_TTL_SECONDS, WINDOW_DAYS
+from registry.queries import HOURLY_MEASURES, LATE_DAYS, LISTED_IDS, RUN_IDS, USER_TTL_SECONDS, WINDOW_DAYS, WINDOW_ROWS
 
 FLAT = ", ".join(FLAT_EVENT_COLUMNS)
 HOURLY = ", ".join(HOURLY_COLUMNS)
@@ -351,6 +352,14 @@ AS_INT = (
     " else cast(trunc(gap) as integer) end"
 )
 
+FETCH_COUNTS = on_raw(
+    f"""select make_timestamp(seconds::bigint * 1000000) as observed_at, '{SOURCE_FEED}' as source_feed, 'realtime' as source_mode,
+      '{RAW_TOPIC}' as topic, 't' as title, count(*) as fetched_count, count(distinct event_id) as unique_count,
+      count(distinct case when seconds <> 1800 then event_id end) as published_count,
+      count(*) - count(distinct case when seconds <> 1800 then event_id end) as duplicate_count
+      from raw cross join (values (0), (1800), (7200)) fetches(seconds) group by seconds"""
+)
+
 ORACLE: dict[str, str] = {
     "s1_table_scan": "select * from events",
     "s2_key_scan": on_latest(
@@ -603,11 +612,19 @@ ORACLE: dict[str, str] = {
         " qualify row_number() over (partition by event_id order by n desc) = 1)"
         " cross join (values ('1970-01-01T00:00:00Z'), ('1970-01-01T02:00:00Z')) hours(hour)"
     ),
-    "a3_realtime_fetch_metrics": on_raw(
-        f"select batch_id, '{SOURCE_FEED}' as source_feed, 't' as title, count(*) as fetched_count,"
-        " count(distinct event_id) as unique_count,"
-        " count(distinct case when batch_id <> 1 then event_id end) as published_count,"
-        " count(*) - count(distinct case when batch_id <> 1 then event_id end) as duplicate_count"
-        " from raw cross join (values (0), (1), (2)) batches(batch_id) group by batch_id"
+    "a3_realtime_fetch_metrics": FETCH_COUNTS,
+    "a3_fetches_in_one_batch": FETCH_COUNTS,
+    "d1_arrival_order": on_raw("select event_id, min(n) as n from raw where event_id <> '' group by event_id"),
+    "s9_bounded_windows": on_flat(
+        f"""select min(event_time_utc) as window_start, max(event_time_utc) as window_end,
+          cast(sum(k) as bigint) as row_count, sum(k) > {WINDOW_ROWS} as exceeds
+          from (select event_time_utc, k, (sum(k) over (order by event_time_utc) - k) // {WINDOW_ROWS // 2} as part
+            from (select event_time_utc, count(*) as k from flat
+              where cast(event_time_utc as date) between date '2024-01-05' and date '2024-01-20' group by 1))
+          group by part, case when k > {WINDOW_ROWS // 2} then event_time_utc end"""
+    ),
+    "k5_bulk_requests": on_latest(
+        f"select {_action('earthquake-latest-event-v1', 'event_id')} as action_line,"
+        f" {LATEST_DOCUMENT} as document_line from latest"
     ),
 }

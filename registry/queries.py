@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import UTC, date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,7 @@ from quakeframe.operators import (
 )
 from quakeframe.plans import backfill, realtime, rebuild
 from quakeframe.schemas import FLAT_EVENT_COLUMNS, FLAT_EVENT_DDL, HOURLY_COLUMNS, HOURLY_DDL
-from quakeframe.session import prepare_session, scratch_path
+from quakeframe.session import materialize, prepare_session, scratch_path
 from quakeframe.sinks import messages as message_sinks
 from quakeframe.sinks import snapshot
 from quakeframe.sinks.runs import append_run, compact_runs, read_runs
@@ -44,6 +44,8 @@ WINDOW_DAYS = 7
 STREAM_DAYS = 15
 LATE_STEP_DAYS = 5
 LATE_DAYS = 3
+SEND_TURNS = 3
+WINDOW_ROWS = 250
 RUN_IDS = ("Jan run", "a+b", "é", "x&y=1/2", "")
 FETCH_SECONDS = (0, 1_800, 7_200)
 LISTED_IDS = [f"e{number}" for number in range(0, 400, 3)]
@@ -951,28 +953,27 @@ def route_realtime_messages(spark, sf_dir):
     )
 
 
-def _realtime_stream(spark, sf_dir):
-    """All documents fetched at the hours 0, 0.5 and 2, one fetch in each micro-batch."""
-    inbox, path = scratch_path(spark, "fetched"), scratch_path(spark, "published")
+def _realtime_stream(spark, sf_dir, fetches_per_batch=1):
+    """All documents fetched at the hours 0, 0.5 and 2, one fetch in each micro-batch or more."""
+    inbox, path, counts = (scratch_path(spark, x) for x in ("fetched", "published", "counts"))
     documents = adapter.collections(spark, sf_dir).select("value")
     for seconds in FETCH_SECONDS:
         seen = documents.withColumn("observed_at", F.timestamp_seconds(F.lit(seconds)))
         seen.coalesce(1).write.mode("append").parquet(inbox)
-    reports: list[realtime.FetchReport] = []
 
     def publish(messages, batch_id):
         messages.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     writer = realtime.realtime_writer(
-        publish, scratch_path(spark, "memory"), adapter.SOURCE_FEED, on_batch=reports.append
+        publish, scratch_path(spark, "memory"), adapter.SOURCE_FEED, counts_path=counts
     )
 
     def write(batch, batch_id):
         writer(landed.parse_feature_collection(batch), batch_id)
 
-    stream = spark.readStream.schema("value string, observed_at timestamp").option("maxFilesPerTrigger", 1)
+    stream = spark.readStream.schema("value string, observed_at timestamp").option("maxFilesPerTrigger", fetches_per_batch)
     consume(stream.parquet(inbox), write, scratch_path(spark, "offsets"), drain=True).awaitTermination()
-    return path, reports
+    return path, counts
 
 
 @query
@@ -987,12 +988,59 @@ def route_realtime_stream(spark, sf_dir):
     )
 
 
+def _fetch_counts(spark, counts):
+    return spark.read.parquet(counts).select(
+        "observed_at", "source_feed", "source_mode", "topic", "title",
+        "fetched_count", "unique_count", "published_count", "duplicate_count",
+    )
+
+
 @query
 def a3_realtime_fetch_metrics(spark, sf_dir):
     """What each fetch of the stream brought, with its feed and title."""
-    _, reports = _realtime_stream(spark, sf_dir)
-    return spark.createDataFrame(
-        [(r.batch_id, r.source_feed, r.title, r.fetched_count, r.unique_count, r.published_count, r.duplicate_count) for r in reports],
-        "batch_id int, source_feed string, title string, fetched_count long, unique_count long,"
-        " published_count long, duplicate_count long",
-    )
+    return _fetch_counts(spark, _realtime_stream(spark, sf_dir)[1])
+
+
+@query
+def a3_fetches_in_one_batch(spark, sf_dir):
+    """The same counts where one micro-batch holds all fetches."""
+    return _fetch_counts(spark, _realtime_stream(spark, sf_dir, len(FETCH_SECONDS))[1])
+
+
+@query
+def d1_arrival_order(spark, sf_dir):
+    """Messages of an event that tie in all times, its copies sent one after another: the first stays."""
+    rows = adapter.raw_rows(spark, sf_dir).select("event_id", "n")
+    copy = F.row_number().over(Window.partitionBy("event_id").orderBy("n"))
+    rows = materialize(rows.withColumn("turn", F.least(copy, F.lit(SEND_TURNS))), "copies")
+    body = F.to_json(F.struct("event_id", "n")).alias("value")
+    folder, path = scratch_path(spark, "messages"), scratch_path(spark, "first")
+    for turn in range(1, SEND_TURNS + 1):
+        message_sinks.publish_files(rows.filter(F.col("turn") == turn).select(F.col("event_id").alias("key"), body), folder)
+
+    def write(batch, batch_id):
+        told = messages.in_arrival_order(batch).select("arrival", F.from_json("value", "event_id string, n int").alias("m")).select("arrival", "m.*")
+        tied = told.withColumns({x: F.lit(None).cast("timestamp") for x in ("updated_time_utc", "event_time_utc")})
+        first = latest.dedupe_latest_rows(tied, messages.ARRIVAL).select("event_id", "n")
+        first.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    stream = messages.file_message_stream(spark, folder)
+    consume(stream, write, scratch_path(spark, "offsets"), drain=True).awaitTermination()
+    return spark.read.schema("event_id string, n int").parquet(path).select("event_id", "n")
+
+
+@query
+def s9_bounded_windows(spark, sf_dir):
+    flat = adapter.flat_rows(spark, sf_dir)
+    return windows.bounded_windows(flat, RANGE_START, RANGE_END, WINDOW_ROWS)
+
+
+@query
+def k5_bulk_requests(spark, sf_dir):
+    """Whole requests, taken apart again: every document is in one of them."""
+    path = scratch_path(spark, "requests")
+    message_sinks.write_bulk_requests(documents.latest_documents(latest_rows(spark, sf_dir)), path, 100, 1 << 16)
+    requests = spark.read.schema(documents.REQUEST_DDL).json(path)
+    lines = requests.select(F.posexplode(F.split(F.rtrim("body", F.lit("\n")), "\n")), "body")
+    pair = F.slice(F.split("body", "\n"), F.col("pos") + 1, 2)
+    return lines.filter("pos % 2 = 0").select(pair[0].alias("action_line"), pair[1].alias("document_line"))

@@ -1,23 +1,27 @@
 import json
+import random
 from datetime import date, datetime
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from quakeframe.operators.documents import REQUEST_DDL, bulk_requests, request_starts
 from quakeframe.operators.envelope import build_event_envelope, decode_envelope, encode_envelope
 from quakeframe.plans.backfill import run_backfill
 from quakeframe.plans.rebuild import open_facts, rebuild_latest, refresh_hourly, sync_latest
 from quakeframe.schemas import FLAT_EVENT_DDL
 from quakeframe.session import scratch_path, shared_dir
 from quakeframe.sinks import runs
+from quakeframe.sinks.messages import write_bulk_requests
 from quakeframe.sinks.runs import append_run, compact_runs, read_runs, run_folder
 from quakeframe.sinks.tables import write_partitioned
 from quakeframe.sources.landed import explode_features, parse_feature_collection, payload_rows
 from quakeframe.sources.tables import MAX_IN_LIST, child_names, key_scan, table_scan_if_exists
-from quakeframe.sources.windows import catalog_range, chunk_date_range, with_chunk
-from tests.helpers import flat_frame, keys
+from quakeframe.sources.windows import bounded_windows, catalog_range, chunk_date_range, read_window, with_chunk
+from tests.helpers import at, flat_frame, keys
 
 
 def feature(event_id, ms, mag=1.0, **properties):
@@ -296,3 +300,46 @@ def test_scratch_folder_comes_from_the_session(spark):
     with pytest.raises(RuntimeError):
         shared_dir(FakeSession(None, "yarn"))
     assert scratch_path(spark, "t") != scratch_path(spark, "t")
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 60), min_size=1, max_size=60), st.integers(1, 7), st.integers(60, 130))
+def test_requests_are_bounded(sizes, max_rows, max_bytes):
+    starts = request_starts(np.array(sizes), max_rows, max_bytes)
+    assert starts[0]
+    parts = np.split(np.array(sizes), np.flatnonzero(starts)[1:])
+    assert all(len(p) <= max_rows and p.sum() <= max_bytes for p in parts)
+    # Not many more than are needed.
+    assert len(parts) <= 1 + 4 * sum(sizes) // max_bytes + len(sizes) // max_rows + 2 * sum(s > max_bytes // 2 for s in sizes)
+
+
+def test_requests_hold_all_documents(spark, tmp_path):
+    rows = [(f"d{i}", f'{{"index":"{i}"}}', "é" * (i % 50)) for i in range(5_000)]
+    documents = spark.createDataFrame(rows, "document_id string, action_line string, document_line string").repartition(2)
+    path = str(tmp_path / "requests")
+    write_bulk_requests(documents, path, 40, 2_000)
+    got = spark.read.schema(REQUEST_DDL).json(path).collect()
+    assert all(r.document_count <= 40 and r.byte_count == len(r.body.encode()) <= 2_000 and r.body.endswith("\n") for r in got)
+    lines = [x for r in got for x in r.body[:-1].split("\n")]
+    assert sorted(zip(lines[::2], lines[1::2])) == sorted((a, d) for _, a, d in rows)
+    assert len([x for x in (tmp_path / "requests").iterdir() if x.name.endswith(".json")]) == 2 and len(got) > 100
+    with pytest.raises(Exception, match="longer than a request"):
+        bulk_requests(documents, 40, 50).count()
+    assert bulk_requests(documents.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("limit", [1, 5, 40])
+def test_bounded_windows_hold_every_row_once(spark, limit):
+    rng = random.Random(limit)
+    seconds = [rng.choice([5, 60, 86_399, 86_400, 200_000]) for _ in range(60)] + [rng.randrange(300_000) for _ in range(200)]
+    rows = spark.createDataFrame([(i, at(s)) for i, s in enumerate(seconds)] + [(-1, None), (-2, at(9e6))], "n int, event_time_utc timestamp")
+    found = bounded_windows(rows, date(2024, 1, 1), date(2024, 1, 4), limit).orderBy("window_start").collect()
+    assert sum(r.row_count for r in found) == len(seconds)
+    assert all(a.window_end < b.window_start for a, b in zip(found, found[1:]))
+    for r in found:
+        assert r.row_count == sum(r.window_start <= at(s) <= r.window_end for s in seconds)
+        assert r.exceeds == (r.row_count > limit) and (not r.exceeds or r.window_start == r.window_end)
+    some = found[len(found) // 2]
+    assert read_window(rows, some.window_start, some.window_end).count() == some.row_count
+    with pytest.raises(ValueError):
+        bounded_windows(rows, date(2024, 1, 1), date(2024, 1, 4), 0)

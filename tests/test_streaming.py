@@ -5,9 +5,11 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from quakeframe.plans.realtime import realtime_writer
 from quakeframe.sinks.messages import publish_files
 from quakeframe.sinks.runs import read_runs
 from quakeframe.sinks.snapshot import read_snapshot
+from quakeframe.sources.landed import parse_feature_collection
 from quakeframe.sources.messages import file_message_stream
 from quakeframe.streaming.consumer import batch_writer, consume
 from quakeframe.streaming.suppress import suppress_recent_stream, suppressing_writer
@@ -51,6 +53,38 @@ def test_consumer_survives_restarts_and_repeats(spark, tmp_path):
     assert keys(read_snapshot(spark, latest), "event_id", "mag") == [("a", 3.0), ("b", 2.0), ("c", 4.0)]
 
 
+def test_of_tied_messages_the_first_to_arrive_stays(spark, tmp_path):
+    inbox, facts, latest, offsets = (str(tmp_path / n) for n in ("inbox", "facts", "latest", "offsets"))
+    for first in (9.0, 5.0, 7.0):
+        # Several in one file, which are read in turn, and several files, one after another.
+        land(spark, inbox, *[message(f"e{i}", first + i + j / 10) for j in range(4) for i in range(30)])
+    writer = batch_writer(facts, latest)
+    consume(file_message_stream(spark, inbox), writer, offsets, drain=True).awaitTermination()
+    assert keys(read_snapshot(spark, latest), "event_id", "mag") == sorted((f"e{i}", 9.0 + i) for i in range(30))
+    assert "arrival" not in read_runs(spark, facts).columns
+
+
+def test_counts_of_each_fetch_in_a_micro_batch(spark, tmp_path):
+    def document(*ids, title="all"):
+        features = [json.loads(envelope(i))["feature"] for i in ids]
+        return json.dumps({"type": "FeatureCollection", "metadata": {"title": title, "status": 200, "generated": GOOD_TIME}, "features": features})
+
+    counts, memory = str(tmp_path / "counts"), str(tmp_path / "memory")
+    writer = realtime_writer(lambda df, n: df.count(), memory, "feed", topic="t", ttl_seconds=60, counts_path=counts)
+    rows = [(document("a", "a", "b"), at(0)), (document("c"), at(0)), (document("a", "d", title="next"), at(30)), (document(), at(50))]
+    batch = parse_feature_collection(spark.createDataFrame(rows, "value string, observed_at timestamp"))
+    for _ in range(2):
+        writer(batch, 0)
+    writer(parse_feature_collection(spark.createDataFrame([(document("a"), at(61))], "value string, observed_at timestamp")), 1)
+    got = spark.read.parquet(counts).orderBy("observed_at").collect()
+    names = ("title", "fetched_count", "unique_count", "published_count", "duplicate_count")
+    assert [tuple(r[x] for x in names) for r in got] == [
+        ("all", 4, 3, 3, 1), ("next", 2, 2, 1, 1), ("all", 0, 0, 0, 0), ("all", 1, 1, 1, 0),
+    ]
+    assert all(r.started_at <= r.finished_at and r.source_mode == "realtime" and r.topic == "t" for r in got)
+    assert {r.status for r in got} == {200} and all(r.generated_at is not None for r in got)
+
+
 def test_new_checkpoint_continues_with_the_next_generation(spark, tmp_path):
     facts, latest = str(tmp_path / "facts"), str(tmp_path / "latest")
     first = batch_writer(facts, latest, compact_every=1)
