@@ -148,25 +148,27 @@ def append_run(df: DataFrame, path: str, run_id: str | None = None) -> int:
     return count
 
 
-def _write_fold(spark: SparkSession, path: str, rows: DataFrame | None, runs: DataFrame, first: int, last: int) -> int:
+def _write_fold(
+    spark: SparkSession, path: str, rows: DataFrame | None, runs: DataFrame, parts: Stored, first: int, last: int
+) -> int:
+    """Write a fold that takes in ``parts``, switch it on, and delete what it holds."""
+    for folder in parts.leftovers:
+        drop_path(spark, folder)
     staged = f"{path}/_staged-{uuid.uuid4().hex}"
     count = 0 if rows is None else write_partitioned(rows, staged)
     runs.coalesce(1).write.parquet(f"{staged}/_runs")
     rename_path(spark, staged, f"{path}/fold={first}-{last}")
-    clean_runs(spark, path)
+    for key, name in parts.live.items():
+        folder = f"{path}/run_key={key}"
+        drop_path(spark, f"{folder}/{name}")
+        if not child_names(spark, folder):
+            drop_path(spark, folder)
+    for a, b in parts.folds:
+        if first <= a:
+            drop_path(spark, f"{path}/fold={a}-{b}")
     return count
 
 
-def clean_runs(spark: SparkSession, path: str) -> None:
-    """Delete what is not read any more."""
-    parts = stored(spark, path)
-    for folder in parts.leftovers:
-        drop_path(spark, folder)
-    for name in child_names(spark, path):
-        if name.startswith("run_key=") and not child_names(spark, f"{path}/{name}"):
-            drop_path(spark, f"{path}/{name}")
-
-
 def _live_list(spark: SparkSession, parts: Stored) -> DataFrame:
     return spark.createDataFrame(list(parts.live.items()), LIST_DDL)
 
@@ -184,11 +186,12 @@ def compact_runs(spark: SparkSession, path: str, schema: str = RUN_ROWS_DDL) ->
     first, kept = last, list(parts.folds)
     while kept and kept[-1][1] - kept[-1][0] + 1 <= last - first + 1:
         first = kept.pop()[0]
-    merged = Stored(parts.live, parts.folds[len(kept) :])
-    runs = _live_list(spark, parts).unionByName(_lists(spark, path, merged.folds).drop("last"))
+    merged = Stored(parts.live, parts.folds[len(kept) :], parts.leftovers)
     # A run counts once, by what is read of it.
-    runs = runs.dropDuplicates(["run_key", "attempt"])
-    return _write_fold(spark, path, _rows(spark, path, merged, schema), runs, first, last)
+    runs = _live_list(spark, parts)
+    if merged.folds:
+        runs = runs.unionByName(_lists(spark, path, merged.folds).drop("last")).dropDuplicates(["run_key", "attempt"])
+    return _write_fold(spark, path, _rows(spark, path, merged, schema), runs, merged, first, last)
 
 
 def replace_runs(df: DataFrame, path: str, run_id: str) -> int:
@@ -196,8 +199,8 @@ def replace_runs(df: DataFrame, path: str, run_id: str) -> int:
     spark = df.sparkSession
     parts = stored(spark, path)
     last = parts.folds[-1][1] + 1 if parts.folds else 0
-    runs = _live_list(spark, parts).unionByName(spark.createDataFrame([(run_key(run_id), "")], LIST_DDL))
-    return _write_fold(spark, path, df.withColumn(RUN_COLUMN, F.lit(run_id)), runs, 0, last)
+    runs = spark.createDataFrame([*parts.live.items(), (run_key(run_id), "")], LIST_DDL)
+    return _write_fold(spark, path, df.withColumn(RUN_COLUMN, F.lit(run_id)), runs, parts, 0, last)
 
 
 def is_run_table(spark: SparkSession, path: str) -> bool:

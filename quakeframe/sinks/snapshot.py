@@ -17,9 +17,10 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from quakeframe.operators.latest import dedupe_latest_rows
-from quakeframe.operators.merge import KEEP, KEY, merge_actions, merge_in_order
+from quakeframe.operators.merge import KEY, merge_in_order, replaces
 from quakeframe.schemas import FLAT_EVENT_COLUMNS, FLAT_EVENT_DDL
 from quakeframe.sources.tables import child_names, drop_path, rename_path, table_exists
 
@@ -52,8 +53,8 @@ def bucket_expr(buckets: int) -> Column:
     return F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int")
 
 
-def row_hash(alias: str = "") -> Column:
-    return F.xxhash64(*[F.col(f"{alias}{name}") for name in FLAT_EVENT_COLUMNS])
+def row_hash() -> Column:
+    return F.xxhash64(*FLAT_EVENT_COLUMNS)
 
 
 def _holders(spark: SparkSession, path: str, version: int) -> dict[int, int]:
@@ -68,6 +69,9 @@ def _bucket_folder(path: str, bucket: int, version: int) -> str:
 
 def _read_buckets(spark: SparkSession, path: str, holders: dict[int, int]) -> DataFrame | None:
     folders = [_bucket_folder(path, b, v) for b, v in holders.items() if v != BEFORE_ALL]
+    if len(set(holders.values())) == 1 and len(folders) > 1 and len(folders) == len(child_names(spark, folders[0].rsplit("/", 1)[0])) - 2:
+        # All buckets of one version, whose folder has besides only its list and the mark of success.
+        folders = [folders[0].rsplit("/", 1)[0]]
     if not folders:
         return None
     rows = spark.read.schema(FLAT_EVENT_DDL).option("basePath", f"{path}/base").parquet(*folders)
@@ -143,35 +147,44 @@ def upsert_latest(
     """Merge one batch, and return how many rows it inserted or updated.
 
     Batches must come in ascending order; a repeat of a batch is harmless, and gives None where the
-    base holds it already. ``flat_rows`` is read twice, once for the ids only.
+    base holds it already.
     """
     version = base_version(spark, path)
     if batch_id < version:
         raise ValueError(f"batch {batch_id} is older than the stored snapshot {version}")
     if batch_id == version:
         return None
-    newest = dedupe_latest_rows(flat_rows, arrival).select(*FLAT_EVENT_COLUMNS)
-    target = snapshot_rows(spark, path, before=batch_id, only=newest)
-    if target is None:
-        target = spark.createDataFrame([], FLAT_EVENT_DDL)
-    # Rows that replace nothing would be merged in vain, and are no changes.
-    effective = merge_actions(target, newest).filter(F.col(f"source.{KEY}").isNotNull() & (F.col("action") != KEEP))
-    replaced = F.col(f"target.{KEY}").isNotNull()
+    newest = dedupe_latest_rows(flat_rows, arrival).select(*FLAT_EVENT_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
     observed = Observation()
-    (
-        effective.select(
-            *[F.col(f"source.{name}").alias(name) for name in FLAT_EVENT_COLUMNS],
-            F.when(replaced, row_hash("target.")).alias("before_hash"),
-            F.col("target.event_time_utc").alias("before_time_utc"),
-            F.col("target.place").alias("before_place"),
+    try:
+        (
+            effective_rows(snapshot_rows(spark, path, before=batch_id, only=newest), newest)
+            .observe(observed, F.count(F.lit(1)).alias("rows"))
+            .write.mode("overwrite")
+            .parquet(f"{path}/changes/batch_id={batch_id}")
         )
-        .observe(observed, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .parquet(f"{path}/changes/batch_id={batch_id}")
-    )
+    finally:
+        newest.unpersist()
     return observed.get["rows"]
 
 
+def effective_rows(target: DataFrame | None, newest: DataFrame) -> DataFrame:
+    """Rows of a batch that replace or add a row, with what they replace.
+
+    The others would be merged in vain, and are no changes.
+    """
+    if target is None:
+        return newest.selectExpr("*", *[f"cast(null as {x.split()[1]}) as {x.split()[0]}" for x in BEFORE_DDL.split(", ")])
+    before = target.select(KEY, "updated_time_utc", "event_time_utc", "place", row_hash().alias("before_hash"))
+    joined = newest.alias("source").join(before.alias("target"), F.col(f"source.{KEY}") == F.col(f"target.{KEY}"), "left")
+    return joined.filter(F.col(f"target.{KEY}").isNull() | replaces()).select(
+        *[F.col(f"source.{name}").alias(name) for name in FLAT_EVENT_COLUMNS],
+        "before_hash",
+        F.col("target.event_time_utc").alias("before_time_utc"),
+        F.col("target.place").alias("before_place"),
+    )
+
+
 def changed_ids(spark: SparkSession, path: str, since: int, upto: int | None = None) -> DataFrame:
     """Ids whose row after batch ``upto`` (by default the last) differs from that after batch ``since``.
 

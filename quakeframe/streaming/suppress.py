@@ -64,22 +64,22 @@ class OrderedSuppression(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1_000
-        held = [pickle.loads(x[0]) for x in self._held.get()] if self._held.exists() else []
+        held = [pickle.loads(x[0]) for x in self._held.get()]
+        last = self._last.get()
         if held:
-            yield from self._release(pd.concat(held), passed)
-        if self._last.exists() and not self._held.exists() and self._last.get()[0] + self._ttl < passed:
+            yield from self._release(held[0] if len(held) == 1 else pd.concat(held), passed, last)
+        elif last is not None and last[0] + self._ttl < passed:
             self._last.clear()
 
-    def _release(self, rows: pd.DataFrame, passed: int) -> Iterator[pd.DataFrame]:
+    def _release(self, rows: pd.DataFrame, passed: int, last: tuple[int] | None) -> Iterator[pd.DataFrame]:
         """Decide on the rows up to the watermark; the others stay held."""
-        due = rows["seen_us"] <= passed
+        times = rows["seen_us"].to_numpy()
+        due = times <= passed
+        if not due.any():
+            return
         later = rows[~due]
-        self._held.clear()
-        if len(later):
-            self._held.appendValue((pickle.dumps(later),))
-            self._handle.registerTimer(int(later["seen_us"].min()) // 1_000 + 1)
-        after = self._last.get()[0] + self._ttl if self._last.exists() else NEVER
-        open_rows = rows[due & (rows["seen_us"] > after)]
+        after = NEVER if last is None else last[0] + self._ttl
+        open_rows = rows[due & (times > after)]
         ordered = [name for name in rows.columns if name.startswith("seen_order_")]
         open_rows = open_rows.sort_values(["seen_us", *ordered, "seen_order"], kind="stable")
         times = open_rows["seen_us"].to_numpy()
@@ -88,9 +88,16 @@ class OrderedSuppression(StatefulProcessor):
             kept.append(at)
             at = int(np.searchsorted(times, times[at] + self._ttl, "right"))
         if kept:
-            last = int(times[kept[-1]])
-            self._last.update((last,))
-            self._handle.registerTimer((last + self._ttl) // 1_000 + 2)
+            last = (int(times[kept[-1]]),)
+            self._last.update(last)
+        # One timer is enough: the next release, or else the end of the state.
+        if len(later):
+            self._held.put([(pickle.dumps(later),)])
+            self._handle.registerTimer(int(later["seen_us"].min()) // 1_000 + 1)
+        else:
+            self._held.clear()
+            self._handle.registerTimer((last[0] + self._ttl) // 1_000 + 2)
+        if kept:
             yield self._out(open_rows.iloc[kept], None)
 
     def _out(self, rows: pd.DataFrame, mark: str | None) -> pd.DataFrame:

@@ -206,7 +206,7 @@ def test_compactions_bound_folders_and_replays_add_nothing(spark, tmp_path):
     assert compact_runs(spark, path) == 0
 
 
-@pytest.mark.parametrize("step", ["write_partitioned", "rename_path", "clean_runs", "drop_path"])
+@pytest.mark.parametrize("step", ["write_partitioned", "rename_path", "drop_path"])
 def test_compaction_and_replacement_survive_a_crash(spark, tmp_path, monkeypatch, step):
     path = str(tmp_path / "facts")
     rows = flat_frame(spark, [("a", 5, 1, 1.0), ("b", 5, 90_000, 2.0)])
