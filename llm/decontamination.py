@@ -1,6 +1,7 @@
 """Benchmark decontamination by embedded windows, bit-sampling LSH and exact verification.
 
-Texts and items are sequences of lower-case words without marks. A window is as long as an item.
+Texts and items are sequences of lower-case words without marks; in scripts written without spaces
+(Chinese and Japanese, Thai, Lao, Burmese, Khmer) each character is a word. A window is as long as an item.
 The CGK random walk copies the word under its cursor to each step of its output and moves on by a
 random bit of word and step; sequences of small edit distance get outputs of small Hamming
 distance. Several walks are each sampled at a few steps many times over; a window is a candidate
@@ -13,8 +14,11 @@ item are unchanged, so a window starts where such three words put it.
 The benchmark is read in blocks of bounded size (``BLOCK_ITEMS``); each block is matched with all
 documents, so its size has no limit and no shuffle of documents is needed.
 
-Cases: null and empty texts match nothing; items with fewer than ``LEAST_WORDS`` words say too
-little to be found by and match nothing; equal items and equal rows match alike; an empty table
+Items with fewer than ``LEAST_WORDS`` words are allowed no edits; they are found word for word, by a hash of
+the whole.
+
+Cases: null and empty texts match nothing, nor do items without words; very long texts are read piece by
+piece of the input; equal items and equal rows match alike; an empty table
 gives no rows.
 """
 
@@ -44,6 +48,13 @@ BATCH_WINDOWS = 20_000
 # Words are letters, digits and bytes over 127; all else parts them.
 BREAK = np.ones(256, dtype=bool)
 BREAK[48:58] = BREAK[65:91] = BREAK[97:123] = BREAK[128:] = False
+SPACE = 0x20
+# Ranges of code points of scripts without spaces, and of wide marks, as the first two bytes in UTF-8.
+UNSPACED = (
+    (0xE0B8, 0xE0BB), (0xE180, 0xE182), (0xE19E, 0xE19F), (0xE2BA, 0xE2BF), (0xE381, 0xE9BF), (0xEFA4, 0xEFAB),
+    (0xF0A0, 0xF0B1),
+)
+WIDE_MARKS = ((0xE380, 0xE380), (0xEFBC, 0xEFBC))
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
 MATCHES = "doc_id long, item_id long, start_word int, n_edits int, n_item_words int"
@@ -51,11 +62,36 @@ MATCHES = "doc_id long, item_id long, start_word int, n_edits int, n_item_words
 
 def normal_words(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all lower-case words in a row, and the texts' offsets in them."""
-    folded = FOLD[raw]
+    folded, bounds = with_characters_apart(FOLD[raw], bounds)
     starts, ends, offsets = words_of(folded, bounds, BREAK)
     return word_hashes(folded, starts, ends), offsets
 
 
+def with_characters_apart(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts with spaces around characters of scripts without spaces, and for wide marks."""
+    lead = np.flatnonzero(raw >= 0xE0)
+    if not len(lead):
+        return raw, bounds
+    pair = raw[lead].astype(np.int64) << 8 | raw[lead + 1]
+    marks = np.zeros(len(lead), dtype=bool)
+    for low, high in WIDE_MARKS:
+        marks |= (pair >= low) & (pair <= high)
+    # Wide letters and digits share their first two bytes with wide marks.
+    third = raw[lead + 2]
+    marks &= ~((pair == 0xEFBC) & ((third >= 0x90) & (third <= 0x99) | (third >= 0xA1) & (third <= 0xBA)))
+    apart = np.zeros(len(lead), dtype=bool)
+    for low, high in UNSPACED:
+        apart |= (pair >= low) & (pair <= high)
+    if marks.any():
+        for i in range(3):
+            raw[lead[marks] + i] = SPACE
+    first = lead[apart]
+    if not len(first):
+        return raw, bounds
+    cuts = np.sort(np.concatenate((first, first + np.where(raw[first] >= 0xF0, 4, 3))))
+    return np.insert(raw, cuts, SPACE), bounds + np.searchsorted(cuts, bounds, "left")
+
+
 def tolerance(words: int) -> int:
     """Edits allowed for an item: a fifth of its words, as long as a seed must survive them."""
     return max(0, min(int(EDITS * words), (words - SEED_WORDS) // SEED_WORDS))
@@ -106,15 +142,15 @@ class Items:
     rows: np.ndarray
     sizes: np.ndarray
     keys: list[tuple[np.ndarray, np.ndarray]]
+    # Items of few words follow the others in ids and words; by length their hashes, sorted, and places.
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
 
 
 def items_of(ids: list, texts: list[str]) -> Items:
-    words, known = [], []
     hashes, offsets = normal_words(*text_bytes(pa.array(texts, pa.large_string())))
-    for i, item in enumerate(ids):
-        if offsets[i + 1] - offsets[i] >= LEAST_WORDS:
-            known.append(item)
-            words.append(hashes[offsets[i] : offsets[i + 1]])
+    every = [(item, hashes[offsets[i] : offsets[i + 1]]) for i, item in enumerate(ids)]
+    known = [item for item, x in every if len(x) >= LEAST_WORDS]
+    words = [x for _, x in every if len(x) >= LEAST_WORDS]
     grams = [gram_hashes(x, SEED_WORDS) for x in words]
     seeds = np.concatenate([np.zeros(0, U64), *grams])
     owner = np.repeat(np.arange(len(grams)), [len(x) for x in grams]) if grams else np.zeros(0, np.int64)
@@ -129,7 +165,30 @@ def items_of(ids: list, texts: list[str]) -> Items:
         held = np.argsort(sample, kind="stable")
         held = held[sample[held] != 0]
         keys.append((sample[held], held))
-    return Items(known, words, seeds[order], owner[order], place[order], rows, sizes, keys)
+    few = [(item, x) for item, x in every if 0 < len(x) < LEAST_WORDS]
+    short = {}
+    for length in sorted({len(x) for _, x in few}):
+        at = np.array([len(words) + i for i, (_, x) in enumerate(few) if len(x) == length], dtype=np.int64)
+        whole = np.array([gram_hashes(x, length)[0] for _, x in few if len(x) == length], dtype=U64)
+        held = np.argsort(whole, kind="stable")
+        short[length] = (whole[held], at[held])
+    known, all_words = known + [item for item, _ in few], words + [x for _, x in few]
+    return Items(known, all_words, seeds[order], owner[order], place[order], rows, sizes, keys, short)
+
+
+def verbatim(hashes: np.ndarray, offsets: np.ndarray, items: Items) -> Iterator[tuple[int, int, int]]:
+    """(text, item, first word) of the first place of each item of few words in each text."""
+    for length, (table, held) in items.short.items():
+        grams = gram_hashes(hashes, length)
+        at = np.flatnonzero(in_sorted(grams, table)[0])
+        text = np.searchsorted(offsets, at, "right") - 1
+        inside = at + length <= offsets[text + 1]
+        at, text = at[inside], text[inside]
+        left, right = (np.searchsorted(table, grams[at], side) for side in ("left", "right"))
+        item = held[ranges(left, right - left)]
+        text, at = np.repeat(text, right - left), np.repeat(at, right - left)
+        _, first = np.unique(text * len(items.ids) + item, return_index=True)
+        yield from zip(text[first].tolist(), item[first].tolist(), (at - offsets[text])[first].tolist(), strict=True)
 
 
 def windows_of(hashes: np.ndarray, offsets: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -191,7 +250,7 @@ def matches(column: pa.Array, items: Items) -> list[tuple[int, int, int, int]]:
     if not items.ids:
         return []
     allowed = np.array([tolerance(int(x)) for x in items.sizes], dtype=np.int64)
-    width, slack = items.rows.shape[1], int(allowed.max())
+    width, slack = items.rows.shape[1], int(allowed.max(initial=0))
     held: list[tuple[np.ndarray, ...]] = []
     count = 0
 
@@ -209,6 +268,8 @@ def matches(column: pa.Array, items: Items) -> list[tuple[int, int, int, int]]:
 
     for begin, _, raw, bounds in pieces(column):
         hashes, offsets = normal_words(raw, bounds)
+        for t, i, s in verbatim(hashes, offsets, items):
+            out[begin + t, i] = (0, s)
         text, start, size = windows_of(hashes, offsets, items)
         for at in range(0, len(text), BATCH_WINDOWS):
             t, s = text[at : at + BATCH_WINDOWS], start[at : at + BATCH_WINDOWS]

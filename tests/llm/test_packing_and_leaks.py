@@ -251,3 +251,28 @@ def test_shared_folder_is_needed_on_a_cluster(spark, monkeypatch):
         sparkContext = type("S", (), {"master": "local-cluster[2,1,1024]", "getCheckpointDir": staticmethod(lambda: None)})
     with pytest.raises(RuntimeError):
         storage.shared_folder(Elsewhere)
+
+
+def test_short_items_and_scripts_without_spaces_are_found(spark):
+    chinese = "今天天气很好我们一起去公园散步吧明天也许会下雨请带伞"
+    items = [(1, "four words of text"), (2, "Single"), (3, chinese), (4, "ภาษาไทยไม่มีวรรค"), (5, "..."), (6, "two  Words!"), (7, "短い"), (8, "two words")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = {
+        1: "Four words, of text", 2: "here are four words of text, inside", 3: "four words of a text", 4: "a single one", 5: "singles",
+        6: chinese, 7: f"前面，{chinese[:12]}x{chinese[13:]}。後面", 8: chinese[::-1], 9: "อะไร ภาษาไทยไม่มีวรรค นะ", 10: "two words two", 11: "two. other words",
+        12: "長い文と短い文", 13: None, 14: "", 15: "plain text with none of them", 16: "four words of", 17: "text",
+    }
+    docs = frame(spark, [(i, t, None, None, None) for i, t in texts.items()])
+    got = {(r.doc_id, r.item_id): r for r in decontamination.find_leaks(docs, benchmark).collect()}
+    assert set(got) == {(1, 1), (2, 1), (4, 2), (6, 3), (7, 3), (9, 4), (10, 6), (10, 8), (12, 7)}
+    assert got[2, 1].start_word == 2 and got[10, 6].start_word == 0 and got[7, 3].n_edits > 0
+    assert all(r.n_edits == 0 for k, r in got.items() if k != (7, 3))
+    kept = {r.doc_id for r in decontamination.drop_leaking(docs, benchmark).collect()}
+    assert kept == set(texts) - {d for d, _ in got}
+
+
+def test_characters_apart_leave_other_words_whole():
+    for text, want in [("ab 한국어 é", 3), ("中a文b", 4), ("Ａｂ，中。", 2), ("𠀀𠀁x", 3), ("plain", 1), ("“quoted”", 1)]:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        hashes, offsets = decontamination.normal_words(np.concatenate((raw, raw)), np.array([0, len(raw), 2 * len(raw)]))
+        assert offsets.tolist() == [0, want, 2 * want] and (hashes[:want] == hashes[want:]).all()
