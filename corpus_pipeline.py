@@ -27,7 +27,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Blocks of lines shared with an earlier document go; the document stays with the rest."""
-    return remove_common_lines(docs).select(*docs.columns)
+    return remove_common_lines(docs, any_order=True).select(*docs.columns)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,14 +3,23 @@
 The shortest runs of lines with ``BLOCK_CHARS`` characters are taken forward from every line and
 backward from every line, so every block that can go is made of them, however short its lines are. A
 run that several documents share belongs to the earliest of them. A later document is paired with the
-owners of all its shared runs. There is one pair for each owner, not one for each two documents; an
-owner of very many is repeated in parts. Each pair is aligned by patience diff on
-line hashes: lines that occur once on both sides are anchors, the longest chain of them in order
-is kept, and equal lines next to anchors join them. Runs of aligned lines with at least
+owners of all its shared runs. There is one pair for each owner, not one for each two documents.
+Each pair is aligned by patience diff on line hashes: lines that occur once on both sides are
+anchors, the longest chain of them in order is kept, and equal lines next to anchors join them. Runs of aligned lines with at least
 ``BLOCK_CHARS`` characters are deleted from the later document.
 
+With ``any_order`` what the chain leaves over is aligned once more without regard to order, so blocks
+that stand elsewhere in the owner go too. Where no line repeats inside a document, this removes what
+the alignment of all pairs of documents would remove: every common block is made of shared runs, and
+each run's owner is aligned with the document. Without it a block stays where its owner has it in
+another order, also if a third document between the two has it in the same.
+
+A later document's lines travel once to the task that reads its owners' lines one after another;
+documents with very many owners, and owners of very many documents, are repeated in parts.
+
 Earlier means the smaller (id, hash of id and text), null ids last. Cases: null text stays null and
-empty text empty; blank lines match only beside others; lines repeated inside one document stay;
+empty text empty; a very long text is one row, and a task holds the lines of one later document and
+one owner at a time; blank lines match only beside others; lines repeated inside one document stay;
 rows equal in id and text count as one document; an empty table gives no rows; other columns
 are kept, but for ``n_chars``, which follows the text.
 """
@@ -32,6 +41,7 @@ from llm.hashing import GOLDEN, U64, mix
 from llm.storage import written
 
 OWNER_PAIRS = 1_000
+LATER_PAIRS = 200
 BLOCK_CHARS = 24
 LAST_ID = 2**63 - 1
 ORDER = "decimal(38,0)"
@@ -86,12 +96,39 @@ def patience(first: list[int], second: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def common_lines(first: list[int], second: list[int], chars: list[int], least: int = BLOCK_CHARS) -> list[int]:
+def moved(first: list[int], second: list[int], aligned: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Aligned places in any order among the lines left over: those that are single on both sides, and equal ones beside them."""
+    here, there = {i for i, _ in aligned}, {j for _, j in aligned}
+    out: list[tuple[int, int]] = []
+    while True:
+        ours = Counter(x for i, x in enumerate(first) if i not in here)
+        theirs = Counter(x for j, x in enumerate(second) if j not in there)
+        place = {x: j for j, x in enumerate(second) if j not in there and theirs[x] == 1}
+        before = len(out)
+        for i, x in enumerate(first):
+            if i in here or ours[x] != 1 or x not in place or place[x] in there:
+                continue
+            a, b = i, place[x]
+            while a and b and a - 1 not in here and b - 1 not in there and first[a - 1] == second[b - 1]:
+                a, b = a - 1, b - 1
+            while a < len(first) and b < len(second) and a not in here and b not in there and first[a] == second[b]:
+                here.add(a)
+                there.add(b)
+                out.append((a, b))
+                a, b = a + 1, b + 1
+        if len(out) == before:
+            return out
+
+
+def common_lines(first: list[int], second: list[int], chars: list[int], least: int = BLOCK_CHARS, any_order: bool = False) -> list[int]:
     """Lines of the second list in aligned blocks with at least ``least`` characters."""
     out: list[int] = []
     block: list[int] = []
     last = (-2, -2)
-    for pair in [*patience(first, second), (-2, -2)]:
+    chain = patience(first, second)
+    if any_order:
+        chain = sorted(chain + moved(first, second, chain))
+    for pair in [*chain, (-2, -2)]:
         if block and (pair[0] != last[0] + 1 or pair[1] != last[1] + 1):
             if sum(chars[j] for j in block) >= least:
                 out += block
@@ -114,7 +151,7 @@ def line_tables(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.transform(lines, lambda x: F.when(F.trim(x) == "", F.lit(0)).otherwise(F.xxhash64(x))).alias("hashes"),
         F.transform(lines, lambda x: F.length(x)).alias("chars"),
     )
-    return ordered, written(hashes, "lines")
+    return ordered, written(hashes.dropDuplicates(["_order"]), "lines")
 
 
 def run_keys(hashes: np.ndarray, chars: np.ndarray, offsets: np.ndarray, least: int = BLOCK_CHARS) -> tuple[np.ndarray, np.ndarray]:
@@ -150,43 +187,69 @@ def pairs_of(lines: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("_order").take(pa.array(text)), pa.array(keys)], ["_order", "run"])
 
     held = lines.mapInArrow(runs, f"_order {ORDER}, run long")
-    owners = held.groupBy("run").agg(F.count("*").alias("holders"), F.min("_order").alias("owner")).filter("holders > 1")
+    owners = held.groupBy("run").agg(F.min("_order").alias("owner"), F.max("_order").alias("last"))
+    # A table of its own, so that Spark can split the runs that very many documents hold.
+    owners = written(owners.filter("owner < last").select("run", "owner"), "owners")
     shared = held.join(owners, "run").filter("owner < _order")
     return shared.select("owner", F.col("_order").alias("later")).distinct()
 
 
-def removed_lines(lines: DataFrame) -> DataFrame:
+def in_parts(pairs: DataFrame, side: str, least: int, part: str) -> DataFrame:
+    """(side, part): in how many parts those with over ``least`` pairs are dealt out; at most pairs / least rows."""
+    count = pairs.groupBy(side).agg(F.count("*").alias("n")).filter(F.col("n") > least)
+    return written(count.select(side, F.ceil(F.col("n") / least).cast("int").alias(part)), part)
+
+
+def removed_lines(lines: DataFrame, any_order: bool = False) -> DataFrame:
     """(_order, _removed): numbers of lines that go from each later document."""
-    one = lines.dropDuplicates(["_order"])
-    later = one.select(F.col("_order").alias("later"), F.col("hashes").alias("second"), "chars")
     pairs = written(pairs_of(lines), "pairs")
-    # Owners of many pairs are dealt out in parts; there are at most pairs / OWNER_PAIRS of them.
-    parts = F.ceil(F.col("n") / OWNER_PAIRS).cast("int").alias("parts")
-    many = F.broadcast(pairs.groupBy("owner").agg(F.count("*").alias("n")).filter(F.col("n") > OWNER_PAIRS).select("owner", parts))
-    salted = pairs.join(many, "owner", "left").select(
-        "owner", "later", F.pmod(F.xxhash64("later"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")
-    )
-    number = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
-    owner = one.select(F.col("_order").alias("owner"), F.col("hashes").alias("first")).join(many, "owner", "left")
-    owner = owner.select("owner", "first", number)
-    both = salted.join(later, "later").join(owner, ["owner", "part"]).select("later", "first", "second", "chars")
+    owner_parts = in_parts(pairs, "owner", OWNER_PAIRS, "owner_part")
+    later_parts = in_parts(pairs, "later", LATER_PAIRS, "later_part")
+
+    def dealt(part: str, by: str) -> F.Column:
+        return F.pmod(F.xxhash64(by), F.coalesce(part, F.lit(1))).cast("int").alias(part)
+
+    def repeated(part: str) -> F.Column:
+        return F.explode(F.sequence(F.lit(0), F.coalesce(part, F.lit(1)) - 1)).alias(part)
+
+    placed = pairs.join(owner_parts, "owner", "left").join(later_parts, "later", "left")
+    placed = placed.select("owner", "later", dealt("owner_part", "later"), dealt("later_part", "owner"))
+    owner = lines.select(F.col("_order").alias("owner"), "hashes").join(owner_parts, "owner", "left")
+    owner = owner.select("owner", repeated("owner_part"), "hashes")
+    later = lines.select(F.col("_order").alias("later"), "hashes", "chars").join(later_parts, "later", "left")
+    later = later.select("later", repeated("later_part"), F.lit(0).alias("side"), "hashes", "chars")
+    chars = F.lit(None).cast("array<int>").alias("chars")
+    owner = placed.join(owner, ["owner", "owner_part"]).select("later", "later_part", F.lit(1).alias("side"), "hashes", chars)
+    key = ["later", "later_part"]
+    both = later.unionByName(owner).repartition(*key).sortWithinPartitions(*key, "side")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        second, sizes = None, None
         for batch in batches:
-            columns = (batch.column(x).to_pylist() for x in ("first", "second", "chars"))
-            found = [common_lines(*x) for x in zip(*columns, strict=True)]
-            gone = pa.array([np.array(x, "<i4").tobytes() for x in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("later"), gone], ["_order", "gone"])
+            ids, gone = [], []
+            for place, (side, hashes) in enumerate(zip(batch.column("side").to_pylist(), batch.column("hashes"), strict=True)):
+                if side == 0:
+                    second, sizes = hashes, batch.column("chars")[place]
+                    continue
+                if isinstance(second, pa.Scalar):
+                    second, sizes = second.as_py(), sizes.as_py()
+                found = common_lines(hashes.as_py(), second, sizes, any_order=any_order)
+                if found:
+                    ids.append(place)
+                    gone.append(np.array(found, "<i4").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("later").take(pa.array(ids, pa.int64())), pa.array(gone, pa.binary())], ["_order", "gone"]
+            )
 
-    aligned = both.mapInArrow(align, f"_order {ORDER}, gone binary").filter("length(gone) > 0")
+    aligned = both.mapInArrow(align, f"_order {ORDER}, gone binary")
     return aligned.groupBy("_order").agg(F.collect_set("gone").alias("_removed"))
 
 
-def remove_common_lines(docs: DataFrame) -> DataFrame:
+def remove_common_lines(docs: DataFrame, any_order: bool = False) -> DataFrame:
     """All columns of the documents with what is left of ``text``, and ``n_lines`` and ``n_removed``."""
     small_batches(docs.sparkSession)
     ordered, lines = line_tables(docs)
-    joined = ordered.join(removed_lines(lines), "_order", "left")
+    joined = ordered.join(removed_lines(lines, any_order), "_order", "left")
     kept = [x for x in docs.columns if x.lower() not in ("n_lines", "n_removed", "_order", "_removed")]
     fields = {x.name: x.dataType.simpleString() for x in docs.schema.fields}
 

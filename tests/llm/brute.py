@@ -215,3 +215,23 @@ def common_groups(a, b):
             groups.append((one, two))
             one, two = [], []
     return groups
+
+
+def line_dedup(rows, least=24):
+    """Numbers of lines (not blank ones) covered by blocks of at least ``least`` characters that an earlier row holds too; no line repeats in a row."""
+    texts = [text.split("\n") for _, text in rows]
+    out = []
+    for later, own in enumerate(texts):
+        gone = set()
+        for first in texts[:later]:
+            place = {x: i for i, x in enumerate(first)}
+            j = 0
+            while j < len(own):
+                end = j
+                while end < len(own) and own[end] in place and place[own[end]] == place[own[j]] + end - j:
+                    end += 1
+                if sum(map(len, own[j:end])) >= least:
+                    gone |= set(range(j, end))
+                j = max(end, j + 1)
+        out.append(gone)
+    return out

@@ -214,3 +214,46 @@ def test_empty_tables_and_clashing_columns(spark, work):
 
 def test_repeats_has_no_open_limit():
     assert repeats.GROUP_LIMIT < 10_000
+
+
+def kept_lines(spark, texts):
+    rows = [(i, x, None, None, None) for i, x in enumerate(texts)]
+    got = line_dedup.remove_common_lines(frame(spark, rows), any_order=True).collect()
+    return {r.doc_id: (r.n_removed, r.text) for r in got}
+
+
+def test_blocks_in_another_order_than_the_owner_has_them(spark):
+    p = [f"a line of the first block {i}" for i in range(4)]
+    q = [f"a line of the second block {i}" for i in range(4)]
+    got = kept_lines(spark, ["\n".join(x) for x in (q + p, [*p, "x", *q], [*p, "y", *q])])
+    assert got[0][0] == 0
+    assert got[1] == (8, "x") and got[2] == (8, "y")
+
+
+@pytest.mark.parametrize("parts", [1_000, 2])
+def test_alignment_of_all_pairs_removes_the_same_lines(spark, monkeypatch, parts):
+    monkeypatch.setattr(line_dedup, "OWNER_PAIRS", parts)
+    monkeypatch.setattr(line_dedup, "LATER_PAIRS", parts)
+    rnd = random.Random(11)
+    pool = [f"{i} " + "z" * rnd.randint(1, 30) for i in range(80)]
+    texts = []
+    for _ in range(60):
+        start, own = rnd.randrange(80), []
+        for _ in range(rnd.randint(1, 6)):
+            own += pool[start : start + rnd.randint(1, 9)]
+            start = rnd.randrange(80)
+        texts.append("\n".join(dict.fromkeys(own)))
+    got = kept_lines(spark, texts)
+    for i, gone in enumerate(brute.line_dedup(list(enumerate(texts)))):
+        lines = texts[i].split("\n")
+        assert got[i] == (len(gone), "\n".join(x for j, x in enumerate(lines) if j not in gone))
+
+
+def test_moved_lines_end_and_keep_out_of_each_other(spark):
+    first, second = [1, 2, 3, 4, 5, 5, 6], [4, 5, 5, 9, 1, 2, 8, 6, 6]
+    found = line_dedup.moved(first, second, line_dedup.patience(first, second))
+    every = found + line_dedup.patience(first, second)
+    assert len({i for i, _ in every}) == len({j for _, j in every}) == len(every)
+    assert all(first[i] == second[j] for i, j in every)
+    back = list(range(5000))
+    assert len(line_dedup.moved(back, back[::-1], [])) == 5000
