@@ -1,15 +1,18 @@
 """Quality classifier learned from trusted positives and unlabelled text.
 
 A linear model of surface features is fitted by minimising the non-negative unbiased risk: with
-class prior p, R = p * E+[loss(+)] + max(0, E_u[loss(-)] - p * E+[loss(-)]). Negative labels are
-not used in it; labels give the positives and the estimate of the prior.
+class prior p, R = p * E+[loss(+)] + max(0, E_u[loss(-)] - p * E+[loss(-)]). The prior is estimated
+from the positives and the unlabelled texts: no part of the scores can hold a larger share of the
+positives' mass than the unlabelled texts have there, so the smallest ratio of the two bounds the
+prior. Negative labels are used for nothing but to leave out ids with contradicting labels.
 
 The fit takes at most ``SAMPLE`` positives and as many unlabelled texts, those with the smallest
 hashes of their ids, so its cost does not depend on the size of the corpus. Only rows whose
 crc32(id) mod 5 is not 0 are learned from. Every text is scored whole.
 
 Cases: null and empty texts get the score of a text without words; a null id counts as held out;
-ids with contradicting labels are no positives; null labels are ignored; without positives every
+ids with contradicting labels are no positives; null labels are ignored; one text of an id is learned
+from, the smallest; a very long text is one row of features, made of its whole bytes; without positives every
 score is 0.5; equal rows get equal scores; an empty table gives no rows; other columns are ignored.
 """
 
@@ -128,6 +131,25 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     return Model(mean, scale, weights[:-1], float(weights[-1]))
 
 
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float = 0.5) -> float:
+    """Share of positives among the unlabelled rows.
+
+    Two halves are scored by the model of the other half. Of all thresholds that keep at least
+    ``least`` of the positives, the one with the smallest ratio of unlabelled to positive shares
+    gives the estimate. Where there are too few rows for halves, it is one half.
+    """
+    if min(len(positive), len(unlabelled)) < 4:
+        return 0.5
+    found = []
+    for half in range(2):
+        model = fit(positive[1 - half :: 2], unlabelled[1 - half :: 2], 0.5)
+        plus, other = np.sort(model.score(positive[half::2])), np.sort(model.score(unlabelled[half::2]))
+        steps = plus[: max(1, int(len(plus) * (1 - least)))]
+        kept = 1 - np.searchsorted(plus, steps, "left") / len(plus)
+        found.append(((1 - np.searchsorted(other, steps, "left") / len(other)) / kept).min())
+    return float(np.clip(np.mean(found), 0.01, 0.99))
+
+
 def fold(column: str = "doc_id") -> F.Column:
     """crc32 of an id's text mod 5; a null id is in fold 0."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % FOLDS
@@ -143,10 +165,6 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
         .filter("least = most")
         .select("doc_id", (F.col("least") == 1).alias("good"))
     )
-    known = trusted.agg(F.count("*"), F.sum(F.col("good").cast("int"))).first()
-    if not known[0] or not known[1]:
-        return None
-    prior = known[1] / known[0]
     lot = F.xxhash64("doc_id")
     plus = trusted.filter("good").select("doc_id").orderBy(lot).limit(sample)
     other = (
@@ -155,8 +173,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
         .distinct().orderBy(lot).limit(sample)
     )
     chosen = plus.withColumn("plus", F.lit(1)).unionByName(other.withColumn("plus", F.lit(0)))
-    # At most two rows for each sampled id, 2 * sample in all.
+    # One text for each sampled id, at most 2 * sample in all.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    texts = texts.groupBy("doc_id", "plus").agg(F.min("text").alias("text"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,12 +184,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
                 packed = pa.array([x.tobytes() for x in rows.astype(np.float32)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column("plus"), packed], ["plus", "row"])
 
-    rows = texts.mapInArrow(describe, "plus int, row binary").limit(4 * sample).toArrow()
-    table = np.array([np.frombuffer(x, np.float32) for x in rows["row"].to_pylist()], dtype=np.float64)
-    marks = rows["plus"].to_numpy()
+    rows = texts.mapInArrow(describe, "plus int, row binary").toArrow()
+    # In one order whatever the partitions were, so that equal tables give equal models.
+    ordered = sorted(zip(rows["plus"].to_pylist(), rows["row"].to_pylist(), strict=True))
+    table = np.array([np.frombuffer(x, np.float32) for _, x in ordered], dtype=np.float64)
+    marks = np.array([x for x, _ in ordered])
     if not (marks == 1).any() or not (marks == 0).any():
         return None
-    return fit(table[marks == 1], table[marks == 0], prior)
+    positive, unlabelled = table[marks == 1], table[marks == 0]
+    return fit(positive, unlabelled, class_prior(positive, unlabelled))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:

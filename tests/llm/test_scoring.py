@@ -1,5 +1,6 @@
 """Scores, fingerprints and the quality classifier."""
 
+import hashlib
 import zlib
 
 import numpy as np
@@ -98,6 +99,41 @@ def test_classifier_learns_without_held_out_rows(spark):
     assert kept == {i for i, r in got.items() if r.predicted}
 
 
+@pytest.mark.parametrize("share", [0.2, 0.5, 0.8])
+def test_prior_from_positives_and_unlabelled_rows(share):
+    rng = np.random.default_rng(3)
+    some = int(2000 * share)
+    mixed = np.concatenate((rng.normal(1.5, 1, (some, 4)), rng.normal(-1.5, 1, (2000 - some, 4))))
+    found = quality.class_prior(rng.normal(1.5, 1, (1500, 4)), rng.permutation(mixed))
+    assert abs(found - share) < 0.08
+    assert quality.class_prior(mixed[:2], mixed) == 0.5
+
+
+def test_repeated_ids_are_learned_from_once(spark):
+    good = [(i, f"Some plain text with number of words {'and more ' * (i % 30)}indeed.", "en", "s", 0) for i in range(60)]
+    bad = [(1000 + i, junk(i), "en", "s", 0) for i in range(60)]
+    labels = spark.createDataFrame([(r[0], 1, 0) for r in good], "doc_id long, quality int, toxic int")
+    once = {r.doc_id: r.score for r in quality.score_quality(frame(spark, good + bad), labels).collect()}
+    often = quality.score_quality(frame(spark, good + bad + bad[:5] * 200), labels).collect()
+    assert len(often) == 1120 and all(abs(r.score - once[r.doc_id]) < 1e-6 for r in often)
+
+
+def test_neighbours_across_partitions_meet_without_moving_texts_to_one_task(spark):
+    rows = [(i, f"text {i} " * 9, None, None, None) for i in range(40)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("1", "7", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got = {r.doc_id: r for r in fingerprints.fingerprint(frame(spark, rows)).collect()}
+            assert len(got) == 40
+            for i, text, *_ in rows:
+                cut = len(text) // 3
+                edited = text[: len(text) - cut] + rows[i - 1][1][:cut]
+                assert got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_risk_stays_non_negative():
     rng = np.random.default_rng(2)
     plus, minus = rng.normal(1, 1, (300, 4)), rng.normal(-2, 1, (100, 4))
