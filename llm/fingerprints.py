@@ -203,8 +203,9 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     """Fingerprints of all texts and of their edited texts; see ``SCHEMA``.
 
     The document after another is the one with the next smaller id, after the last the first.
-    Rows are sorted over all partitions once; neighbours across the borders of partitions are
-    found among the first and last rows of the partitions.
+    Rows are sorted over all partitions once. The last row of a partition meets the first row of the
+    next partition that has rows in a group of two; only numbers of partitions are put in order in
+    one place.
     """
     small_batches(docs.sparkSession)
     order = [F.col("doc_id").desc_nulls_last(), F.col("doc")]
@@ -216,11 +217,16 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     inside = dealt.mapInArrow(in_order, SCHEMA)
-    sides = dealt.mapInArrow(edges, "doc_id long, doc long, text string, side int")
-    ordered = Window.orderBy(*order, "side")
-    border = sides.select(
-        "doc_id", "text", "side",
-        F.coalesce(F.lead("text").over(ordered), F.first("text").over(ordered)).alias("following"),
+    numbered = dealt.select("doc_id", "text", F.spark_partition_id().alias("part"))
+    sides = numbered.mapInArrow(edges, "doc_id long, text string, part int, side int")
+    by_part = Window.orderBy("part")
+    after = F.coalesce(F.lead("part").over(by_part), F.first("part").over(by_part)).alias("next")
+    # One row of two numbers for each partition of the shuffle.
+    following = F.broadcast(sides.filter("side = 0").select("part").select("part", after))
+    met = sides.join(following, "part").groupBy(F.when(F.col("side") == 0, F.col("part")).otherwise(F.col("next")))
+    border = met.agg(
+        F.max(F.when(F.col("side") == 1, F.struct("doc_id", "text"))).alias("last"),
+        F.max(F.when(F.col("side") == 0, F.col("text"))).alias("following"),
     )
-    across = border.filter("side = 1").select("doc_id", "text", "following").mapInArrow(in_pairs, SCHEMA)
+    across = border.select("last.doc_id", "last.text", "following").mapInArrow(in_pairs, SCHEMA)
     return inside.unionByName(across)
