@@ -45,6 +45,9 @@ def test_run_is_its_stages(spark):
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_reads_all_documents(spark, name):
     out = queries.QUERIES[name](spark, SF)
+    if name == "op11_spelling_variants":  # rows are words
+        assert out.columns[:2] == ["word", "form"] and out.count() > 0
+        return
     assert "doc_id" in out.columns
     if name != "op6_decontamination":
         assert out.select("doc_id").distinct().count() == 200
