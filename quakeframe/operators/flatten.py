@@ -23,7 +23,7 @@ from quakeframe.schemas import ENVELOPE_DDL, FLAT_EVENT_COLUMNS
 EARTHQUAKE = "earthquake"
 POINT = "Point"
 
-# Flat columns taken from feature.properties: name, JSON field, type.
+# Fixed values, field names of the data and of the flat table: name, JSON field, type.
 PROPERTY_COLUMNS = (
     ("place", "place", "string"),
     ("mag", "mag", "double"),

@@ -28,6 +28,7 @@ def build_region_hourly_stats_df(latest_event_df: DataFrame, blank_as_null: bool
     region text only, and the two are derived once per group. Sums run on decimals and
     do not depend on the order of the rows.
     """
+    # Names and decimal sizes below are fixed values: the columns of the hourly table.
     measured = latest_event_df.filter(F.col("event_time_utc").isNotNull()).select(
         hour_bucket_expr("event_time_utc").alias("bucket_start_utc"),
         region_text_expr("place").alias("region_text"),

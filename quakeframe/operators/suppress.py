@@ -8,9 +8,15 @@ All distinct keys and times are sorted over the cluster, in ranges of about equa
 rows. A key that lies inside one range is chained there, reading its times once. A key that
 reaches over a border may be any frequent key: its times become pieces of at most
 ``LEAF_ROWS`` rows. A piece is summarised as a step function from "the chain continues after
-time x" to "the chain leaves at time e"; the summaries of a key are walked in order, one at a
-time, which gives every piece its entry, and the pieces then mark their kept rows. No task
-holds more than a piece, and there is one way for all keys.
+time x" to "the chain leaves at time e", which gives every piece its entry once the steps are
+composed, and the pieces then mark their kept rows.
+
+Composing takes one of two ways with the same result. Where the steps of a key are at most
+``WALK_STEPS``, its summaries are walked in order. Where they are more (very many times inside one
+time to live, so that summaries are as long as pieces), each step is a row that knows the step it
+leads to, and the steps the chain goes through are found by doubling: after round k the first
+2**k of them are known, and every step knows the one 2**k further on. These are joins over rows, so
+no task reads the key.
 """
 
 from __future__ import annotations
@@ -22,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quakeframe.defaults import SUPPRESS_TTL_SECONDS
@@ -30,6 +36,8 @@ from quakeframe.session import materialize
 
 # Most rows of a piece.
 LEAF_ROWS = 50_000
+# Most steps of a key that one task walks through.
+WALK_STEPS = 4 * LEAF_ROWS
 
 NEVER = np.iinfo(np.int64).min
 CHAIN_DDL = "_key string, _us bigint, _piece bigint"
@@ -126,8 +134,7 @@ def kept_times(times: DataFrame, ttl: int) -> DataFrame:
     chains = materialize(ranged.mapInArrow(_chain(ttl, LEAF_ROWS), CHAIN_DDL), "chains")
     pieces = chains.filter("_piece is not null")
     summaries = pieces.groupBy("_key", "_piece").applyInPandas(_summarise(ttl), PIECE_DDL)
-    in_order = summaries.repartition("_key").sortWithinPartitions("_key", "_piece")
-    entries = in_order.mapInArrow(_walk(ttl), ENTRY_DDL)
+    entries = _entries(materialize(summaries, "steps"), ttl)
     marked = (
         pieces.groupBy("_key", "_piece")
         .cogroup(entries.groupBy("_key", "_piece"))
@@ -136,6 +143,65 @@ def kept_times(times: DataFrame, ttl: int) -> DataFrame:
     return chains.filter("_piece is null").select("_key", "_us").unionByName(marked)
 
 
+def _entries(summaries: DataFrame, ttl: int) -> DataFrame:
+    """For each piece that the chain of its key may enter, the time after which it continues."""
+    steps = summaries.groupBy("_key").agg(F.sum(F.size("starts")).alias("_steps"))
+    heavy = steps.filter(F.col("_steps") > WALK_STEPS).select("_key")
+    if heavy.isEmpty():
+        return _walked(summaries, ttl)
+    light = summaries.join(heavy, "_key", "left_anti")
+    return _walked(light, ttl).unionByName(_doubled(summaries.join(heavy, "_key", "left_semi"), ttl))
+
+
+def _walked(summaries: DataFrame, ttl: int) -> DataFrame:
+    in_order = summaries.repartition("_key").sortWithinPartitions("_key", "_piece")
+    return in_order.mapInArrow(_walk(ttl), ENTRY_DDL)
+
+
+def _doubled(summaries: DataFrame, ttl: int) -> DataFrame:
+    """Entries by doubling; pieces that the chain passes over get none."""
+    step = F.explode(F.arrays_zip("starts", "exits")).alias("_step")
+    steps = summaries.select("_key", "_piece", step).select(
+        "_key", "_piece", F.col("_step.starts").alias("_us"), (F.col("_step.exits") + ttl).alias("_after")
+    )
+    linked = materialize(_linked(steps), "linked")
+    first = steps.groupBy("_key").agg(F.min(F.struct("_us", "_piece")).alias("_first"))
+    reached = first.select("_key", "_first._us")
+    jumps = linked.filter("_to is not null").select("_key", "_us", F.col("_to._us").alias("_to"))
+    while not jumps.isEmpty():
+        further = reached.join(jumps, ["_key", "_us"]).select("_key", F.col("_to").alias("_us"))
+        reached = materialize(reached.unionByName(further), "reached")
+        onward = jumps.select("_key", F.col("_us").alias("_to"), F.col("_to").alias("_far"))
+        twice = jumps.join(onward, ["_key", "_to"]).select("_key", "_us", F.col("_far").alias("_to"))
+        jumps = materialize(twice, "jumps")
+    entered = linked.filter("_to is not null").join(reached, ["_key", "_us"], "left_semi")
+    return first.select("_key", "_first._piece", F.lit(NEVER).alias("_after")).unionByName(
+        entered.select("_key", F.col("_to._piece").alias("_piece"), "_after")
+    )
+
+
+def _linked(steps: DataFrame) -> DataFrame:
+    """Each step with ``_to``, the first step of its key that starts later than ``_after``.
+
+    Starts and the times that ask for one are sorted together, in ranges; what the end of a range
+    leaves open is answered by the first start of a later range of the key.
+    """
+    starts = steps.select("_key", F.col("_us").alias("_at"), F.lit(False).alias("_asks"), "_piece", "_us", "_after")
+    asks = steps.select("_key", F.col("_after").alias("_at"), F.lit(True).alias("_asks"), "_piece", "_us", "_after")
+    # An ask at the time of a start comes behind it: only later starts answer.
+    ranged = starts.unionByName(asks).repartitionByRange("_key", "_at", "_asks", "_us")
+    laid = materialize(ranged.withColumn("_range", F.spark_partition_id()), "asks")
+    start = F.when(~F.col("_asks"), F.struct("_us", "_piece"))
+    backwards = Window.partitionBy("_key", "_range").orderBy(F.desc("_at"), F.desc("_asks"), "_us")
+    inside = laid.withColumn("_next", F.last(start, ignorenulls=True).over(backwards)).filter("_asks")
+    borders = laid.groupBy("_key", "_range").agg(F.min(start).alias("_first"))
+    later = Window.partitionBy("_key").orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    beyond = borders.select("_key", "_range", F.last("_first", ignorenulls=True).over(later).alias("_beyond"))
+    return inside.join(beyond, ["_key", "_range"]).select(
+        "_key", "_us", "_after", F.coalesce("_next", "_beyond").alias("_to")
+    )
+
+
 def _chain_from(times: np.ndarray, after: int, ttl: int) -> list[int]:
     """Kept ones of sorted times, for a chain that continues after ``after``."""
     kept = []
@@ -243,9 +309,11 @@ def _walk(ttl: int):
 
 def _mark(ttl: int):
     def mark(times: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        kept = _chain_from(np.sort(times["_us"].to_numpy()), int(entry["_after"].iloc[0]), ttl)
+        # The chain passes over a piece without an entry.
+        passed = times.empty or entry.empty
+        kept = [] if passed else _chain_from(np.sort(times["_us"].to_numpy()), int(entry["_after"].iloc[0]), ttl)
         frame = pd.DataFrame({"_us": np.array(kept, dtype="int64")})
-        frame.insert(0, "_key", pd.Series([times["_key"].iloc[0]] * len(frame), dtype="object"))
+        frame.insert(0, "_key", pd.Series([] if passed else [times["_key"].iloc[0]] * len(frame), dtype="object"))
         return frame
 
     return mark

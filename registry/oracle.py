@@ -5,7 +5,16 @@ from __future__ import annotations
 from quakeframe.defaults import RAW_TOPIC
 from quakeframe.schemas import FLAT_EVENT_COLUMNS, HOURLY_COLUMNS
 from registry.adapter import RAW_SQL, SOURCE_FEED
-from registry.queries import HOURLY_MEASURES, LATE_DAYS, LISTED_IDS, RUN_IDS, USER_TTL_SECONDS, WINDOW_DAYS, WINDOW_ROWS
+from registry.queries import (
+    HOURLY_MEASURES,
+    LATE_DAYS,
+    LISTED_IDS,
+    LONG_TTL_SECONDS,
+    RUN_IDS,
+    USER_TTL_SECONDS,
+    WINDOW_DAYS,
+    WINDOW_ROWS,
+)
 
 FLAT = ", ".join(FLAT_EVENT_COLUMNS)
 HOURLY = ", ".join(HOURLY_COLUMNS)
@@ -487,6 +496,7 @@ ORACLE: dict[str, str] = {
     ),
     "d5_suppress_recent": suppressed("user_id", USER_TTL_SECONDS),
     "d5_suppress_recent_hot_keys": suppressed("event_type", 3_600),
+    "d5_suppress_long_ttl": suppressed("event_type", LONG_TTL_SECONDS),
     "d5_suppress_missing_times": suppressed("user_id", USER_TTL_SECONDS, missing="n % 7 = 0"),
     "a1_region_hourly_stats": on_hourly(f"select {HOURLY} from hourly"),
     **{

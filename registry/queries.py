@@ -50,6 +50,7 @@ RUN_IDS = ("Jan run", "a+b", "é", "x&y=1/2", "")
 FETCH_SECONDS = (0, 1_800, 7_200)
 LISTED_IDS = [f"e{number}" for number in range(0, 400, 3)]
 USER_TTL_SECONDS = 6 * 3_600
+LONG_TTL_SECONDS = 5 * 86_400
 RUN_READ_AT = datetime(2024, 3, 1, tzinfo=UTC)
 
 
@@ -534,6 +535,14 @@ def d5_suppress_recent_hot_keys(spark, sf_dir):
     )
 
 
+@query
+def d5_suppress_long_ttl(spark, sf_dir):
+    """Few keys, each with very many times inside one time to live."""
+    return suppress.suppress_recent(
+        _seen(spark, sf_dir), ("event_type",), ttl_seconds=LONG_TTL_SECONDS, order=("n",)
+    )
+
+
 @query
 def d5_suppress_missing_times(spark, sf_dir):
     """Every seventh row has no time; it counts as seen when the run reads it."""

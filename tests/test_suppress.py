@@ -83,6 +83,51 @@ def test_a_busy_day_of_one_key_is_spread(spark):
     assert suppress.kept_times(times, 3_600_000_000).count() == 24
 
 
+@pytest.mark.parametrize(
+    "ttl, span, step, leaf",
+    [(3600, 40_000, 60, 50), (60, 20_000, 1, 7), (9000, 30_000, 1, 20), (30_000, 30_000, 1, 20), (1800, 400_000, 60, 30)],
+)
+def test_doubling_follows_the_plain_rule(spark, monkeypatch, ttl, span, step, leaf):
+    """Keys whose steps are too many for a walk, next to keys that are walked and rare ones."""
+    monkeypatch.setattr(suppress, "LEAF_ROWS", leaf)
+    monkeypatch.setattr(suppress, "WALK_STEPS", 60)
+    rng = random.Random(span + ttl)
+    rows = [(key, rng.randrange(-span // 3, span) // step * step) for key in ("hot", "hotter") for _ in range(900)]
+    rows += [("gaps", 5 * span * i + rng.randrange(1000)) for i in range(4) for _ in range(200)]
+    rows += [("warm", rng.randrange(span)) for _ in range(60)]
+    rows += [(f"rare{i}", rng.randrange(span)) for i in range(20) for _ in range(3)]
+    doubled = []
+    plain = suppress._doubled
+    monkeypatch.setattr(suppress, "_doubled", lambda *a: doubled.append(1) or plain(*a))
+    assert run(spark, rows, ttl)[0] == plain_rule(rows, ttl)
+    assert doubled
+
+
+def test_a_million_times_in_one_time_to_live_are_spread(spark, monkeypatch):
+    """No task links or marks more than its share of a key that no walk may read."""
+    hour = 3_600_000_000
+    # A third of a million in each of three times to live, shifted so that every step leads elsewhere.
+    times = spark.range(1_000_000).selectExpr(
+        "'k' as _key", f"id % 333334 * 10000 + div(id, 333334) * {hour + 3_000} as _us"
+    )
+    tables = {}
+    write = suppress.materialize
+
+    def kept_table(df, label):
+        tables[label] = write(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(suppress, "materialize", kept_table)
+    found = sorted(row._us for row in suppress.kept_times(times, hour).collect())
+    assert found == suppress._chain_from(
+        suppress.np.sort(times.toPandas()["_us"].to_numpy()), suppress.NEVER, hour
+    )
+    shares = [row["count"] for row in tables["asks"].groupBy("_range").count().collect()]
+    assert len(shares) >= 4 and max(shares) < 2 * sum(shares) / len(shares)
+    pointed = tables["linked"].filter("_to is not null").groupBy("_key", "_to").count()
+    assert pointed.agg(F.max("count")).first()[0] <= suppress.LEAF_ROWS
+
+
 def test_rows_without_a_time_count_as_seen_now(spark):
     df = spark.createDataFrame(
         [("a", None, 1), ("a", None, 2), ("b", at(0), 3), ("b", at(5), 4), ("b", None, 5)],
