@@ -1,9 +1,11 @@
 """Packing, decontamination, pseudonyms, components and the pipeline."""
 
+import hashlib
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from datetime import date, datetime
 
 import numpy as np
 import pyarrow as pa
@@ -207,17 +209,113 @@ def test_permutations_are_permutations(spark):
     from pyspark.sql import functions as F
 
     digits = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
-    new = [r[0] for r in digits.select(pii.permuted_digits("k", "x", F.col("d"))).collect()]
+    new = [r[0] for r in digits.select(pii.permuted_digits(F.lit("k"), "x", F.col("d"))).collect()]
     assert len(set(new)) == 1000 and all(len(x) == 3 for x in new)
     one = digits.select(F.substring("d", 3, 1).alias("d")).distinct()
-    assert len({r[0] for r in one.select(pii.permuted_digits("k", "x", F.col("d"))).collect()}) == 10
+    assert len({r[0] for r in one.select(pii.permuted_digits(F.lit("k"), "x", F.col("d"))).collect()}) == 10
     days = spark.range(189 * 773).select(
-        pii.permuted("k", "date", F.col("id"), F.lit(189).cast("long"), F.lit(773).cast("long")).alias("n")
+        pii.permuted(F.lit("k"), "date", F.col("id"), F.lit(189).cast("long"), F.lit(773).cast("long")).alias("n")
     )
     row = days.agg(F.countDistinct("n"), F.min("n"), F.max("n")).first()
     assert tuple(row) == (189 * 773, 0, 189 * 773 - 1)
 
 
+def test_dates_and_numbers_in_usual_forms(spark):
+    born = ["1990-02-28", "1990/02/28", "1990.02.28", "28.02.1990", "02/28/1990", "02-28-1990", "2/28/1990", "Feb 28, 1990", "28 February 1990", "1990-02-28T10:00:00Z"]
+    one_each = [
+        "1700-01-01", "+44 20 7946 0958", "020 7946 0958", "+442079460958", "+33 1 42 68 53 00", "01 42 68 53 00", "123 45 6789",
+        "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "2001:db8::1", "2001:0db8:85a3:0000:0000:8a2e:0370:7334",
+        "fe80::1", "Ann.Lee99@mail.example.com", "28/02/1990", "31-12-2001", "AB12 4111 1111 1111 1111 x", "1 2 3 4 5 6 555-123-4567 9",
+    ]
+    none = [
+        "99/99/2020", "30/02/1990", "1200-01-01", "DE89370400440532013001", "12:30:45", "a::b std::vector", "version 1.2.3", "in May 2020",
+        "0 1 2", "room 101", "1990-02-28x", "10 000 000",
+    ]
+    texts = [f"x {t}, y" for t in (*born, *one_each, *none)]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    got = [r for r in pii.pseudonymize(frame(spark, rows), "k").orderBy("doc_id").collect()]
+    for row, text in zip(got, texts, strict=True):
+        assert row.n_pseudonyms == (row.doc_id < len(born) + len(one_each)), (text, row)
+        assert (row.text == text) == (not row.n_pseudonyms), (text, row)
+    day = date.fromisoformat(got[0].text[2:12])
+    forms = ["%Y-%m-%d", "%Y/%m/%d", "%Y.%m.%d", "%d.%m.%Y", "%m/%d/%Y", "%m-%d-%Y", None, None, None, "%Y-%m-%dT10:00:00Z"]
+    want = [day.strftime(x) if x else None for x in forms]
+    want[6:9] = [f"{day.month}/{day.day}/{day.year}", f"{day:%b} {day.day}, {day.year}", f"{day.day} {day:%B} {day.year}"]
+    assert [r.text[2:-3] for r in got[: len(born)]] == want
+    new = {old: got[len(born) + i].text[2:-3] for i, old in enumerate(one_each)}
+    for value in ("GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"):
+        plain = new[value].replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1 and plain[:2] == value[:2]
+    for value in ("28/02/1990", "31-12-2001"):
+        assert int(new[value][:2]) > 12 and datetime.strptime(new[value].replace("-", "/"), "%d/%m/%Y")
+    assert re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub(r"\d", "9", new["Ann.Lee99@mail.example.com"][:-4]))) == "Aaa.Aaa99@aaaa.aaaaaaa"
+    assert new["2001:db8::1"].split(":")[5:] == new["fe80::1"].split(":")[5:]
+
+
+def digest_number(key, label, value, size):
+    return int(hashlib.sha256(f"{key}|{label}|{size}|{value}".encode()).hexdigest()[:15], 16) % size
+
+
+def undone(key, label, value, left_size, right_size):
+    """Plain inverse of the network over numbers."""
+    left, right = divmod(value, right_size)
+    for number in range(pii.ROUNDS // 2, 0, -1):
+        right = (right - digest_number(key, label, f"{number}|r|{left}", right_size)) % right_size
+        left = (left - digest_number(key, label, f"{number}|l|{right}", left_size)) % left_size
+    return left * right_size + right
+
+
+def undone_name(key, name):
+    """Plain inverse of the network over names."""
+    halves = [name[: len(name) // 2], name[len(name) // 2 :]]
+    for number in reversed(range(pii.ROUNDS)):
+        half, by = halves[number % 2], halves[1 - number % 2]
+        digest = hashlib.sha256(f"{key}|name|{number}|{len(half)}|{by.lower()}".encode()).digest()
+        out = ""
+        for place, char in enumerate(half):
+            first, size = next(((f, n) for f, n in ((97, 26), (65, 26), (48, 10)) if f <= ord(char) < f + n), (0, 0))
+            out += chr((ord(char) - first - digest[place % 32]) % size + first) if size else char
+        halves[number % 2] = out
+    return "".join(halves)
+
+
+def test_the_key_inverts_pseudonyms_and_is_in_no_plan(spark):
+    rnd = random.Random(5)
+    letters = "abcxyzABZ0189._%+-"
+    rows = [
+        (
+            i,
+            f"{''.join(rnd.choices(letters, k=rnd.randrange(1, 90)))}@{''.join(rnd.choices('abz09', k=rnd.randrange(1, 9)))}.org"
+            f" {rnd.randrange(1800, 2200)}-{rnd.randrange(1, 13):02}-{rnd.randrange(1, 29):02}"
+            f" {rnd.randrange(1000):03}-{rnd.randrange(100):02}-{rnd.randrange(10**4):04} {'.'.join(str(rnd.randrange(256)) for _ in range(4))}",
+            None, None, None,
+        )
+        for i in range(60)
+    ]
+    secret = "a key, not to be seen"
+    out = pii.pseudonymize(frame(spark, rows), secret)
+    start = date(1800, 1, 1).toordinal()
+    for row in out.collect():
+        mail, day, social, address = row.text.split(" ")
+        number = undone(secret, "date", date.fromisoformat(day).toordinal() - start, *pii.DAYS)
+        digits = undone(secret, "social", int(social.replace("-", "")), 10**5, 10**4)
+        whole = undone(secret, "address", int.from_bytes(bytes(map(int, address.split(".")))), 65536, 65536)
+        back = [
+            undone_name(secret, mail[:-3]) + "org", date.fromordinal(number + start).isoformat(),
+            f"{digits:09}"[:3] + "-" + f"{digits:09}"[3:5] + "-" + f"{digits:09}"[5:], ".".join(map(str, whole.to_bytes(4))),
+        ]
+        assert back == rows[row.doc_id][1].split(" ")
+    plans = out._jdf.queryExecution().toString()
+    assert secret not in plans and "Python" not in plans and "RDD" not in plans.replace("LogicalRDD", "").replace("ExistingRDD", "")
+
+
+def test_day_first_dates_are_permuted_among_themselves(spark):
+    days = [date(1996, m, d) for m in range(1, 13) for d in range(13, 29)] + [date(1400, 1, 13), date(2599, 12, 31)]
+    rows = [(i, f"{d:%d/%m/%Y}", None, None, None) for i, d in enumerate(days)]
+    new = [r.text for r in pii.pseudonymize(frame(spark, rows), "k").collect()]
+    assert len(set(new)) == len(days) and all(int(x[:2]) > 12 and int(x[3:5]) < 13 for x in new)
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(1, 300)] + [(1000, 1001), (1001, 1002), (2000, 2000), (7, 1)]
     df = spark.createDataFrame(edges, "a long, b long").repartition(5)
