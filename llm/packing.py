@@ -6,7 +6,7 @@ carries what is left, of either sign, to the next window. The stream of tokens i
 of ``LENGTH``.
 
 To run in parallel, the schedule is cut into shards. The place of a document in its queue (a prefix
-sum in two levels, so no task sees a whole queue) tells when its first token is due: token q of a
+sum in three levels, so no task sees a whole queue) tells when its first token is due: token q of a
 source with share w is due after q / w tokens of all sources. A shard takes the documents that are
 due in its stretch of the schedule; how late its first document begins is the deficit that the source
 brings along from the shard before. The last tokens of a shard go to sequences whose lengths are
@@ -36,6 +36,8 @@ WINDOW_SEQUENCES = 64
 SHARD_TOKENS = 8 << 20
 # Chunks of the corpus for prefix sums, for each shard's worth of tokens.
 CHUNKS = 16
+# Chunks whose sizes are summed up in one task.
+CHUNK_GROUP = 4096
 SLICE_ROWS = 2_000
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -96,18 +98,30 @@ def schedule(totals: dict[str, int], targets: dict[str, float]) -> dict[str, lis
     return out
 
 
+def before_chunks(sizes: DataFrame) -> DataFrame:
+    """From (queue, chunk, size) the tokens of a queue ``before`` each chunk, and its ``queue_size``."""
+    earlier = (Window.unboundedPreceding, -1)
+    grouped = sizes.withColumn("part", F.floor(F.col("chunk") / F.lit(CHUNK_GROUP)))
+    in_part = Window.partitionBy("queue", "part").orderBy("chunk").rowsBetween(*earlier)
+    before_part = Window.partitionBy("queue").orderBy("part").rowsBetween(*earlier)
+    parts = grouped.groupBy("queue", "part").agg(F.sum("size").alias("part_size")).select(
+        "queue", "part",
+        F.coalesce(F.sum("part_size").over(before_part), F.lit(0)).alias("before_part"),
+        F.sum("part_size").over(Window.partitionBy("queue")).alias("queue_size"),
+    )
+    inside = grouped.withColumn("inside_part", F.coalesce(F.sum("size").over(in_part), F.lit(0)))
+    return inside.join(parts, ["queue", "part"]).select(
+        "queue", "chunk", (F.col("before_part") + F.col("inside_part")).alias("before"), "queue_size"
+    )
+
+
 def due_times(light: DataFrame, targets: dict[str, float] | None) -> tuple[DataFrame, int]:
     """Rows with ``due`` (tokens of all sources before the document) and ``share``; and all tokens."""
     total = light.agg(F.sum("tokens")).first()[0] or 0
     count = max(1, -(-total * CHUNKS // SHARD_TOKENS))
     rows = light.withColumn("chunk", F.pmod("doc", F.lit(count)).cast("int"))
     in_chunk = Window.partitionBy("queue", "chunk").orderBy("doc", "uid").rowsBetween(Window.unboundedPreceding, -1)
-    before_chunk = Window.partitionBy("queue").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    sums = rows.groupBy("queue", "chunk").agg(F.sum("tokens").alias("size")).select(
-        "queue", "chunk",
-        F.coalesce(F.sum("size").over(before_chunk), F.lit(0)).alias("before"),
-        F.sum("size").over(Window.partitionBy("queue")).alias("queue_size"),
-    )
+    sums = before_chunks(rows.groupBy("queue", "chunk").agg(F.sum("tokens").alias("size")))
     placed = (
         rows.withColumn("inside", F.coalesce(F.sum("tokens").over(in_chunk), F.lit(0)))
         .join(sums, ["queue", "chunk"])

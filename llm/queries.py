@@ -26,6 +26,9 @@ from llm.oracle import ORACLE as ORACLE  # registered with the queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Shares of tokens that named sources get in each window while they last; the others share the rest.
+MIXTURE = {"src0": 0.2, "src1": 0.1, "src2": 0.025}
+
 # Not a secret here: a real key comes from the caller's key store.
 PSEUDONYM_KEY = "op7-demonstration-key"
 
@@ -57,7 +60,7 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), targets=MIXTURE)
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

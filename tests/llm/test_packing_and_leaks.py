@@ -49,6 +49,7 @@ def check_packing(rows, pieces, length):
 @pytest.mark.parametrize("targets", [None, {"src0": 0.7, "src1": 0.1}])
 def test_every_token_is_packed_once(spark, monkeypatch, targets):
     monkeypatch.setattr(packing, "SHARD_TOKENS", 8_192)
+    monkeypatch.setattr(packing, "CHUNK_GROUP", 3)
     rows = corpus(11)
     pieces = packing.pack_documents(frame(spark, rows), PATH, 512, targets, 4).collect()
     check_packing(rows, pieces, 512)
@@ -65,6 +66,40 @@ def test_windows_hold_the_mixture(spark):
         assert abs(windows[number]["s0"] / sum(windows[number].values()) - 0.25) < 0.01
 
 
+def test_prefix_sums_of_chunks_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "CHUNK_GROUP", 4)
+    rnd = random.Random(9)
+    sizes = [(q, c, rnd.randrange(1, 99)) for q in ("", "=a", "=b") for c in rnd.sample(range(60), 25)]
+    got = packing.before_chunks(spark.createDataFrame(sizes, "queue string, chunk int, size long")).collect()
+    want = {
+        (q, c): (sum(n for x, d, n in sizes if x == q and d < c), sum(n for x, _, n in sizes if x == q)) for q, c, _ in sizes
+    }
+    assert {(r.queue, r.chunk): (r.before, r.queue_size) for r in got} == want and len(got) == len(sizes)
+
+
+def test_the_target_mixture_holds_over_shards(spark, monkeypatch):
+    """A source with a third of all tokens gets its target in every shard, until the others run out."""
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 16_384)
+    monkeypatch.setattr(packing, "CHUNK_GROUP", 2)
+    rnd = random.Random(4)
+    rows = [(i, " ".join(rnd.choice(["alpha", "beta", "of"]) for _ in range(rnd.randint(50, 400))), "en", "src0" if i % 3 == 0 else f"src{i % 7}", 0) for i in range(900)]
+    rows += [(1000 + i, None, None, None, None) for i in range(5)]
+    pieces = packing.pack_documents(frame(spark, rows), PATH, 256, queries.MIXTURE, 8).collect()
+    check_packing(rows, pieces, 256)
+    shards = defaultdict(Counter)
+    for p in pieces:
+        shards[p.sequence_id >> 32][p.source] += p.length
+    totals = sum(shards.values(), Counter())
+    # Shares while nothing has run out: tokens of all when the first of the pools is used up.
+    until = min(totals[x] / share for x, share in queries.MIXTURE.items())
+    until = min(until, sum(n for x, n in totals.items() if x not in queries.MIXTURE) / (1 - sum(queries.MIXTURE.values())))
+    full = [s for s in sorted(shards) if (s + 1) * 16_384 <= until]
+    assert len(full) >= 4
+    for shard in full:
+        for name, share in queries.MIXTURE.items():
+            assert abs(shards[shard][name] / sum(shards[shard].values()) - share) < 0.05
+
+
 def test_deficits_are_carried():
     queues = {"a": [(1, 100)], "b": [(2, 50)]}
     out = list(packing.deficit_round_robin(queues, {"a": 2 / 3, "b": 1 / 3}, {"a": -20.0, "b": 20.0}, 30))
