@@ -13,7 +13,7 @@ from llm.line_dedup import remove_common_lines
 from llm.ngram_join import keep_one_of_each
 from llm.packing import pack_documents
 from llm.quality import keep_good
-from llm.queries import tokenizer
+from llm.queries import MIXTURE, tokenizer
 from llm.storage import written
 
 SHINGLE_WORDS = 5
@@ -41,8 +41,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, as pieces of sequences in the corpus's mixture of sources."""
-    return pack_documents(docs, tokenizer("word_bpe_49k.json"))
+    """What is left, as pieces of sequences in the target mixture of sources."""
+    return pack_documents(docs, tokenizer("word_bpe_49k.json"), targets=MIXTURE)
 
 
 STAGES = [
