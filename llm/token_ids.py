@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+from itertools import chain
 from types import SimpleNamespace
 
 import numpy as np
@@ -84,7 +85,7 @@ class WordIds:
         if len(self.hashes) + len(distinct) > KNOWN_WORDS:
             self.forget()
         known, _ = in_sorted(distinct, self.hashes)
-        self.learn(distinct[~known], [raw[i:j].tobytes() for i, j in zip(starts[at[~known]], ends[at[~known]], strict=True)])
+        self.learn(distinct[~known], words_at(raw, starts[at[~known]], ends[at[~known]]))
         place = self.place[np.searchsorted(self.hashes, distinct)][which] if len(distinct) else which
         # Each text is its words and the end, whose place is 0.
         texts = len(bounds) - 1
@@ -95,43 +96,66 @@ class WordIds:
         counts = np.diff(total[offsets + np.arange(texts + 1)])
         return self.flat[ranges(self.first[order], sizes)], counts
 
-    def learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+    def learn(self, hashes: np.ndarray, words: list[str]) -> None:
         if not words:
             return
-        ids = self.ids_of([x.decode() for x in words])
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        place = len(self.size) + np.arange(len(ids))
+        flat, size = self.ids_of(words)
+        place = len(self.size) + np.arange(len(size))
         self.first = np.concatenate((self.first, len(self.flat) + np.cumsum(size) - size))
-        self.flat = np.concatenate((self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))))
+        self.flat = np.concatenate((self.flat, flat))
         self.size = np.concatenate((self.size, size))
         at = np.searchsorted(self.hashes, hashes)
         self.hashes = np.insert(self.hashes, at, hashes)
         self.place = np.insert(self.place, at, place)
 
-    def ids_of(self, words: list[str]) -> list[list[int]]:
-        """Ids of words without white space."""
-        out: list[list[int]] = [[] for _ in words]
-        simple = [i for i, x in enumerate(words) if x.isascii() or max(x) < chr(SIMPLE) and "İ" not in x]
-        odd = set(range(len(words))).difference(simple)
-        odd.update(i for i in simple if "<" in words[i] and any(s in words[i] for s in self.special))
-        simple = [i for i in simple if i not in odd]
-        if odd:
-            rest = sorted(odd)
-            for i, found in zip(rest, self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False), strict=True):
-                out[i] = found.ids
+    def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words without white space, in a row, and how many each has."""
+        simple = [x.isascii() or max(x) < chr(SIMPLE) and "İ" not in x for x in words]
+        for i, x in enumerate(words):
+            if "<" in x and any(s in x for s in self.special):
+                simple[i] = False
+        odd = [x for x, plain in zip(words, simple, strict=True) if not plain]
+        known_flat, known_size = self.ids_of_simple([x for x, plain in zip(words, simple, strict=True) if plain])
+        odd_ids = [x.ids for x in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)] if odd else []
+        odd_size = np.fromiter(map(len, odd_ids), np.int64, len(odd_ids))
+        flat = np.concatenate((known_flat, np.fromiter(chain.from_iterable(odd_ids), np.uint32, int(odd_size.sum()))))
+        size = np.concatenate((known_size, odd_size))
+        # Back to the order of the words.
+        first = np.cumsum(size) - size
+        order = np.empty(len(words), dtype=np.int64)
+        order[np.concatenate((np.flatnonzero(simple), np.flatnonzero(~np.array(simple))))] = np.arange(len(words))
+        return flat[ranges(first[order], size[order])], size[order]
+
+    def ids_of_simple(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words that are only lower-cased and split into pieces."""
+        if not words:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        found = self.pattern.findall("\n".join(words).lower())
         if len(self.pieces) > KNOWN_PIECES:
             self.pieces.clear()
-        known, at = self.pieces, 0
-        for piece in self.pattern.findall("\n".join([words[i] for i in simple]).lower()):
-            if piece == "\n":
-                at += 1
-                continue
-            ids = known.get(piece)
-            if ids is None:
-                written = piece.encode().decode("latin-1").translate(self.letters)
-                ids = known[piece] = [x.id for x in self.tokenizer.model.tokenize(written)]
-            out[simple[at]] += ids
-        return out
+        self.pieces["\n"] = []
+        for piece in set(found).difference(self.pieces):
+            # Visible ASCII stands for itself.
+            plain = piece.isascii() and piece.isprintable()
+            written = piece if plain else piece.encode().decode("latin-1").translate(self.letters)
+            self.pieces[piece] = [x.id for x in self.tokenizer.model.tokenize(written)]
+        ids = list(map(self.pieces.__getitem__, found))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        # A break is the one piece without ids that stands between two words.
+        word = np.cumsum(np.fromiter(map("\n".__eq__, found), np.int64, len(found)))
+        return flat, np.bincount(word, sizes, len(words)).astype(np.int64)
+
+
+def words_at(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
+    """The words at these places, none of which holds a line break."""
+    if not len(starts):
+        return []
+    size = ends - starts
+    joined = np.full(int(size.sum()) + len(size), 10, dtype=np.uint8)
+    behind = np.cumsum(size + 1)
+    joined[ranges(behind - size - 1, size)] = raw[ranges(starts, size)]
+    return joined[:-1].tobytes().decode().split("\n")
 
 
 def by_words(parts: dict) -> bool:
