@@ -963,12 +963,18 @@ def route_realtime_messages(spark, sf_dir):
 
 
 def _realtime_stream(spark, sf_dir, fetches_per_batch=1):
-    """All documents fetched at the hours 0, 0.5 and 2, one fetch in each micro-batch or more."""
+    """All documents fetched at the hours 0, 0.5 and 2, one fetch in each micro-batch or more.
+
+    Documents are landed as lines of text in several files, which are read a line at a time by many tasks;
+    readers of columns hold thousands of documents at once.
+    """
     inbox, path, counts = (scratch_path(spark, x) for x in ("fetched", "published", "counts"))
-    documents = adapter.collections(spark, sf_dir).select("value")
+    documents = adapter.collections(spark, sf_dir)
+    # No file without a document, so that every fetch has the same number of files.
+    files = max(1, min(file_count(spark), documents.select("document").count()))
+    dealt = documents.repartitionById(files, F.pmod("document", F.lit(files)).cast("int")).select("value")
     for seconds in FETCH_SECONDS:
-        seen = documents.withColumn("observed_at", F.timestamp_seconds(F.lit(seconds)))
-        seen.coalesce(1).write.mode("append").parquet(inbox)
+        dealt.write.text(f"{inbox}/fetched={seconds}")
 
     def publish(messages, batch_id):
         messages.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -980,8 +986,9 @@ def _realtime_stream(spark, sf_dir, fetches_per_batch=1):
     def write(batch, batch_id):
         writer(landed.parse_feature_collection(batch), batch_id)
 
-    stream = spark.readStream.schema("value string, observed_at timestamp").option("maxFilesPerTrigger", fetches_per_batch)
-    consume(stream.parquet(inbox), write, scratch_path(spark, "offsets"), drain=True).awaitTermination()
+    stream = spark.readStream.schema("value string, fetched int").option("maxFilesPerTrigger", files * fetches_per_batch).text(inbox)
+    seen = stream.select("value", F.timestamp_seconds("fetched").alias("observed_at"))
+    consume(seen, write, scratch_path(spark, "offsets"), drain=True).awaitTermination()
     return path, counts
 
 
