@@ -593,7 +593,9 @@ def a3_run_metrics(spark, sf_dir):
     """Both modes: a backfill over the windows, and daily fetches with suppression."""
     rows = chunked(spark, sf_dir)
     backfilled = metrics.chunk_metrics(rows).withColumn("mode", F.lit("backfill"))
-    fetched = rows.withColumns({"chunk_start": F.to_date("observed_at"), "chunk_end": F.to_date("observed_at")})
+    # What is fetched live is in no window of the run, and may be of an event before its first day.
+    seen = adapter.raw_rows(spark, sf_dir).withColumn("observed_at", times.epoch_ms_expr("observed_ms"))
+    fetched = seen.withColumns({"chunk_start": F.to_date("observed_at"), "chunk_end": F.to_date("observed_at")})
     live = metrics.chunk_metrics(
         fetched.withColumn("event_id", F.col("user_id").cast("string")),
         across_chunks=False, ttl_seconds=2 * 86_400,
