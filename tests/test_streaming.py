@@ -233,3 +233,18 @@ def test_idle_keys_are_forgotten(spark, tmp_path):
     writer(spark.createDataFrame([("old", at(0), 0)], SEEN), 0)
     writer(spark.createDataFrame([("new", at(100), 0)], SEEN), 1)
     assert [row._key for row in spark.read.parquet(f"{memory}/batch_id=1").collect()] == ["new"]
+
+
+def test_keys_share_states_whose_parts_stay_in_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("quakeframe.streaming.suppress.PART_ROWS", 3)
+    inbox, out, offsets = (str(tmp_path / n) for n in ("inbox", "out", "offsets"))
+    options = {"ttl_seconds": 600, "order": ("n",), "late_seconds": 900, "buckets": 2}
+    rng = random.Random(3)
+    rows = [(f"k{rng.randrange(12)}", rng.randrange(2_000), i) for i in range(120)]
+    arrival = sorted(rows, key=lambda r: r[1] + rng.random() * 899)
+    for i in range(0, 120, 40):
+        send(spark, inbox, arrival[i : i + 40])
+    send(spark, inbox, [], tick=2_901)
+    got = drain(spark, inbox, out, offsets, **options)
+    assert pairs(got) == sorted(plain_rule([r[:2] for r in rows], 600))
+    assert 1 <= spark.read.format("statestore").option("stateVarName", "last_published").load(offsets).count() <= 2
