@@ -24,7 +24,9 @@ def _plain_number(value: Column) -> Column:
 
     The cast reads these letters as kinds of numbers; as data they are not numeric.
     """
-    return F.when(~F.coalesce(F.try_variant_get(value, "$", "string").rlike(SUFFIXED), F.lit(False)), value)
+    # Only text is looked at as text; numbers are most of the leaves.
+    plain = ~F.try_variant_get(value, "$", "string").rlike(SUFFIXED)
+    return F.when((F.schema_of_variant(value) != "STRING") | plain, value)
 
 
 def to_float_expr(value: Column) -> Column:

@@ -3,6 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from quakeframe.functions.values import to_float_expr, to_int_expr
 from quakeframe.operators.flatten import (
     classify_lenient,
     classify_strict,
@@ -11,6 +12,7 @@ from quakeframe.operators.flatten import (
     reject_counts,
 )
 from quakeframe.schemas import FLAT_EVENT_COLUMNS
+from quakeframe.session import prepare_session
 from tests.helpers import envelope
 
 GOOD = datetime(2023, 11, 14, 22, 13, 20, 123000)
@@ -101,3 +103,17 @@ def test_good_rows_are_parsed_once(payloads, flatten):
 def test_columns_can_be_carried_along(payloads):
     kept = flatten_strict(payloads.withColumn("n", F.lit(1)), keep=("n", "label"))
     assert kept.columns[:2] == ["n", "label"]
+
+
+def test_long_generated_methods_are_not_run_by_the_interpreter(spark):
+    # The JVM compiles no method of more than 8,000 bytes.
+    prepare_session(spark)
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8_000
+
+
+def test_suffix_is_looked_for_in_text_only(spark):
+    leaves = ['"3.2d"', '" 5F "', "3.25", "1.0E10", "7", '"7"', '"2.5"', "true", "null", '{"a": "5f"}', '["1d"]']
+    df = spark.createDataFrame([(at, x) for at, x in enumerate(leaves)], "n int, v string").withColumn("v", F.parse_json("v"))
+    got = df.orderBy("n").select(to_float_expr(F.col("v")).alias("f"), to_int_expr(F.col("v")).alias("i")).collect()
+    assert [r.f for r in got] == [None, None, 3.25, 1e10, 7.0, 7.0, 2.5, 1.0, None, None, None]
+    assert [r.i for r in got] == [None, None, 3, None, 7, 7, None, 1, None, None, None]
