@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+from array import array
 from itertools import chain
 from types import SimpleNamespace
 
@@ -35,6 +36,38 @@ def byte_letters() -> dict[int, int]:
     return {b: b if b in visible else next(hidden) for b in range(256)}
 
 
+class Pieces(dict):
+    """Place of each piece's ids in a row of all; a new piece is given to the model when it is asked for."""
+
+    def __init__(self, model, letters: dict[int, int]):
+        self.model = model
+        self.letters = letters
+        self.forget()
+
+    def forget(self) -> None:
+        """Known pieces: none but the line break, which has no ids, at place 0."""
+        self.clear()
+        self["\n"] = 0
+        self.flat = array("I")
+        self.ends = array("q", [0])
+
+    def __missing__(self, piece: str) -> int:
+        # Visible ASCII stands for itself.
+        plain = piece.isascii() and piece.isprintable()
+        written = piece if plain else piece.encode().decode("latin-1").translate(self.letters)
+        self.flat.extend([x.id for x in self.model.tokenize(written)])
+        self.ends.append(len(self.flat))
+        self[piece] = place = len(self)
+        return place
+
+    def ids_of(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces at these places, in a row, and how many each has."""
+        # Copies, since arrays that numpy looks into cannot grow.
+        ends = np.array(self.ends, dtype=np.int64)
+        size = np.diff(ends, prepend=0)
+        return np.array(self.flat, dtype=np.uint32)[ranges((ends - size)[place], size[place])], size[place]
+
+
 class WordIds:
     """Encodes texts with one tokenizer file; ``end`` closes every text."""
 
@@ -53,7 +86,7 @@ class WordIds:
             pattern = parts["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
             self.pattern = regex.compile(rf"(?:{pattern})|\n")
         self.letters = byte_letters()
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces = Pieces(self.tokenizer.model, self.letters)
         self.forget()
 
     def forget(self) -> None:
@@ -111,9 +144,11 @@ class WordIds:
     def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words without white space, in a row, and how many each has."""
         simple = [x.isascii() or max(x) < chr(SIMPLE) and "İ" not in x for x in words]
-        for i, x in enumerate(words):
-            if "<" in x and any(s in x for s in self.special):
-                simple[i] = False
+        whole = "\n".join(words)
+        if any(s in whole for s in self.special):
+            simple = [plain and not any(s in x for s in self.special) for x, plain in zip(words, simple, strict=True)]
+        if all(simple):
+            return self.ids_of_simple(words)
         odd = [x for x, plain in zip(words, simple, strict=True) if not plain]
         known_flat, known_size = self.ids_of_simple([x for x, plain in zip(words, simple, strict=True) if plain])
         odd_ids = [x.ids for x in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)] if odd else []
@@ -132,18 +167,11 @@ class WordIds:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         found = self.pattern.findall("\n".join(words).lower())
         if len(self.pieces) > KNOWN_PIECES:
-            self.pieces.clear()
-        self.pieces["\n"] = []
-        for piece in set(found).difference(self.pieces):
-            # Visible ASCII stands for itself.
-            plain = piece.isascii() and piece.isprintable()
-            written = piece if plain else piece.encode().decode("latin-1").translate(self.letters)
-            self.pieces[piece] = [x.id for x in self.tokenizer.model.tokenize(written)]
-        ids = list(map(self.pieces.__getitem__, found))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-        # A break is the one piece without ids that stands between two words.
-        word = np.cumsum(np.fromiter(map("\n".__eq__, found), np.int64, len(found)))
+            self.pieces.forget()
+        place = np.fromiter(map(self.pieces.__getitem__, found), np.int64, len(found))
+        flat, sizes = self.pieces.ids_of(place)
+        # A break stands between two words.
+        word = np.cumsum(place == 0)
         return flat, np.bincount(word, sizes, len(words)).astype(np.int64)
 
 

@@ -409,3 +409,21 @@ def test_characters_apart_leave_other_words_whole():
         raw = np.frombuffer(text.encode(), np.uint8)
         hashes, offsets = decontamination.normal_words(np.concatenate((raw, raw)), np.array([0, len(raw), 2 * len(raw)]))
         assert offsets.tolist() == [0, want, 2 * want] and (hashes[:want] == hashes[want:]).all()
+
+
+def test_a_piece_is_given_to_the_model_once():
+    from types import SimpleNamespace
+
+    from llm.token_ids import Pieces, byte_letters
+
+    asked = []
+
+    def tokenize(piece):
+        asked.append(piece)
+        return [SimpleNamespace(id=ord(x)) for x in piece]
+
+    pieces = Pieces(SimpleNamespace(tokenize=tokenize), byte_letters())
+    place = np.array([pieces[x] for x in ("ab", "\n", "c", "ab", "é")])
+    flat, size = pieces.ids_of(place)
+    assert asked == ["ab", "c", "Ã©"] and size.tolist() == [2, 0, 1, 2, 2]
+    assert "".join(map(chr, flat)) == "abcabÃ©"
