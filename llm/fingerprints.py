@@ -18,11 +18,12 @@ neighbours; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.blocks import small_batches
@@ -149,84 +150,83 @@ def edited(text: str, other: str) -> str:
     return text[: len(text) - part] + other[:part]
 
 
-def described(ids: list, texts: list[str], known: np.ndarray) -> pa.RecordBatch:
-    """Rows for all texts but the last, which is only the neighbour of the one before."""
-    changed = [edited(a, b) for a, b in zip(texts[:-1], texts[1:], strict=True)]
+def described(ids: list, texts: list[str], known: np.ndarray, own: list[int]) -> pa.RecordBatch:
+    """Rows for the texts at the places ``own``, each with the text after it as its neighbour."""
+    changed = [edited(texts[i], texts[i + 1]) for i in own]
     after = sketches(changed)
-    own, following = known[:-1], known[1:]
+    at = np.array(own, dtype=np.int64)
     columns = [
-        pa.array(ids[:-1], pa.int64()),
-        pa.array([len(x) for x in texts[:-1]], pa.int64()),
+        pa.array([ids[i] for i in own], pa.int64()),
+        pa.array([len(texts[i]) for i in own], pa.int64()),
         pa.array([hashlib.sha256(x.encode()).hexdigest() for x in changed], pa.string()),
-        pa.array(printed(own), pa.string()),
+        pa.array(printed(known[at]), pa.string()),
         pa.array(printed(after), pa.string()),
-        pa.array(likeness(own, after)),
-        pa.array(likeness(own, following)),
+        pa.array(likeness(known[at], after)),
+        pa.array(likeness(known[at], known[at + 1])),
     ]
     return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SCHEMA.split(", ")])
 
 
 def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a sorted partition, each with the row after it; the last row is left out."""
+    """Rows of sorted ranges, each with the row after it; guests end a range and are left out."""
     ids: list = []
     texts: list[str] = []
+    guests: list[bool] = []
     known = np.zeros((0, SLOTS), dtype=U64)
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
             part = batch.slice(at, 1000)
             more = part.column("text").to_pylist()
             ids, texts = ids[-1:] + part.column("doc_id").to_pylist(), texts[-1:] + more
+            guests = guests[-1:] + part.column("guest").to_pylist()
             known = np.concatenate((known[-1:], sketches(more)))
-            if len(texts) > 1:
-                yield described(ids, texts, known)
+            own = [i for i, guest in enumerate(guests[:-1]) if not guest]
+            if own:
+                yield described(ids, texts, known, own)
 
 
-def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """First and last row of a partition, marked 0 and 1."""
-    last = None
-    for batch in batches:
-        if batch.num_rows:
-            if last is None:
-                yield batch.slice(0, 1).append_column("side", pa.array([0], pa.int32()))
-            last = batch.slice(batch.num_rows - 1, 1)
-    if last is not None:
-        yield last.append_column("side", pa.array([1], pa.int32()))
-
-
-def in_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for doc_id, text, following in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            yield described([doc_id, None], [text, following], sketches([text, following]))
+def first_keys(keys: DataFrame, parts: int) -> list[dict[str, int | None]]:
+    """The first key of each of at most ``parts`` ranges in descending order, smallest first."""
+    dealt = keys.repartitionByRange(parts, F.col("key").desc())
+    ranges = dealt.select("key", F.spark_partition_id().alias("range"))
+    # One row of two numbers for each partition of the shuffle.
+    found = ranges.groupBy("range").agg(F.max("key").alias("key")).select("key.doc_id", "key.doc").collect()
+    return [r.asDict() for r in sorted(found, key=lambda r: (r.doc_id is not None, r))]
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
     """Fingerprints of all texts and of their edited texts; see ``SCHEMA``.
 
     The document after another is the one with the next smaller id, after the last the first.
-    Rows are sorted over all partitions once. The last row of a partition meets the first row of the
-    next partition that has rows in a group of two; only numbers of partitions are put in order in
-    one place.
+    Keys alone, without texts, are cut into ranges over all partitions when this is called. The first row
+    of a range goes to the range before as well, as a guest at its end; so texts are shuffled, sorted and
+    read once, and each row meets its neighbour in its own range. The table is read anew for the texts and
+    must give the same rows.
     """
     small_batches(docs.sparkSession)
-    order = [F.col("doc_id").desc_nulls_last(), F.col("doc")]
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64("doc_id", "text").alias("doc"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
+    # In descending order: ids without null from the largest, nulls, and the smallest hash first among equals.
+    key = F.struct("doc_id", F.bitwise_not("doc").alias("doc"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    inside = dealt.mapInArrow(in_order, SCHEMA)
-    numbered = dealt.select("doc_id", "text", F.spark_partition_id().alias("part"))
-    sides = numbered.mapInArrow(edges, "doc_id long, text string, part int, side int")
-    by_part = Window.orderBy("part")
-    after = F.coalesce(F.lead("part").over(by_part), F.first("part").over(by_part)).alias("next")
-    # One row of two numbers for each partition of the shuffle.
-    following = F.broadcast(sides.filter("side = 0").select("part").select("part", after))
-    met = sides.join(following, "part").groupBy(F.when(F.col("side") == 0, F.col("part")).otherwise(F.col("next")))
-    border = met.agg(
-        F.max(F.when(F.col("side") == 1, F.struct("doc_id", "text"))).alias("last"),
-        F.max(F.when(F.col("side") == 0, F.col("text"))).alias("following"),
+    firsts = first_keys(rows.select(key.alias("key")), parts)
+    if not firsts:
+        return docs.sparkSession.createDataFrame([], SCHEMA)
+    # One literal, so that planning does not take long with thousands of ranges.
+    cuts = F.from_json(F.lit(json.dumps(firsts)), "array<struct<doc_id: bigint, doc: bigint>>")
+    # Binary search for the number of cuts below the key; beyond the last cut the comparison is null.
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(firsts).bit_length()))])
+    below = F.aggregate(
+        steps, F.lit(0), lambda n, step: F.when(F.get(cuts, n + step - 1) < F.col("key"), n + step).otherwise(n)
     )
-    across = border.select("last.doc_id", "last.text", "following").mapInArrow(in_pairs, SCHEMA)
-    return inside.unionByName(across)
+    placed = rows.withColumn("key", key).withColumn("part", F.least(below, F.lit(len(firsts) - 1)))
+    at_home = F.struct("part", F.lit(False).alias("guest"))
+    as_guest = F.struct(((F.col("part") + 1) % len(firsts)).alias("part"), F.lit(True).alias("guest"))
+    is_first = F.get(cuts, F.col("part")).eqNullSafe(F.col("key"))
+    places = F.when(is_first, F.array(at_home, as_guest)).otherwise(F.array(at_home))
+    sent = placed.select("key", "text", F.inline(places))
+    dealt = sent.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "guest", F.col("key").desc())
+    return dealt.select("key.doc_id", "text", "guest").mapInArrow(in_order, SCHEMA)

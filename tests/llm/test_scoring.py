@@ -134,6 +134,26 @@ def test_neighbours_across_partitions_meet_without_moving_texts_to_one_task(spar
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_texts_are_sorted_and_read_once(spark):
+    rows = [(i, f"text {i} " * 9, None, None, None) for i in range(40)]
+    plan = fingerprints.fingerprint(frame(spark, rows))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == plan.count("Sort [") == 1 and "Union" not in plan
+
+
+def test_neighbours_of_repeated_and_missing_ids_do_not_depend_on_the_partitions(spark):
+    ids = [None] * 30 + [5] * 30 + [-(2**62), 2**62, 0, -1] + list(range(100, 120))
+    rows = [(i, f"text {n % 50} " * 9, None, None, None) for n, i in enumerate(ids)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    try:
+        for parts in ("1", "3", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            found.append(sorted(fingerprints.fingerprint(frame(spark, rows)).collect(), key=str))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(found[0]) == len(rows) and found[0] == found[1] == found[2]
+
+
 def test_risk_stays_non_negative():
     rng = np.random.default_rng(2)
     plus, minus = rng.normal(1, 1, (300, 4)), rng.normal(-2, 1, (100, 4))
