@@ -32,6 +32,8 @@ from llm.hashing import GOLDEN, U64, mix, text_bytes
 LEVELS = 3
 SLOTS = 32
 CHUNK_CHARS = 1 << 20
+# Rows that the Parquet reader holds at once; its vectors grow by doubling until the texts fit.
+READ_ROWS = 256
 EMPTY_SLOT = np.uint64(0xFFFFFFFF)
 PHRASE_WEIGHTS = np.cumprod(np.full(64, 0xD1342543DE82EF95, dtype=np.uint64), dtype=np.uint64)
 SCHEMA = (
@@ -204,6 +206,7 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     must give the same rows.
     """
     small_batches(docs.sparkSession)
+    docs.sparkSession.conf.set("spark.sql.parquet.columnarReaderBatchSize", READ_ROWS)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64("doc_id", "text").alias("doc"),

@@ -140,6 +140,16 @@ def test_texts_are_sorted_and_read_once(spark):
     assert plan.count("MapInArrow") == plan.count("Sort [") == 1 and "Union" not in plan
 
 
+def test_few_texts_are_read_at_once(spark):
+    setting = "spark.sql.parquet.columnarReaderBatchSize"
+    spark.conf.unset(setting)
+    try:
+        fingerprints.fingerprint(frame(spark, [(1, "some text", None, None, None)]))
+        assert int(spark.conf.get(setting)) == fingerprints.READ_ROWS <= 256
+    finally:
+        spark.conf.unset(setting)
+
+
 def test_neighbours_of_repeated_and_missing_ids_do_not_depend_on_the_partitions(spark):
     ids = [None] * 30 + [5] * 30 + [-(2**62), 2**62, 0, -1] + list(range(100, 120))
     rows = [(i, f"text {n % 50} " * 9, None, None, None) for n, i in enumerate(ids)]
