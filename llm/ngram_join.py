@@ -3,16 +3,17 @@
 A document is the set of its distinct shingles, as hashes. The global order of shingles is the order of
 their hashes, and it is cut into fragments.
 
-1. Documents that cannot have a partner leave early: of the first shingles in the global order, a
-   document must share nearly all with a partner, so enough of them must occur elsewhere. Each
-   document shows more of its first shingles than it looks up, as a partner's may stand later in it.
+1. Documents that cannot have a partner leave early: all but a few of their shingles must occur
+   elsewhere. Blocks learn how often each of their shingles occurs, in classes of half a byte.
 2. Candidates: documents of similar size are cut into more fragments than two linked sets can
-   differ in, so linked sets agree on at least one whole fragment. Equal fragments link
-   each document to one other, never all to all; components of these links are clusters that hold
-   every linked pair.
+   differ in, so linked sets agree on at least one whole fragment. The rarest fragments of each are
+   enough for that, one more than can differ; those of frequent shingles, which tie texts that have
+   nothing else in common, are left aside. Equal fragments link each document to the one next in
+   size, never all to all; components of these links are clusters that hold every linked pair.
 3. Overlaps: in a cluster partial overlaps are counted fragment by fragment and summed per pair; a
    cluster larger than ``CELL_MEMBERS`` is dealt out in cells of two chunks, so no task holds it
-   whole. Each cell returns links enough to connect what it found, not every pair.
+   whole. Each cell returns links enough to connect what it found, not every pair. Texts are read
+   again for it, only those of clusters, as they are smaller than their sets.
 
 Equal sets are one class throughout. ``percent`` is the least similarity in percent, compared in
 whole numbers.
@@ -31,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.blocks import block_documents, repeated_keys, reply_table, with_replies
+from llm.blocks import block_documents, class_table, count_classes, named_documents, short_keys, with_replies
 from llm.components import components, smallest_reachable
 from llm.decontamination import FOLD
-from llm.hashing import U64, gram_hashes, in_sorted, mix, pieces, word_hashes, words_of
+from llm.hashing import U64, gram_hashes, mix, pieces, word_hashes, words_of
 from llm.repeats import grouped
 from llm.storage import written
 
@@ -43,7 +44,7 @@ PERCENT = 85
 CELL_MEMBERS = 2_048
 CELL_SHINGLES = 1 << 19
 FRAGMENT_COLUMNS = 1_024
-SETS = "blk int, doc long, doc_id long, n_shingles long, class long, shingles binary"
+SETS = "doc long, doc_id long, n_shingles long, class long, fragments binary"
 NO_CLASS = 0
 
 
@@ -68,17 +69,9 @@ def unshared(size: int, percent: int) -> int:
     return (100 - percent) * size // 100
 
 
-def head(size: int, percent: int) -> int:
-    return min(size, 2 * unshared(size, percent) + 2)
-
-
-def shown(size: int, percent: int) -> int:
-    """First shingles among which are all that a linked document of any size shares of its own head.
-
-    A shingle of the partner's head has in front of it others of that head and at most those
-    that the partner has not.
-    """
-    return min(size, head(100 * size // percent, percent) + unshared(size, percent))
+def differing(size: int, percent: int) -> int:
+    """In how many shingles, of either, a document and a linked one may differ at most."""
+    return (100 - percent) * size // percent
 
 
 def class_of(shingles: np.ndarray) -> int:
@@ -105,8 +98,12 @@ def fragments(group: int, percent: int) -> int:
     return differ + differ // 8 + 20
 
 
-def fragment_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
-    """A key for every non-empty fragment of a set, in the groups of its own and the next size class."""
+def fragment_keys(shingles: np.ndarray, rarity: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of the rarest non-empty fragments of a set, in the groups of its own and the next size class.
+
+    ``rarity`` has the class of each shingle's count. A fragment is as rare as its rarest shingle, so all sets order
+    the fragments alike, and one that two linked sets have in common is among the first of both.
+    """
     own = int(size_class(np.array([len(shingles)]), percent)[0])
     mixed = mix(shingles)
     parts = []
@@ -115,72 +112,79 @@ def fragment_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
         place = ((shingles >> U64(32)) * U64(count)) >> U64(32)
         first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
         salt = place[first] + U64(group << 40)
-        parts.append(mix(np.add.reduceat(mixed, first) + mix(salt)))
+        keys = mix(np.add.reduceat(mixed, first) + mix(salt))
+        rarest = np.minimum.reduceat(rarity, first)
+        order = np.lexsort((keys, rarest))[: differing(len(shingles), percent) + 1]
+        parts.append(keys[order[rarest[order] > 1]])
     return np.concatenate(parts)
 
 
 def documents_as_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Written rows ``SETS``; ``shingles`` only of documents that may have a partner, once per block."""
+    """Written rows ``SETS``; ``fragments`` only of documents that may have a partner, once per block."""
     blocks, count = block_documents(docs)
 
     def keys_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        parts = [x[: shown(len(x), percent)] for x in shingle_sets(table["text"], words)]
-        return np.unique(np.concatenate([np.zeros(0, U64), *parts]), return_counts=True)
+        parts = [np.zeros(0, U64), *shingle_sets(table["text"], words)]
+        return np.unique(short_keys(np.concatenate(parts), count), return_counts=True)
 
     def describe(table: pa.Table, replies: pa.Table) -> pa.Table:
-        keys, _ = reply_table(replies)
-        sizes, names, kept, seen = [], [], [], set()
-        for shingles in shingle_sets(table["text"], words):
-            size = len(shingles)
-            name = class_of(shingles)
-            first = shingles[: head(size, percent)]
-            enough = size and in_sorted(first, keys)[0].sum() >= len(first) - unshared(size, percent)
-            sizes.append(size)
+        sets = list(shingle_sets(table["text"], words))
+        keys, at = np.unique(short_keys(np.concatenate([np.zeros(0, U64), *sets]), count), return_inverse=True)
+        rarity = class_table(replies, keys, count)[at]
+        names, kept, seen, end = [], [], set(), 0
+        for shingles in sets:
+            size, name = len(shingles), class_of(shingles)
+            own = rarity[end : end + size]
+            end += size
+            enough = size and name not in seen and (own < 2).sum() <= unshared(size, percent)
             names.append(name)
-            kept.append(shingles.tobytes() if enough and name not in seen else None)
+            kept.append(fragment_keys(shingles, own, percent).tobytes() or None if enough else None)
             seen.add(name)
         return pa.table(
             {
-                "blk": table["blk"], "doc": table["doc"], "doc_id": table["doc_id"],
-                "n_shingles": pa.array(sizes, pa.int64()), "class": pa.array(names, pa.int64()),
-                "shingles": pa.array(kept, pa.binary()),
+                "doc": table["doc"], "doc_id": table["doc_id"],
+                "n_shingles": pa.array([len(x) for x in sets], pa.int64()), "class": pa.array(names, pa.int64()),
+                "fragments": pa.array(kept, pa.binary()),
             }
         )
 
-    return written(with_replies(blocks, repeated_keys(blocks, count, keys_of), describe, SETS), "sets")
+    return written(with_replies(blocks, count_classes(blocks, count, keys_of), describe, SETS), "sets")
 
 
 def candidate_links(sets: DataFrame, percent: int) -> DataFrame:
-    """(class, leader): classes that agree on a fragment, each with the smallest of them."""
+    """(class, leader): classes that agree on a fragment, each with the one before it in size."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.column("class").to_numpy()
-            keys = [fragment_keys(np.frombuffer(x, U64), percent) for x in batch.column("shingles").to_pylist()]
+            keys = [np.frombuffer(x, np.int64) for x in batch.column("fragments").to_pylist()]
             if keys:
-                owner = np.repeat(names, [len(x) for x in keys])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(owner)], ["key", "class"])
+                number = [len(x) for x in keys]
+                owners = [pa.array(np.repeat(batch.column(x).to_numpy(), number)) for x in ("n_shingles", "class")]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), *owners], ["key", "size", "class"])
 
-    held = sets.select("class", "shingles").mapInArrow(cut, "key long, class long")
-    leaders = held.groupBy("key").agg(F.min("class").alias("leader"), F.max("class").alias("other"))
-    return held.join(leaders.filter("leader <> other"), "key").filter("class <> leader").select("class", "leader")
+    held = sets.select("class", "n_shingles", "fragments").mapInArrow(cut, "key long, size long, class long")
+    in_order = Window.partitionBy("key").orderBy("size", "class")
+    before = {"leader": F.lag("class").over(in_order), "less": F.lag("size").over(in_order)}
+    # Sizes between those of two linked sets are as near to each other.
+    near = held.withColumns(before).filter("class <> leader").filter(F.col("less") * 100 >= F.col("size") * percent)
+    return near.select("class", "leader")
 
 
 def cells_of(sets: DataFrame, clusters: DataFrame) -> DataFrame:
-    """Rows (cell, class, shingles): a cluster's sets, in one cell or in cells of two chunks."""
-    members = sets.join(clusters, sets["class"] == clusters["node"]).select("root", "class", "shingles")
-    size = F.length("shingles") / 8
-    sizes = members.groupBy("root").agg(F.count("*").alias("members"), F.sum(size).alias("size"))
+    """Rows (cell, class, doc): a cluster's classes with a document of each, in one cell or in cells of two chunks."""
+    one = sets.groupBy("class").agg(F.min("doc").alias("doc"), F.first("n_shingles").alias("size"))
+    members = written(one.join(clusters, one["class"] == clusters["node"]).select("root", "class", "doc", "size"), "members")
+    sizes = members.groupBy("root").agg(F.count("*").alias("members"), F.sum("size").alias("size"))
     chunks = F.ceil(F.greatest(F.col("members") / CELL_MEMBERS, F.col("size") / CELL_SHINGLES))
     # Two chunks meet in a cell, so chunks of a cluster that must be cut are half as large.
     count = F.when(chunks <= 1, F.lit(1)).otherwise(chunks * 2)
     dealt = members.join(sizes.select("root", count.cast("int").alias("chunks")), "root")
     own = F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int")
-    return dealt.select("root", "class", "shingles", "chunks", own.alias("own")).select(
-        "class", "shingles", "root", "own",
+    return dealt.select("root", "class", "doc", "chunks", own.alias("own")).select(
+        "class", "doc", "root", "own",
         F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"),
     ).select(
-        F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "class", "shingles"
+        F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "class", "doc"
     )
 
 
@@ -213,32 +217,34 @@ def linked_in_cell(names: np.ndarray, sets: list[np.ndarray], percent: int) -> t
     return nodes[nodes != low], low[nodes != low]
 
 
-def links(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+def links(docs: DataFrame, sets: DataFrame, clusters: DataFrame, words: int, percent: int) -> DataFrame:
     """(class, linked): links of sets, enough of them to connect each component."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for groups in grouped(batches):
             found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
             for group in groups:
-                # A set can come twice to a cell, as its own and as the other chunk's.
-                members = {name: data for _, name, data in group}
-                if len(members) > 1:
-                    names = np.array(sorted(members), dtype=np.int64)
-                    found.append(linked_in_cell(names, [np.frombuffer(members[x], U64) for x in names.tolist()], percent))
+                if len(group) > 1:
+                    names = np.array([name for _, name, _ in group], dtype=np.int64)
+                    members = list(shingle_sets(pa.array([text for *_, text in group], pa.string()), words))
+                    found.append(linked_in_cell(names, members, percent))
             first, second = (np.concatenate(x) for x in zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(second)], ["class", "linked"])
 
-    cells = cells_of(sets, clusters).repartition("cell").sortWithinPartitions("cell")
-    return cells.mapInArrow(count, "class long, linked long")
+    # Cells grow with the corpus, so they are not for every executor, also where they are still few.
+    cells = cells_of(sets, clusters).hint("merge")
+    texts = named_documents(docs).join(cells, "doc").select("cell", "class", "text")
+    # A class can come twice to a cell, as its own and as the other chunk's, or in equal rows.
+    dealt = texts.repartition("cell").dropDuplicates(["cell", "class"]).sortWithinPartitions("cell")
+    return dealt.mapInArrow(count, "class long, linked long")
 
 
 def with_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(doc, doc_id, n_shingles, root): documents with the smallest class of their component."""
     rows = documents_as_sets(docs, words, percent)
-    once = rows.filter("shingles is not null").select("class", "shingles").dropDuplicates(["class"])
-    sets = written(once, "classes")
+    sets = rows.filter("fragments is not null")
     clusters = components(candidate_links(sets, percent))
-    found = components(links(sets, clusters, percent))
+    found = components(links(docs, sets, clusters, words, percent))
     plain = rows.select("doc", "doc_id", "n_shingles", "class")
     joined = plain.join(found, plain["class"] == found["node"], "left")
     return joined.select("doc", "doc_id", "n_shingles", F.coalesce("root", "class").alias("root"))

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm import blocks, line_dedup, ngram_join, repeats, substring_dedup, suffix_array_dedup
@@ -114,6 +116,49 @@ def test_fragments_outnumber_differences():
         assert ngram_join.fragments(group, 85) > 2 * size * 15 // 185
 
 
+def test_a_passage_in_all_texts_ties_no_clusters(spark, monkeypatch):
+    passage = " ".join(f"common{i}" for i in range(40))
+    texts = [" ".join(f"own{g}x{i}" for i in range(60)) + f" end{c} " + passage for g in range(25) for c in "ab"]
+    rows = [(i, text, None, None, None) for i, text in enumerate(texts)]
+    clusters = []
+
+    def seen(edges, work=ngram_join.components):
+        clusters.append(work(edges))
+        return clusters[-1]
+
+    monkeypatch.setattr(ngram_join, "components", seen)
+    got = plain(ngram_join.join_similar(frame(spark, rows)), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(brute.jaccard_join(pairs(rows)), key=key)
+    assert {r["count"] for r in clusters[0].groupBy("root").count().collect()} == {2}
+
+
+def test_classes_of_counts_come_back_in_the_order_of_keys(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "HELD_KEYS", 5)
+    rows = [(i, " ".join(f"{'all' if w % 3 == 0 else i}w{w}" for w in range(30)), None, None, None) for i in range(40)]
+    dealt, count = blocks.block_documents(frame(spark, rows), 500)
+
+    def keys_of(table):
+        parts = [np.zeros(0, np.uint64), *ngram_join.shingle_sets(table["text"], 1)]
+        return np.unique(blocks.short_keys(np.concatenate(parts), count), return_counts=True)
+
+    def describe(table, replies):
+        keys, _ = keys_of(table)
+        found = np.bincount(blocks.class_table(replies, keys, count), minlength=16)
+        return pa.table({"blk": table["blk"][:1], "rows": [len(table)], "found": [found.tolist()]})
+
+    replies = blocks.count_classes(dealt, count, keys_of)
+    got = blocks.with_replies(dealt, replies, describe, "blk int, rows long, found array<long>").collect()
+    assert count > 5 and sum(r.rows for r in got) == 40
+    frequent = blocks.class_of_count(np.array([40]))[0]
+    for r in got:
+        assert r.found[1] == 20 * r.rows and r.found[frequent] == 10 and sum(r.found) == 20 * r.rows + 10
+
+
+def test_classes_of_counts_keep_their_order():
+    found = blocks.class_of_count(np.arange(1, 5_000))
+    assert found[:9].tolist() == list(range(1, 10)) and (np.diff(found.astype(int)) >= 0).all() and found[-1] == blocks.MANY
+
+
 def test_patience_keeps_order():
     a, b = [1, 2, 3, 9, 4, 5], [2, 3, 7, 1, 4, 5]
     found = line_dedup.patience(a, b)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from datetime import date, datetime
@@ -10,6 +11,7 @@ from datetime import date, datetime
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from llm import components, decontamination, packing, pii, queries, storage
 from llm.token_ids import WordIds
@@ -377,6 +379,21 @@ def test_empty_benchmark(spark):
     assert decontamination.drop_leaking(docs.limit(0), none).columns == docs.columns
 
 
+def test_shuffle_files_of_a_written_table_go(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {x for x in found.mkString(" ").split() if "shuffle_" in x}
+
+    before, was = files(), spark.conf.get(storage.SHUFFLES_GO)
+    table = storage.written(spark.range(1_000).repartition(3, "id").groupBy((F.col("id") % 7).alias("id")).count(), "some")
+    until = time.monotonic() + 20
+    while files() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(storage.SHUFFLES_GO) == was
+    assert sorted(r["count"] for r in table.collect()) == [142] + [143] * 6
+
+
+
 def test_shared_folder_is_needed_on_a_cluster(spark, monkeypatch):
     assert storage.shared_folder(spark)
     class Elsewhere:
